@@ -281,9 +281,13 @@ def gate_by_day(results: DataFrame) -> DataFrame:
     )
 
 
-def append_log(results: DataFrame, path: str) -> None:
-    """Add results to the audit log, one partition per run date."""
-    results.hint("rebalance", "run_date").write.mode("append").partitionBy("run_date").parquet(path)
+def append_log(results: DataFrame, path: str, tasks: int = 1) -> None:
+    """Add results to the audit log, one partition per run date.
+
+    The log has a few rows per run date, so writing it costs files and not bytes. A backfill
+    of many dates opens their files from several ``tasks``.
+    """
+    results.repartition(tasks, "run_date").write.mode("append").partitionBy("run_date").parquet(path)
 
 
 def dq_summary(log: DataFrame, as_of) -> DataFrame:

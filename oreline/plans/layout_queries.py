@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from oreline.operators.gold import filtered_revenue
 from oreline.plans.stored import stored
-from oreline.plans.views import EVENTS, GEO, ORDERS
+from oreline.plans.views import EVENTS, GEO, ORDERS, WEB_ORDERS
 from oreline.scratch import fresh_path
 from oreline.sources import model
 from oreline.sources.jobs import expensive_jobs as job_report
@@ -34,12 +34,19 @@ from oreline.sources.schemas import (
 BY_DAY = ByDate("order_date")
 BY_MONTH = ByDate("order_date", unit="month")
 ALL_TIME = ("1990-01-01", "2029-12-31")
+DAYS_ASKED = ("2024-01-05", "2024-01-25")
+KEEP_DAYS, EXPIRED_AS_OF = 14, "2024-01-31"
+REGION = "ASIA"
 SORT = ("region", "order_status", "product_category")
 
 
 def _write_orders(spark: SparkSession, root: str, path: str) -> None:
-    orders = model.orders(spark, root).withColumn("created_at", F.col("order_date").cast("timestamp"))
-    write_partitioned(orders, path, BY_DAY, schema=ORDERS_PARTITIONED)
+    write_partitioned(model.web_orders(spark, root), path, BY_DAY, schema=ORDERS_PARTITIONED)
+
+
+def _with_ntz(df: DataFrame, column: str) -> DataFrame:
+    """A time without a zone, as the oracle has it."""
+    return df.withColumn(column, F.col(column).cast("timestamp_ntz"))
 
 
 def _orders_by_day(spark: SparkSession, root: str) -> str:
@@ -56,13 +63,13 @@ def _clustered_orders(spark: SparkSession, root: str) -> str:
 def partition_by_date(spark: SparkSession, root: str) -> DataFrame:
     path = fresh_path(spark, "by-date")
     _write_orders(spark, root, path)
-    return read_partitioned(spark, path, BY_DAY, between=ALL_TIME).drop("created_at")
+    return _with_ntz(read_partitioned(spark, path, BY_DAY, between=ALL_TIME), "created_at")
 
 
 def partition_by_event_ts(spark: SparkSession, root: str) -> DataFrame:
     layout, path = ByTimestampDate("event_timestamp"), fresh_path(spark, "by-event-ts")
     write_partitioned(model.events(spark, root), path, layout, schema=EVENTS_PARTITIONED)
-    return read_partitioned(spark, path, layout, between=ALL_TIME)
+    return _with_ntz(read_partitioned(spark, path, layout, between=ALL_TIME), "event_timestamp")
 
 
 def partition_by_ingestion(spark: SparkSession, root: str) -> DataFrame:
@@ -71,7 +78,8 @@ def partition_by_ingestion(spark: SparkSession, root: str) -> DataFrame:
     early = F.col("_ingestion_ts") < F.lit("2024-01-16").cast("timestamp")
     write_partitioned(raw.filter(early), path, ByLoadDate("2024-01-16"), schema=RAW_EVENTS)
     write_partitioned(raw.filter(~early), path, ByLoadDate("2024-01-31"), schema=RAW_EVENTS, mode="append")
-    return read_partitioned(spark, path, ByLoadDate(), between=("2024-01-16", "2024-01-31"))
+    loads = read_partitioned(spark, path, ByLoadDate(), between=("2024-01-16", "2024-01-31"))
+    return _with_ntz(loads, "_ingestion_ts")
 
 
 def partition_by_int_range(spark: SparkSession, root: str) -> DataFrame:
@@ -85,24 +93,19 @@ def partition_by_int_range(spark: SparkSession, root: str) -> DataFrame:
 def clustered_scan(spark: SparkSession, root: str) -> DataFrame:
     path = _clustered_orders(spark, root)
     orders = read_partitioned(spark, path, BY_MONTH, between=("1996-01-15", "2000-12-31"))
-    return filtered_revenue(orders, model_region(), "COMPLETED")
-
-
-def model_region() -> str:
-    """A region all test data has."""
-    return "ASIA"
+    return filtered_revenue(orders, REGION, "COMPLETED")
 
 
 def guarded_partition_scan(spark: SparkSession, root: str) -> DataFrame:
-    orders = read_partitioned(spark, _orders_by_day(spark, root), BY_DAY, between=("1997-01-01", "1999-12-31"))
+    orders = read_partitioned(spark, _orders_by_day(spark, root), BY_DAY, between=DAYS_ASKED)
     return orders.groupBy("order_date").agg(F.count("*").alias("orders"), F.sum("order_amount").alias("revenue"))
 
 
 def expire_partitions(spark: SparkSession, root: str) -> DataFrame:
     path = fresh_path(spark, "expiring")
     _write_orders(spark, root, path)
-    drop_expired(spark, path, "order_date", 365, "2001-08-01")
-    return spark.read.parquet(path).drop("created_at")
+    drop_expired(spark, path, "order_date", KEEP_DAYS, EXPIRED_AS_OF)
+    return _with_ntz(spark.read.parquet(path), "created_at")
 
 
 def partition_stats(spark: SparkSession, root: str) -> DataFrame:
@@ -112,12 +115,12 @@ def partition_stats(spark: SparkSession, root: str) -> DataFrame:
 
 def scan_cost_estimate(spark: SparkSession, root: str) -> DataFrame:
     sizes = partition_sizes(spark.read.parquet(_orders_by_day(spark, root)), "order_date")
-    return estimate_scan(sizes, F.col("order_date").between("1997-01-01", "1999-12-31"))
+    return estimate_scan(sizes, F.col("order_date").between(*DAYS_ASKED))
 
 
 def expensive_jobs(spark: SparkSession, root: str) -> DataFrame:
     report = job_report(model.jobs(spark, root), as_of="2024-01-31 00:00:00")
-    return report.withColumn("creation_time", F.col("creation_time").cast("timestamp_ntz"))
+    return _with_ntz(report, "creation_time")
 
 
 QUERIES = {
@@ -133,10 +136,8 @@ QUERIES = {
     "expensive_jobs": expensive_jobs,
 }
 
-_ORDER_COLUMNS = "order_id, customer_id, product_id, order_amount, order_status, order_date, region"
-
 ORACLE = {
-    "partition_by_date": f"with {ORDERS} select {_ORDER_COLUMNS} from orders_all",
+    "partition_by_date": f"with {WEB_ORDERS} select * from web_orders",
     "partition_by_event_ts": f"with {EVENTS} select *, cast(event_timestamp as date) as event_date from events_all",
     "partition_by_ingestion": """
         select props as raw_payload, event_type as source_system, cast(ts as timestamp) as _ingestion_ts,
@@ -153,16 +154,16 @@ ORACLE = {
         with {ORDERS}
         select cast(sum(order_amount) as decimal(28,2)) as revenue, count(*) as orders from orders_all
         where order_date between date '1996-01-15' and date '2000-12-31'
-          and region = '{model_region()}' and order_status = 'COMPLETED'""",
+          and region = '{REGION}' and order_status = 'COMPLETED'""",
     "guarded_partition_scan": f"""
-        with {ORDERS}
-        select order_date, count(*) as orders, cast(sum(order_amount) as decimal(28,2)) as revenue from orders_all
-        where order_date between date '1997-01-01' and date '1999-12-31' group by order_date""",
+        with {WEB_ORDERS}
+        select order_date, count(*) as orders, cast(sum(order_amount) as decimal(28,2)) as revenue from web_orders
+        where order_date between date '{DAYS_ASKED[0]}' and date '{DAYS_ASKED[1]}' group by order_date""",
     "expire_partitions": f"""
-        with {ORDERS} select {_ORDER_COLUMNS} from orders_all where order_date >= date '2001-08-01' - 365""",
+        with {WEB_ORDERS} select * from web_orders where order_date >= date '{EXPIRED_AS_OF}' - {KEEP_DAYS}""",
     "partition_stats": f"""
-        with {ORDERS}
-        select cast(order_date as varchar) as partition_id, count(*) as total_rows from orders_all
+        with {WEB_ORDERS}
+        select cast(order_date as varchar) as partition_id, count(*) as total_rows from web_orders
         group by order_date order by order_date desc limit 30""",
     "expensive_jobs": """
         select cast(event_id as varchar) as job_id, user_id || '@example.com' as user_email,

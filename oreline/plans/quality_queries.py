@@ -29,7 +29,7 @@ def _one(position: int) -> Callable[[SparkSession, str], DataFrame]:
 def dq_log(spark: SparkSession, root: str) -> DataFrame:
     """Append the history of all checks to the log table and read it."""
     path = fresh_path(spark, "dq-log")
-    q.append_log(_log(spark, root), path)
+    q.append_log(_log(spark, root), path, tasks=spark.sparkContext.defaultParallelism)
     return spark.read.parquet(path).drop("check_id", "checked_at")
 
 

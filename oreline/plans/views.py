@@ -35,6 +35,16 @@ EVENTS = """events_all as (
   from events
 )"""
 
+WEB_ORDERS = f"""{GEO},
+web_orders as (
+  select cast(event_id as varchar) as order_id, cast(user_id as varchar) as customer_id,
+         regexp_extract(props, ': ([0-9]+)', 1) as product_id, cast(value as decimal(18,2)) as order_amount,
+         case event_type when 'purchase' then 'COMPLETED' when 'error' then 'CANCELLED' else 'PENDING' end
+           as order_status,
+         cast(ts as date) as order_date, r_name as region, cast(ts as timestamp) as created_at
+  from events left join customer on user_id = c_custkey left join geo on c_nationkey = n_nationkey
+)"""
+
 LOADED_UNTIL = "1998-01-01 00:00:00"
 RUN_TS = "2001-12-31 00:00:00"
 

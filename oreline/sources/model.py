@@ -101,6 +101,30 @@ def events(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def web_orders(spark: SparkSession, root: str) -> DataFrame:
+    """Orders from the event stream, placed in the region of their customer; every event is one."""
+    customers = raw(spark, root, "customer").select("c_custkey", "c_nationkey")
+    placed = raw(spark, root, "events").join(customers, F.col("user_id") == F.col("c_custkey"), "left")
+    located = placed.join(
+        F.broadcast(_geography(spark, root)), F.col("c_nationkey") == F.col("n_nationkey"), "left"
+    )
+    status = (
+        F.when(F.col("event_type") == "purchase", "COMPLETED")
+        .when(F.col("event_type") == "error", "CANCELLED")
+        .otherwise("PENDING")
+    )
+    return located.select(
+        F.col("event_id").cast("string").alias("order_id"),
+        F.col("user_id").cast("string").alias("customer_id"),
+        F.get_json_object("props", "$.k").alias("product_id"),
+        F.col("value").cast(MONEY).alias("order_amount"),
+        status.alias("order_status"),
+        F.col("ts").cast("date").alias("order_date"),
+        F.col("r_name").alias("region"),
+        F.col("ts").cast("timestamp").alias("created_at"),
+    )
+
+
 def raw_events(spark: SparkSession, root: str) -> DataFrame:
     return raw(spark, root, "events").select(
         F.col("props").alias("raw_payload"),

@@ -31,5 +31,5 @@ def test_every_sql_has_a_query():
 
 def test_scan_cost_estimate(spark):
     row = QUERIES["scan_cost_estimate"](spark, ROOT).first()
-    assert row.partitions > 365 and row.bytes_scanned > 0
+    assert row.partitions == 21 and row.bytes_scanned > 0
     assert row.estimated_cost == pytest.approx(row.bytes_scanned / 1e12 * 5, abs=1e-6)
