@@ -34,8 +34,3 @@ def size_gb(size: Column) -> Column:
 
 def text(value: Column) -> Column:
     return value.cast("string")
-
-
-def checked(df, condition: Column, message: str):
-    """``df`` unchanged, but the job fails on the first row where ``condition`` is not true."""
-    return df.filter(F.assert_true(F.coalesce(condition, F.lit(False)), F.lit(message)).isNull())

@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreline.functions.scalars import checked
 from oreline.scratch import written
 from oreline.sources.publish import in_partitions, partition_values, publish_partitions
 
@@ -17,6 +16,17 @@ def _all(conditions: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
+def _latest(batch: DataFrame, keys: Sequence[str], has_key: Column, latest_by: str) -> DataFrame:
+    """The row of each key with the greatest ``latest_by``; equal times are decided by the other columns.
+
+    Rows of a key are reduced in the map tasks, so a key with many copies is not gathered in
+    one place. Rows without a key are left as they are.
+    """
+    rest = sorted((c for c in batch.columns if c not in keys), key=lambda c: c != latest_by)
+    single = batch.filter(has_key).groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_row"))
+    return single.select(*keys, "_row.*").select(*batch.columns).unionByName(batch.filter(~has_key))
+
+
 def unique_batch(
     batch: DataFrame,
     keys: Sequence[str],
@@ -24,31 +34,32 @@ def unique_batch(
     on_null_key: str = "error",
     latest_by: str = "updated_at",
 ) -> DataFrame:
-    """One row per key: fail on a repeated key, or keep its latest row.
+    """The batch as a written table with one row per key.
 
-    Rows of a key are reduced in the map tasks, so a key with many copies is not gathered
-    in one place. Equal times are decided by the other columns in order.
-
-    A NULL key equals no key, so such rows would be inserted again by every replay; they fail
-    unless ``on_null_key`` is ``"insert"``, which keeps each of them.
+    A repeated key is an error, or its latest row is kept. A NULL key equals no key, so such a
+    row would be inserted again by every replay; it is an error unless ``on_null_key`` is
+    ``"insert"``. The batch is computed once, and its files tell Spark how large it is.
     """
     if on_duplicate not in ("error", "latest") or on_null_key not in ("error", "insert"):
         raise ValueError("on_duplicate: error or latest; on_null_key: error or insert")
-    columns = batch.columns
     has_key = _all(F.col(k).isNotNull() for k in keys)
-    rest = [c for c in columns if c not in keys]
     if on_duplicate == "latest":
-        rest.sort(key=lambda c: c != latest_by)
-    keyed = batch if on_null_key == "error" else batch.filter(has_key)
-    if on_null_key == "error":
-        keyed = checked(keyed, has_key, "the batch has a row without a key")
-    single = keyed.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_row"), F.count("*").alias("_copies"))
-    if on_duplicate == "error":
-        single = checked(single, F.col("_copies") == 1, "the batch has two rows with one key")
-    single = single.select(*keys, "_row.*").select(*columns)
-    if on_null_key == "insert":
-        single = single.unionByName(batch.filter(~has_key))
-    return single
+        batch = _latest(batch, keys, has_key, latest_by)
+    table = written(batch, "batch")
+    found = (
+        table.groupBy(*keys)
+        .count()
+        .agg(
+            F.max(F.when(has_key, F.col("count"))).alias("copies"),
+            F.sum(F.when(~has_key, F.col("count"))).alias("keyless"),
+        )
+        .first()
+    )
+    if on_null_key == "error" and found.keyless:
+        raise ValueError(f"the batch has {found.keyless} rows without a key")
+    if (found.copies or 0) > 1:
+        raise ValueError(f"the batch has {found.copies} rows with one key")
+    return table
 
 
 def merge_upsert(
@@ -60,20 +71,26 @@ def merge_upsert(
     only_if_newer: str | None = None,
     stamps: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """The table after the upsert, as a plan.
+    """The table after the upsert, as a plan over ``target`` and the written batch.
 
     A matched row takes the batch's columns and the ``stamps``; columns only the target has
     stay as they are, and are NULL in an inserted row. With ``only_if_newer`` a matched row
     changes only if the batch row is later by that column.
+    """
+    unique = unique_batch(batch, keys, on_duplicate, on_null_key, only_if_newer or "updated_at")
+    return _merged(target, unique, keys, only_if_newer, stamps or {})
+
+
+def _merged(
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], only_if_newer: str | None, stamps: dict[str, Column]
+) -> DataFrame:
+    """Upsert of a batch with unique keys.
 
     The target is read by one outer join for its new state and by one key-only semi join to
-    find which batch keys it has. Neither shuffles the target while Spark finds the batch
-    small enough to broadcast. Otherwise the target is the left side of both joins, which is
-    the side Spark may split when one of its keys is hot; batch keys are unique.
+    find which batch keys it has. Neither shuffles the target while the batch is small enough
+    for Spark to broadcast. Otherwise the target is the left side of both joins, which is the
+    side Spark may split when one of its keys is hot.
     """
-    stamps = stamps or {}
-    latest = only_if_newer or "updated_at"
-    batch = unique_batch(batch, keys, on_duplicate, on_null_key, latest)
     unknown = [c for c in (*batch.columns, *stamps) if c not in target.columns]
     if unknown:
         raise ValueError(f"columns not in the target: {unknown}")
@@ -86,13 +103,12 @@ def merge_upsert(
         take = take & (newer | F.col(only_if_newer).isNull())
 
     def after(column: str) -> Column:
-        if column in keys:
-            return F.col(column)
+        old = F.col(column)
         if column in values:
-            return F.when(take, F.col(f"_new.{column}")).otherwise(F.col(column)).alias(column)
+            return F.when(take, F.col(f"_new.{column}")).otherwise(old).alias(column)
         if column in stamps:
-            return F.when(take, stamps[column]).otherwise(F.col(column)).alias(column)
-        return F.col(column)
+            return F.when(take, stamps[column]).otherwise(old).alias(column)
+        return old
 
     updated = target.join(incoming, list(keys), "left").select(*[after(c) for c in target.columns])
 
@@ -113,20 +129,23 @@ def upsert_partitions(
     partition_column: str,
     batch: DataFrame,
     keys: Sequence[str],
-    **options,
+    on_duplicate: str = "error",
+    on_null_key: str = "error",
+    only_if_newer: str | None = None,
+    stamps: dict[str, Column] | None = None,
 ) -> list:
     """Upsert into a partitioned Parquet table, rewriting only the partitions it touches.
 
     Touched are the partitions the batch writes to and those that hold the old version of one
     of its rows, found by a scan of the key and partition columns alone. Returns them.
     """
-    batch = written(batch, "batch")
+    unique = unique_batch(batch, keys, on_duplicate, on_null_key, only_if_newer or "updated_at")
     target = spark.read.parquet(path)
-    keyed = target.select(*keys, partition_column).join(batch.select(*keys), list(keys), "left_semi")
-    touched = set(partition_values(keyed, partition_column)) | set(partition_values(batch, partition_column))
+    held = target.select(*keys, partition_column).join(unique.select(*keys), list(keys), "left_semi")
+    touched = set(partition_values(held, partition_column)) | set(partition_values(unique, partition_column))
     if not touched:
         return []
-    merged = merge_upsert(in_partitions(target, partition_column, touched), batch, keys, **options)
+    merged = _merged(in_partitions(target, partition_column, touched), unique, keys, only_if_newer, stamps or {})
     publish_partitions(written(merged, "merged"), path, partition_column, touched)
     return sorted(touched, key=str)
 

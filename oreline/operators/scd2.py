@@ -50,7 +50,9 @@ def scd2_apply(
     mode: str = "reference",
     now=None,
 ) -> DataFrame:
-    """The dimension after one run, as a plan: ``source`` has one row per changed or new key.
+    """The dimension after one run, as a plan over ``dim`` and the written ``source``.
+
+    ``source`` has one row per changed or new key.
 
     A changed key's current version is closed on the day before ``run_date`` and a new one is
     opened; a key without a current version gets its first; every other row stays. Applying

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from oreline.operators import scd2
 from oreline.plans.views import DIM, DIM_BROKEN, DIM_NULL_SAFE, ORDERS_ALL
+from oreline.scratch import written
 from oreline.sources import model
 
 KEY = "customer_id"
@@ -19,12 +20,21 @@ def _changes(silver: DataFrame, run_date: str) -> DataFrame:
 
 def _apply(spark: SparkSession, root: str, dim: DataFrame, run_date: str, mode: str = "reference") -> DataFrame:
     changes = _changes(model.customers_silver(spark, root, run_date), run_date)
-    return scd2.scd2_apply(dim, changes, KEY, TRACKED, run_date, mode)
+    return _stored(scd2.scd2_apply(dim, changes, KEY, TRACKED, run_date, mode))
+
+
+def _stored(dim: DataFrame) -> DataFrame:
+    """A run leaves a table behind, which the next run and the lookups read."""
+    return written(dim, "dim-customer")
+
+
+def _initial(spark: SparkSession, root: str) -> DataFrame:
+    return _stored(model.dim_customer_initial(spark, root))
 
 
 def _history(spark: SparkSession, root: str) -> DataFrame:
     """The dimension after its first load and two runs."""
-    first = _apply(spark, root, model.dim_customer_initial(spark, root), model.FIRST_RUN)
+    first = _apply(spark, root, _initial(spark, root), model.FIRST_RUN)
     return _apply(spark, root, first, model.SECOND_RUN)
 
 
@@ -37,8 +47,7 @@ def scd2_merge(spark: SparkSession, root: str) -> DataFrame:
 
 
 def scd2_merge_null_safe(spark: SparkSession, root: str) -> DataFrame:
-    dim = model.dim_customer_initial(spark, root)
-    return _business(_apply(spark, root, dim, model.FIRST_RUN, mode="null_safe"))
+    return _business(_apply(spark, root, _initial(spark, root), model.FIRST_RUN, mode="null_safe"))
 
 
 def scd2_current(spark: SparkSession, root: str) -> DataFrame:
@@ -69,9 +78,9 @@ def scd2_asof_join(spark: SparkSession, root: str) -> DataFrame:
 
 def scd2_integrity(spark: SparkSession, root: str) -> DataFrame:
     """A dimension that took two changes on one date."""
-    first = _apply(spark, root, model.dim_customer_initial(spark, root), model.FIRST_RUN)
+    first = _apply(spark, root, _initial(spark, root), model.FIRST_RUN)
     again = model.customers_silver(spark, root, model.SECOND_RUN)
-    return scd2.scd2_integrity(scd2.scd2_apply(first, again, KEY, TRACKED, model.FIRST_RUN), KEY)
+    return scd2.scd2_integrity(_stored(scd2.scd2_apply(first, again, KEY, TRACKED, model.FIRST_RUN)), KEY)
 
 
 QUERIES = {

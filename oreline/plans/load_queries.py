@@ -10,7 +10,7 @@ from oreline.operators.merge import mark_deleted, merge_upsert as upsert
 from oreline.plans.views import EVENTS, LOADED_UNTIL, MERGED, ORDERS, RUN_TS
 from oreline.scratch import fresh_path, written
 from oreline.sources import model
-from oreline.sources.schemas import PIPELINE_WATERMARKS, conform
+from oreline.sources.schemas import PIPELINE_WATERMARKS, RAW, conform
 from oreline.streaming.events import read_event_files, stream_to_dates
 
 KEY = ["order_id"]
@@ -22,8 +22,8 @@ def _ntz(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _batch(spark: SparkSession, root: str) -> DataFrame:
-    source = model.orders_source(spark, root)
-    return written(inc.extract_batch(source, LOADED_UNTIL, RUN_TS), "batch")
+    """The extract, written once for the steps that read it."""
+    return written(inc.extract_batch(model.orders_source(spark, root), LOADED_UNTIL, RUN_TS), "extract")
 
 
 def _merged(spark: SparkSession, root: str, batch: DataFrame) -> DataFrame:
@@ -71,7 +71,8 @@ def incremental_extract(spark: SparkSession, root: str) -> DataFrame:
 
 
 def merge_upsert(spark: SparkSession, root: str) -> DataFrame:
-    merged = _merged(spark, root, _batch(spark, root))
+    batch = inc.extract_batch(model.orders_source(spark, root), LOADED_UNTIL, RUN_TS)
+    merged = _merged(spark, root, batch)
     return _ntz(merged.drop("_silver_updated_at"), "updated_at")
 
 
@@ -81,7 +82,7 @@ def merge_latest_wins(spark: SparkSession, root: str) -> DataFrame:
     placed = source.withColumns(
         {"order_status": F.lit("PENDING"), "updated_at": F.col("order_date").cast("timestamp")}
     )
-    feed = written(inc.extract_batch(source.unionByName(placed), LOADED_UNTIL, "2001-01-01 00:00:00"), "feed")
+    feed = inc.extract_batch(source.unionByName(placed), LOADED_UNTIL, "2001-01-01 00:00:00")
     before = model.orders_before(spark, root, LOADED_UNTIL).drop("_silver_updated_at", "_ingestion_date")
     return _ntz(upsert(before, feed, KEY, on_duplicate="latest"), "updated_at")
 
@@ -102,8 +103,7 @@ def reconciliation(spark: SparkSession, root: str) -> DataFrame:
 def stream_bronze_events(spark: SparkSession, root: str) -> DataFrame:
     """Stream the event file into date partitions and read the result."""
     path, checkpoint = fresh_path(spark, "bronze"), fresh_path(spark, "bronze-checkpoint")
-    schema = model.raw(spark, root, "events").schema
-    arriving = read_event_files(spark, root, schema, pattern="events.parquet").select(
+    arriving = read_event_files(spark, root, RAW["events"], pattern="events.parquet").select(
         F.col("event_id").cast("string").alias("event_id"),
         "event_type",
         F.col("user_id").cast("string").alias("user_id"),

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from oreline.functions.scalars import OPEN_END, day
 from oreline.session import configure
-from oreline.sources.schemas import MONEY
+from oreline.sources.schemas import MONEY, RAW
 
 
 def raw(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{root}/{table}.parquet")
+    return configure(spark).read.schema(RAW[table]).parquet(f"{root}/{table}.parquet")
 
 
 def _geography(spark: SparkSession, root: str) -> DataFrame:

@@ -9,10 +9,13 @@ from pyspark.sql.types import (
     DataType,
     DateType,
     DecimalType,
+    DoubleType,
+    IntegerType,
     LongType,
     StringType,
     StructField,
     StructType,
+    TimestampNTZType,
     TimestampType,
 )
 
@@ -20,12 +23,41 @@ MONEY = "decimal(18,2)"
 
 _TEXT, _LONG, _MONEY = StringType(), LongType(), DecimalType(18, 2)
 _DATE, _TIME, _BOOL = DateType(), TimestampType(), BooleanType()
+_INT, _DOUBLE, _NTZ = IntegerType(), DoubleType(), TimestampNTZType()
 
 
 def _schema(columns: dict[str, DataType], required: tuple[str, ...] = ()) -> StructType:
     return StructType([StructField(name, kind, name not in required) for name, kind in columns.items()])
 
 
+# Raw tables, as their files declare them.
+RAW = {
+    "region": _schema({"r_regionkey": _INT, "r_name": _TEXT}),
+    "nation": _schema({"n_nationkey": _INT, "n_name": _TEXT, "n_regionkey": _INT}),
+    "customer": _schema(
+        {"c_custkey": _LONG, "c_name": _TEXT, "c_nationkey": _INT, "c_acctbal": _DOUBLE, "c_mktsegment": _TEXT}
+    ),
+    "orders": _schema(
+        {
+            "o_orderkey": _LONG, "o_custkey": _LONG, "o_orderstatus": _TEXT, "o_totalprice": _DOUBLE,
+            "o_orderdate": _NTZ, "o_orderpriority": _TEXT,
+        }
+    ),
+    "lineitem": _schema(
+        {
+            "l_orderkey": _LONG, "l_partkey": _LONG, "l_suppkey": _LONG, "l_linenumber": _INT,
+            "l_quantity": _DOUBLE, "l_extendedprice": _DOUBLE, "l_discount": _DOUBLE, "l_tax": _DOUBLE,
+            "l_returnflag": _TEXT, "l_linestatus": _TEXT, "l_shipdate": _NTZ,
+        }
+    ),
+    "events": _schema(
+        {
+            "event_id": _LONG, "ts": _NTZ, "user_id": _LONG, "event_type": _TEXT, "value": _DOUBLE,
+            "props": _TEXT,
+        }
+    ),
+}
+
 ORDERS_PARTITIONED = _schema(
     {
         "order_id": _TEXT, "customer_id": _TEXT, "product_id": _TEXT, "order_amount": _MONEY,

@@ -45,3 +45,20 @@ def duck_rows(con, sql: str):
     con.execute(sql)
     names = [d[0] for d in con.description]
     return sorted(names), _rows(names, con.fetchall())
+
+
+_TYPE_NAMES = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def spark_types(df) -> dict[str, str]:
+    return {name: _TYPE_NAMES.get(kind, kind.upper()) for name, kind in df.dtypes}
+
+
+def duck_types(con) -> dict[str, str]:
+    """Column types of the statement last executed."""
+    return {d[0]: str(d[1]).replace(" ", "") for d in con.description}

@@ -3,7 +3,7 @@
 import pytest
 
 from oreline.plans.registry import ORACLE, QUERIES
-from tests.compare import connect, duck_rows, spark_rows
+from tests.compare import connect, duck_rows, duck_types, spark_rows, spark_types
 
 ROOT = "/root/testdata/sf0.01"
 
@@ -15,9 +15,11 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_sql(spark, duck, name):
-    names, rows = spark_rows(QUERIES[name](spark, ROOT))
+    result = QUERIES[name](spark, ROOT)
+    names, rows = spark_rows(result)
     expected_names, expected = duck_rows(duck, ORACLE[name])
     assert names == expected_names
+    assert spark_types(result) == duck_types(duck)
     assert len(rows) == len(expected)
     differing = [(a, b) for a, b in zip(rows, expected) if a != b]
     assert not differing, differing[:3]
