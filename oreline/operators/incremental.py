@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreline.functions.scalars import day, instant
-from oreline.operators.merge import upsert_partitions
+from oreline.operators.merge import keys_held, upsert_partitions
 from oreline.scratch import written
 from oreline.sources.schemas import PIPELINE_WATERMARKS, conform
 
@@ -66,11 +66,12 @@ def reconcile(
 ) -> DataFrame:
     """Rows in the source window, in the batch, and batch keys found in the target.
 
-    Three counts are stacked and folded into one row.
+    ``batch`` should be a written table; its size decides how the target is searched. The
+    three counts are stacked and folded into one row.
     """
     in_source = extract_batch(source, lo, hi, ts_col).agg(F.count("*").alias("n"))
     in_batch = batch.agg(F.count("*").alias("n"))
-    found = target.select(*keys).join(batch.select(*keys), keys, "left_semi").distinct()
+    found = keys_held(target, batch, batch.count(), keys)
     in_target = found.agg(F.count("*").alias("n"))
     stacked = (
         in_source.withColumn("side", F.lit("source"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,18 @@ from oreline.scratch import written
 from oreline.sources.publish import in_partitions, partition_values, publish_partitions
 
 
+# Key columns of a batch this long are sent to every task; larger batches are shuffled.
+SMALL_BATCH_ROWS = 1_000_000
+
+
+@dataclass(frozen=True)
+class Batch:
+    """A written batch with unique keys and its number of rows."""
+
+    table: DataFrame
+    rows: int
+
+
 def _all(conditions: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
@@ -33,7 +46,7 @@ def unique_batch(
     on_duplicate: str = "error",
     on_null_key: str = "error",
     latest_by: str = "updated_at",
-) -> DataFrame:
+) -> Batch:
     """The batch as a written table with one row per key.
 
     A repeated key is an error, or its latest row is kept. A NULL key equals no key, so such a
@@ -52,6 +65,7 @@ def unique_batch(
         .agg(
             F.max(F.when(has_key, F.col("count"))).alias("copies"),
             F.sum(F.when(~has_key, F.col("count"))).alias("keyless"),
+            F.sum("count").alias("rows"),
         )
         .first()
     )
@@ -59,7 +73,19 @@ def unique_batch(
         raise ValueError(f"the batch has {found.keyless} rows without a key")
     if (found.copies or 0) > 1:
         raise ValueError(f"the batch has {found.copies} rows with one key")
-    return table
+    return Batch(table, found.rows or 0)
+
+
+def keys_held(table: DataFrame, batch: DataFrame, batch_rows: int, keys: Sequence[str]) -> DataFrame:
+    """The keys of ``table`` that ``batch`` has as well, each once.
+
+    With a batch of checked size the table is filtered where it is read. Beyond that its keys
+    are made unique first, in the map tasks, so that a key many rows share is not gathered.
+    """
+    held, wanted = table.select(*keys), batch.select(*keys)
+    if batch_rows <= SMALL_BATCH_ROWS:
+        return held.join(F.broadcast(wanted), list(keys), "left_semi").distinct()
+    return held.distinct().join(wanted, list(keys), "left_semi")
 
 
 def merge_upsert(
@@ -82,15 +108,16 @@ def merge_upsert(
 
 
 def _merged(
-    target: DataFrame, batch: DataFrame, keys: Sequence[str], only_if_newer: str | None, stamps: dict[str, Column]
+    target: DataFrame, unique: Batch, keys: Sequence[str], only_if_newer: str | None, stamps: dict[str, Column]
 ) -> DataFrame:
     """Upsert of a batch with unique keys.
 
-    The target is read by one outer join for its new state and by one key-only semi join to
-    find which batch keys it has. Neither shuffles the target while the batch is small enough
-    for Spark to broadcast. Otherwise the target is the left side of both joins, which is the
-    side Spark may split when one of its keys is hot.
+    The target is read by one outer join for its new state and once more, keys only, to find
+    which batch keys it has. Neither shuffles the target while the batch is small. Otherwise
+    the target is the left side of the outer join, the side Spark may split when one of its
+    keys is hot.
     """
+    batch = unique.table
     unknown = [c for c in (*batch.columns, *stamps) if c not in target.columns]
     if unknown:
         raise ValueError(f"columns not in the target: {unknown}")
@@ -112,7 +139,7 @@ def _merged(
 
     updated = target.join(incoming, list(keys), "left").select(*[after(c) for c in target.columns])
 
-    found = target.select(*keys).join(batch.select(*keys), list(keys), "left_semi").distinct()
+    found = keys_held(target, batch, unique.rows, keys)
     fresh = batch.join(found, list(keys), "left_anti").withColumns(stamps)
     inserted = fresh.select(
         *[
@@ -141,8 +168,8 @@ def upsert_partitions(
     """
     unique = unique_batch(batch, keys, on_duplicate, on_null_key, only_if_newer or "updated_at")
     target = spark.read.parquet(path)
-    held = target.select(*keys, partition_column).join(unique.select(*keys), list(keys), "left_semi")
-    touched = set(partition_values(held, partition_column)) | set(partition_values(unique, partition_column))
+    held = target.select(*keys, partition_column).join(unique.table.select(*keys), list(keys), "left_semi")
+    touched = set(partition_values(held, partition_column)) | set(partition_values(unique.table, partition_column))
     if not touched:
         return []
     merged = _merged(in_partitions(target, partition_column, touched), unique, keys, only_if_newer, stamps or {})

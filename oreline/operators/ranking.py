@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from oreline.operators.positions import Positioned, in_order
+from oreline.scratch import written
 
 
 def _best_values(df: DataFrame, group: str, value: str, n: int) -> DataFrame:
@@ -36,7 +37,8 @@ def top_n_per_group(
 
     Ties at the last rank are all kept, however many they are. ROW_NUMBER follows ``tie_break``.
     """
-    best = _best_values(df, group, value, n)
+    # At most n rows per group; written, so that Spark knows how few they are.
+    best = written(_best_values(df, group, value, n), "best-values")
     kept = df.join(
         best, F.col(group).eqNullSafe(F.col("_group")) & F.col(value).eqNullSafe(F.col("_value"))
     ).drop("_group", "_value")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from oreline.functions.scalars import OPEN_END, day, instant, text
-from oreline.operators.merge import unique_batch
+from oreline.operators.merge import keys_held, unique_batch
 from oreline.scratch import written
 
 
@@ -64,7 +64,8 @@ def scd2_apply(
     if mode not in ("reference", "null_safe"):
         raise ValueError("mode: reference or null_safe")
     run, stamp, columns = day(run_date), instant(now), dim.columns
-    incoming = unique_batch(source.select(key, *tracked), [key])
+    unique = unique_batch(source.select(key, *tracked), [key])
+    incoming = unique.table
     current = dim.filter("is_current")
 
     def version(parts: dict[str, Column]) -> Column:
@@ -79,7 +80,7 @@ def scd2_apply(
     news = incoming.select(key, F.struct(*tracked).alias("_new"))
     carried = current.join(news, key, "left").select(F.inline(versions))
 
-    known = current.select(key).join(incoming.select(key), key, "left_semi").distinct()
+    known = keys_held(current, incoming, unique.rows, [key])
     first = incoming.join(known, key, "left_anti")
     arrived = first.select(F.inline(F.array(version(_opened(key, tracked, F.col, run, stamp)))))
     return dim.filter(~F.col("is_current")).unionByName(carried).unionByName(arrived)

@@ -15,35 +15,29 @@ def sessionize(events: DataFrame, user: str, ts: str, gap: str = "30 minutes", s
     NULL timestamps get no session.
     """
     limit = F.expr(f"INTERVAL {gap}")
-    sliced = events.withColumn("_slice", F.date_trunc(slice_unit, F.col(ts)))
-    inside = Window.partitionBy(user, "_slice").orderBy(ts)
-    previous = F.lag(ts).over(inside)
-    pauses = F.sum(F.when(F.col("_pause"), 1).otherwise(0)).over(
-        inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    # Inside a struct a missing user equals a missing user, in windows and in the join alike.
+    sliced = events.withColumns({"_user": F.struct(user), "_slice": F.date_trunc(slice_unit, F.col(ts))})
+    inside = Window.partitionBy("_user", "_slice").orderBy(ts)
+    pause = F.when(F.col(ts) > F.lag(ts).over(inside) + limit, 1).otherwise(0)
+    pauses = F.sum("_pause").over(inside.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    local = sliced.withColumn("_pause", pause).withColumn("_inner", pauses).drop("_pause")
+
+    slices = (
+        local.filter(F.col("_slice").isNotNull())
+        .groupBy("_user", "_slice")
+        .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.max("_inner").alias("_pauses"))
     )
-    local = sliced.withColumn("_pause", F.col(ts) > previous + limit).withColumn("_inner", pauses).drop("_pause")
-
-    slices = local.groupBy(user, "_slice").agg(
-        F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.max("_inner").alias("_pauses")
-    )
-    across = Window.partitionBy(user).orderBy("_slice")
+    across = Window.partitionBy("_user").orderBy("_slice")
     last_before = F.lag("_last").over(across)
-    opened = F.when(last_before.isNull() | (F.col("_first") > last_before + limit), 1).otherwise(0)
-    before = F.coalesce(
-        F.sum(F.col("_opened") + F.col("_pauses")).over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    offsets = (
-        slices.filter(F.col("_slice").isNotNull())
-        .withColumn("_opened", opened)
-        .select(
-            F.col(user).alias("_user"), F.col("_slice").alias("_at"), (before + F.col("_opened")).alias("_offset")
-        )
+    opens = F.when(last_before.isNull() | (F.col("_first") > last_before + limit), 1).otherwise(0)
+    earlier = F.sum(F.col("_opens") + F.col("_pauses")).over(across.rowsBetween(Window.unboundedPreceding, -1))
+    offsets = slices.withColumn("_opens", opens).select(
+        "_user", "_slice", (F.coalesce(earlier, F.lit(0)) + F.col("_opens")).alias("_offset")
     )
-    matched = F.col(user).eqNullSafe(F.col("_user")) & (F.col("_slice") == F.col("_at"))
     return (
-        local.join(offsets, matched, "left")
+        local.join(offsets, ["_user", "_slice"], "left")
         .withColumn("session_no", F.col("_offset") + F.col("_inner"))
-        .drop("_slice", "_inner", "_user", "_at", "_offset")
+        .drop("_user", "_slice", "_inner", "_offset")
     )
 
 

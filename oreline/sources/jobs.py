@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreline.functions.scalars import instant, size_gb
+from oreline.scratch import written
 from oreline.sources.schemas import JOBS, conform
 
 _EVENTS = """
@@ -20,31 +21,52 @@ _SQL = "org.apache.spark.sql.execution.ui.SparkListenerSQLExecution"
 def jobs_from_event_logs(spark: SparkSession, path: str) -> DataFrame:
     """One row per SQL execution of the event logs under ``path``.
 
-    Bytes read stand for bytes processed and task run time for slot time; nothing in a log
+    The logs are parsed once; the few fields needed are kept as a table. Bytes read stand for bytes processed and task run time for slot time; nothing in a log
     corresponds to billed bytes, so those are NULL. Task events are summed per stage before
     they are joined.
     """
     log = spark.read.schema(_EVENTS).option("recursiveFileLookup", "true").json(path)
-    log = log.withColumn("file", F.col("_metadata.file_path"))
+    kinds = (
+        "SparkListenerApplicationStart",
+        "SparkListenerJobStart",
+        "SparkListenerTaskEnd",
+        f"{_SQL}Start",
+        f"{_SQL}End",
+    )
+    needed = log.filter(F.col("Event").isin(*kinds))
+    log = written(
+        needed.select(
+            F.col("_metadata.file_path").alias("file"),
+            "Event",
+            "executionId",
+            "description",
+            F.col("time").alias("started"),
+            F.col("User").alias("owner"),
+            F.col("App ID").alias("app"),
+            F.col("Properties").getField("spark.sql.execution.id").cast("bigint").alias("job_execution"),
+            F.col("Stage IDs").alias("stages"),
+            F.col("Stage ID").alias("stage"),
+            F.col("Task Metrics.Input Metrics.Bytes Read").alias("bytes_read"),
+            F.col("Task Metrics.Executor Run Time").alias("run_ms"),
+        ),
+        "event-log",
+    )
 
     def of(event: str) -> DataFrame:
         return log.filter(F.col("Event") == event)
 
-    user = of("SparkListenerApplicationStart").select("file", F.col("App ID").alias("app"), F.col("User").alias("owner"))
-    started = of(f"{_SQL}Start").select("file", "executionId", "description", F.col("time").alias("started"))
+    user = of("SparkListenerApplicationStart").select("file", "app", "owner")
+    started = of(f"{_SQL}Start").select("file", "executionId", "description", "started")
     ended = of(f"{_SQL}End").select("file", "executionId", F.lit(True).alias("finished"))
     stages = of("SparkListenerJobStart").select(
         "file",
-        F.col("Properties").getField("spark.sql.execution.id").cast("bigint").alias("executionId"),
-        F.explode("Stage IDs").alias("stage"),
+        F.col("job_execution").alias("executionId"),
+        F.explode("stages").alias("stage"),
     ).distinct()
     tasks = (
         of("SparkListenerTaskEnd")
-        .groupBy("file", F.col("Stage ID").alias("stage"))
-        .agg(
-            F.sum(F.col("Task Metrics.Input Metrics.Bytes Read")).alias("bytes_read"),
-            F.sum(F.col("Task Metrics.Executor Run Time")).alias("run_ms"),
-        )
+        .groupBy("file", "stage")
+        .agg(F.sum("bytes_read").alias("bytes_read"), F.sum("run_ms").alias("run_ms"))
     )
     work = (
         stages.join(tasks, ["file", "stage"])
