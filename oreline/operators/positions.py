@@ -54,14 +54,16 @@ class Positioned:
 
 
 def in_order(df: DataFrame, *order: Column | str, partitions: int | None = None) -> Positioned:
-    """Number the rows of ``df`` by ``order``, which must end in columns that break ties.
+    """Number the rows of ``df`` by ``order``; rows that tie keep one arbitrary order.
 
-    The numbering is written before it is read, because a range computed again after the loss
-    of an executor could be cut elsewhere.
+    The rows are written first. Their place in the files is then a last order column that no
+    two rows share, so any number of equal rows can be cut into ranges, and a task that runs
+    again after the loss of an executor sees the same rows in the same order.
     """
+    rows = written(df, "unordered").withColumn("_place", F.monotonically_increasing_id())
     ranges = (partitions,) if partitions else ()
-    ranged = df.repartitionByRange(*ranges, *order).sortWithinPartitions(*order)
-    table = written(ranged.withColumn("_seq", F.monotonically_increasing_id()), "ordered")
+    ranged = rows.repartitionByRange(*ranges, *order, "_place").sortWithinPartitions(*order, "_place")
+    table = written(ranged.drop("_place").withColumn("_seq", F.monotonically_increasing_id()), "ordered")
     sizes = (
         table.groupBy(F.shiftright("_seq", _ROW_BITS).cast("int").alias("number")).count().orderBy("number").collect()
     )

@@ -68,7 +68,7 @@ def tile(position: Column, total: int, k: int) -> Column:
 
 
 def distributed_ntile(df: DataFrame, order: Sequence[Column | str], k: int, name: str = "tile") -> DataFrame:
-    """NTILE(k) over the whole table in the given order, which must be free of ties."""
+    """NTILE(k) over the whole table in the given order."""
     ordered = in_order(df, *order)
     return ordered.numbered().withColumn(name, tile(F.col("position"), ordered.total, k)).drop("position")
 
@@ -94,10 +94,8 @@ def percentiles_of(ordered: Positioned, value: str, quantiles: Sequence[float])
     ]
 
 
-def exact_percentiles(df: DataFrame, value: str, quantiles: Sequence[float], tie_break: str) -> list[float | None]:
-    """Percentiles of a column; ``tie_break`` lets a value shared by many rows be split."""
-    ordered = in_order(df.select(value, tie_break), F.desc_nulls_last(value), tie_break)
-    return percentiles_of(ordered, value, quantiles)
+def exact_percentiles(df: DataFrame, value: str, quantiles: Sequence[float]) -> list[float | None]:
+    return percentiles_of(in_order(df.select(value), F.desc_nulls_last(value)), value, quantiles)
 
 
 def total_spend(orders: DataFrame) -> DataFrame:

@@ -9,23 +9,26 @@ from pyspark.sql import functions as F
 def sessionize(events: DataFrame, user: str, ts: str, gap: str = "30 minutes", slice_unit: str = "HOUR") -> DataFrame:
     """Events with ``session_no``, counting 1, 2, ... per user; a pause of exactly ``gap`` stays inside.
 
-    A user may own a large share of all events, so a user is not one window. Events are
-    numbered inside slices of time first; a summary with one row per user and slice then says
-    how many sessions came before a slice and whether its first event continues the last one.
-    NULL timestamps get no session.
+    A user may own a large share of all events, and many events may share one time, so
+    neither is gathered. Only distinct times are numbered, made unique in the map tasks, and
+    only inside slices of time; a summary with one row per user and slice then says how many
+    sessions came before a slice and whether its first time continues the last one. The
+    events are joined to the numbered times as the side Spark may split.
+
+    Events without a time get no session.
     """
     limit = F.expr(f"INTERVAL {gap}")
-    # Inside a struct a missing user equals a missing user, in windows and in the join alike.
-    sliced = events.withColumns({"_user": F.struct(user), "_slice": F.date_trunc(slice_unit, F.col(ts))})
+    # Inside a struct a missing user equals a missing user, in windows and joins alike.
+    keyed = events.withColumn("_user", F.struct(user))
+    times = keyed.filter(F.col(ts).isNotNull()).select("_user", ts).distinct()
+    sliced = times.withColumn("_slice", F.date_trunc(slice_unit, F.col(ts)))
     inside = Window.partitionBy("_user", "_slice").orderBy(ts)
     pause = F.when(F.col(ts) > F.lag(ts).over(inside) + limit, 1).otherwise(0)
-    pauses = F.sum("_pause").over(inside.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    local = sliced.withColumn("_pause", pause).withColumn("_inner", pauses).drop("_pause")
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = sliced.withColumn("_pause", pause).withColumn("_inner", F.sum("_pause").over(so_far)).drop("_pause")
 
-    slices = (
-        local.filter(F.col("_slice").isNotNull())
-        .groupBy("_user", "_slice")
-        .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.max("_inner").alias("_pauses"))
+    slices = local.groupBy("_user", "_slice").agg(
+        F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.max("_inner").alias("_pauses")
     )
     across = Window.partitionBy("_user").orderBy("_slice")
     last_before = F.lag("_last").over(across)
@@ -34,11 +37,10 @@ def sessionize(events: DataFrame, user: str, ts: str, gap: str = "30 minutes", s
     offsets = slices.withColumn("_opens", opens).select(
         "_user", "_slice", (F.coalesce(earlier, F.lit(0)) + F.col("_opens")).alias("_offset")
     )
-    return (
-        local.join(offsets, ["_user", "_slice"], "left")
-        .withColumn("session_no", F.col("_offset") + F.col("_inner"))
-        .drop("_user", "_slice", "_inner", "_offset")
+    numbered = local.join(offsets, ["_user", "_slice"]).select(
+        "_user", ts, (F.col("_offset") + F.col("_inner")).alias("session_no")
     )
+    return keyed.join(numbered, ["_user", ts], "left").select(*events.columns, "session_no")
 
 
 def session_summary(sessions: DataFrame, user: str, ts: str) -> DataFrame:

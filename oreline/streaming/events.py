@@ -72,9 +72,10 @@ def _each_batch(stream: DataFrame, action: Callable, checkpoint: str) -> Streami
 def stream_sessions(events: DataFrame, user: str, ts: str, gap: str = "30 minutes", lateness: str = "1 hour") -> DataFrame:
     """Closed sessions of an event stream; events later than ``lateness`` are left out.
 
-    ``ts`` must be a TIMESTAMP with zone. To reduce the events of one busy user before the
-    shuffle, run it with spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition.
+    ``ts`` must be a TIMESTAMP with zone. Sessions are merged in the map tasks first, so the
+    events of one busy user are reduced before the shuffle.
     """
+    events.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     return (
         events.withWatermark(ts, lateness)
         .groupBy(user, F.session_window(ts, gap).alias("session"))

@@ -88,7 +88,18 @@ def test_percentiles_interpolate(spark, size):
 
 def test_percentiles_of_nothing(spark):
     empty = spark.createDataFrame([], "id int, v double")
-    assert exact_percentiles(empty, "v", (0.5,), "id") == [None]
+    assert exact_percentiles(empty, "v", (0.5,)) == [None]
+
+
+def test_equal_rows_are_cut_into_ranges(spark):
+    copies = spark.range(20_000).select(F.lit(1.0).alias("v"))
+    ordered = in_order(copies, "v", partitions=8)
+    sizes = [b[1] - a[1] for a, b in zip(ordered.starts, ordered.starts[1:])]
+    assert len(ordered.starts) > 4 and max(sizes) < 10_000
+    numbered = ordered.numbered()
+    assert numbered.select("position").distinct().count() == 20_000
+    assert numbered.agg(F.max("position")).first()[0] == 19_999
+    assert exact_percentiles(copies, "v", (0.5,)) == [1.0]
 
 
 def test_tiers_follow_deciles(spark):
