@@ -11,10 +11,10 @@ from oreline.functions.scalars import day
 from oreline.scratch import written
 from oreline.sources.files import exists
 from oreline.sources.layout import ByDate, read_partitioned, write_partitioned
-from oreline.sources.publish import in_partitions, publish_partitions
+from oreline.sources.publish import in_partitions, partition_values, publish_partitions
 
-# A day of the aggregate is a handful of rows, so its files hold a month.
-DAILY_REVENUE_LAYOUT = ByDate("order_date", unit="month")
+# A day of the aggregate is a handful of rows, so one partition holds a year.
+DAILY_REVENUE_LAYOUT = ByDate("order_date", unit="year")
 
 
 def filtered_revenue(orders: DataFrame, region: str, status: str) -> DataFrame:
@@ -29,7 +29,7 @@ def daily_revenue_by_region(orders: DataFrame) -> DataFrame:
     return completed.groupBy("order_date", "region", "order_status").agg(
         F.count("order_id").alias("total_orders"),
         F.sum("order_amount").alias("total_revenue"),
-        F.round(F.avg(F.col("order_amount").cast("double")), 4).alias("avg_order_value"),
+        F.avg("order_amount").alias("avg_order_value"),
     )
 
 
@@ -40,8 +40,9 @@ def build_daily_revenue(orders: DataFrame, path: str) -> None:
 def refresh_daily_revenue(spark: SparkSession, path: str, orders: DataFrame, dates: Iterable) -> list:
     """Recompute the given order dates of the stored aggregate and leave the others.
 
-    Reads the orders of those dates only, and rewrites the months they fall in. Equal to a
-    full rebuild if ``dates`` has every date an order was added to, changed on or moved from.
+    Reads the orders of those dates only, and rewrites the partitions of the aggregate they
+    fall in. Equal to a full rebuild if ``dates`` has every date an order was added to, changed
+    on or moved from.
     """
     dates = sorted({str(d) for d in dates})
     if not dates:
@@ -50,16 +51,16 @@ def refresh_daily_revenue(spark: SparkSession, path: str, orders: DataFrame, dat
         raise FileNotFoundError(path)
     column = DAILY_REVENUE_LAYOUT.partition_column
     changed = spark.createDataFrame([(d,) for d in dates], "changed string").select(F.col("changed").cast("date"))
-    months = [r[0] for r in changed.select(F.trunc("changed", "MONTH")).distinct().collect()]
+    touched = partition_values(DAILY_REVENUE_LAYOUT.assign(changed.withColumnRenamed("changed", "order_date")), column)
     this_date = F.col("order_date") == F.col("changed")
 
     # One row per changed calendar date, so the broadcast is bounded by the calendar.
     base = orders.filter(F.col("order_date").between(day(dates[0]), day(dates[-1])))
     fresh = daily_revenue_by_region(base.join(F.broadcast(changed), this_date, "left_semi"))
-    stored = in_partitions(spark.read.parquet(path), column, months)
+    stored = in_partitions(spark.read.parquet(path), column, touched)
     kept = stored.join(F.broadcast(changed), this_date, "left_anti")
     content = kept.unionByName(DAILY_REVENUE_LAYOUT.assign(fresh))
-    return publish_partitions(written(content, "refresh"), path, column, months)
+    return publish_partitions(written(content, "refresh"), path, column, touched)
 
 
 def read_daily_revenue(spark: SparkSession, path: str) -> DataFrame:

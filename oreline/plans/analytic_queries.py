@@ -74,8 +74,8 @@ def customer_percentiles(spark: SparkSession, root: str) -> DataFrame:
     return _segments(spark, root).select(
         "customer_id",
         "total_spend",
-        F.round("median_spend", 2).alias("median_spend"),
-        F.round("p90_spend", 2).alias("p90_spend"),
+        F.round("median_spend", 4).alias("median_spend"),
+        F.round("p90_spend", 4).alias("p90_spend"),
     )
 
 
@@ -129,11 +129,20 @@ QUERIES = {
 }
 
 
+# The average with six decimals, rounded half up in whole numbers: a division of decimals is a
+# division of doubles in DuckDB.
+_HALF_MILLIONTHS = "cast(sum(order_amount) * 100 as hugeint) * 20000"
+_EXACT_AVG = (
+    f"cast(cast(({_HALF_MILLIONTHS} + count(order_amount)) // (2 * count(order_amount)) as decimal(22,0)) "
+    "* cast(0.000001 as decimal(7,6)) as decimal(22,6))"
+)
+
+
 def _mv(table: str) -> str:
     return f"""
         select order_date, region, order_status, count(order_id) as total_orders,
                cast(sum(order_amount) as decimal(28,2)) as total_revenue,
-               round(avg(cast(order_amount as double)), 4) as avg_order_value
+               {_EXACT_AVG} as avg_order_value
         from {table} where order_status = 'COMPLETED' group by order_date, region, order_status"""
 
 
@@ -209,8 +218,8 @@ ORACLE = {
     "customer_percentiles": f"""
         with {SPEND}
         select {_SPEND},
-               round(quantile_cont(cast(total_spend as double), 0.5) over (), 2) as median_spend,
-               round(quantile_cont(cast(total_spend as double), 0.9) over (), 2) as p90_spend
+               round(quantile_cont(cast(total_spend as double), 0.5) over (), 4) as median_spend,
+               round(quantile_cont(cast(total_spend as double), 0.9) over (), 4) as p90_spend
         from spend""",
     "customer_tiers": f"""
         with {SPEND},
