@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreline.functions.scalars import day, instant
-from oreline.operators.merge import keys_held, upsert_partitions
+from oreline.operators.merge import keys_held, unique_batch, upsert_partitions
 from oreline.scratch import written
 from oreline.sources.schemas import PIPELINE_WATERMARKS, conform
 
@@ -113,16 +113,24 @@ def run_incremental(
     run_date,
     now=None,
     lookback: str | None = None,
-    **options,
+    on_duplicate: str = "error",
+    on_null_key: str = "error",
+    only_if_newer: str | None = None,
 ) -> Load:
     """Extract, upsert and reconcile one window. Advance the watermark only after this returns.
 
     A run that stops half-way is repeated with the same window: the upsert gives the same rows.
     """
-    batch = written(extract_batch(source, lo, hi, lookback=lookback), "extract")
+    extract = extract_batch(source, lo, hi, lookback=lookback)
+    if on_duplicate == "latest":
+        # The rows before they are reduced to one per key are what the source is compared with.
+        extract = written(extract, "extract")
+    batch = unique_batch(extract, keys, on_duplicate, on_null_key, only_if_newer or "updated_at")
+    loaded = extract if on_duplicate == "latest" else batch.table
     stamps = {"_silver_updated_at": instant(now), "_ingestion_date": day(run_date)}
-    touched = upsert_partitions(spark, target_path, partition_column, batch, keys, stamps=stamps, **options)
-    report = reconcile(
-        source, extract_batch(batch, lo, hi), spark.read.parquet(target_path), keys, lo, hi
+    touched = upsert_partitions(
+        spark, target_path, partition_column, batch, keys, only_if_newer=only_if_newer, stamps=stamps
     )
-    return Load(batch.count(), touched, report)
+    target = spark.read.parquet(target_path)
+    report = reconcile(source, extract_batch(loaded, lo, hi), target, keys, lo, hi)
+    return Load(loaded.count(), touched, report)

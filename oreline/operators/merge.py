@@ -76,6 +76,14 @@ def unique_batch(
     return Batch(table, found.rows or 0)
 
 
+def _prepared(
+    batch: DataFrame | Batch, keys: Sequence[str], on_duplicate: str, on_null_key: str, only_if_newer: str | None
+) -> Batch:
+    if isinstance(batch, Batch):
+        return batch
+    return unique_batch(batch, keys, on_duplicate, on_null_key, only_if_newer or "updated_at")
+
+
 def keys_held(table: DataFrame, batch: DataFrame, batch_rows: int, keys: Sequence[str]) -> DataFrame:
     """The keys of ``table`` that ``batch`` has as well, each once.
 
@@ -90,7 +98,7 @@ def keys_held(table: DataFrame, batch: DataFrame, batch_rows: int, keys: Sequenc
 
 def merge_upsert(
     target: DataFrame,
-    batch: DataFrame,
+    batch: DataFrame | Batch,
     keys: Sequence[str],
     on_duplicate: str = "error",
     on_null_key: str = "error",
@@ -101,9 +109,10 @@ def merge_upsert(
 
     A matched row takes the batch's columns and the ``stamps``; columns only the target has
     stay as they are, and are NULL in an inserted row. With ``only_if_newer`` a matched row
-    changes only if the batch row is later by that column.
+    changes only if the batch row is later by that column. A batch already prepared by
+    ``unique_batch`` is used as it is.
     """
-    unique = unique_batch(batch, keys, on_duplicate, on_null_key, only_if_newer or "updated_at")
+    unique = _prepared(batch, keys, on_duplicate, on_null_key, only_if_newer)
     return _merged(target, unique, keys, only_if_newer, stamps or {})
 
 
@@ -154,7 +163,7 @@ def upsert_partitions(
     spark: SparkSession,
     path: str,
     partition_column: str,
-    batch: DataFrame,
+    batch: DataFrame | Batch,
     keys: Sequence[str],
     on_duplicate: str = "error",
     on_null_key: str = "error",
@@ -166,7 +175,7 @@ def upsert_partitions(
     Touched are the partitions the batch writes to and those that hold the old version of one
     of its rows, found by a scan of the key and partition columns alone. Returns them.
     """
-    unique = unique_batch(batch, keys, on_duplicate, on_null_key, only_if_newer or "updated_at")
+    unique = _prepared(batch, keys, on_duplicate, on_null_key, only_if_newer)
     target = spark.read.parquet(path)
     held = target.select(*keys, partition_column).join(unique.table.select(*keys), list(keys), "left_semi")
     touched = set(partition_values(held, partition_column)) | set(partition_values(unique.table, partition_column))
@@ -182,7 +191,9 @@ def mark_deleted(
 ) -> DataFrame:
     """Set ``flag`` on rows whose key a full snapshot of the source no longer has.
 
-    Rows are never removed, and a row that comes back is unmarked.
+    Rows are never removed, and a row that comes back is unmarked. The snapshot's keys are
+    written, so that the join reads both sides through plain shuffles, which is what Spark
+    needs to split a hot key of the target.
     """
-    present = snapshot.select(*keys).distinct().withColumn("_present", F.lit(True))
+    present = written(snapshot.select(*keys).distinct(), "snapshot-keys").withColumn("_present", F.lit(True))
     return target.join(present, list(keys), "left").withColumn(flag, F.col("_present").isNull()).drop("_present")

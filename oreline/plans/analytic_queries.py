@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from oreline.operators import daily as d
 from oreline.operators import gold
-from oreline.operators.merge import merge_upsert
 from oreline.operators.incremental import extract_batch
+from oreline.operators.merge import merge_upsert, unique_batch
 from oreline.operators.ranking import customer_segments, top_n_per_group as top_n
 from oreline.operators.sessions import sessionize
 from oreline.plans.views import DAILY, EVENTS, LOADED_UNTIL, MERGED, ORDERS, RUN_TS, SPEND
-from oreline.scratch import fresh_path, written
+from oreline.scratch import fresh_path
 from oreline.sources import model
 
 
@@ -92,8 +92,9 @@ def mv_refresh_incremental(spark: SparkSession, root: str) -> DataFrame:
     path = fresh_path(spark, "daily-revenue")
     before = model.orders_before(spark, root, LOADED_UNTIL)
     gold.build_daily_revenue(before, path)
-    batch = written(extract_batch(model.orders_source(spark, root), LOADED_UNTIL, RUN_TS), "batch")
-    dates = [r[0] for r in batch.select("order_date").distinct().collect()]
+    changes = extract_batch(model.orders_source(spark, root), LOADED_UNTIL, RUN_TS)
+    batch = unique_batch(changes, ["order_id"])
+    dates = [r[0] for r in batch.table.select("order_date").distinct().collect()]
     gold.refresh_daily_revenue(spark, path, merge_upsert(before, batch, ["order_id"]), dates)
     return gold.read_daily_revenue(spark, path)
 

@@ -22,11 +22,11 @@ def partition_filters(df: DataFrame) -> list[str]:
     """One entry per file scan: its partition filters without bare not-null tests.
 
     An empty entry is a scan that reads every partition. The formatted plan describes
-    each scan in its own block, starting with ``(n) Scan``.
+    each scan in its own block, starting with ``(n) Scan`` or ``(n) BatchScan``.
     """
     found = []
     for block in re.split(r"\n(?=\(\d+\) )", explained(df)):
-        if not re.match(r"\(\d+\) Scan ", block) or "Location:" not in block:
+        if not re.match(r"\(\d+\) (Batch)?Scan ", block) or "Location:" not in block:
             continue
         line = re.search(r"^PartitionFilters: \[(.*)\]$", block, re.M)
         filters = _NOT_NULL.sub("", line.group(1)) if line else ""

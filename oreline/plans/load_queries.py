@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreline.operators import incremental as inc
-from oreline.operators.merge import mark_deleted, merge_upsert as upsert
+from oreline.operators.merge import Batch, mark_deleted, merge_upsert as upsert, unique_batch
 from oreline.plans.views import EVENTS, LOADED_UNTIL, MERGED, ORDERS, RUN_TS
-from oreline.scratch import fresh_path, written
+from oreline.scratch import fresh_path
 from oreline.sources import model
 from oreline.sources.schemas import PIPELINE_WATERMARKS, RAW, conform
 from oreline.streaming.events import read_event_files, stream_to_dates
@@ -21,12 +21,12 @@ def _ntz(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
 
 
-def _batch(spark: SparkSession, root: str) -> DataFrame:
-    """The extract, written once for the steps that read it."""
-    return written(inc.extract_batch(model.orders_source(spark, root), LOADED_UNTIL, RUN_TS), "extract")
+def _batch(spark: SparkSession, root: str) -> Batch:
+    """The changes of the load window, written once for the steps that read them."""
+    return unique_batch(inc.extract_batch(model.orders_source(spark, root), LOADED_UNTIL, RUN_TS), KEY)
 
 
-def _merged(spark: SparkSession, root: str, batch: DataFrame) -> DataFrame:
+def _merged(spark: SparkSession, root: str, batch: Batch) -> DataFrame:
     before = model.orders_before(spark, root, LOADED_UNTIL)
     stamps = {"_ingestion_date": F.lit(RUN_TS).cast("date"), "_silver_updated_at": F.current_timestamp()}
     return upsert(before, batch, KEY, stamps=stamps)
@@ -58,7 +58,7 @@ def watermark_init(spark: SparkSession, root: str) -> DataFrame:
 def watermark_advance(spark: SparkSession, root: str) -> DataFrame:
     batch = _batch(spark, root)
     region = "ASIA"
-    loaded = batch.filter(F.col("region") == region).count()
+    loaded = batch.table.filter(F.col("region") == region).count()
     marks = inc.advance_watermark(
         _watermarks(spark, root), f"orders_{region}", RUN_TS, loaded, "orders_incremental_job"
     )
@@ -71,8 +71,7 @@ def incremental_extract(spark: SparkSession, root: str) -> DataFrame:
 
 
 def merge_upsert(spark: SparkSession, root: str) -> DataFrame:
-    batch = inc.extract_batch(model.orders_source(spark, root), LOADED_UNTIL, RUN_TS)
-    merged = _merged(spark, root, batch)
+    merged = _merged(spark, root, _batch(spark, root))
     return _ntz(merged.drop("_silver_updated_at"), "updated_at")
 
 
@@ -97,7 +96,7 @@ def soft_delete(spark: SparkSession, root: str) -> DataFrame:
 def reconciliation(spark: SparkSession, root: str) -> DataFrame:
     batch = _batch(spark, root)
     source = model.orders_source(spark, root)
-    return inc.reconcile(source, batch, _merged(spark, root, batch), KEY, LOADED_UNTIL, RUN_TS)
+    return inc.reconcile(source, batch.table, _merged(spark, root, batch), KEY, LOADED_UNTIL, RUN_TS)
 
 
 def stream_bronze_events(spark: SparkSession, root: str) -> DataFrame:
