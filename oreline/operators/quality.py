@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oreline.functions.scalars import day, instant, text
+from oreline.sources.schemas import DQ_CHECK_LOG, conform
 
 CRITICAL, WARNING = "CRITICAL", "WARNING"
 PASSED, FAILED = "PASSED", "FAILED"
@@ -287,7 +288,8 @@ def append_log(results: DataFrame, path: str, tasks: int = 1) -> None:
     The log has a few rows per run date, so writing it costs files and not bytes. A backfill
     of many dates opens their files from several ``tasks``.
     """
-    results.repartition(tasks, "run_date").write.mode("append").partitionBy("run_date").parquet(path)
+    rows = conform(results, DQ_CHECK_LOG)
+    rows.repartition(tasks, "run_date").write.mode("append").partitionBy("run_date").parquet(path)
 
 
 def dq_summary(log: DataFrame, as_of) -> DataFrame:

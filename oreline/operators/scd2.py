@@ -47,7 +47,7 @@ def scd2_apply(
     key: str,
     tracked: Sequence[str],
     run_date,
-    mode: str = "reference",
+    mode: str = "plain",
     now=None,
 ) -> DataFrame:
     """The dimension after one run, as a plan over ``dim`` and the written ``source``.
@@ -61,8 +61,8 @@ def scd2_apply(
     Closed versions, which grow without end, are copied without a join or shuffle. Current
     rows are joined once, and a changed one yields both of its versions there.
     """
-    if mode not in ("reference", "null_safe"):
-        raise ValueError("mode: reference or null_safe")
+    if mode not in ("plain", "null_safe"):
+        raise ValueError("mode: plain or null_safe")
     run, stamp, columns = day(run_date), instant(now), dim.columns
     unique = unique_batch(source.select(key, *tracked), [key])
     incoming = unique.table

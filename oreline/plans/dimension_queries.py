@@ -18,7 +18,7 @@ def _changes(silver: DataFrame, run_date: str) -> DataFrame:
     return silver.filter(F.col("_silver_updated_date") == F.lit(run_date).cast("date"))
 
 
-def _apply(spark: SparkSession, root: str, dim: DataFrame, run_date: str, mode: str = "reference") -> DataFrame:
+def _apply(spark: SparkSession, root: str, dim: DataFrame, run_date: str, mode: str = "plain") -> DataFrame:
     changes = _changes(model.customers_silver(spark, root, run_date), run_date)
     return _stored(scd2.scd2_apply(dim, changes, KEY, TRACKED, run_date, mode))
 

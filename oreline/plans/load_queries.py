@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from oreline.operators import incremental as inc
 from oreline.operators.merge import Batch, mark_deleted, merge_upsert as upsert, unique_batch
-from oreline.plans.views import EVENTS, LOADED_UNTIL, MERGED, ORDERS, RUN_TS
+from oreline.plans.views import EVENTS, LOADED_UNTIL, MERGED, RUN_TS
 from oreline.scratch import fresh_path
 from oreline.sources import model
 from oreline.sources.schemas import PIPELINE_WATERMARKS, RAW, conform

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from oreline.functions.scalars import OPEN_END, day
 from oreline.session import configure
-from oreline.sources.schemas import MONEY, RAW
+from oreline.sources.schemas import CUSTOMERS_SILVER, MONEY, ORDERS_SOURCE, RAW, conform
 
 
 def raw(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -52,7 +52,7 @@ def orders(spark: SparkSession, root: str) -> DataFrame:
 
 
 def orders_source(spark: SparkSession, root: str) -> DataFrame:
-    return orders(spark, root).drop("product_category")
+    return conform(orders(spark, root), ORDERS_SOURCE)
 
 
 def orders_before(spark: SparkSession, root: str, loaded_until: str) -> DataFrame:
@@ -175,7 +175,7 @@ def customers_silver(spark: SparkSession, root: str, run_date: str) -> DataFrame
     touched = day(run_date) if second else (
         F.when(F.col("c_mktsegment") == "FURNITURE", day(DIM_LOADED)).otherwise(day(run_date))
     )
-    return _customers(spark, root, moved).select(
+    state = _customers(spark, root, moved).select(
         F.col("c_custkey").cast("string").alias("customer_id"),
         name.alias("customer_name"),
         F.col("n_name").alias("city"),
@@ -183,6 +183,7 @@ def customers_silver(spark: SparkSession, root: str, run_date: str) -> DataFrame
         F.when(F.col("c_acctbal") < 0, F.lit(None)).otherwise(F.col("c_mktsegment")).alias("customer_segment"),
         touched.alias("_silver_updated_date"),
     )
+    return conform(state, CUSTOMERS_SILVER)
 
 
 def dim_customer_initial(spark: SparkSession, root: str) -> DataFrame:

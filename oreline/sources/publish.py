@@ -12,7 +12,6 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreline.scratch import written
 from oreline.sources.files import NULL_PARTITION, delete_dir, partition_dirs
 
 
@@ -47,11 +46,6 @@ def publish_partitions(staged: DataFrame, path: str, column: str, touched: Itera
     return sorted(emptied)
 
 
-def rewrite_partitions(df: DataFrame, path: str, column: str, touched: Iterable) -> list:
-    """Stage ``df``, which may read ``path`` itself, then publish it."""
-    return publish_partitions(written(df, "staged"), path, column, touched)
-
-
 def publish_version(df: DataFrame, table: str, location: str, sort_by: tuple[str, ...] = ()) -> None:
     """Write a new copy at ``location`` and point an unpartitioned catalog table at it in one step.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from oreline.operators.positions import in_order
 from oreline.operators.ranking import (
+    _best_values,
     customer_segments,
     distributed_ntile,
     exact_percentiles,
@@ -16,6 +17,7 @@ from oreline.operators.ranking import (
     total_spend,
 )
 from oreline.plans.explain import explained
+from oreline.scratch import fresh_path
 from oreline.sources import model
 
 SMALL = "/root/testdata/sf0.001"
@@ -40,6 +42,16 @@ def test_all_ties_at_the_last_rank_are_kept(spark):
     assert got["top"] == (1, 1, 1) and got["0499"] == (2, 2, 501)
 
 
+def test_groups_are_limited_before_the_shuffle(spark):
+    """Both sides of the one shuffle keep at most n rows per group, in a scan without other columns."""
+    path = fresh_path(spark, "ranked")
+    model.orders(spark, SMALL).write.parquet(path)
+    plan = explained(_best_values(spark.read.parquet(path), "region", "order_amount", 3), "simple")
+    above, below = plan.split("Exchange ")  # one shuffle
+    assert "row_number(), 3, Final" in above and "row_number(), 3, Partial" in below
+    assert "order_status" not in plan
+
+
 def test_missing_amounts_rank_last_and_groups_are_separate(spark):
     got = ranks(spark, [("a", "N", None), ("b", "N", 5), ("c", None, 7), ("d", None, None)], n=2)
     assert got == {"b": (1, 1, 1), "a": (2, 2, 2), "c": (1, 1, 1), "d": (2, 2, 2)}
