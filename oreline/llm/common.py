@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from oreline.scratch import written
 
-__all__ = ["bitmap_literal", "connected", "documents", "keep_rows", "numbered", "table", "test_bit", "texts", "written"]
+__all__ = ["bitmap_literal", "connected", "documents", "keep_rows", "numbered", "table", "test_bit", "texts", "with_rows", "written"]
 
 #: A filter held in a literal has at most this many bits, whatever the data: 128 KB.
 FILTER_BITS = 1 << 20
@@ -36,6 +36,12 @@ def numbered(docs: DataFrame, label: str) -> tuple[DataFrame, str]:
     return written(docs.withColumn(name, F.monotonically_increasing_id()), label), name
 
 
+def with_rows(docs: DataFrame, id_col: str, label: str) -> tuple[DataFrame, str]:
+    """``docs`` and the column that tells its rows apart: the id, or a row number if ids repeat or are missing."""
+    ids = docs.select(docs[id_col].alias("id")).groupBy("id").count()
+    return (docs, id_col) if ids.where("count > 1 or id is null").isEmpty() else numbered(docs, label)
+
+
 def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` whose id is in the single column of ``kept``; a missing id matches a missing id."""
     ids = kept.toDF("__kept_id")

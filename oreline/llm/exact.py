@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap_literal, documents, keep_rows, numbered, test_bit, written
+from .common import bitmap_literal, documents, keep_rows, test_bit, with_rows, written
 
 PREFIX_CHARS = 64
 
@@ -43,12 +43,14 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         ),
         "exact-digests",
     )
-    groups = (
+    # Written, so that the join below is free to split a group that holds very many rows.
+    groups = written(
         full.where("open")
         .groupBy("text_sha256")
         .agg(F.max(F.struct("doc_id", "row")).alias("top"), F.count(F.lit(1)).alias("group_size"))
         .where("group_size > 1")
-        .select(F.col("text_sha256").alias("key"), "top", "group_size")
+        .select(F.col("text_sha256").alias("key"), "top", "group_size"),
+        "exact-groups",
     )
     return full.join(groups, F.col("open") & (full.text_sha256 == groups.key), "left").select(
         full.doc_id,
@@ -62,9 +64,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with all its columns, one row of each group of equal texts, repeated rows included."""
-    rows, number = numbered(docs, "exact-rows")
+    rows, number = with_rows(docs, id_col, "exact-rows")
     kept = exact_groups(rows, id_col, text_col, row_col=number).where("kept").select("row")
-    return keep_rows(rows, kept, number).drop(number)
+    return keep_rows(rows, kept, number).select(*docs.columns)
 
 
 def op10_exact_dedup(spark, sf_dir: str) -> DataFrame:

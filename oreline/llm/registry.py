@@ -2,15 +2,30 @@
 
 from __future__ import annotations
 
+from .decontaminate import op9_decontamination
 from .exact import OP10_SQL, op10_exact_dedup
+from .lines import op5_line_dedup
+from .mixing import op2_mixing
+from .near import op6_minhash_near_dedup
+from .ngrams import OP3_SQL, op3_lm_scoring
+from .repeats import op8_substring_dedup
+from .toxicity import op4_toxicity
 from .urls import OP7_SQL, op7_url_filters
 
 QUERIES = {
+    "op2_mixing": op2_mixing,
+    "op3_lm_scoring": op3_lm_scoring,
+    "op4_toxicity": op4_toxicity,
+    "op5_line_dedup": op5_line_dedup,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_url_filters": op7_url_filters,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op9_decontamination": op9_decontamination,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLE = {
+    "op3_lm_scoring": OP3_SQL,
     "op7_url_filters": OP7_SQL,
     "op10_exact_dedup": OP10_SQL,
 }

@@ -37,7 +37,8 @@ _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the hash's multiplier and of its inverse, at least."""
     if len(_POWERS[0]) < n:
         n = max(n, CHUNK_BYTES + 1)
         for slot, base in ((0, _MULTIPLIER), (1, pow(_MULTIPLIER, -1, 1 << 64))):
@@ -87,10 +88,10 @@ def spans(data: np.ndarray, offsets: np.ndarray, in_word: np.ndarray) -> tuple[n
 
 def hash_slices(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of ``data[start:end]`` for every pair, whatever its place in the data."""
-    powers, inverse = _powers(len(data) + 1)
+    power, inverse = powers(len(data) + 1)
     sums = np.empty(len(data) + 1, dtype=np.uint64)
     sums[0] = 0
-    np.cumsum(_BYTE[data] * powers[: len(data)], out=sums[1:])
+    np.cumsum(_BYTE[data] * power[: len(data)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
