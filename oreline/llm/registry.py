@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontaminate import op9_decontamination
 from .exact import OP10_SQL, op10_exact_dedup
+from .licenses import op1_license_scans
 from .lines import op5_line_dedup
 from .mixing import op2_mixing
 from .near import op6_minhash_near_dedup
@@ -13,6 +14,7 @@ from .toxicity import op4_toxicity
 from .urls import OP7_SQL, op7_url_filters
 
 QUERIES = {
+    "op1_license_scans": op1_license_scans,
     "op2_mixing": op2_mixing,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_toxicity": op4_toxicity,
