@@ -158,8 +158,8 @@ def detections(rows: DataFrame, row_col: str, text_col: str) -> DataFrame:
     places = words.select(
         "row", F.explode(F.transform(at, lambda i: F.struct(i.alias("start"), F.get("words", i).alias("keyword"), F.concat_ws(" ", F.slice("words", i + 1, REACH)).alias("near")))).alias("p")
     ).select("row", "p.*")
-    fits = F.regexp_extract("near", F.concat(F.lit("^(?:"), "pattern", F.lit(")(?= |$)")), F.lit(0))
-    found = places.join(table_, "keyword").where(F.contains("near", "needs")).withColumn("match", fits).where("match <> ''")
+    fits = F.regexp_substr("near", F.concat(F.lit("^(?:"), "pattern", F.lit(")(?= |$)")))
+    found = places.join(table_, "keyword").where(F.contains("near", "needs")).withColumn("match", fits).where("match is not null")
     found = found.select("row", "start", (F.col("start") + F.size(F.split("match", " "))).alias("stop"), "rank", "priority", "label", "base")
     near = W.partitionBy("row").orderBy("start").rangeBetween(-REACH, REACH)
     others = F.collect_list(F.struct("start", "stop", "rank", "priority")).over(near)
@@ -203,7 +203,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         "last_word",
         F.coalesce("base_labels", F.lit("")).alias("base_labels"),
         F.coalesce("labels", F.lit("")).alias("labels"),
-        F.coalesce(F.least(F.lit(1.0), F.col("covered") / F.col("n_words")), F.lit(0.0)).alias("score"),
+        F.when(F.col("covered") > 0, F.least(F.lit(1.0), F.col("covered") / F.col("n_words"))).otherwise(0.0).alias("score"),
     )
 
 

@@ -48,7 +48,7 @@ def split_lines(code: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndar
     heads = np.concatenate([[0], ends[:-1]])
     before = np.where(heads > 0, line[np.maximum(heads - 1, 0)], 0)
     key = line[solid] + owner  # grows at line ends and at documents' ends
-    first = np.flatnonzero(np.diff(key, prefix=-1))
+    first = np.flatnonzero(np.diff(key, prepend=-1))
     last = np.append(first[1:], len(solid)) - 1
     return owner[first], line[solid[first]] - before[owner[first]], solid[first], solid[last] - solid[first] + 1
 
@@ -128,7 +128,7 @@ def _shared_keys(rows: DataFrame, threshold: int, bits: int) -> DataFrame:
         new = np.ones(len(keys), dtype=bool)
         new[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
         keys, ids, own = keys[new], ids[new], own[new]
-        group = np.cumsum(np.diff(keys, prefix=~keys[:1]) != 0) - 1
+        group = np.cumsum(np.diff(keys, prepend=~keys[:1]) != 0) - 1
         useful = (np.bincount(group) > 1) & (np.bincount(group, weights=own) > 0)
         keep = useful[group]
         return pa.RecordBatch.from_arrays([pa.array(keys[keep].view(np.int64)), pa.array(ids[keep].view(np.int64))], ["bucket", "id"])

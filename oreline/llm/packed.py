@@ -20,7 +20,7 @@ def range_bits(keys: float) -> int:
 def slices(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the ranges that sorted ``keys`` fall in, and where each begins (one more at the end)."""
     at = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
-    first = np.flatnonzero(np.diff(at, prefix=-1))
+    first = np.flatnonzero(np.diff(at, prepend=-1))
     return at[first], np.append(first, len(keys))
 
 

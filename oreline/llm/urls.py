@@ -91,17 +91,21 @@ def host_suffixes(host: Column) -> Column:
 def _judged(rows: DataFrame, name: str, keys: Column, listed: DataFrame) -> DataFrame:
     """``rows`` with a column ``name``: those of ``keys`` that are listed, longest first."""
     parts = max(1, -(-listed.count() // KEYS_PER_PART))
+    part_of = lambda key: F.pmod(F.xxhash64(key), F.lit(parts))
     universe = rows.select(F.explode(keys).alias("key"))
-    found = F.array().cast("array<string>")
-    out = rows.withColumn(name, found)
+    out = rows.withColumn(name, F.array().cast("array<string>"))
     for part in range(parts):
-        mine = (lambda df, p=part: df.where(F.pmod(F.xxhash64("key"), F.lit(parts)) == p)) if parts > 1 else (lambda df: df)
-        cascade = build_cascade(mine(listed), mine(universe))
-        own = (lambda k, p=part, c=cascade: (F.pmod(F.xxhash64(k), F.lit(parts)) == p) & c.contains(k)) if parts > 1 else cascade.contains
-        out = out.withColumn(name, F.concat(F.col(name), F.filter(keys, own)))
-        if parts > 1:
-            out = written(out, "cascade-part")
-    return out.withColumn(name, F.array_sort(name, lambda a, b: F.length(b) - F.length(a)))
+        if parts == 1:
+            cascade = build_cascade(listed, universe)
+            return _longest(out.withColumn(name, F.filter(keys, cascade.contains)), name)
+        cascade = build_cascade(listed.where(part_of(F.col("key")) == part), universe.where(part_of(F.col("key")) == part))
+        found = F.filter(keys, lambda key: (part_of(key) == part) & cascade.contains(key))  # noqa: B023
+        out = written(out.withColumn(name, F.concat(F.col(name), found)), "cascade-part")
+    return _longest(out, name)
+
+
+def _longest(rows: DataFrame, name: str) -> DataFrame:
+    return rows.withColumn(name, F.array_sort(name, lambda a, b: F.length(b) - F.length(a)))
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], listed_hosts: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
