@@ -2,17 +2,34 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreline.scratch import written
 
-__all__ = ["bitmap_literal", "connected", "documents", "keep_rows", "numbered", "table", "test_bit", "texts", "with_rows", "written"]
+__all__ = ["bitmap_literal", "connected", "documents", "keep_rows", "numbered", "ship", "table", "test_bit", "texts", "with_rows", "written"]
 
 #: A filter held in a literal has at most this many bits, whatever the data: 128 KB.
 FILTER_BITS = 1 << 20
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers of a local session import this package from wherever they were started.
+
+    On a cluster the package comes with the job (``--py-files`` or an installed copy), like any other.
+    """
+    context = spark.sparkContext
+    if context.master.startswith("local-cluster") or not context.master.startswith("local") or context.applicationId in _SHIPPED:
+        return
+    context.addFile(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), recursive=True)
+    _SHIPPED.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .common import ship
 from .decontaminate import op9_decontamination
 from .exact import OP10_SQL, op10_exact_dedup
 from .licenses import op1_license_scans
@@ -13,6 +14,16 @@ from .repeats import op8_substring_dedup
 from .toxicity import op4_toxicity
 from .urls import OP7_SQL, op7_url_filters
 
+
+
+def _shipped(query):
+    def run(spark, sf_dir):
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES = {
     "op1_license_scans": op1_license_scans,
     "op2_mixing": op2_mixing,
@@ -25,6 +36,7 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_exact_dedup": op10_exact_dedup,
 }
+QUERIES = {name: _shipped(query) for name, query in QUERIES.items()}
 
 ORACLE = {
     "op3_lm_scoring": OP3_SQL,

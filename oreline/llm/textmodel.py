@@ -21,8 +21,8 @@ from .common import texts, written
 #: Labelled rows a model is fitted on, about (rows are drawn by a hash of their id).
 SAMPLE_ROWS = 20_000
 MAX_FEATURES = 1024
-#: Least chi-squared statistic of a feature (one degree of freedom; 60 is far beyond chance among millions of words).
-MIN_CHI2 = 60.0
+#: Least chi-squared statistic of a feature: at a tenth of toxic texts, five of five that have it are toxic.
+MIN_CHI2 = 40.0
 
 _PUNCTUATION = ~tokens.ALNUM & tokens.NOT_SPACE
 _PUNCTUATION[:33] = False

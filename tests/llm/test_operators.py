@@ -178,7 +178,7 @@ def test_cascade_is_exact(spark, monkeypatch):
 def test_cascade_parts(spark, monkeypatch):
     pages = spark.createDataFrame([(i, f"http://h{i}.net/") for i in range(300)], "page_id bigint, url string")
     listed = pages.where("page_id % 7 = 0").selectExpr("concat('h', page_id, '.net') AS key")
-    monkeypatch.setattr(urls, "KEYS_PER_PART", 10)
+    monkeypatch.setattr(urls, "KEYS_PER_PART", 20)
     got = urls.judge_urls(pages, urls.RULES, listed)
     assert got.where("(verdict = 'block') <> (page_id % 7 = 0)").isEmpty() and got.count() == 300
 
