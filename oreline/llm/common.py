@@ -7,9 +7,9 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreline.scratch import written
+from oreline.scratch import fresh_path, written
 
-__all__ = ["bitmap_literal", "connected", "documents", "keep_rows", "numbered", "ship", "table", "test_bit", "texts", "with_rows", "written"]
+__all__ = ["bitmap_literal", "connected", "documents", "fresh_path", "keep_rows", "numbered", "ship", "table", "test_bit", "texts", "with_rows", "written"]
 
 #: A filter held in a literal has at most this many bits, whatever the data: 128 KB.
 FILTER_BITS = 1 << 20
