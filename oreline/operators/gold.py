@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from oreline.functions.scalars import day
 from oreline.scratch import written
 from oreline.sources.files import exists
-from oreline.sources.layout import ByDate, read_partitioned, write_partitioned
-from oreline.sources.publish import in_partitions, partition_values, publish_partitions
+from oreline.sources.layout import ByDate, write_partitioned
+from oreline.sources.publish import in_partitions, partition_values, publish_partitions, read_declared
+from oreline.sources.schemas import DAILY_REVENUE
 
 # A day of the aggregate is a handful of rows, so one partition holds a year.
 DAILY_REVENUE_LAYOUT = ByDate("order_date", unit="year")
@@ -40,11 +41,12 @@ def build_daily_revenue(orders: DataFrame, path: str) -> None:
 def refresh_daily_revenue(spark: SparkSession, path: str, orders: DataFrame, dates: Iterable) -> list:
     """Recompute the given order dates of the stored aggregate and leave the others.
 
-    Reads the orders of those dates only, and rewrites the partitions of the aggregate they
-    fall in. Equal to a full rebuild if ``dates`` has every date an order was added to, changed
-    on or moved from.
+    Reads the orders of those dates only (only their partitions, if ``orders`` is partitioned
+    like the aggregate), and rewrites the partitions of the aggregate they fall in. Equal to a
+    full rebuild if ``dates`` has every date an order was added to, changed on or moved from,
+    which a stored upsert reports; None stands for orders without a date.
     """
-    dates = sorted({str(d) for d in dates})
+    dates = sorted({None if d is None else str(d) for d in dates}, key=str)
     if not dates:
         return []
     if not exists(spark, path):
@@ -52,19 +54,24 @@ def refresh_daily_revenue(spark: SparkSession, path: str, orders: DataFrame, dat
     column = DAILY_REVENUE_LAYOUT.partition_column
     changed = spark.createDataFrame([(d,) for d in dates], "changed string").select(F.col("changed").cast("date"))
     touched = partition_values(DAILY_REVENUE_LAYOUT.assign(changed.withColumnRenamed("changed", "order_date")), column)
-    this_date = F.col("order_date") == F.col("changed")
+    this_date = F.col("order_date").eqNullSafe(F.col("changed"))
 
     # One row per changed calendar date, so the broadcast is bounded by the calendar.
-    base = orders.filter(F.col("order_date").between(day(dates[0]), day(dates[-1])))
+    if column in orders.columns:
+        base = in_partitions(orders, column, touched)
+    else:
+        known = [d for d in dates if d is not None]
+        wanted = F.col("order_date").between(day(known[0]), day(known[-1])) if known else F.lit(False)
+        base = orders.filter(wanted | F.col("order_date").isNull() if None in dates else wanted)
     fresh = daily_revenue_by_region(base.join(F.broadcast(changed), this_date, "left_semi"))
-    stored = in_partitions(spark.read.parquet(path), column, touched)
+    stored = in_partitions(read_declared(spark, path, DAILY_REVENUE), column, touched)
     kept = stored.join(F.broadcast(changed), this_date, "left_anti")
     content = kept.unionByName(DAILY_REVENUE_LAYOUT.assign(fresh))
-    return publish_partitions(written(content, "refresh"), path, column, touched)
+    return publish_partitions(written(content, "refresh"), path, column, touched, schema=DAILY_REVENUE)
 
 
 def read_daily_revenue(spark: SparkSession, path: str) -> DataFrame:
-    stored = read_partitioned(spark, path, DAILY_REVENUE_LAYOUT, require=False)
+    stored = read_declared(spark, path, DAILY_REVENUE)
     return stored.drop(DAILY_REVENUE_LAYOUT.partition_column)
 
 

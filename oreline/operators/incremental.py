@@ -6,10 +6,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from oreline.functions.scalars import day, instant
 from oreline.operators.merge import keys_held, unique_batch, upsert_partitions
 from oreline.scratch import written
+from oreline.sources.publish import read_declared
 from oreline.sources.schemas import PIPELINE_WATERMARKS, conform
 
 PASS = "PASS"
@@ -66,12 +68,11 @@ def reconcile(
 ) -> DataFrame:
     """Rows in the source window, in the batch, and batch keys found in the target.
 
-    ``batch`` should be a written table; its size decides how the target is searched. The
-    three counts are stacked and folded into one row.
+    ``batch`` should be a written table, so that Spark knows its size. The three counts are stacked and folded into one row.
     """
     in_source = extract_batch(source, lo, hi, ts_col).agg(F.count("*").alias("n"))
     in_batch = batch.agg(F.count("*").alias("n"))
-    found = keys_held(target, batch, batch.count(), keys)
+    found = keys_held(target, batch, keys)
     in_target = found.agg(F.count("*").alias("n"))
     stacked = (
         in_source.withColumn("side", F.lit("source"))
@@ -95,11 +96,12 @@ def reconcile(
 
 @dataclass(frozen=True)
 class Load:
-    """Outcome of one incremental run."""
+    """Outcome of one incremental run; ``moved_dates`` are the partition values of old and new versions."""
 
     records: int
     touched_partitions: list
     reconciliation: DataFrame
+    moved_dates: DataFrame
 
 
 def run_incremental(
@@ -111,6 +113,8 @@ def run_incremental(
     lo,
     hi,
     run_date,
+    schema: StructType,
+    sort_by: tuple[str, ...] = (),
     now=None,
     lookback: str | None = None,
     on_duplicate: str = "error",
@@ -128,9 +132,37 @@ def run_incremental(
     batch = unique_batch(extract, keys, on_duplicate, on_null_key, only_if_newer or "updated_at")
     loaded = extract if on_duplicate == "latest" else batch.table
     stamps = {"_silver_updated_at": instant(now), "_ingestion_date": day(run_date)}
-    touched = upsert_partitions(
-        spark, target_path, partition_column, batch, keys, only_if_newer=only_if_newer, stamps=stamps
-    )
-    target = spark.read.parquet(target_path)
+    changed = upsert_partitions(
+        spark, target_path, partition_column, batch, keys, schema, sort_by,
+        only_if_newer=only_if_newer, stamps=stamps, report=[partition_column],
+    )
+    target = read_declared(spark, target_path, schema)
     report = reconcile(source, extract_batch(loaded, lo, hi), target, keys, lo, hi)
-    return Load(loaded.count(), touched, report)
+    return Load(loaded.count(), changed.partitions, report, changed.moved[partition_column])
+
+
+def read_watermarks(spark: SparkSession, path: str) -> DataFrame:
+    return read_declared(spark, path, PIPELINE_WATERMARKS)
+
+
+def store_watermarks(watermarks: DataFrame, path: str) -> None:
+    """Replace the stored watermarks; they are computed from the table itself, so they are written aside first."""
+    written(conform(watermarks, PIPELINE_WATERMARKS), "watermarks").coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def run_pipeline(
+    spark: SparkSession, pipeline: str, source: DataFrame, watermark_path: str, hi, updated_by: str, now=None, **load
+) -> Load:
+    """One closed incremental run: read the pipeline's watermark, load up to ``hi``, then store ``hi``.
+
+    ``load`` are the remaining arguments of ``run_incremental``. A run that fails leaves the
+    watermark where it was, so the next one reads the same window again. An unknown pipeline
+    is an error before anything is loaded.
+    """
+    marks = read_watermarks(spark, watermark_path)
+    mine = marks.filter(F.col("pipeline_name") == pipeline).select("last_processed_ts").first()
+    if mine is None:
+        raise ValueError(f"no watermark for pipeline {pipeline}")
+    done = run_incremental(spark, source, lo=mine[0], hi=hi, now=now, **load)
+    store_watermarks(advance_watermark(marks, pipeline, hi, done.records, updated_by, now), watermark_path)
+    return done

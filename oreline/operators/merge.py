@@ -8,13 +8,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from oreline.scratch import written
-from oreline.sources.publish import in_partitions, partition_values, publish_partitions
-
-
-# Key columns of a batch this long are sent to every task; larger batches are shuffled.
-SMALL_BATCH_ROWS = 1_000_000
+from oreline.sources.publish import in_partitions, partition_values, publish_partitions, read_declared
 
 
 @dataclass(frozen=True)
@@ -33,11 +30,13 @@ def _latest(batch: DataFrame, keys: Sequence[str], has_key: Column, latest_by: s
     """The row of each key with the greatest ``latest_by``; equal times are decided by the other columns.
 
     Rows of a key are reduced in the map tasks, so a key with many copies is not gathered in
-    one place. Rows without a key are left as they are.
+    one place. Rows without a key stay as they are: a number of their own tells them apart, so
+    one pass over the batch serves both.
     """
     rest = sorted((c for c in batch.columns if c not in keys), key=lambda c: c != latest_by)
-    single = batch.filter(has_key).groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_row"))
-    return single.select(*keys, "_row.*").select(*batch.columns).unionByName(batch.filter(~has_key))
+    own = F.when(~has_key, F.monotonically_increasing_id())
+    single = batch.withColumn("_own", own).groupBy(*keys, "_own").agg(F.max(F.struct(*rest)).alias("_row"))
+    return single.select(*keys, "_row.*").select(*batch.columns)
 
 
 def unique_batch(
@@ -84,16 +83,13 @@ def _prepared(
     return unique_batch(batch, keys, on_duplicate, on_null_key, only_if_newer or "updated_at")
 
 
-def keys_held(table: DataFrame, batch: DataFrame, batch_rows: int, keys: Sequence[str]) -> DataFrame:
+def keys_held(table: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The keys of ``table`` that ``batch`` has as well, each once.
 
-    With a batch of checked size the table is filtered where it is read. Beyond that its keys
-    are made unique first, in the map tasks, so that a key many rows share is not gathered.
+    Keys of the table are made unique in the map tasks first, so that a key many rows share is
+    not gathered. The batch is a written table, so Spark knows its size and picks the join.
     """
-    held, wanted = table.select(*keys), batch.select(*keys)
-    if batch_rows <= SMALL_BATCH_ROWS:
-        return held.join(F.broadcast(wanted), list(keys), "left_semi").distinct()
-    return held.distinct().join(wanted, list(keys), "left_semi")
+    return table.select(*keys).distinct().join(batch.select(*keys), list(keys), "left_semi")
 
 
 def merge_upsert(
@@ -113,18 +109,21 @@ def merge_upsert(
     ``unique_batch`` is used as it is.
     """
     unique = _prepared(batch, keys, on_duplicate, on_null_key, only_if_newer)
-    return _merged(target, unique, keys, only_if_newer, stamps or {})
+    return _merged(target, unique, keys, keys_held(target, unique.table, keys), only_if_newer, stamps or {})
 
 
 def _merged(
-    target: DataFrame, unique: Batch, keys: Sequence[str], only_if_newer: str | None, stamps: dict[str, Column]
+    target: DataFrame,
+    unique: Batch,
+    keys: Sequence[str],
+    found: DataFrame,
+    only_if_newer: str | None,
+    stamps: dict[str, Column],
 ) -> DataFrame:
-    """Upsert of a batch with unique keys.
+    """Upsert of a batch with unique keys, of which the target has those in ``found``.
 
-    The target is read by one outer join for its new state and once more, keys only, to find
-    which batch keys it has. Neither shuffles the target while the batch is small. Otherwise
-    the target is the left side of the outer join, the side Spark may split when one of its
-    keys is hot.
+    The target is the left side of the outer join for its new state, the side Spark may split
+    when one of its keys is hot.
     """
     batch = unique.table
     unknown = [c for c in (*batch.columns, *stamps) if c not in target.columns]
@@ -148,7 +147,6 @@ def _merged(
 
     updated = target.join(incoming, list(keys), "left").select(*[after(c) for c in target.columns])
 
-    found = keys_held(target, batch, unique.rows, keys)
     fresh = batch.join(found, list(keys), "left_anti").withColumns(stamps)
     inserted = fresh.select(
         *[
@@ -159,31 +157,51 @@ def _merged(
     return updated.unionByName(inserted)
 
 
+@dataclass(frozen=True)
+class Upserted:
+    """What a stored upsert changed: partitions rewritten, and values rows moved from or to."""
+
+    partitions: list
+    moved: dict[str, DataFrame]
+
+
 def upsert_partitions(
     spark: SparkSession,
     path: str,
     partition_column: str,
     batch: DataFrame | Batch,
     keys: Sequence[str],
+    schema: StructType,
+    sort_by: tuple[str, ...] = (),
+    within: Column | str | None = None,
     on_duplicate: str = "error",
     on_null_key: str = "error",
     only_if_newer: str | None = None,
     stamps: dict[str, Column] | None = None,
-) -> list:
+    report: Sequence[str] = (),
+) -> Upserted:
     """Upsert into a partitioned Parquet table, rewriting only the partitions it touches.
 
-    Touched are the partitions the batch writes to and those that hold the old version of one
-    of its rows, found by a scan of the key and partition columns alone. Returns them.
+    The table is read and written with the declared ``schema``, its NOT NULL columns included,
+    and its files are sorted by ``sort_by``; the first load creates it. Touched are the
+    partitions the batch writes to and those that hold the old version of one of its rows,
+    found by one scan of keys, partition column and ``report``. ``within`` bounds that scan for
+    callers who know which partitions can hold old versions. For each column of ``report`` the
+    outcome has the values of old and new versions, each once (``moved``).
     """
     unique = _prepared(batch, keys, on_duplicate, on_null_key, only_if_newer)
-    target = spark.read.parquet(path)
-    held = target.select(*keys, partition_column).join(unique.table.select(*keys), list(keys), "left_semi")
+    target = read_declared(spark, path, schema)
+    wanted = list(dict.fromkeys([*keys, partition_column, *report]))
+    searched = target if within is None else target.filter(within)
+    held = written(searched.select(*wanted).join(unique.table.select(*keys), list(keys), "left_semi"), "held")
     touched = set(partition_values(held, partition_column)) | set(partition_values(unique.table, partition_column))
-    if not touched:
-        return []
-    merged = _merged(in_partitions(target, partition_column, touched), unique, keys, only_if_newer, stamps or {})
-    publish_partitions(written(merged, "merged"), path, partition_column, touched)
-    return sorted(touched, key=str)
+    moved = {c: written(held.select(c).union(unique.table.select(c)).distinct(), "moved") for c in report}
+    if touched:
+        rewritten = in_partitions(target, partition_column, touched)
+        found = held.select(*keys).distinct()
+        merged = written(_merged(rewritten, unique, keys, found, only_if_newer, stamps or {}), "merged")
+        publish_partitions(merged, path, partition_column, touched, sort_by, schema)
+    return Upserted(sorted(touched, key=str), moved)
 
 
 def mark_deleted(

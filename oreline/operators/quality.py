@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oreline.functions.scalars import day, instant, text
+from oreline.scratch import written
 from oreline.sources.schemas import DQ_CHECK_LOG, conform
 
 CRITICAL, WARNING = "CRITICAL", "WARNING"
@@ -169,21 +170,25 @@ ORDER_CHECKS: tuple[Check, ...] = (
 def profile_days(
     df: DataFrame,
     checks: Sequence[Check],
-    first: str | dt.date,
+    first: str | dt.date | None = None,
     last: str | dt.date | None = None,
     day_col: str = "_ingestion_date",
 ) -> DataFrame:
     """Metrics of every run date from ``first`` to ``last``, days without rows included.
 
     One scan, limited to those days and the one before, and one aggregate. The rest works on
-    one row per day.
+    one row per day. Without ``first`` the whole table is profiled, from its first day to its
+    last, and rows without a date as a run of their own.
     """
-    spark, last = df.sparkSession, last or first
+    spark, everything = df.sparkSession, first is None
+    if everything:
+        first, last = df.agg(F.min(day_col), F.max(day_col)).first()
+    last = last or first
     metrics = {name: value for check in checks for name, value in check.metrics().items()}
     metrics[ROWS] = F.count("*")
     in_range = F.col(day_col).between(F.date_sub(day(first), 1), day(last))
     measured = (
-        df.filter(in_range)
+        (df if everything else df.filter(in_range))
         .groupBy(F.col(day_col).alias("_day"))
         .agg(*[value.alias(name) for name, value in metrics.items()])
     )
@@ -191,11 +196,16 @@ def profile_days(
     today = F.struct(F.col("_day").alias("run_date"), *metrics, F.lit(0).cast("bigint").alias(ROWS_BEFORE))
     nothing = [F.lit(0).cast("bigint").alias(name) for name in metrics]
     tomorrow = F.struct(F.date_add("_day", 1).alias("run_date"), *nothing, F.col(ROWS).alias(ROWS_BEFORE))
+    followed = F.when(F.col("_day").isNull(), F.array(today)).otherwise(F.array(today, tomorrow))
     empty = F.struct(F.col("_day").alias("run_date"), *nothing, F.lit(0).cast("bigint").alias(ROWS_BEFORE))
-    calendar = spark.range(1).select(F.explode(F.sequence(day(first), day(last))).alias("_day")).select(F.inline(F.array(empty)))
-    facts = measured.select(F.inline(F.array(today, tomorrow))).unionByName(calendar)
+    facts = measured.select(F.inline(followed))
+    if first is not None:
+        days = spark.range(1).select(F.explode(F.sequence(day(first), day(last))).alias("_day"))
+        facts = facts.unionByName(days.select(F.inline(F.array(empty))))
+        wanted = F.col("run_date").between(day(first), day(last))
+        facts = facts.filter(wanted | F.col("run_date").isNull() if everything else wanted)
     return (
-        facts.filter(F.col("run_date").between(day(first), day(last)))
+        facts
         .groupBy("run_date")
         .agg(*[F.sum(name).alias(name) for name in (*metrics, ROWS_BEFORE)])
     )
@@ -206,12 +216,12 @@ def run_checks(
     table: str,
     pipeline: str,
     checks: Sequence[Check],
-    first: str | dt.date,
+    first: str | dt.date | None = None,
     last: str | dt.date | None = None,
     day_col: str = "_ingestion_date",
     now=None,
 ) -> DataFrame:
-    """Log rows of every check for one run date, or for each date of a range."""
+    """Log rows of every check for one run date, for each date of a range, or for the whole table."""
     rows = []
     for check in checks:
         result = check.outcome()
@@ -250,7 +260,7 @@ class _RowCount(Check):
 
 
 def validate_table(
-    df: DataFrame, table: str, pk: str, first, last=None, day_col: str = "_ingestion_date"
+    df: DataFrame, table: str, pk: str, first=None, last=None, day_col: str = "_ingestion_date"
 ) -> DataFrame:
     """The validator's report, one row per check and run date."""
     log = run_checks(df, table, "validator", validation_checks(table, pk), first, last, day_col)
@@ -270,8 +280,19 @@ def _blocking() -> Column:
 
 
 def gate(results: DataFrame) -> bool:
-    """False if a CRITICAL check failed; warnings never block."""
-    return not results.agg(F.coalesce(F.max(_blocking()), F.lit(False))).first()[0]
+    """False if a CRITICAL check failed or nothing was checked; warnings never block."""
+    found = results.agg(F.count("*").alias("checks"), F.max(F.coalesce(_blocking(), F.lit(False))).alias("blocked")).first()
+    return found.checks > 0 and not found.blocked
+
+
+def run_validation(
+    df: DataFrame, table: str, pk: str, run_date, log_path: str, day_col: str = "_ingestion_date", now=None
+) -> bool:
+    """Check one run date, leave the results in the log and say whether the run may go on."""
+    checks = validation_checks(table, pk)
+    results = written(run_checks(df, table, "validator", checks, run_date, day_col=day_col, now=now), "validation")
+    append_log(results, log_path)
+    return gate(results)
 
 
 def gate_by_day(results: DataFrame) -> DataFrame:

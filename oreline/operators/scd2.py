@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from oreline.functions.scalars import OPEN_END, day, instant, text
-from oreline.operators.merge import keys_held, unique_batch
-from oreline.scratch import written
+from oreline.operators.merge import keys_held, unique_batch, upsert_partitions
+from oreline.sources.layout import ByDate
+from oreline.sources.publish import partition_values, read_declared
 
 
 def _changed(tracked: Sequence[str], mode: str) -> Column:
@@ -80,12 +82,67 @@ def scd2_apply(
     news = incoming.select(key, F.struct(*tracked).alias("_new"))
     carried = current.join(news, key, "left").select(F.inline(versions))
 
-    known = keys_held(current, incoming, unique.rows, [key])
+    known = keys_held(current, incoming, [key])
     first = incoming.join(known, key, "left_anti")
     arrived = first.select(F.inline(F.array(version(_opened(key, tracked, F.col, run, stamp)))))
     return dim.filter(~F.col("is_current")).unionByName(carried).unionByName(arrived)
 
 
+def scd2_delta(
+    current: DataFrame, source: DataFrame, key: str, tracked: Sequence[str], run_date, mode: str = "plain", now=None
+) -> DataFrame:
+    """Only the versions a run closes or opens, in their new state: what has to be stored.
+
+    ``current`` has the current versions; the history is not read. A repeated run for the same
+    date finds nothing to do.
+    """
+    if mode not in ("plain", "null_safe"):
+        raise ValueError("mode: plain or null_safe")
+    run, stamp, columns = day(run_date), instant(now), current.columns
+    incoming = unique_batch(source.select(key, *tracked), [key]).table
+
+    def version(parts: dict[str, Column]) -> Column:
+        return F.struct(*[parts.get(c, F.lit(None)).cast(current.schema[c].dataType).alias(c) for c in columns])
+
+    ended = {c: F.col(c) for c in columns} | {"valid_to": F.date_sub(run, 1), "is_current": F.lit(False), "_updated_at": stamp}
+    successor = _opened(key, tracked, lambda c: F.col(f"_new.{c}"), run, stamp)
+    news = incoming.select(key, F.struct(*tracked).alias("_new"))
+    changed = current.join(news, key).filter(_changed(tracked, mode))
+    first = incoming.join(current.select(key), key, "left_anti")
+    return changed.select(F.inline(F.array(version(ended), version(successor)))).unionByName(
+        first.select(F.inline(F.array(version(_opened(key, tracked, F.col, run, stamp)))))
+    )
+
+
+def scd2_publish(
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    key: str,
+    tracked: Sequence[str],
+    run_date,
+    schema: StructType,
+    layout: ByDate,
+    mode: str = "plain",
+    now=None,
+) -> list:
+    """One run on the stored dimension: rewrites the partitions in which a version closes or opens.
+
+    The table lies under ``layout`` (by the start of validity), sorted by key and ``is_current``;
+    the first run creates it. Returns the partitions rewritten. A second change of a key on the
+    date of its first is an error, as both versions would start on that date.
+    """
+    column = layout.partition_column
+    current = read_declared(spark, path, schema).filter("is_current").drop(column)
+    delta = unique_batch(layout.assign(scd2_delta(current, source, key, tracked, run_date, mode, now)), ["_scd_key", "valid_from"])
+    years = partition_values(delta.table, column)
+    changed = upsert_partitions(
+        spark, path, column, delta, ["_scd_key", "valid_from"], schema, (key, "is_current"),
+        within=F.col(column).isin(years),
+    )
+    return changed.partitions
+
+
 def scd2_current(dim: DataFrame) -> DataFrame:
     return dim.filter("is_current")
 
@@ -112,76 +169,54 @@ def scd2_version_counts(dim: DataFrame, key: str) -> DataFrame:
 
 
 def scd2_asof_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    key: str,
-    date_col: str,
-    attributes: Sequence[str],
-    many_versions: int = 100,
+    fact: DataFrame, dim: DataFrame, key: str, date_col: str, attributes: Sequence[str], unit: str = "YEAR"
 ) -> DataFrame:
     """Facts with the attributes their key had on their date; facts without a version drop out.
 
-    The join is on the key, with the validity range as a further condition, so each fact is
-    compared with all versions of its key. For the keys with more than ``many_versions`` that
-    would be slow: their versions are also laid out by month, and a fact meets only those of
-    its own month. Which keys these are is found first; usually there are none.
+    Versions are laid out by ``unit`` up to the last fact, so a fact meets only versions alive in
+    its own unit: at most one per day of it, however long the history of its key. Facts are the
+    side of the join Spark may split when one key has very many.
     """
-    versions = dim.select(key, "valid_from", "valid_to", *attributes)
-    busy = dim.groupBy(key).count().filter(F.col("count") > many_versions).select(key, F.lit(True).alias("_busy"))
-    busy = written(busy, "busy-keys")
-    during = (F.col(date_col) >= F.col("valid_from")) & (F.col(date_col) <= F.col("valid_to"))
-    if busy.isEmpty():
-        dated = versions.withColumnRenamed(key, "_key")
-        return fact.join(dated, (F.col(key) == F.col("_key")) & during).drop("_key", "valid_from", "valid_to")
-
     last = fact.agg(F.max(date_col)).first()[0]
-    any_month = F.lit("0001-01-01").cast("date")
-
-    def with_month(df: DataFrame, month: Column) -> DataFrame:
-        marked = df.join(busy, key, "left")
-        return marked.withColumn("_month", F.when(F.col("_busy"), month).otherwise(any_month)).drop("_busy")
-
-    facts = with_month(fact, F.trunc(date_col, "MONTH"))
-    until = F.least("valid_to", day(last))
-    months = F.sequence(F.trunc("valid_from", "MONTH"), F.trunc(until, "MONTH"), F.expr("INTERVAL 1 MONTH"))
-    laid = versions.join(busy, key, "left").filter(
-        (F.col("valid_from") <= day(last)) & (F.col("valid_from") <= F.col("valid_to"))
-    )
-    spread = laid.withColumn(
-        "_month", F.explode(F.when(F.col("_busy"), months).otherwise(F.array(any_month)))
-    ).select(F.col(key).alias("_key"), F.col("_month").alias("_version_month"), "valid_from", "valid_to", *attributes)
-    same = (F.col(key) == F.col("_key")) & (F.col("_month") == F.col("_version_month"))
-    return facts.join(spread, same & during).drop("_key", "_month", "_version_month", "valid_from", "valid_to")
+    unit_of = lambda c: F.trunc(c, unit)
+    until = F.least(F.col("valid_to"), day(last) if last else F.lit("0001-01-01").cast("date"))
+    alive = dim.filter(F.col("valid_from") <= until).select(key, "valid_from", "valid_to", *attributes)
+    units = F.explode(F.sequence(unit_of("valid_from"), unit_of(until), F.expr(f"INTERVAL 1 {unit}")))
+    laid = alive.withColumn("_unit", units).withColumnRenamed(key, "_key")
+    same = (F.col(key) == F.col("_key")) & (unit_of(date_col) == F.col("_unit"))
+    during = (F.col(date_col) >= F.col("valid_from")) & (F.col(date_col) <= F.col("valid_to"))
+    return fact.join(laid, same & during).select(*fact.columns, *attributes)
 
 
 def scd2_integrity(dim: DataFrame, key: str) -> DataFrame:
     """Broken keys: a reversed interval, overlapping versions, several current rows, a repeated version key.
 
-    Versions with one start date are folded before the window, so it sorts at most one row
-    per key and calendar day.
+    Versions of a key with one start date are folded before the window, so it sorts at most one
+    row per key and calendar day, and the same rows answer all checks but the last.
     """
-    reversed_ = dim.filter(F.col("valid_to") < F.col("valid_from")).groupBy(key).agg(F.count("*").alias("found"))
-    current = dim.groupBy(key).agg(F.count_if("is_current").alias("found")).filter(F.col("found") > 1)
-    repeated = (
-        dim.groupBy(key, "_scd_key").count().filter(F.col("count") > 1).groupBy(key).agg(F.count("*").alias("found"))
-    )
-    starts = (
-        dim.filter(F.col("valid_to") >= F.col("valid_from"))
-        .groupBy(key, "valid_from")
-        .agg(F.max("valid_to").alias("until"), F.count("*").alias("same_start"))
+    proper = F.col("valid_to") >= F.col("valid_from")
+    starts = dim.groupBy(key, "valid_from").agg(
+        F.max(F.when(proper, F.col("valid_to"))).alias("until"),
+        F.count_if(proper).alias("same_start"),
+        F.count_if(F.col("valid_to") < F.col("valid_from")).alias("reversed"),
+        F.count_if("is_current").alias("current"),
     )
     earlier = Window.partitionBy(key).orderBy("valid_from").rowsBetween(Window.unboundedPreceding, -1)
-    overlap = (
+    overlaps = (F.col("same_start") > 0) & ((F.col("reached") >= F.col("valid_from")) | (F.col("same_start") > 1))
+    by_key = (
         starts.withColumn("reached", F.max("until").over(earlier))
-        .filter((F.col("reached") >= F.col("valid_from")) | (F.col("same_start") > 1))
         .groupBy(key)
-        .agg(F.count("*").alias("found"))
+        .agg(
+            F.sum("reversed").alias("reversed_interval"),
+            F.count_if(F.coalesce(overlaps, F.lit(False))).alias("overlap"),
+            F.sum("current").alias("several_current"),
+        )
+    )
+    found = lambda name, least: F.when(F.col(name) > least, F.struct(F.lit(name).alias("violation"), F.col(name).alias("found")))
+    folded = F.array_compact(F.array(found("reversed_interval", 0), found("overlap", 0), found("several_current", 1)))
+    repeated = (
+        dim.groupBy(key, "_scd_key").count().filter(F.col("count") > 1).groupBy(key).agg(F.count("*").alias("found"))
+    )
+    return by_key.select(key, F.inline(folded)).unionByName(
+        repeated.select(key, F.lit("repeated_scd_key").alias("violation"), "found")
     )
-    parts = {
-        "reversed_interval": reversed_,
-        "overlap": overlap,
-        "several_current": current,
-        "repeated_scd_key": repeated,
-    }
-    labelled = [df.select(key, F.lit(name).alias("violation"), "found") for name, df in parts.items()]
-    return reduce(DataFrame.unionByName, labelled)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from oreline.scratch import written
+
 
 def sessionize(events: DataFrame, user: str, ts: str, gap: str = "30 minutes", slice_unit: str = "HOUR") -> DataFrame:
     """Events with ``session_no``, counting 1, 2, ... per user; a pause of exactly ``gap`` stays inside.
@@ -15,17 +17,22 @@ def sessionize(events: DataFrame, user: str, ts: str, gap: str = "30 minutes", s
     sessions came before a slice and whether its first time continues the last one. The
     events are joined to the numbered times as the side Spark may split.
 
-    Events without a time get no session.
+    Events without a user are sliced by the minute at the widest, as they may be most of a busy
+    hour. Events without a time get no session.
     """
     limit = F.expr(f"INTERVAL {gap}")
     # Inside a struct a missing user equals a missing user, in windows and joins alike.
     keyed = events.withColumn("_user", F.struct(user))
     times = keyed.filter(F.col(ts).isNotNull()).select("_user", ts).distinct()
-    sliced = times.withColumn("_slice", F.date_trunc(slice_unit, F.col(ts)))
+    anonymous = F.col(f"_user.{user}").isNull()
+    narrow = slice_unit if slice_unit.upper() in ("SECOND", "MILLISECOND", "MICROSECOND") else "MINUTE"
+    sliced = times.withColumn("_slice", F.when(anonymous, F.date_trunc(narrow, F.col(ts))).otherwise(F.date_trunc(slice_unit, F.col(ts))))
     inside = Window.partitionBy("_user", "_slice").orderBy(ts)
     pause = F.when(F.col(ts) > F.lag(ts).over(inside) + limit, 1).otherwise(0)
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = sliced.withColumn("_pause", pause).withColumn("_inner", F.sum("_pause").over(so_far)).drop("_pause")
+    # Read twice below: written, the events are scanned for their times once.
+    local = written(local, "session-times")
 
     slices = local.groupBy("_user", "_slice").agg(
         F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.max("_inner").alias("_pauses")

@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from oreline.operators import daily as d
 from oreline.operators import gold
 from oreline.operators.incremental import extract_batch
-from oreline.operators.merge import merge_upsert, unique_batch
+from oreline.operators.merge import upsert_partitions
 from oreline.operators.ranking import customer_segments, top_n_per_group as top_n
 from oreline.operators.sessions import sessionize
+from oreline.plans.load_queries import BY_YEAR, SILVER_SORT, stored_orders
 from oreline.plans.views import DAILY, EVENTS, LOADED_UNTIL, MERGED, ORDERS, RUN_TS, SPEND
 from oreline.scratch import fresh_path
 from oreline.sources import model
+from oreline.sources.publish import read_declared
+from oreline.sources.schemas import ORDERS_SILVER
 
 
 def top_n_per_group(spark: SparkSession, root: str) -> DataFrame:
@@ -88,14 +91,16 @@ def mv_daily_revenue_by_region(spark: SparkSession, root: str) -> DataFrame:
 
 
 def mv_refresh_incremental(spark: SparkSession, root: str) -> DataFrame:
-    """Build the aggregate before a load, load, refresh the dates the load touched."""
-    path = fresh_path(spark, "daily-revenue")
-    before = model.orders_before(spark, root, LOADED_UNTIL)
-    gold.build_daily_revenue(before, path)
-    changes = extract_batch(model.orders_source(spark, root), LOADED_UNTIL, RUN_TS)
-    batch = unique_batch(changes, ["order_id"])
-    dates = [r[0] for r in batch.table.select("order_date").distinct().collect()]
-    gold.refresh_daily_revenue(spark, path, merge_upsert(before, batch, ["order_id"]), dates)
+    """Build the aggregate before a load, load, refresh the dates orders came to or left."""
+    path, silver = fresh_path(spark, "daily-revenue"), stored_orders(spark, root)
+    gold.build_daily_revenue(read_declared(spark, silver, ORDERS_SILVER), path)
+    changes = BY_YEAR.assign(extract_batch(model.orders_source(spark, root), LOADED_UNTIL, RUN_TS))
+    load = upsert_partitions(
+        spark, silver, BY_YEAR.partition_column, changes, ["order_id"], ORDERS_SILVER, SILVER_SORT, report=["order_date"]
+    )
+    # As many as there are calendar days.
+    dates = [r[0] for r in load.moved["order_date"].distinct().collect()]
+    gold.refresh_daily_revenue(spark, path, read_declared(spark, silver, ORDERS_SILVER), dates)
     return gold.read_daily_revenue(spark, path)
 
 

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from oreline.operators import scd2
 from oreline.plans.views import DIM, DIM_BROKEN, DIM_NULL_SAFE, ORDERS_ALL
-from oreline.scratch import written
+from oreline.scratch import fresh_path, written
 from oreline.sources import model
+from oreline.sources.layout import ByDate, write_partitioned
+from oreline.sources.publish import read_declared
+from oreline.sources.schemas import DIM_CUSTOMER, DIM_CUSTOMER_STORED
 
 KEY = "customer_id"
 TRACKED = ("city", "state", "customer_name", "customer_segment")
@@ -42,8 +45,17 @@ def _business(dim: DataFrame) -> DataFrame:
     return dim.drop("_created_at", "_updated_at")
 
 
+BY_START = ByDate("valid_from", unit="year")
+
+
 def scd2_merge(spark: SparkSession, root: str) -> DataFrame:
-    return _business(_history(spark, root))
+    """The stored dimension after two runs that rewrite only partitions with a closed or opened version."""
+    path = fresh_path(spark, "dim-customer")
+    write_partitioned(model.dim_customer_initial(spark, root), path, BY_START, (KEY, "is_current"), DIM_CUSTOMER)
+    for run in (model.FIRST_RUN, model.SECOND_RUN):
+        changes = _changes(model.customers_silver(spark, root, run), run)
+        scd2.scd2_publish(spark, path, changes, KEY, TRACKED, run, DIM_CUSTOMER_STORED, BY_START)
+    return _business(read_declared(spark, path, DIM_CUSTOMER_STORED)).drop(BY_START.partition_column)
 
 
 def scd2_merge_null_safe(spark: SparkSession, root: str) -> DataFrame:

@@ -8,7 +8,7 @@ import re
 
 from pyspark.sql import DataFrame
 
-_NOT_NULL = re.compile(r"isnotnull\([^()]*\)")
+_BARE_NOT_NULL = "isnotnull("
 
 
 def explained(df: DataFrame, mode: str = "formatted") -> str:
@@ -18,6 +18,17 @@ def explained(df: DataFrame, mode: str = "formatted") -> str:
     return out.getvalue()
 
 
+def _without_not_null(filters: str) -> str:
+    """The filters without tests that something is not null, whatever stands in the parentheses."""
+    while (start := filters.find(_BARE_NOT_NULL)) >= 0:
+        depth, end = 1, start + len(_BARE_NOT_NULL)
+        while depth and end < len(filters):
+            depth += {"(": 1, ")": -1}.get(filters[end], 0)
+            end += 1
+        filters = filters[:start] + filters[end:]
+    return filters
+
+
 def partition_filters(df: DataFrame) -> list[str]:
     """One entry per file scan: its partition filters without bare not-null tests.
 
@@ -29,6 +40,6 @@ def partition_filters(df: DataFrame) -> list[str]:
         if not re.match(r"\(\d+\) (Batch)?Scan ", block) or "Location:" not in block:
             continue
         line = re.search(r"^PartitionFilters: \[(.*)\]$", block, re.M)
-        filters = _NOT_NULL.sub("", line.group(1)) if line else ""
+        filters = _without_not_null(line.group(1)) if line else ""
         found.append(filters.strip(" ,"))
     return found

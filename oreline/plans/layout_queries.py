@@ -18,7 +18,7 @@ from oreline.sources.layout import (
     ByTimestampDate,
     estimate_scan,
     expire_partitions as drop_expired,
-    partition_sizes,
+    logical_sizes,
     partition_stats as stats_report,
     read_partitioned,
     write_partitioned,
@@ -33,10 +33,10 @@ from oreline.sources.schemas import (
 
 BY_DAY = ByDate("order_date")
 BY_MONTH = ByDate("order_date", unit="month")
-ALL_TIME = ("1990-01-01", "2029-12-31")
 DAYS_ASKED = ("2024-01-05", "2024-01-25")
-KEEP_DAYS, EXPIRED_AS_OF = 14, "2024-01-31"
+KEEP_DAYS, EXPIRED_AS_OF, MONTHS_EXPIRED_AS_OF = 14, "2024-01-31", "2024-02-24"
 REGION = "ASIA"
+COLUMNS_ASKED = ("order_id", "region", "order_amount", "order_date")
 SORT = ("region", "order_status", "product_category")
 
 
@@ -63,13 +63,16 @@ def _clustered_orders(spark: SparkSession, root: str) -> str:
 def partition_by_date(spark: SparkSession, root: str) -> DataFrame:
     path = fresh_path(spark, "by-date")
     _write_orders(spark, root, path)
-    return _with_ntz(read_partitioned(spark, path, BY_DAY, between=ALL_TIME), "created_at")
+    return _with_ntz(read_partitioned(spark, path, BY_DAY, require=False), "created_at")
 
 
 def partition_by_event_ts(spark: SparkSession, root: str) -> DataFrame:
+    """Some events come without a time; they are in a partition of their own."""
     layout, path = ByTimestampDate("event_timestamp"), fresh_path(spark, "by-event-ts")
-    write_partitioned(model.events(spark, root), path, layout, schema=EVENTS_PARTITIONED)
-    return _with_ntz(read_partitioned(spark, path, layout, between=ALL_TIME), "event_timestamp")
+    timed = F.when(F.col("event_id").cast("bigint") % 97 != 0, F.col("event_timestamp"))
+    events = model.events(spark, root).withColumn("event_timestamp", timed)
+    write_partitioned(events, path, layout, schema=EVENTS_PARTITIONED)
+    return _with_ntz(read_partitioned(spark, path, layout, require=False), "event_timestamp")
 
 
 def partition_by_ingestion(spark: SparkSession, root: str) -> DataFrame:
@@ -85,7 +88,7 @@ def partition_by_ingestion(spark: SparkSession, root: str) -> DataFrame:
 def partition_by_int_range(spark: SparkSession, root: str) -> DataFrame:
     layout, path = ByIntRange("customer_id"), fresh_path(spark, "by-int")
     write_partitioned(model.customers_by_id(spark, root), path, layout, schema=CUSTOMERS_RANGE_PARTITIONED)
-    return read_partitioned(spark, path, layout, between=(0, 2**62)).withColumn(
+    return read_partitioned(spark, path, layout, require=False).withColumn(
         "id_bucket", F.col("id_bucket").cast("bigint")
     )
 
@@ -104,18 +107,27 @@ def guarded_partition_scan(spark: SparkSession, root: str) -> DataFrame:
 def expire_partitions(spark: SparkSession, root: str) -> DataFrame:
     path = fresh_path(spark, "expiring")
     _write_orders(spark, root, path)
-    drop_expired(spark, path, "order_date", KEEP_DAYS, EXPIRED_AS_OF)
+    drop_expired(spark, path, BY_DAY, KEEP_DAYS, EXPIRED_AS_OF)
     return _with_ntz(spark.read.parquet(path), "created_at")
 
 
+def expire_month_partitions(spark: SparkSession, root: str) -> DataFrame:
+    """The cut lies inside a month, which stays whole."""
+    path = fresh_path(spark, "expiring-months")
+    write_partitioned(model.web_orders(spark, root), path, BY_MONTH, schema=ORDERS_PARTITIONED)
+    drop_expired(spark, path, BY_MONTH, KEEP_DAYS, MONTHS_EXPIRED_AS_OF)
+    return _with_ntz(spark.read.parquet(path).drop(BY_MONTH.partition_column), "created_at")
+
+
 def partition_stats(spark: SparkSession, root: str) -> DataFrame:
     table = spark.read.parquet(_orders_by_day(spark, root))
     return stats_report(table, "order_date").select("partition_id", "total_rows")
 
 
 def scan_cost_estimate(spark: SparkSession, root: str) -> DataFrame:
-    sizes = partition_sizes(spark.read.parquet(_orders_by_day(spark, root)), "order_date")
-    return estimate_scan(sizes, F.col("order_date").between(*DAYS_ASKED))
+    """Price of a query that reads four columns of some days."""
+    orders = spark.read.schema(ORDERS_PARTITIONED).parquet(_orders_by_day(spark, root))
+    return estimate_scan(logical_sizes(orders, "order_date", COLUMNS_ASKED), F.col("order_date").between(*DAYS_ASKED))
 
 
 def expensive_jobs(spark: SparkSession, root: str) -> DataFrame:
@@ -131,6 +143,7 @@ QUERIES = {
     "clustered_scan": clustered_scan,
     "guarded_partition_scan": guarded_partition_scan,
     "expire_partitions": expire_partitions,
+    "expire_month_partitions": expire_month_partitions,
     "partition_stats": partition_stats,
     "scan_cost_estimate": scan_cost_estimate,
     "expensive_jobs": expensive_jobs,
@@ -138,17 +151,24 @@ QUERIES = {
 
 ORACLE = {
     "partition_by_date": f"with {WEB_ORDERS} select * from web_orders",
-    "partition_by_event_ts": f"with {EVENTS} select *, cast(event_timestamp as date) as event_date from events_all",
+    "partition_by_event_ts": f"""
+        with {EVENTS},
+        timed as (
+          select * replace (case when cast(event_id as bigint) % 97 = 0 then null else event_timestamp end
+                            as event_timestamp) from events_all
+        )
+        select *, cast(event_timestamp as date) as event_date from timed""",
     "partition_by_ingestion": """
         select props as raw_payload, event_type as source_system, cast(ts as timestamp) as _ingestion_ts,
                case when ts < timestamp '2024-01-16' then date '2024-01-16' else date '2024-01-31' end as _partitiondate
         from events""",
     "partition_by_int_range": f"""
         with {GEO}
-        select c_custkey * 7000 as customer_id, c_name as customer_name, n_name as city, c_mktsegment as segment,
+        select case when c_custkey % 50 = 1 then -7000 else 7000 end * c_custkey as customer_id,
+               c_name as customer_name, n_name as city, c_mktsegment as segment,
                cast(date '2024-01-01' + c_nationkey as date) as created_date,
-               cast(case when c_custkey * 7000 >= 10000000 then 21 else c_custkey * 7000 // 500000 + 1 end as bigint)
-                 as id_bucket
+               cast(case when c_custkey % 50 = 1 then 0 when c_custkey * 7000 >= 10000000 then 21
+                    else c_custkey * 7000 // 500000 + 1 end as bigint) as id_bucket
         from customer join geo on c_nationkey = n_nationkey""",
     "clustered_scan": f"""
         with {ORDERS}
@@ -160,11 +180,24 @@ ORACLE = {
         select order_date, count(*) as orders, cast(sum(order_amount) as decimal(28,2)) as revenue from web_orders
         where order_date between date '{DAYS_ASKED[0]}' and date '{DAYS_ASKED[1]}' group by order_date""",
     "expire_partitions": f"""
-        with {WEB_ORDERS} select * from web_orders where order_date >= date '{EXPIRED_AS_OF}' - {KEEP_DAYS}""",
+        with {WEB_ORDERS} select * from web_orders
+        where order_date is null or order_date >= date '{EXPIRED_AS_OF}' - {KEEP_DAYS}""",
+    "expire_month_partitions": f"""
+        with {WEB_ORDERS} select * from web_orders
+        where order_date is null or last_day(order_date) >= date '{MONTHS_EXPIRED_AS_OF}' - {KEEP_DAYS}""",
     "partition_stats": f"""
         with {WEB_ORDERS}
         select cast(order_date as varchar) as partition_id, count(*) as total_rows from web_orders
-        group by order_date order by order_date desc limit 30""",
+        group by order_date order by order_date desc nulls last limit 30""",
+    "scan_cost_estimate": f"""
+        with {WEB_ORDERS},
+        priced as (
+          select order_date, sum(coalesce(2 + strlen(order_id), 0) + coalesce(2 + strlen(region), 0)
+                   + case when order_amount is null then 0 else 16 end + 8) as total_bytes
+          from web_orders where order_date between date '{DAYS_ASKED[0]}' and date '{DAYS_ASKED[1]}' group by order_date
+        )
+        select count(*) as partitions, cast(sum(total_bytes) as bigint) as bytes_scanned,
+               round(sum(total_bytes) / 1e12 * 5.0, 6) as estimated_cost from priced""",
     "expensive_jobs": """
         select cast(event_id as varchar) as job_id, user_id || '@example.com' as user_email,
                round(event_id * 104857600 / pow(1024, 3), 2) as gb_processed,

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from oreline.operators import incremental as inc
 from oreline.operators.merge import Batch, mark_deleted, merge_upsert as upsert, unique_batch
-from oreline.plans.views import EVENTS, LOADED_UNTIL, MERGED, RUN_TS
+from oreline.plans.views import EVENTS, LOADED_UNTIL, MERGED, ORDERS, RUN_TS
 from oreline.scratch import fresh_path
 from oreline.sources import model
-from oreline.sources.schemas import PIPELINE_WATERMARKS, RAW, conform
-from oreline.streaming.events import read_event_files, stream_to_dates
+from oreline.sources.layout import ByDate, write_partitioned
+from oreline.sources.publish import read_declared
+from oreline.sources.schemas import ORDERS_SILVER, PIPELINE_WATERMARKS, RAW, conform
+from oreline.streaming.events import read_event_files, stream_sessions as sessions_of, stream_to_dates, stream_upsert as upsert_stream
 
 KEY = ["order_id"]
 
@@ -86,6 +89,41 @@ def merge_latest_wins(spark: SparkSession, root: str) -> DataFrame:
     return _ntz(upsert(before, feed, KEY, on_duplicate="latest"), "updated_at")
 
 
+BY_YEAR = ByDate("order_date", unit="year")
+SILVER_SORT = ("region", "order_status")
+HALFWAY = "1999-06-30 00:00:00"
+
+
+def stored_orders(spark: SparkSession, root: str) -> str:
+    """Path of Silver as the earlier load left it, one partition per year."""
+    path = fresh_path(spark, "silver-orders")
+    write_partitioned(BY_YEAR.assign(model.orders_before(spark, root, LOADED_UNTIL)), path, BY_YEAR, SILVER_SORT, ORDERS_SILVER)
+    return path
+
+
+def _two_runs(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """Two windows in a row over the stored table and its watermark; both as they are stored then."""
+    silver, marks = stored_orders(spark, root), fresh_path(spark, "watermarks")
+    seeds = spark.createDataFrame([("orders", LOADED_UNTIL)], "pipeline_name string, ts string")
+    seeds = seeds.select("pipeline_name", F.col("ts").cast("timestamp").alias("last_processed_ts"))
+    inc.store_watermarks(inc.seed_watermarks(inc.read_watermarks(spark, marks), seeds, now=LOADED_UNTIL), marks)
+    for until in (HALFWAY, RUN_TS):
+        inc.run_pipeline(
+            spark, "orders", BY_YEAR.assign(model.orders_source(spark, root)), marks, until, "orders_incremental_job",
+            now=until, target_path=silver, partition_column=BY_YEAR.partition_column, keys=KEY, run_date=until[:10],
+            schema=ORDERS_SILVER, sort_by=SILVER_SORT,
+        )
+    return read_declared(spark, silver, ORDERS_SILVER), inc.read_watermarks(spark, marks)
+
+
+def incremental_run(spark: SparkSession, root: str) -> DataFrame:
+    return _ntz(_two_runs(spark, root)[0], "updated_at", "_silver_updated_at")
+
+
+def incremental_run_marks(spark: SparkSession, root: str) -> DataFrame:
+    return _ntz(_two_runs(spark, root)[1], "last_processed_ts", "last_run_ts")
+
+
 def soft_delete(spark: SparkSession, root: str) -> DataFrame:
     """The source no longer has cancelled orders."""
     before = model.orders_before(spark, root, LOADED_UNTIL).select("order_id", "order_status", "order_amount")
@@ -109,10 +147,36 @@ def stream_bronze_events(spark: SparkSession, root: str) -> DataFrame:
         F.col("props").alias("event_payload"),
         F.col("ts").cast("timestamp").alias("event_timestamp"),
     )
-    stream_to_dates(arriving, "event_timestamp", path, checkpoint).awaitTermination()
+    stream_to_dates(arriving, path, checkpoint).awaitTermination()
     return _ntz(spark.read.parquet(path), "event_timestamp")
 
 
+def stream_upsert(spark: SparkSession, root: str) -> DataFrame:
+    """Changes of orders out of order over several files and micro-batches: the latest change of a key stays."""
+    path, arriving, checkpoint = (fresh_path(spark, n) for n in ("silver-stream", "changes", "changes-checkpoint"))
+    changes = BY_YEAR.assign(model.orders_source(spark, root))
+    early = changes.withColumns({"order_status": F.lit("PENDING"), "updated_at": F.col("order_date").cast("timestamp")})
+    odd = F.col("order_id").cast("bigint") % 2 == 1
+    for part in (changes.filter(odd).unionByName(early.filter(~odd)), early.filter(odd).unionByName(changes.filter(~odd))):
+        part.write.mode("append").parquet(arriving)
+    schema = StructType([f for f in ORDERS_SILVER.fields if f.name in (*changes.columns, "_ingestion_date", "_silver_updated_at")])
+    stream = read_event_files(spark, arriving, changes.schema, files_per_batch=1)
+    upsert_stream(stream, path, BY_YEAR.partition_column, KEY, checkpoint, schema, SILVER_SORT, run_date="2002-01-01").awaitTermination()
+    return _ntz(read_declared(spark, path, schema).drop("_silver_updated_at"), "updated_at")
+
+
+def stream_sessions(spark: SparkSession, root: str) -> DataFrame:
+    """Sessions the watermark has closed, two hours before the last event."""
+    sink, checkpoint = fresh_path(spark, "sessions"), fresh_path(spark, "sessions-checkpoint")
+    events = read_event_files(spark, root, RAW["events"], pattern="events.parquet")
+    timed = events.select("user_id", F.col("ts").cast("timestamp").alias("at"))
+    writer = sessions_of(timed, "user_id", "at").writeStream.format("parquet").option("path", sink)
+    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    last = model.raw(spark, root, "events").agg(F.max("ts")).first()[0]
+    closed = spark.read.parquet(sink).filter(F.col("session_end") < F.lit(str(last)).cast("timestamp") - F.expr("INTERVAL 2 hours"))
+    return _ntz(closed, "session_start", "session_end")
+
+
 QUERIES = {
     "watermark_init": watermark_init,
     "watermark_advance": watermark_advance,
@@ -121,7 +185,11 @@ QUERIES = {
     "merge_latest_wins": merge_latest_wins,
     "soft_delete": soft_delete,
     "reconciliation": reconciliation,
+    "incremental_run": incremental_run,
+    "incremental_run_marks": incremental_run_marks,
     "stream_bronze_events": stream_bronze_events,
+    "stream_upsert": stream_upsert,
+    "stream_sessions": stream_sessions,
 }
 
 _MARKS = """marks as (
@@ -188,5 +256,35 @@ ORACLE = {
                case when source_records = loaded_records then 'PASS'
                     else 'FAIL — investigate before proceeding' end as reconciliation_status
         from counts""",
+    "incremental_run": f"""
+        with {MERGED}
+        select * exclude (_ingestion_date), cast(date_trunc('year', order_date) as date) as order_date_year,
+               case when order_id not in (select order_id from batch) then date '1998-01-01'
+                    when updated_at <= timestamp '{HALFWAY}' then date '{HALFWAY[:10]}'
+                    else date '{RUN_TS[:10]}' end as _ingestion_date,
+               case when order_id not in (select order_id from batch) then timestamp '{LOADED_UNTIL}'
+                    when updated_at <= timestamp '{HALFWAY}' then timestamp '{HALFWAY}'
+                    else timestamp '{RUN_TS}' end as _silver_updated_at
+        from merged""",
+    "incremental_run_marks": f"""
+        with {MERGED}
+        select 'orders' as pipeline_name, timestamp '{RUN_TS}' as last_processed_ts, timestamp '{RUN_TS}' as last_run_ts,
+               (select count(*) from batch where updated_at > timestamp '{HALFWAY}') as records_processed,
+               'orders_incremental_job' as updated_by""",
+    "stream_upsert": f"""
+        with {ORDERS}
+        select * exclude (product_category), cast(date_trunc('year', order_date) as date) as order_date_year,
+               date '2002-01-01' as _ingestion_date
+        from orders_all""",
+    "stream_sessions": """
+        with flagged as (
+          select user_id, ts, case when ts - lag(ts) over (partition by user_id order by ts) < interval 30 minute
+                                   then 0 else 1 end as opens from events
+        ),
+        numbered as (select *, sum(opens) over (partition by user_id order by ts) as n from flagged),
+        sessions as (select user_id, n, min(ts) as session_start, max(ts) as session_end, count(*) as events
+                     from numbered group by user_id, n)
+        select user_id, cast(session_start as timestamp) as session_start, cast(session_end as timestamp) as session_end,
+               events from sessions where session_end < (select max(ts) from events) - interval 2 hour""",
     "stream_bronze_events": f"with {EVENTS} select *, cast(event_timestamp as date) as event_date from events_all",
 }

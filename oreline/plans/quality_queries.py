@@ -7,16 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from oreline.operators import quality as q
-from oreline.plans.views import CHECKS, DAYS, FIRST_DAY, LAST_DAY, LOG, VALIDATOR
+from oreline.plans.views import CHECKS, DAYS, LOG, VALIDATOR
 from oreline.scratch import fresh_path
 from oreline.sources import model
 
 AS_OF = "1998-06-15"
 
 
-def _log(spark: SparkSession, root: str, checks=q.ORDER_CHECKS, first=FIRST_DAY, last=LAST_DAY) -> DataFrame:
+def _log(spark: SparkSession, root: str, checks=q.ORDER_CHECKS, day=None) -> DataFrame:
     lines = model.order_lines(spark, root)
-    return q.run_checks(lines, "orders_silver", "orders_incremental", checks, first, last)
+    return q.run_checks(lines, "orders_silver", "orders_incremental", checks, day)
 
 
 def _one(position: int) -> Callable[[SparkSession, str], DataFrame]:
@@ -34,7 +34,7 @@ def dq_log(spark: SparkSession, root: str) -> DataFrame:
 
 
 def dq_summary(spark: SparkSession, root: str) -> DataFrame:
-    return q.dq_summary(_log(spark, root, first=AS_OF, last=AS_OF), AS_OF).drop("checked_at")
+    return q.dq_summary(_log(spark, root, day=AS_OF), AS_OF).drop("checked_at")
 
 
 def dq_gate(spark: SparkSession, root: str) -> DataFrame:
@@ -44,7 +44,7 @@ def dq_gate(spark: SparkSession, root: str) -> DataFrame:
 def _validator(suffix: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, root: str) -> DataFrame:
         lines = model.order_lines(spark, root)
-        report = q.validate_table(lines, "orders_silver", "order_id", FIRST_DAY, LAST_DAY)
+        report = q.validate_table(lines, "orders_silver", "order_id")
         return report.filter(report.check_name.endswith(suffix))
 
     return query

@@ -41,7 +41,9 @@ web_orders as (
          regexp_extract(props, ': ([0-9]+)', 1) as product_id, cast(value as decimal(18,2)) as order_amount,
          case event_type when 'purchase' then 'COMPLETED' when 'error' then 'CANCELLED' else 'PENDING' end
            as order_status,
-         cast(ts as date) as order_date, r_name as region, cast(ts as timestamp) as created_at
+         case when event_id % 97 = 0 then null when event_id % 89 = 0 then cast(ts as date) + 45
+              else cast(ts as date) end as order_date,
+         r_name as region, cast(ts as timestamp) as created_at
   from events left join customer on user_id = c_custkey left join geo on c_nationkey = n_nationkey
 )"""
 
@@ -53,7 +55,9 @@ MERGED = f"""{ORDERS},
 before as (
   select order_id, customer_id, product_id, order_amount,
          case when updated_at <= timestamp '{LOADED_UNTIL}' then order_status else 'PENDING' end as order_status,
-         order_date, region, product_category,
+         case when updated_at <= timestamp '{LOADED_UNTIL}' or cast(customer_id as bigint) % 5 > 1 then order_date
+              when cast(customer_id as bigint) % 5 = 0 then order_date - 400 end as order_date,
+         region, product_category,
          case when updated_at <= timestamp '{LOADED_UNTIL}' then updated_at
               else cast(order_date as timestamp) end as updated_at
   from orders_all where cast(order_date as timestamp) <= timestamp '{LOADED_UNTIL}'
@@ -83,17 +87,17 @@ LINES = """lines as (
          case when l_quantity = 1 and l_tax = 0 then 'REFUNDED'
               when l_returnflag = 'A' then 'COMPLETED'
               when l_returnflag = 'N' then 'PENDING' else 'CANCELLED' end as order_status,
-         cast(l_shipdate as date) as _ingestion_date
+         case when l_quantity = 49 and l_tax = 0.07 then null else cast(l_shipdate as date) end as _ingestion_date
   from lineitem
 )"""
 
-FIRST_DAY = "1995-01-01"
-LAST_DAY = "2001-11-30"
-
 DAYS = f"""{LINES},
 days as (
   select cast(d as date) as run_date
-  from unnest(generate_series(timestamp '{FIRST_DAY}', timestamp '{LAST_DAY}', interval 1 day)) as g(d)
+  from (select unnest(generate_series(cast(min(_ingestion_date) as timestamp), cast(max(_ingestion_date) as timestamp),
+                                      interval 1 day)) as d from lines)
+  union all
+  select distinct _ingestion_date from lines where _ingestion_date is null
 ),
 counted as (
   select _ingestion_date, count(*) as total_rows, count(distinct order_id) as unique_keys,
@@ -106,7 +110,7 @@ by_day as (
          coalesce(t.null_count, 0) as null_count, coalesce(t.bad_status, 0) as bad_status,
          coalesce(y.total_rows, 0) as yesterday_count,
          abs(coalesce(t.total_rows, 0) - coalesce(y.total_rows, 0)) / nullif(y.total_rows, 0) * 100 as pct_change
-  from days left join counted t on t._ingestion_date = run_date
+  from days left join counted t on t._ingestion_date is not distinct from run_date
             left join counted y on y._ingestion_date = run_date - 1
 )"""
 

@@ -20,6 +20,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def content_mark(spark: SparkSession, path: str) -> str:
+    """Names, sizes and times of what lies in a folder: another mark means other content."""
+    fs, where = _open(spark, path)
+    found = []
+    for status in fs.listStatus(where):
+        inside = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+        found += [f"{s.getPath()} {s.getLen()} {s.getModificationTime()}" for s in inside]
+    return " ".join(sorted(found))
+
+
 def partition_dirs(spark: SparkSession, path: str, column: str) -> dict[str, str]:
     """Partition value -> directory for the top-level partition column of a table."""
     fs, where = _open(spark, path)

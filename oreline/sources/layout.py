@@ -178,22 +178,34 @@ def unexpired(df: DataFrame, column: str, days: int, as_of: str | dt.date) -> Da
     return df.filter(F.col(column) >= F.date_sub(day(as_of), days))
 
 
-def expire_partitions(
-    spark: SparkSession, path: str, column: str, days: int, as_of: str | dt.date
-) -> list[str]:
-    """Delete the date partitions older than ``days`` and return their values.
+def expire_partitions(spark: SparkSession, path: str, layout: Layout, days: int, as_of: str | dt.date) -> list[str]:
+    """Delete the date partitions of which every day is older than ``days``; returns their values.
 
-    Works on directory names only: no data is read and nothing is rewritten.
+    Works on directory names only: no data is read and nothing is rewritten. A month or year goes
+    once its last day has expired; rows without a date stay.
     """
+    if isinstance(layout, ByIntRange):
+        raise ValueError("integer ranges do not expire: use a layout by date")
+    unit = layout.unit if isinstance(layout, ByDate) else "day"
     oldest = dt.date.fromisoformat(str(as_of)) - dt.timedelta(days=days)
     dropped = []
-    for value, directory in partition_dirs(spark, path, column).items():
-        if value != NULL_PARTITION and dt.date.fromisoformat(value) < oldest:
+    for value, directory in partition_dirs(spark, path, layout.partition_column).items():
+        if value != NULL_PARTITION and _last_day(dt.date.fromisoformat(value), unit) < oldest:
             delete_dir(spark, directory)
             dropped.append(value)
     return sorted(dropped)
 
 
+def _last_day(start: dt.date, unit: str) -> dt.date:
+    if unit == "day":
+        return start
+    if unit == "week":
+        return start + dt.timedelta(days=6)
+    months = {"month": 1, "quarter": 3, "year": 12}[unit]
+    after = start.month - 1 + months
+    return dt.date(start.year + after // 12, after % 12 + 1, 1) - dt.timedelta(days=1)
+
+
 def partition_sizes(df: DataFrame, partition_column: str) -> DataFrame:
     """Rows, bytes, files and last change of each partition of a table read from files.
 
@@ -232,6 +244,34 @@ def partition_stats(df: DataFrame, partition_column: str, limit: int = 30) -> Da
     )
 
 
+# Bytes a value counts for when a scan is priced; a text counts its UTF-8 bytes and two more, NULL nothing.
+VALUE_BYTES = {"boolean": 1, "tinyint": 8, "smallint": 8, "int": 8, "bigint": 8, "float": 8, "double": 8, "date": 8}
+VALUE_BYTES |= {"timestamp": 8, "timestamp_ntz": 8}
+DECIMAL_BYTES = 16
+
+
+def logical_sizes(df: DataFrame, partition_column: str, columns: tuple[str, ...] | None = None) -> DataFrame:
+    """Logical bytes per partition of the columns a query reads, whatever the files' encoding."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+
+    def width(column: str) -> Column:
+        kind = kinds[column]
+        if kind == "string":
+            size = F.octet_length(column) + 2
+        elif kind == "binary":
+            size = F.octet_length(column)
+        elif kind.startswith("decimal"):
+            size = F.lit(DECIMAL_BYTES)
+        elif kind in VALUE_BYTES:
+            size = F.lit(VALUE_BYTES[kind])
+        else:
+            raise ValueError(f"no price for {column} {kind}")
+        return F.when(F.col(column).isNull(), 0).otherwise(size).cast("bigint")
+
+    total = sum((width(c) for c in columns or df.columns), F.lit(0).cast("bigint"))
+    return df.groupBy(partition_column).agg(F.sum(total).alias("total_bytes"))
+
+
 BYTES_PER_TB = 10**12
 
 

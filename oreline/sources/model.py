@@ -58,13 +58,17 @@ def orders_source(spark: SparkSession, root: str) -> DataFrame:
 def orders_before(spark: SparkSession, root: str, loaded_until: str) -> DataFrame:
     """Silver as an earlier load left it: orders placed by then, open ones still pending.
 
+    Some open orders were planned for another date, some for none; the load moves them.
     ``product_category`` exists only here, so a merge has a column it must leave alone.
     """
     cut = F.lit(loaded_until).cast("timestamp")
     known = orders(spark, root).filter(F.col("order_date").cast("timestamp") <= cut)
     settled = F.col("updated_at") <= cut
+    kind = F.col("customer_id").cast("bigint") % 5
+    planned = F.when(settled | (kind > 1), F.col("order_date")).when(kind == 0, F.date_sub("order_date", 400))
     return known.withColumns(
         {
+            "order_date": planned,
             "order_status": F.when(settled, F.col("order_status")).otherwise("PENDING"),
             "updated_at": F.when(settled, F.col("updated_at")).otherwise(F.col("order_date").cast("timestamp")),
             "_silver_updated_at": cut,
@@ -74,7 +78,7 @@ def orders_before(spark: SparkSession, root: str, loaded_until: str) -> DataFram
 
 
 def order_lines(spark: SparkSession, root: str) -> DataFrame:
-    """Order lines by ship date, with the duplicate keys, missing keys and odd statuses of a raw feed."""
+    """Order lines by ship date, with the duplicate keys, missing keys, missing dates and odd statuses of a raw feed."""
     quantity, tax = F.col("l_quantity"), F.col("l_tax")
     key = F.concat_ws("-", "l_orderkey", "l_linenumber")
     status = (
@@ -87,7 +91,7 @@ def order_lines(spark: SparkSession, root: str) -> DataFrame:
         F.when((quantity == 50) & (tax == 0.08), F.lit(None)).otherwise(key).alias("order_id"),
         F.col("l_extendedprice").cast(MONEY).alias("order_amount"),
         status.alias("order_status"),
-        F.col("l_shipdate").cast("date").alias("_ingestion_date"),
+        F.when(~((quantity == 49) & (tax == 0.07)), F.col("l_shipdate").cast("date")).alias("_ingestion_date"),
     )
 
 
@@ -102,7 +106,13 @@ def events(spark: SparkSession, root: str) -> DataFrame:
 
 
 def web_orders(spark: SparkSession, root: str) -> DataFrame:
-    """Orders from the event stream, placed in the region of their customer; every event is one."""
+    """Orders from the event stream, placed in the region of their customer; every event is one.
+
+    Some are for a date 45 days ahead, some have none.
+    """
+    date = F.col("ts").cast("date")
+    late = F.when(F.col("event_id") % 89 == 0, F.date_add(date, 45)).otherwise(date)
+    placed_on = F.when(F.col("event_id") % 97 != 0, late)
     customers = raw(spark, root, "customer").select("c_custkey", "c_nationkey")
     placed = raw(spark, root, "events").join(customers, F.col("user_id") == F.col("c_custkey"), "left")
     located = placed.join(
@@ -119,7 +129,7 @@ def web_orders(spark: SparkSession, root: str) -> DataFrame:
         F.get_json_object("props", "$.k").alias("product_id"),
         F.col("value").cast(MONEY).alias("order_amount"),
         status.alias("order_status"),
-        F.col("ts").cast("date").alias("order_date"),
+        placed_on.alias("order_date"),
         F.col("r_name").alias("region"),
         F.col("ts").cast("timestamp").alias("created_at"),
     )
@@ -134,12 +144,12 @@ def raw_events(spark: SparkSession, root: str) -> DataFrame:
 
 
 def customers_by_id(spark: SparkSession, root: str) -> DataFrame:
-    """Customers with ids spread over the integer range layout and past its end."""
+    """Customers with ids spread over the integer range layout and past both of its ends."""
     located = raw(spark, root, "customer").join(
         F.broadcast(_geography(spark, root)), F.col("c_nationkey") == F.col("n_nationkey")
     )
     return located.select(
-        (F.col("c_custkey") * 7000).alias("customer_id"),
+        (F.col("c_custkey") * F.when(F.col("c_custkey") % 50 == 1, -7000).otherwise(7000)).alias("customer_id"),
         F.col("c_name").alias("customer_name"),
         F.col("n_name").alias("city"),
         F.col("c_mktsegment").alias("segment"),

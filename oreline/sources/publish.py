@@ -11,8 +11,20 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from oreline.sources.files import NULL_PARTITION, delete_dir, partition_dirs
+from oreline.sources.files import NULL_PARTITION, delete_dir, exists, partition_dirs
+from oreline.sources.schemas import conform
+
+
+def read_declared(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The table at ``path`` with the declared columns; no rows if there is no table yet.
+
+    Types are never inferred from directory names: a text partition ``01`` stays text.
+    """
+    if not exists(spark, path):
+        return spark.createDataFrame([], StructType([f.__class__(f.name, f.dataType) for f in schema.fields]))
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def partition_values(df: DataFrame, column: str) -> list:
@@ -20,20 +32,29 @@ def partition_values(df: DataFrame, column: str) -> list:
     return [r[0] for r in df.select(column).distinct().collect()]
 
 
-def publish_partitions(staged: DataFrame, path: str, column: str, touched: Iterable) -> list:
+def publish_partitions(
+    staged: DataFrame,
+    path: str,
+    column: str,
+    touched: Iterable,
+    sort_by: tuple[str, ...] = (),
+    schema: StructType | None = None,
+) -> list:
     """Overwrite the ``touched`` partitions with ``staged`` and remove those it leaves empty.
 
     ``staged`` must be a written table holding the complete new content of every touched
-    partition. Returns the removed partition values.
+    partition. Files are sorted by ``sort_by`` inside, like the table's layout, and ``schema``
+    is held to, NOT NULL columns included. Returns the removed partition values.
     """
     spark = staged.sparkSession
     filled = set(partition_values(staged, column))
     extra = filled - set(touched)
     if extra:
         raise ValueError(f"partitions not announced as touched: {sorted(map(str, extra))}")
+    content = conform(staged, schema) if schema is not None else staged
     (
-        staged.hint("rebalance", column)
-        .sortWithinPartitions(column)
+        content.hint("rebalance", column)
+        .sortWithinPartitions(column, *sort_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)

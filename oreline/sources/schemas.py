@@ -93,6 +93,21 @@ PIPELINE_WATERMARKS = _schema(
     },
     required=("pipeline_name", "last_processed_ts"),
 )
+# Orders after a load, one partition per year of the order date.
+ORDERS_SILVER = _schema(
+    {
+        "order_id": _TEXT, "customer_id": _TEXT, "product_id": _TEXT, "order_amount": _MONEY,
+        "order_status": _TEXT, "order_date": _DATE, "region": _TEXT, "product_category": _TEXT, "updated_at": _TIME,
+        "_silver_updated_at": _TIME, "_ingestion_date": _DATE, "order_date_year": _DATE,
+    },
+    required=("order_id",),
+)
+DAILY_REVENUE = _schema(
+    {
+        "order_date": _DATE, "region": _TEXT, "order_status": _TEXT, "total_orders": _LONG,
+        "total_revenue": DecimalType(28, 2), "avg_order_value": DecimalType(22, 6), "order_date_year": _DATE,
+    },
+)
 ORDERS_SOURCE = _schema(
     {
         "order_id": _TEXT, "customer_id": _TEXT, "product_id": _TEXT, "order_amount": _MONEY,
@@ -121,6 +136,8 @@ DQ_CHECK_LOG = _schema(
     },
     required=("check_id",),
 )
+# The dimension as stored: one partition per year versions begin in.
+DIM_CUSTOMER_STORED = StructType([*DIM_CUSTOMER.fields, StructField("valid_from_year", _DATE)])
 JOBS = _schema(
     {
         "job_id": _TEXT, "user_email": _TEXT, "total_bytes_processed": _LONG, "total_bytes_billed": _LONG,

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from oreline.functions.scalars import day
 from oreline.operators.merge import upsert_partitions
+from oreline.sources.schemas import EVENTS_PARTITIONED, conform
 
 
 def read_event_files(
@@ -22,13 +24,24 @@ def read_event_files(
     return reader.parquet(path)
 
 
-def stream_to_dates(events: DataFrame, ts: str, path: str, checkpoint: str) -> StreamingQuery:
+def stream_to_dates(
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    schema: StructType = EVENTS_PARTITIONED,
+    ts: str = "event_timestamp",
+    files_per_date: int = 1,
+) -> StreamingQuery:
     """Append events to one partition per event date and stop when the input is used up.
 
-    The file sink records finished batches, so a batch repeated after a failure is not read twice.
+    Events are held to ``schema``, NOT NULL columns included, and dealt by date before they are
+    written, so a micro-batch leaves at most ``files_per_date`` files in each date it reaches. The
+    file sink records finished batches, so a batch repeated after a failure is not read twice.
     """
+    dated = conform(events, schema).withColumn("event_date", F.to_date(ts))
+    share = F.pmod(F.xxhash64(*schema.names), F.lit(files_per_date))
     return (
-        events.withColumn("event_date", F.to_date(ts))
+        dated.repartition("event_date", share)
         .writeStream.format("parquet")
         .partitionBy("event_date")
         .option("path", path)
@@ -44,18 +57,29 @@ def stream_upsert(
     partition_column: str,
     keys: Sequence[str],
     checkpoint: str,
+    schema: StructType,
+    sort_by: tuple[str, ...] = (),
+    changed_at: str = "updated_at",
+    run_date=None,
     **options,
 ) -> StreamingQuery:
     """Upsert each micro-batch; the checkpoint takes the place of the watermark table.
 
-    A batch can be delivered again after a failure, which the upsert allows for. One batch may
-    change a key more than once, so the latest change wins.
+    A batch can be delivered again after a failure, which the upsert allows for. Changes may come
+    more than once and in any order, within a batch and across batches: the latest by
+    ``changed_at`` wins. Rows written are stamped like those of a batch load, if the table has
+    the columns; ``run_date`` is the load date, by default the day of the batch.
     """
+    stamps = {"_silver_updated_at": F.current_timestamp(), "_ingestion_date": F.current_date() if run_date is None else day(run_date)}
+    settings = {
+        "on_duplicate": "latest",
+        "only_if_newer": changed_at,
+        "stamps": {c: v for c, v in stamps.items() if c in schema.names},
+        **options,
+    }
 
     def upsert(batch: DataFrame, _batch_id: int) -> None:
-        upsert_partitions(
-            batch.sparkSession, path, partition_column, batch, keys, **{"on_duplicate": "latest", **options}
-        )
+        upsert_partitions(batch.sparkSession, path, partition_column, batch, keys, schema, sort_by, **settings)
 
     return _each_batch(changes, upsert, checkpoint)
 
@@ -72,10 +96,11 @@ def _each_batch(stream: DataFrame, action: Callable, checkpoint: str) -> Streami
 def stream_sessions(events: DataFrame, user: str, ts: str, gap: str = "30 minutes", lateness: str = "1 hour") -> DataFrame:
     """Closed sessions of an event stream; events later than ``lateness`` are left out.
 
-    ``ts`` must be a TIMESTAMP with zone. Sessions are merged in the map tasks first, so the
-    events of one busy user are reduced before the shuffle.
+    ``ts`` must be a TIMESTAMP with zone. A pause of exactly ``gap`` ends a session here, as Spark's
+    session windows are open above. With the session setting
+    ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition`` the events of a busy
+    user are reduced before the shuffle; it is the caller's to set.
     """
-    events.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     return (
         events.withWatermark(ts, lateness)
         .groupBy(user, F.session_window(ts, gap).alias("session"))

@@ -34,6 +34,10 @@ def test_refresh_equals_rebuild(spark):
     gold.refresh_daily_revenue(spark, path, changed, dates)
     assert same(gold.read_daily_revenue(spark, path), gold.daily_revenue_by_region(changed))
     assert gold.refresh_daily_revenue(spark, path, changed, []) == []
+    # A day loses its date.
+    lost = changed.withColumn("order_date", F.when(F.col("order_date") != "1995-02-02", F.col("order_date")))
+    gold.refresh_daily_revenue(spark, path, lost, [dt.date(1995, 2, 2), None])
+    assert same(gold.read_daily_revenue(spark, path), gold.daily_revenue_by_region(lost))
 
 
 def test_profile_reads_the_table_once(spark):

@@ -15,6 +15,7 @@ from oreline.sources.layout import (
     PartitionFilterRequired,
     estimate_scan,
     expire_partitions,
+    logical_sizes,
     partition_sizes,
     partition_stats,
     read_partitioned,
@@ -159,11 +160,41 @@ def test_expiry_boundary(spark, days_old, kept):
     date = as_of - dt.timedelta(days=days_old)
     df = spark.createDataFrame([(1, date), (2, as_of), (3, None)], "id int, day date")
     df.write.partitionBy("day").parquet(path)
-    assert expire_partitions(spark, path, "day", 365, as_of) == ([] if kept else [str(date)])
+    assert expire_partitions(spark, path, ByDate("day"), 365, as_of) == ([] if kept else [str(date)])
     assert {r.id for r in spark.read.parquet(path).collect()} == ({1, 2, 3} if kept else {2, 3})
     assert {r.id for r in unexpired(df, "day", 365, as_of).collect()} == ({1, 2} if kept else {2})
 
 
+@pytest.mark.parametrize("unit,last", [("month", dt.date(2023, 12, 31)), ("year", dt.date(2023, 12, 31)), ("quarter", dt.date(2023, 12, 31))])
+@pytest.mark.parametrize("past,kept", [(364, True), (365, True), (366, False)])
+def test_expiry_waits_for_the_last_day(spark, unit, last, past, kept):
+    path, layout = fresh_path(spark, "expiry"), ByDate("day", unit=unit)
+    df = spark.createDataFrame([(1, last), (2, last - dt.timedelta(days=20)), (3, None)], "id int, day date")
+    layout.assign(df).write.partitionBy(layout.partition_column).parquet(path)
+    expire_partitions(spark, path, layout, 365, last + dt.timedelta(days=past))
+    assert {r.id for r in spark.read.parquet(path).collect()} == ({1, 2, 3} if kept else {3})
+
+
+def test_integer_ranges_do_not_expire(spark):
+    with pytest.raises(ValueError, match="integer ranges"):
+        expire_partitions(spark, fresh_path(spark, "ints"), ByIntRange("id"), 365, "2024-01-01")
+
+
+@pytest.mark.parametrize("test", ["cast(p as string) is not null", "year(p) is not null", "p is not null", "coalesce(p, null) is not null"])
+def test_not_null_tests_do_not_pass_the_guard(spark, table, test):
+    with pytest.raises(PartitionFilterRequired):
+        read_partitioned(spark, table, predicate=test)
+    assert read_partitioned(spark, table, predicate=f"{test} and p > date'2024-01-04'").count() > 0
+
+
+def test_logical_bytes(spark):
+    df = spark.createDataFrame(
+        [(1, "é", dt.date(2024, 1, 1), True, 1.5), (None, None, None, None, None)], "a int, b string, c date, d boolean, e double"
+    )
+    assert logical_sizes(df, "c").agg(F.sum("total_bytes")).first()[0] == 8 + 4 + 8 + 1 + 8
+    assert logical_sizes(df, "c", ("b",)).agg(F.sum("total_bytes")).first()[0] == 4
+
+
 def test_partition_report(spark, table):
     df = spark.read.parquet(table)
     rows = partition_stats(df, "p", limit=3).collect()

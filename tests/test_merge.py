@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from oreline.operators.incremental import (
     FAIL,
@@ -9,13 +10,17 @@ from oreline.operators.incremental import (
     advance_watermark,
     extract_batch,
     reconcile,
+    read_watermarks,
     run_incremental,
+    run_pipeline,
     seed_watermarks,
+    store_watermarks,
 )
 from oreline.operators.merge import mark_deleted, merge_upsert, upsert_partitions
 from oreline.plans.explain import explained
 from oreline.scratch import fresh_path
 from oreline.sources.files import partition_dirs
+from oreline.sources.publish import read_declared
 from oreline.sources.schemas import PIPELINE_WATERMARKS
 
 TS = dt.datetime(2024, 1, 1)
@@ -23,6 +28,10 @@ TARGET = "id string, amount int, day date, updated_at timestamp, note string"
 BATCH = "id string, amount int, day date, updated_at timestamp"
 
 
+def declared():
+    return StructType.fromDDL(TARGET)
+
+
 def at(hours):
     return TS + dt.timedelta(hours=hours)
 
@@ -93,7 +102,7 @@ def test_a_small_batch_does_not_shuffle_the_target(spark):
     change = spark.range(5).selectExpr("id", "id as v", "timestamp'2024-01-02' as updated_at")
     plan = explained(merge_upsert(spark.read.parquet(path), change, ["id"]), "simple")
     assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
-    # The one shuffle makes the batch keys found in the target unique.
+    # The one shuffle makes the target's keys unique, for the search of new ones.
     assert plan.count("Exchange hashpartitioning") == 1
 
 
@@ -101,13 +110,44 @@ def test_moved_rows_and_emptied_partitions(spark):
     path = fresh_path(spark, "orders")
     target(spark).write.partitionBy("day").parquet(path)
     before = {d: spark.read.parquet(p).inputFiles() for d, p in partition_dirs(spark, path, "day").items()}
-    touched = upsert_partitions(spark, path, "day", batch(spark, ("a", 10, 3, 2)), ["id"])
-    assert [d.day for d in touched] == [1, 3]
+    load = upsert_partitions(spark, path, "day", batch(spark, ("a", 10, 3, 2)), ["id"], declared(), report=["day"])
+    assert [d.day for d in load.partitions] == [1, 3]
+    assert {r.day.day for r in load.moved["day"].collect()} == {1, 3}
     assert set(partition_dirs(spark, path, "day")) == {"2024-01-02", "2024-01-03"}
     assert rows(spark.read.parquet(path)) == [("a", 10, 3, "keep"), ("b", 2, 2, None)]
     left = partition_dirs(spark, path, "day")["2024-01-02"]
     assert spark.read.parquet(left).inputFiles() == before["2024-01-02"]  # not rewritten
-    assert upsert_partitions(spark, path, "day", batch(spark).limit(0), ["id"]) == []
+    assert upsert_partitions(spark, path, "day", batch(spark).limit(0), ["id"], declared()).partitions == []
+
+
+def test_text_partitions_and_file_order_survive(spark):
+    schema = StructType.fromDDL("id string NOT NULL, amount int, rank int, region string")
+    path = fresh_path(spark, "by-region")
+    rows = [(f"k{i}", i, 99 - i % 50, f"0{i % 2 + 1}") for i in range(100)]
+    first = spark.createDataFrame(rows, "id string, amount int, rank int, region string")
+    upsert_partitions(spark, path, "region", first, ["id"], schema, ("rank", "id"))  # creates the table
+    change = spark.createDataFrame([("k1", -1, 0, "01"), ("new", 5, 7, "10")], first.schema)
+    load = upsert_partitions(spark, path, "region", change, ["id"], schema, ("rank", "id"))
+    assert load.partitions == ["01", "02", "10"]
+    assert set(partition_dirs(spark, path, "region")) == {"01", "02", "10"}
+    after = read_declared(spark, path, schema)
+    assert after.count() == 101 and after.filter("region = '01'").count() == 51
+    for directory in partition_dirs(spark, path, "region").values():
+        for file in spark.read.parquet(directory).inputFiles():
+            found = [(r["rank"], r.id) for r in spark.read.parquet(file).collect()]
+            assert found == sorted(found)
+    keyless = spark.createDataFrame([(None, 1, 1, "01")], first.schema)
+    with pytest.raises(Exception, match="NULL in NOT NULL column id"):
+        upsert_partitions(spark, path, "region", keyless, ["id"], schema, on_null_key="insert")
+    assert read_declared(spark, path, schema).count() == 101
+
+
+def test_the_search_can_be_bounded(spark):
+    path = fresh_path(spark, "bounded")
+    upsert_partitions(spark, path, "day", target(spark), ["id"], declared())
+    load = upsert_partitions(spark, path, "day", batch(spark, ("b", 7, 2, 2)), ["id"], declared(), within="day = date'2024-01-02'")
+    assert [d.day for d in load.partitions] == [2]
+    assert rows(read_declared(spark, path, declared())) == [("a", 1, 1, "keep"), ("b", 7, 2, None)]
 
 
 def test_soft_delete_and_return(spark):
@@ -152,11 +192,35 @@ def test_an_incremental_run_twice(spark):
     spark.createDataFrame(
         [("a", 1, at(0), at(0), dt.date(2024, 1, 1), dt.date(2024, 1, 1))], empty
     ).write.partitionBy("day").parquet(path)
+    schema = StructType.fromDDL(empty)
     source = batch(spark, ("a", 10, 2, 1), ("b", 20, 2, 2), ("late", 1, 2, 9))
     for _ in range(2):
-        load = run_incremental(spark, source, path, "day", ["id"], at(0), at(2), "2024-02-01", now=at(3))
+        load = run_incremental(spark, source, path, "day", ["id"], at(0), at(2), "2024-02-01", schema, now=at(3))
         assert load.records == 2
         assert load.reconciliation.first().reconciliation_status == PASS
         stored = {r.id: (r.amount, r.day.day, r._ingestion_date.month) for r in spark.read.parquet(path).collect()}
         assert stored == {"a": (10, 2, 2), "b": (20, 2, 2)}
     assert [d.day for d in load.touched_partitions] == [2]
+
+
+def test_the_watermark_moves_only_after_a_run_that_worked(spark):
+    path, marks = fresh_path(spark, "silver"), fresh_path(spark, "marks")
+    schema = StructType.fromDDL("id string, amount int, updated_at timestamp, _silver_updated_at timestamp, _ingestion_date date, day date")
+    seeds = spark.createDataFrame([("orders", at(0)), ("other", at(0))], "pipeline_name string, last_processed_ts timestamp")
+    store_watermarks(seed_watermarks(read_watermarks(spark, marks), seeds, now=at(0)), marks)
+    settings = {"target_path": path, "partition_column": "day", "keys": ["id"], "run_date": "2024-02-01", "schema": schema}
+    good = batch(spark, ("a", 1, 1, 1), ("b", 2, 2, 3))
+    twice = batch(spark, ("a", 1, 1, 1), ("a", 2, 1, 1))
+
+    def mark(name):
+        return {r.pipeline_name: r.last_processed_ts for r in read_watermarks(spark, marks).collect()}[name]
+
+    with pytest.raises(ValueError, match="one key"):
+        run_pipeline(spark, "orders", twice, marks, at(2), "job", **settings)
+    assert mark("orders") == at(0)
+    assert run_pipeline(spark, "orders", good, marks, at(2), "job", **settings).records == 1
+    assert run_pipeline(spark, "orders", good, marks, at(4), "job", **settings).records == 1
+    assert (mark("orders"), mark("other")) == (at(4), at(0))
+    assert {r.id for r in read_declared(spark, path, schema).collect()} == {"a", "b"}
+    with pytest.raises(ValueError, match="no watermark"):
+        run_pipeline(spark, "unknown", good, marks, at(4), "job", **settings)

@@ -65,7 +65,25 @@ def test_gate(spark):
     assert passes(day(100, TODAY) + day(10, BEFORE))  # drift alone is a warning
     assert not passes(day(10, TODAY) + [(None, "PENDING", TODAY)])
     assert not passes(day(10, BEFORE))
-    assert q.gate(spark.createDataFrame([], "severity string, status string"))
+    assert not q.gate(spark.createDataFrame([], "severity string, status string"))
+
+
+def test_validation_leaves_the_log_and_decides(spark):
+    path = fresh_path(spark, "validation")
+    df = spark.createDataFrame(day(3, TODAY) + [("k0", "PENDING", BEFORE), ("k0", "PENDING", BEFORE)], SCHEMA)
+    assert q.run_validation(df, "orders", "order_id", TODAY, path)
+    assert not q.run_validation(df, "orders", "order_id", BEFORE, path)
+    assert spark.read.parquet(path).groupBy("run_date").count().count() == 2
+
+
+def test_a_whole_table_has_a_run_for_rows_without_a_date(spark):
+    rows = day(2, TODAY) + day(1, TODAY + dt.timedelta(days=2)) + [("n", "PENDING", None)]
+    found = q.run_checks(spark.createDataFrame(rows, SCHEMA), "t", "p", [q.NotEmpty()]).collect()
+    counts = {r.run_date: r.message.split()[-1] for r in found if r.status == "PASSED"}
+    assert counts == {TODAY: "2", TODAY + dt.timedelta(days=2): "1", None: "1"} and len(found) == 4
+    assert q.run_checks(spark.createDataFrame([], SCHEMA), "t", "p", q.ORDER_CHECKS).isEmpty()
+    undated = q.run_checks(spark.createDataFrame([("n", "PENDING", None)], SCHEMA), "t", "p", q.ORDER_CHECKS)
+    assert undated.count() == 5
 
 
 def test_validator_report(spark):

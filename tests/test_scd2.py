@@ -9,12 +9,15 @@ from oreline.operators.scd2 import (
     scd2_asof_join,
     scd2_current,
     scd2_integrity,
+    scd2_publish,
     scd2_version_counts,
 )
 from oreline.plans.dimension_queries import KEY, TRACKED, _history
 from oreline.scratch import fresh_path, written
-from oreline.sources.publish import publish_version
-from oreline.sources.schemas import DIM_CUSTOMER, create_table
+from oreline.sources.files import partition_dirs
+from oreline.sources.layout import ByDate
+from oreline.sources.publish import publish_version, read_declared
+from oreline.sources.schemas import DIM_CUSTOMER, DIM_CUSTOMER_STORED, create_table
 
 OPEN = dt.date(9999, 12, 31)
 DAY1, DAY2 = dt.date(2024, 1, 1), dt.date(2024, 2, 1)
@@ -143,11 +146,43 @@ def test_asof_join_gives_the_same_for_busy_keys(spark):
     dim = written(busy.unionByName(calm), "dim")
     dates = spark.sql("select explode(sequence(date'2022-12-15', date'2024-01-15')) as order_date")
     facts = dates.select("order_date", F.explode(F.array(F.lit("busy"), F.lit("calm"), F.lit("none"))).alias(KEY))
-    split = scd2_asof_join(facts, dim, KEY, "order_date", ["city"], many_versions=100)
-    plain = scd2_asof_join(facts, dim, KEY, "order_date", ["city"], many_versions=1000)
-    assert plain.count() == 2 * (365 + 15)
-    columns = plain.columns
-    assert split.select(columns).exceptAll(plain).isEmpty() and plain.exceptAll(split.select(columns)).isEmpty()
+    joined = scd2_asof_join(facts, dim, KEY, "order_date", ["city"])
+    by_month = scd2_asof_join(facts, dim, KEY, "order_date", ["city"], unit="MONTH")
+    during = "k = customer_id and order_date between valid_from and valid_to"
+    plain = facts.join(dim.withColumnRenamed(KEY, "k"), F.expr(during)).select("order_date", KEY, "city")
+    assert plain.count() == 2 * (365 + 15) and joined.columns == by_month.columns == ["order_date", KEY, "city"]
+    for df in (joined, by_month):
+        assert df.exceptAll(plain).isEmpty() and plain.exceptAll(df).isEmpty()
+    none = scd2_asof_join(facts.limit(0), dim, KEY, "order_date", ["city"])
+    assert none.isEmpty() and none.columns == joined.columns
+    assert scd2_asof_join(facts, dim.limit(0), KEY, "order_date", ["city"]).isEmpty()
+
+
+def test_a_stored_run_rewrites_only_partitions_with_a_change(spark):
+    path, layout = fresh_path(spark, "dim"), ByDate("valid_from", unit="year")
+
+    def run(date, *rows):
+        source = spark.createDataFrame([(k, c, "S", n, "seg") for k, c, n in rows], "customer_id string, city string, state string, customer_name string, customer_segment string")
+        return scd2_publish(spark, path, source, KEY, TRACKED, date, DIM_CUSTOMER_STORED, layout)
+
+    def files():
+        return {d: sorted(spark.read.parquet(p).inputFiles()) for d, p in partition_dirs(spark, path, "valid_from_year").items()}
+
+    run("2020-05-01", ("a", "A", "x"), ("b", "B", "y"))  # the first run creates the table
+    run("2021-05-01", ("c", "C", "z"))
+    before = files()
+    assert [d.year for d in run("2022-02-02", ("c", "C2", "z"), ("b", "B", "y"))] == [2021, 2022]
+    assert files()["2020-01-01"] == before["2020-01-01"]
+    once = files()
+    assert run("2022-02-02", ("c", "C2", "z"), ("b", "B", "y")) == [] and files() == once
+    rows = read_declared(spark, path, DIM_CUSTOMER_STORED).collect()
+    found = {(r.customer_id, r.city, str(r.valid_from), str(r.valid_to), r.is_current) for r in rows}
+    assert found == {
+        ("a", "A", "2020-05-01", "9999-12-31", True), ("b", "B", "2020-05-01", "9999-12-31", True),
+        ("c", "C", "2021-05-01", "2022-02-01", False), ("c", "C2", "2022-02-02", "9999-12-31", True),
+    }
+    with pytest.raises(ValueError, match="one key"):
+        run("2022-02-02", ("c", "C3", "z"))
 
 
 def test_publish_switches_the_table(spark):

@@ -4,6 +4,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from oreline.operators.sessions import session_summary, sessionize
+from oreline.plans.explain import explained
+from oreline.scratch import fresh_path
 from oreline.sources import model
 
 T0 = dt.datetime(2024, 1, 1, 0, 20)
@@ -49,3 +51,11 @@ def test_one_user_with_everything_equals_the_plain_window(spark):
     summary = session_summary(got, "user_id", "event_timestamp")
     assert summary.agg(F.sum("events")).first()[0] == events.count()
     assert summary.count() == plain.agg(F.max("session_no")).first()[0] > 1
+
+
+def test_the_times_are_scanned_once(spark):
+    path = fresh_path(spark, "events")
+    model.events(spark, "/root/testdata/sf0.001").write.parquet(path)
+    numbered = sessionize(spark.read.parquet(path), "user_id", "event_timestamp")
+    plan = explained(numbered, "simple")
+    assert sum(path in line for line in plan.splitlines() if "FileScan" in line) == 1

@@ -54,9 +54,7 @@ def run(df) -> str:
     return explained(df, "simple").split("== Initial Plan ==")[0]
 
 
-@pytest.mark.parametrize("small", [1_000_000, 0])
-def test_merge_splits_the_hot_key(skewed, table, batch, small, monkeypatch):
-    monkeypatch.setattr(merge, "SMALL_BATCH_ROWS", small)
+def test_merge_splits_the_hot_key(skewed, table, batch):
     merged = merge_upsert(table, batch, ["k"])
     assert "SortMergeJoin(skew=true)" in run(merged)
     old, new = merged.filter("note is not null"), merged.filter("note is null")
@@ -66,9 +64,9 @@ def test_merge_splits_the_hot_key(skewed, table, batch, small, monkeypatch):
     assert sorted(r.k for r in new.select("k").collect()) == sorted(r.k for r in expected_new.collect())
 
 
-def test_large_batches_make_the_target_keys_unique_first(skewed, table, batch, monkeypatch):
-    monkeypatch.setattr(merge, "SMALL_BATCH_ROWS", 0)
-    plan = explained(merge.keys_held(table, batch.table, batch.rows, ["k"]), "simple")
+def test_target_keys_are_made_unique_first_and_nothing_is_broadcast(skewed, table, batch):
+    plan = explained(merge.keys_held(table, batch.table, ["k"]), "simple")
+    assert "Broadcast" not in plan  # the session forbids it
     below = plan.split("LeftSemi")[1]
     assert "HashAggregate(keys=[k" in below  # under the join, on the target's side
 

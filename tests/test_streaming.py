@@ -1,10 +1,13 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from oreline.operators.sessions import session_summary, sessionize
 from oreline.scratch import fresh_path
 from oreline.sources import model
+from oreline.sources.publish import read_declared
 from oreline.sources.schemas import RAW
 from oreline.streaming.events import read_event_files, stream_sessions, stream_to_dates, stream_upsert
 
@@ -14,32 +17,40 @@ RAW_EVENTS = RAW["events"]
 
 def test_ingest_continues_where_it_stopped(spark):
     source, path, checkpoint = (fresh_path(spark, n) for n in ("arriving", "bronze", "checkpoint"))
-    events = model.raw(spark, SMALL, "events")
-    half = F.lit("2024-01-15").cast("timestamp_ntz")
-    for part in (events.filter(F.col("ts") < half), events.filter(F.col("ts") >= half), None):
+    events = model.events(spark, SMALL)
+    half = F.lit("2024-01-15").cast("timestamp")
+    for part in (events.filter(F.col("event_timestamp") < half), events.filter(F.col("event_timestamp") >= half), None):
         if part is not None:
-            part.write.mode("append").parquet(source)
-        stream = read_event_files(spark, source, RAW_EVENTS)
-        stream_to_dates(stream, "ts", path, checkpoint).awaitTermination()
+            part.repartition(8).write.mode("append").parquet(source)
+        stream = read_event_files(spark, source, events.schema)
+        stream_to_dates(stream, path, checkpoint).awaitTermination()
     bronze = spark.read.parquet(path)
     assert bronze.drop("event_date").exceptAll(events).isEmpty() and bronze.count() == events.count()
-    assert bronze.filter(F.col("event_date") != F.to_date("ts")).isEmpty()
+    assert bronze.filter(F.col("event_date") != F.to_date("event_timestamp")).isEmpty()
+    files = bronze.select("event_date", "_metadata.file_path").distinct().groupBy("event_date").count()
+    assert files.agg(F.max("count")).first()[0] <= 2  # the day of the cut is reached twice
+    spark.createDataFrame([(None, "x", "u", "{}", dt.datetime(2024, 1, 1))], events.schema).write.mode("append").parquet(source)
+    with pytest.raises(Exception, match="NULL in NOT NULL column event_id"):
+        stream_to_dates(read_event_files(spark, source, events.schema), path, checkpoint).awaitTermination()
 
 
 def test_upsert_stream(spark):
     schema = "id string, amount int, day date, updated_at timestamp"
+    stored = StructType.fromDDL("id string, amount int, updated_at timestamp, _ingestion_date date, day date")
     source, path, checkpoint = (fresh_path(spark, n) for n in ("changes", "silver", "checkpoint"))
     at = dt.datetime(2024, 1, 1)
 
     def rows(*values):
         return spark.createDataFrame([(i, a, dt.date(2024, 1, d), at + dt.timedelta(hours=h)) for i, a, d, h in values], schema)
 
-    rows(("a", 1, 1, 0)).write.partitionBy("day").parquet(path)
-    for change in (rows(("a", 2, 1, 1), ("a", 3, 2, 2)), rows(("b", 5, 2, 3))):
+    # The last change of "a" is older than what is stored: it must not win.
+    for change in (rows(("a", 1, 1, 0)), rows(("a", 2, 1, 1), ("a", 3, 2, 5)), rows(("b", 5, 2, 3), ("a", 9, 1, 2))):
         change.write.mode("append").parquet(source)
         stream = spark.readStream.schema(schema).parquet(source)
-        stream_upsert(stream, path, "day", ["id"], checkpoint).awaitTermination()
-    assert {(r.id, r.amount, r.day.day) for r in spark.read.parquet(path).collect()} == {("a", 3, 2), ("b", 5, 2)}
+        stream_upsert(stream, path, "day", ["id"], checkpoint, stored, run_date="2024-02-02").awaitTermination()
+    found = read_declared(spark, path, stored).collect()
+    assert {(r.id, r.amount, r.day.day) for r in found} == {("a", 3, 2), ("b", 5, 2)}
+    assert {str(r._ingestion_date) for r in found} == {"2024-02-02"}
 
 
 def test_closed_sessions_equal_the_batch_result(spark):
