@@ -26,12 +26,5 @@ def test_matches_sql(spark, duck, name):
     assert rows, "a query without rows proves nothing"
 
 
-def test_every_sql_has_a_query():
-    assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"scan_cost_estimate"}
-
-
-def test_scan_cost_estimate(spark):
-    row = QUERIES["scan_cost_estimate"](spark, ROOT).first()
-    assert row.partitions == 21 and row.bytes_scanned > 0
-    assert row.estimated_cost == pytest.approx(row.bytes_scanned / 1e12 * 5, abs=1e-6)
+def test_every_query_has_its_sql():
+    assert set(ORACLE) == set(QUERIES)
