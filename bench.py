@@ -37,6 +37,7 @@ HEADLINE = (
     "incremental_extract",
     "merge_upsert",
     "merge_latest_wins",
+    "incremental_run",
     "reconciliation",
     "soft_delete",
     "scd2_merge",

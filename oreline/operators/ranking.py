@@ -98,6 +98,14 @@ def exact_percentiles(df: DataFrame, value: str, quantiles: Sequence[float]) ->
     return percentiles_of(in_order(df.select(value), F.desc_nulls_last(value)), value, quantiles)
 
 
+def approximate_percentiles(
+    df: DataFrame, value: str, quantiles: Sequence[float], accuracy: int = 10_000
+) -> list[float | None]:
+    """Percentiles within a rank error of 1 / ``accuracy``, from one pass and without an order; opt-in."""
+    row = df.agg(F.percentile_approx(F.col(value).cast("double"), list(quantiles), accuracy).alias("found")).first()
+    return list(row.found) if row.found is not None else [None] * len(quantiles)
+
+
 def total_spend(orders: DataFrame) -> DataFrame:
     """Completed spend per customer."""
     completed = orders.filter(F.col("order_status") == "COMPLETED")

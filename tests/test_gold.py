@@ -56,3 +56,9 @@ def test_advice_leaves_out_unique_columns_and_stops_at_four(spark):
     assert [r.column_name for r in advice.collect()] == ["c2", "c3", "c5", "c7"]
     assert gold.clustering_advice(df.limit(0), ["id"]).isEmpty()
     assert gold.cardinality_profile(df, ["empty"]).first().distinct_values == 0
+
+
+def test_approximate_counts_are_close(spark):
+    df = spark.range(50_000).selectExpr("id", "id % 777 as c")
+    found = {r.column_name: r.distinct_values for r in gold.cardinality_profile(df, ["id", "c"], approximate=True).collect()}
+    assert abs(found["id"] - 50_000) < 10_000 and abs(found["c"] - 777) < 160

@@ -118,3 +118,12 @@ def test_tiers_follow_deciles(spark):
     rows = customer_segments(model.orders(spark, SMALL)).collect()
     tiers = {1: "PLATINUM", 2: "GOLD", 3: "GOLD", 4: "SILVER", 5: "SILVER", 6: "SILVER"}
     assert rows and all(r.customer_tier == tiers.get(r.spend_decile, "BRONZE") for r in rows)
+
+
+def test_approximate_percentiles_are_close(spark):
+    from oreline.operators.ranking import approximate_percentiles
+
+    df = spark.range(10_001).selectExpr("cast(id as double) as v")
+    low, high = approximate_percentiles(df, "v", (0.5, 0.9))
+    assert abs(low - 5000) <= 2 and abs(high - 9000) <= 2
+    assert approximate_percentiles(df.limit(0), "v", (0.5,)) == [None]
