@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from . import packed, tokens
 from .common import table, texts, with_rows, written
-from .links import linked_classes
+from .links import TASKS, linked_classes
 
 #: Edit distance (in characters) up to which lines are the same.
 THRESHOLD = 2
@@ -233,24 +233,26 @@ def banded_distance(a: str, b: str, limit: int) -> int:
     return min(score, limit + 1)
 
 
-def _may_link(threshold: int):
-    return lambda left, right: F.abs(F.col(f"{left}n") - F.col(f"{right}n")) <= threshold
+def _send(found: DataFrame):
+    """Puts a line to each of its tasks."""
+    lines = found.select("id", F.col("line_text").cast("binary").alias("payload"))
+    return lambda tasks: tasks.join(lines, "id").select(*TASKS, "payload")
 
 
-def _verified(pairs: DataFrame, found: DataFrame, threshold: int, min_similarity: float) -> DataFrame:
-    left = found.select(F.col("id").alias("a"), F.col("line_text").alias("a_text"))
-    right = found.select(F.col("id").alias("b"), F.col("line_text").alias("b_text"))
+def _compare(threshold: int, min_similarity: float):
+    def read(payloads: list[bytes]) -> tuple[np.ndarray, list[str]]:
+        lines = [p.decode() for p in payloads]
+        return np.array([len(x) for x in lines]), lines
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            near = []
-            for a, b in zip(batch.column("a_text").to_pylist(), batch.column("b_text").to_pylist()):
-                limit = min(threshold, int((1 - min_similarity) * max(len(a), len(b)) + 1e-9))
-                near.append(limit > 0 and banded_distance(a, b, limit) <= limit)
-            mask = pa.array(near, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
+    def partners(left, i: int, right, places: list[int]) -> Iterator[int]:
+        at = np.array(places)
+        size, mine = left[0][i], left[1][i]
+        for j in at[np.abs(right[0][at] - size) <= threshold].tolist():
+            limit = min(threshold, int((1 - min_similarity) * max(size, right[0][j]) + 1e-9))
+            if limit > 0 and banded_distance(mine, right[1][j], limit) <= limit:
+                yield j
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text").mapInArrow(compare, "a bigint, b bigint")
+    return read, partners
 
 
 def line_classes(
@@ -274,7 +276,7 @@ def line_classes(
     keys_per_line = sum((threshold * threshold - gap * gap) // 2 + threshold + 1 for gap in range(threshold + 1))
     members = written(_shared_keys(rows, threshold, packed.range_bits(lines.count() * keys_per_line)), "lines-shared")
     found = written(_texts_of(rows, _gate(members.select("id"))).dropDuplicates(["id"]), "lines-texts")
-    classes = linked_classes(members, found.select("id", "n"), _may_link(threshold), lambda p: _verified(p, found, threshold, min_similarity), "lines")
+    classes = linked_classes(members, _send(found), *_compare(threshold, min_similarity), "lines")
     marked = lines.join(classes.withColumnRenamed("id", "line"), "line", "left").withColumn("class_id", F.coalesce("component", "line"))
     marked = written(marked.select("row", "line_no", "line", "class_id"), "lines-marked")
     firsts = written(marked.groupBy("class_id").agg(F.min(F.struct("row", "line_no", "line")).alias("first")), "lines-firsts")

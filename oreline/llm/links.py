@@ -1,59 +1,129 @@
-"""Connected classes from buckets of candidates, without all pairs of a bucket.
+"""Connected classes from buckets of candidates, without emitting the pairs of a bucket.
 
-Members of a bucket are compared with one leader first. Classes are joined, and only buckets whose
-members still lie in different classes are looked at again, now with every pair of members of different
-classes that passes a cheap test. So a bucket of near copies costs one comparison for each member, and no
-pair that shares a bucket is left out unless its members are in one class already.
+Members of a bucket are compared with one leader first: the member that shares most buckets with others,
+which in a group of near copies is the text the others vary. Classes are joined, and only buckets whose
+members still lie in different classes are looked at again. Their members are dealt to blocks, every two
+blocks meet in one task, and the task returns only links between classes. So a row travels once for each
+block of its bucket, never once for each partner, and no pair that shares a bucket is left out unless its
+members are in one class already.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from typing import Any
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import connected, written
 
+#: Members in a block, about: a leader meets as many in one task, and two blocks meet in one.
+BLOCK = 256
+
+#: Rows of a task: its key, the side a row is on, the row, its class and what is compared.
+TASK_FIELDS = "k1 bigint, k2 int, side int, component bigint, id bigint, payload binary"
+TASKS = ["k1", "k2", "side", "component", "id"]
+LEADER, MEMBER, INSIDE = 0, 1, 2
+
 
 def linked_classes(
-    members: DataFrame, facts: DataFrame, may_link: Callable[[str, str], Column], verify: Callable[[DataFrame], DataFrame], label: str
+    members: DataFrame, send: Callable[[DataFrame], DataFrame], read: Callable[[list[bytes]], Any], partners: Callable[[Any, int, Any, list[int]], Iterator[int]], label: str
 ) -> DataFrame:
     """``id, component`` of the ids that are linked to another one; the component is the smallest id reachable.
 
-    ``members`` has ``bucket, id``; ``facts`` one row ``id, ...`` for each id, whose other columns ``may_link``
-    tests for two prefixes. ``verify`` turns distinct pairs ``a, b`` into the linked ones.
+    ``members`` has ``bucket, id``. ``send`` turns rows of ``TASKS`` into rows of ``TASK_FIELDS``. In a task
+    ``read`` prepares the payloads of a side, and ``partners(left, i, right, places)`` gives, one after the
+    other, which ``places`` of the right side are linked to the i-th of the left.
     """
     members = written(members, f"{label}-members")
-    leaders = members.groupBy("bucket").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = written(members.join(leaders.drop("n"), "bucket"), f"{label}-shared")
-    first = _plausible(members.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), facts, may_link)
-    edges = written(verify(written(first, f"{label}-pairs")), f"{label}-edges")
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = written(members.join(sizes, "bucket"), f"{label}-shared")
+    weights = written(members.groupBy("id").agg(F.sum("n").alias("weight")), f"{label}-weights")
+    ranked = members.join(weights, "id").select("bucket", F.struct("weight", (-F.col("id")).alias("order")).alias("rank"))
+    leaders = written(ranked.groupBy("bucket").agg((-F.max("rank")["order"]).alias("leader")), f"{label}-leaders")
+    pairs = members.join(leaders, "bucket").where("id <> leader").select("leader", "id").distinct()
+    edges = written(_links(_stars(written(pairs, f"{label}-pairs")), send, read, partners), f"{label}-edges")
     classes = connected(edges, f"{label}-components")
 
-    # Buckets whose members are not in one class yet.
-    now = members.join(classes, "id", "left").select("bucket", "id", "leader", F.coalesce("component", "id").alias("component"))
-    now = written(now, f"{label}-classes")
-    open_ = now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-    rest = now.join(open_, "bucket").join(facts, "id")
-    left = rest.select("bucket", "leader", *[F.col(c).alias(f"l_{c}") for c in ("id", "component", *(x for x in facts.columns if x != "id"))])
-    right = rest.select("bucket", *[F.col(c).alias(f"r_{c}") for c in ("id", "component", *(x for x in facts.columns if x != "id"))])
-    more = (
-        left.join(right, "bucket")
-        .where((F.col("l_id") < F.col("r_id")) & (F.col("l_component") != F.col("r_component")) & (F.col("l_id") != F.col("leader")))
-        .where(may_link("l_", "r_"))
-        .select(F.col("l_id").alias("a"), F.col("r_id").alias("b"))
-        .distinct()
-    )
-    more = written(more, f"{label}-more")
-    if more.isEmpty():
+    placed = members.join(classes, "id", "left").select("bucket", "n", "id", F.coalesce("component", "id").alias("component"))
+    placed = written(placed, f"{label}-placed")
+    open_ = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
+    # In a bucket of two both were compared when one led.
+    rest = written(placed.where("n > 2").join(open_, "bucket"), f"{label}-rest")
+    if rest.isEmpty():
         return classes
-    return connected(edges.union(written(verify(more), f"{label}-more-edges")), f"{label}-components")
+    more = written(_links(_blocks(rest), send, read, partners), f"{label}-more-edges")
+    return classes if more.isEmpty() else connected(edges.union(more), f"{label}-components")
+
 
+def _stars(pairs: DataFrame) -> DataFrame:
+    """Tasks of a leader with a share of its members."""
+    shares = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("shares"))
+    share = F.pmod(F.hash("id"), "shares")
+    member = pairs.join(shares, "leader").select(F.col("leader").alias("k1"), share.alias("k2"), F.lit(MEMBER).alias("side"), F.col("id").alias("component"), "id")
+    leader = shares.select(F.col("leader").alias("id"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("k2"))
+    return leader.select(F.col("id").alias("k1"), "k2", F.lit(LEADER).alias("side"), F.col("id").alias("component"), "id").union(member)
 
-def _plausible(pairs: DataFrame, facts: DataFrame, may_link: Callable[[str, str], Column]) -> DataFrame:
-    named = lambda p: facts.select(*[F.col(c).alias(f"{p}{c}") for c in facts.columns])
-    left, right = named("l_"), named("r_")
-    return (
-        pairs.join(left, pairs.a == left.l_id).join(right, F.col("b") == right.r_id).where(may_link("l_", "r_")).select("a", "b")
+
+def _blocks(rest: DataFrame) -> DataFrame:
+    """Tasks of two blocks of a bucket, or of one block by itself."""
+    count = F.ceil(F.col("n") / BLOCK).cast("int")
+    dealt = rest.withColumn("blocks", count).withColumn("mine", F.pmod(F.hash("id", "bucket"), "blocks"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    return dealt.select("bucket", "id", "component", "blocks", "mine", other).select(
+        F.col("bucket").alias("k1"),
+        (F.least("mine", "other") * F.col("blocks") + F.greatest("mine", "other")).alias("k2"),
+        F.when(F.col("mine") == F.col("other"), INSIDE).when(F.col("mine") < F.col("other"), LEADER).otherwise(MEMBER).alias("side"),
+        "component",
+        "id",
     )
+
+
+def _links(tasks: DataFrame, send, read, partners) -> DataFrame:
+    """Links ``a, b`` found in the tasks, enough to connect what is linked."""
+
+    def solve(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        parent: dict[int, int] = {}
+
+        def root(i: int) -> int:
+            while parent.get(i, i) != i:
+                parent[i] = parent.get(parent[i], parent[i])
+                i = parent[i]
+            return i
+
+        sides = {side: [r for r in rows if r[0] == side] for side in (LEADER, MEMBER, INSIDE)}
+        for mine, theirs in ((sides[LEADER], sides[MEMBER]), (sides[INSIDE], sides[INSIDE])):
+            if not mine or not theirs:
+                continue
+            left, right = read([r[3] for r in mine]), read([r[3] for r in theirs])
+            inside = mine is theirs
+            for i, (_, component, a, _) in enumerate(mine):
+                apart = [j for j in range(i + 1 if inside else 0, len(theirs)) if root(theirs[j][1]) != root(component)]
+                for j in partners(left, i, right, apart) if apart else ():
+                    x, y = root(component), root(theirs[j][1])
+                    if x != y:
+                        parent[x] = y
+                        yield a, theirs[j][2]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
+
+        def flush() -> pa.RecordBatch:
+            found = list(solve(rows))
+            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("k1", "k2", "side", "component", "id", "payload")]
+            for k1, k2, *row in zip(*columns):
+                if (k1, k2) != key:
+                    if rows:
+                        yield flush()
+                    key, rows = (k1, k2), []
+                rows.append(tuple(row))
+        if rows:
+            yield flush()
+
+    dealt = send(tasks).repartition("k1", "k2").sortWithinPartitions("k1", "k2")
+    return dealt.mapInArrow(compare, "a bigint, b bigint")

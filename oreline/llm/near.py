@@ -1,7 +1,7 @@
 """Near duplicates by min-max hashing of word shingles.
 
 Each permutation gives two values of a set, its minimum and its maximum; both agree for two sets with a
-probability equal to their Jaccard similarity, so 64 permutations make 128 signature values. Sets that
+probability equal to their Jaccard similarity, so 126 permutations make 252 signature values. Sets that
 share a band of values are candidates, and links are confirmed on the full sets.
 """
 
@@ -16,18 +16,17 @@ from pyspark.sql import functions as F
 
 from . import tokens
 from .common import keep_rows, table, texts, with_rows, written
-from .links import linked_classes
+from .links import TASK_FIELDS, TASKS, linked_classes
 
 SHINGLE = 5
 #: Links need 100 * intersection >= 85 * union.
 PERCENT = 85
-PERMUTATIONS = 64
-#: Signature values in a band; 32 bands of 4 miss a link at 0.85 with probability (1 - 0.85**4)**32 = 6e-11.
-BAND = 4
-#: Members of a leader that one task confirms; the leader's set is sent once for each such share.
-SHARE = 200
-#: Sets to which the 128 one-bit values agree in fewer places are no link (0.85 expects 118, deviation 3).
-MIN_AGREE = 94
+PERMUTATIONS = 126
+#: Signature values in a band; 42 bands of 6 miss a link at 0.85 with probability (1 - 0.85**6)**42 = 2e-9.
+BAND = 6
+#: Sets of which fewer of the one-bit signature values agree are no link: at 0.85 a value agrees with
+#: probability 0.925, and this is seven standard deviations below for 252 values.
+MIN_AGREE = 0.925 - 7 * (0.925 * 0.075 / 252) ** 0.5
 
 _RANDOM = np.random.default_rng(20240229)
 _FACTORS = (_RANDOM.integers(0, 1 << 32, 4096, dtype=np.uint32)) | np.uint32(1)
@@ -71,7 +70,7 @@ def signatures(hashed: np.ndarray, bounds: np.ndarray, permutations: int) -> np.
 
 
 def set_features(rows: DataFrame, shingle: int, permutations: int, band: int) -> DataFrame:
-    """``row, n, d1, d2, s1, s2, bands`` of every row: set size, digest of the set, one-bit signature, band keys."""
+    """``row, n, d1, d2, sketch, bands`` of every row: set size, digest of the set, one-bit signature, band keys."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = 2 * permutations // band
@@ -82,104 +81,86 @@ def set_features(rows: DataFrame, shingle: int, permutations: int, band: int) ->
                 hashed, bounds = shingle_sets(part, own, shingle)
                 n = np.diff(bounds)
                 full = np.flatnonzero(n)
-                d1, d2, s1, s2 = (np.zeros(last - first, dtype=np.uint64) for _ in range(4))
+                d1, d2 = np.zeros(last - first, dtype=np.uint64), np.zeros(last - first, dtype=np.uint64)
                 keys = np.empty((0, bands), dtype=np.uint64)
+                sketches: list[bytes] = [b""] * (last - first)
                 if len(full):
                     heads = bounds[:-1][full]
                     d1[full] = np.add.reduceat(tokens.mix(hashed), heads)
                     d2[full] = np.add.reduceat(tokens.mix(hashed ^ np.uint64(0xC2B2AE3D27D4EB4F)), heads)
                     values = signatures(hashed, np.append(heads, len(hashed)), permutations)
                     # One bit of each value, taken after mixing: minima have small top bits, maxima large ones.
-                    bits = ((values * np.uint32(0x9E3779B1)) >> np.uint32(31)).astype(np.uint8)
-                    packed = np.packbits(bits, axis=1)
-                    packed = np.concatenate([packed, np.zeros((len(full), max(0, 16 - packed.shape[1])), np.uint8)], axis=1)[:, :16]
-                    s1[full], s2[full] = np.ascontiguousarray(packed).view(np.uint64).T
+                    packed = np.packbits(((values * np.uint32(0x9E3779B1)) >> np.uint32(31)).astype(np.uint8), axis=1)
+                    for i, bits in zip(full.tolist(), packed):
+                        sketches[i] = bits.tobytes()
                     keys = np.tile(salt, (len(full), 1))
                     for j in range(band):
                         keys = tokens.mix(keys ^ values[:, j : bands * band : band])
                 ends = np.zeros(last - first + 1, dtype=np.int32)
                 ends[1:] = np.cumsum(n > 0) * bands
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("row").slice(first, last - first), pa.array(n.astype(np.int64))]
-                    + [pa.array(x.view(np.int64)) for x in (d1, d2, s1, s2)]
-                    + [pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel().view(np.int64)))],
-                    ["row", "n", "d1", "d2", "s1", "s2", "bands"],
+                    [batch.column("row").slice(first, last - first), pa.array(n.astype(np.int64)), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64))]
+                    + [pa.array(sketches, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel().view(np.int64)))],
+                    ["row", "n", "d1", "d2", "sketch", "bands"],
                 )
 
-    return rows.mapInArrow(scan, "row bigint, n bigint, d1 bigint, d2 bigint, s1 bigint, s2 bigint, bands array<bigint>")
+    return rows.mapInArrow(scan, "row bigint, n bigint, d1 bigint, d2 bigint, sketch binary, bands array<bigint>")
 
 
-def _may_link(percent: int, permutations: int):
-    """Cheap test of two sets: sizes and one-bit signatures must allow the similarity."""
-    slack = MIN_AGREE if percent == PERCENT and permutations == PERMUTATIONS else 0
-
-    def test(left: str, right: str):
-        small, large = F.least(f"{left}n", f"{right}n"), F.greatest(f"{left}n", f"{right}n")
-        differ = F.bit_count(F.col(f"{left}s1").bitwiseXOR(F.col(f"{right}s1"))) + F.bit_count(F.col(f"{left}s2").bitwiseXOR(F.col(f"{right}s2")))
-        return (100 * small >= percent * large) & (differ <= 128 - slack)
-
-    return test
-
-
-def confirm(rows: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Those of ``pairs`` (``a, b``, row numbers) whose full shingle sets are similar enough.
-
-    Every text goes to the tasks that need its set: a member to its leader's, a leader to as many as its
-    members are shared out over. So neither a text that leads very many pairs nor its members meet in one task.
-    """
-    shares = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / SHARE).cast("int").alias("shares"))
-    as_member = pairs.join(shares, "a").select(F.col("b").alias("row"), F.struct(F.col("a").alias("a"), F.pmod(F.hash("b"), "shares").alias("share"), F.lit(1).alias("role")).alias("to"))
-    as_leader = shares.select(F.col("a").alias("row"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share")).select(
-        "row", F.struct(F.col("row").alias("a"), "share", F.lit(0).alias("role")).alias("to")
-    )
-    wanted = written(as_member.union(as_leader).groupBy("row").agg(F.collect_list("to").alias("to")), "near-wanted")
+def _send(rows: DataFrame, classes: DataFrame, shingle: int):
+    """Puts the sketch and the full shingle set of a text to each of its tasks."""
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = tokens.binary_column(batch, "text")
-            to = batch.column("to")
+            to, sketch = batch.column("to"), batch.column("sketch").to_pylist()
             for first, last, part, own in tokens.chunks(data, offsets):
                 hashed, bounds = shingle_sets(part, own, shingle)
                 raw = hashed.tobytes()
-                sets = pa.array([raw[8 * a : 8 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary())
+                sets = [sketch[first + i] + raw[8 * a : 8 * b] for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist()))]
+                sets = pa.array(sets, pa.binary())
                 mine = to.slice(first, last - first)
                 owner = np.repeat(np.arange(last - first), np.diff(mine.offsets.to_numpy()))
-                # A leader wanted by very many tasks is sent on in parts, so a batch stays small.
+                # A text wanted by very many tasks is sent on in parts, so a batch stays small.
                 flat = mine.flatten()
-                size = np.diff(bounds)[owner] * 8
-                step = np.flatnonzero(np.diff(np.cumsum(size) // (16 << 20))) + 1
+                step = np.flatnonzero(np.diff(np.cumsum(np.diff(bounds)[owner] * 8) // (16 << 20))) + 1
                 for lo, hi in zip([0, *step.tolist()], [*step.tolist(), len(owner)]):
                     at = pa.array(owner[lo:hi])
-                    piece = flat.slice(lo, hi - lo)
-                    yield pa.RecordBatch.from_arrays(
-                        [*piece.flatten(), batch.column("row").slice(first, last - first).take(at), sets.take(at)], ["a", "share", "role", "row", "items"]
-                    )
+                    ids = batch.column("row").slice(first, last - first).take(at)
+                    yield pa.RecordBatch.from_arrays([*flat.slice(lo, hi - lo).flatten(), ids, sets.take(at)], [*TASKS, "payload"])
 
-    sent = rows.join(wanted, "row").mapInArrow(extract, "a bigint, share int, role int, row bigint, items binary")
-    dealt = sent.repartition("a", "share").sortWithinPartitions("a", "share", "role")
+    def send(tasks: DataFrame) -> DataFrame:
+        wanted = tasks.groupBy("id").agg(F.collect_list(F.struct("k1", "k2", "side", "component")).alias("to"))
+        wanted = written(wanted.join(classes.select("id", "sketch"), "id"), "near-wanted").withColumnRenamed("id", "row")
+        return rows.join(wanted, "row").select("row", "text", "to", "sketch").mapInArrow(extract, TASK_FIELDS)
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        leader, lead = None, np.empty(0, np.uint64)
-        for batch in batches:
-            left, right = [], []
-            items = batch.column("items")
-            for i, (a, share, role, row) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "share", "role", "row")))):
-                values = np.frombuffer(items[i].as_buffer(), dtype=np.uint64)
-                if role == 0:
-                    leader, lead = (a, share), values.copy()
-                    continue
-                if leader != (a, share):
-                    raise RuntimeError("a member came without its leader")
-                # Both are sorted and free of repeats: sorted together, shared values stand next to each other.
-                both = np.concatenate([lead, values])
-                both.sort(kind="stable")
-                common = int(np.count_nonzero(both[1:] == both[:-1]))
-                if 100 * common >= percent * (len(both) - common):
-                    left.append(a)
-                    right.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
-
-    return dealt.mapInArrow(compare, "a bigint, b bigint")
+    return send
+
+
+def _compare(percent: int, width: int):
+    """``read`` and ``partners`` for payloads of a sketch of ``width`` bits and a sorted set."""
+    size = (width + 7) // 8
+    differ = int((1 - MIN_AGREE) * width) if percent == PERCENT and width >= 252 else width
+
+    def read(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        sketches = np.frombuffer(b"".join(p[:size] for p in payloads), dtype=np.uint8).reshape(-1, size)
+        sets = [np.frombuffer(p[size:], dtype=np.uint64) for p in payloads]
+        return sketches, np.array([len(s) for s in sets]), sets
+
+    def partners(left, i: int, right, places: list[int]) -> Iterator[int]:
+        at = np.array(places)
+        n, mine = left[1][i], left[2][i]
+        at = at[100 * np.minimum(n, right[1][at]) >= percent * np.maximum(n, right[1][at])]
+        at = at[np.bitwise_count(right[0][at] ^ left[0][i]).sum(axis=1) <= differ]
+        for j in at.tolist():
+            # Both are sorted and free of repeats: sorted together, shared values stand next to each other.
+            both = np.concatenate([mine, right[2][j]])
+            both.sort(kind="stable")
+            common = int(np.count_nonzero(both[1:] == both[:-1]))
+            if 100 * common >= percent * (len(both) - common):
+                yield j
+
+    return read, partners
 
 
 def near_groups(
@@ -208,22 +189,19 @@ def near_groups(
     found = written(set_features(rows, shingle, permutations, band), "near-features")
     # Equal sets are one class from the start, however many; its smallest row stands for it.
     classes = (
-        found.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("row").alias("id"), F.first("s1").alias("s1"), F.first("s2").alias("s2"), F.first("bands").alias("bands"))
+        found.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("row").alias("id"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
     )
     classes = written(classes, "near-classes")
-    components = linked_classes(
-        classes.select("id", F.explode("bands").alias("bucket")).select("bucket", "id"),
-        classes.select("id", "n", "s1", "s2"),
-        _may_link(percent, permutations),
-        lambda pairs: confirm(rows, pairs, shingle, percent),
-        "near",
-    )
+    members = classes.select("id", F.explode("bands").alias("bucket")).select("bucket", "id")
+    components = linked_classes(members, _send(rows, classes, shingle), *_compare(percent, 2 * permutations), "near")
     digest = ["d1", "d2", "n"]
     head = classes.join(components, "id", "left").select(*digest, F.coalesce("component", "id").alias("component"))
+    head = written(head, "near-heads")
     marked = found.select("row", *digest).join(head, digest, "left").select("row", "n", F.coalesce("component", "row").alias("component"))
     marked = written(marked.join(ids, "row"), "near-marked")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
-    firsts = marked.groupBy("component").agg(first)
+    # Written, so that the join below is free to split a component of very many rows.
+    firsts = written(marked.groupBy("component").agg(first), "near-firsts")
     return marked.join(firsts, "component").select(
         "doc_id",
         F.col("n").alias("n_shingles"),

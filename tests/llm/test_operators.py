@@ -8,7 +8,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from oreline.llm import exact, licenses, lines, near, ngrams, repeats, urls
+from oreline.llm import exact, licenses, lines, links, near, ngrams, repeats, urls
 
 from . import brute
 from .fixtures import clashing, frame, made, sample
@@ -65,7 +65,7 @@ def test_near(spark, df, docs, few):
 
 
 def test_near_hot_groups(spark, monkeypatch):
-    monkeypatch.setattr(near, "SHARE", 7)
+    monkeypatch.setattr(links, "BLOCK", 7)
     base = " ".join(f"w{i}" for i in range(200)).split()
     texts = [base[:k] + [f"x{k}"] + base[k + 1 :] for k in range(60)] + [base] * 50 + [base[:150] + [f"y{k}{j}" for j in range(50)] for k in range(20)]
     docs = [(i * 7 % 1009, " ".join(t)) for i, t in enumerate(texts)]
@@ -139,7 +139,8 @@ def test_lines(spark):
     assert {(r.doc_id, r.line_no): (firsts[r.class_id], r.near) for r in got} == want
 
 
-def test_line_variants(spark):
+def test_line_variants(spark, monkeypatch):
+    monkeypatch.setattr(links, "BLOCK", 9)
     base = "a line that is long enough to vary in many places of its text"
     docs = [(k, base[:k] + "#" + base[k + 1 :] + "\n" + base[:k] + base[k + 1 :] + "\nother " + "z" * k) for k in range(40)]
     got = lines.line_classes(frame(spark, docs)).collect()
