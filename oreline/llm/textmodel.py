@@ -1,8 +1,9 @@
 """Sparse text features and small models on them, fitted on a bounded sample of labelled rows.
 
 A text's features are the distinct words in it (runs of letters, digits and bytes beyond ASCII, A-Z in
-lower case) and its distinct runs of punctuation. Which of them matter is read off the sample by a
-chi-squared test, so a model is a table of at most ``max_features`` hashes with weights.
+lower case), how these words begin (their first four and five bytes, so that forms of a word not in the
+sample are known by their stem) and its distinct runs of punctuation. Which of them matter is read off the
+sample by a chi-squared test, so a model is a table of at most ``max_features`` hashes with weights.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from .common import texts, written
 
 #: Labelled rows a model is fitted on, about (rows are drawn by a hash of their id).
 SAMPLE_ROWS = 20_000
-MAX_FEATURES = 1024
+MAX_FEATURES = 256
+STEMS = (4, 5)
 #: Least chi-squared statistic of a feature: at a tenth of toxic texts, five of five that have it are toxic.
 MIN_CHI2 = 40.0
 
@@ -29,14 +31,18 @@ _PUNCTUATION[:33] = False
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and document of every word and punctuation run of a chunk, and the words per document."""
+    """Hash and document of every word, word beginning and punctuation run of a chunk, and the words per document."""
     low = tokens.LOWER[data]
     starts, ends, bounds = tokens.spans(low, offsets, tokens.ALNUM)
     marks, mark_ends, mark_bounds = tokens.spans(low, offsets, _PUNCTUATION)
-    n = len(offsets) - 1
-    hashed = np.concatenate([tokens.hash_slices(low, starts, ends), tokens.hash_slices(low, marks, mark_ends)])
-    owner = np.concatenate([np.repeat(np.arange(n), np.diff(bounds)), np.repeat(np.arange(n), np.diff(mark_bounds))])
-    return hashed, owner, np.diff(bounds)
+    n, hashes = len(offsets) - 1, tokens.slice_hasher(low)
+    of = np.repeat(np.arange(n), np.diff(bounds))
+    hashed, owner = [hashes(starts, ends), hashes(marks, mark_ends)], [of, np.repeat(np.arange(n), np.diff(mark_bounds))]
+    for size in STEMS:
+        longer = ends - starts > size
+        hashed.append(hashes(starts[longer], starts[longer] + size) ^ np.uint64(0x5DEECE66D << size))
+        owner.append(of[longer])
+    return np.concatenate(hashed), np.concatenate(owner), np.diff(bounds)
 
 
 def sample_features(docs: DataFrame, labelled: DataFrame, id_col: str, text_col: str, sample_rows: int, label: str) -> DataFrame:
@@ -124,7 +130,14 @@ def lookup(hashed: np.ndarray, owner: np.ndarray, vocabulary: np.ndarray, weight
     return out
 
 
-def minimise(parameters: np.ndarray, gradient, steps: int = 400, rate: float = 0.05) -> np.ndarray:
+def patterns(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different rows of a 0/1 matrix with their labels, and the share of the sample each stands for."""
+    packed = np.concatenate([np.packbits(x.astype(bool), axis=1), y.astype(np.uint8)[:, None]], axis=1)
+    _, first, counts = np.unique(packed, axis=0, return_index=True, return_counts=True)
+    return x[first], y[first], counts / len(y)
+
+
+def minimise(parameters: np.ndarray, gradient, steps: int = 600, rate: float = 0.1) -> np.ndarray:
     """Adam on the whole sample; the step shrinks to nothing, so runs end at the same place."""
     m = np.zeros_like(parameters)
     v = np.zeros_like(parameters)
@@ -152,12 +165,13 @@ class OrdinalModel:
         return logistic(score[:, None] - self.thresholds[None, :])
 
 
-def fit_ordinal(x: np.ndarray, y: np.ndarray, vocabulary: np.ndarray, grades: int, ridge: float = 1e-4) -> OrdinalModel:
+def fit_ordinal(x: np.ndarray, y: np.ndarray, vocabulary: np.ndarray, grades: int, ridge: float = 1e-5) -> OrdinalModel:
     """Maximum likelihood of the cumulative-link model with a small ridge on the weights."""
     n, d = x.shape
     if n == 0 or grades < 2:
         return OrdinalModel(vocabulary, np.zeros((d, 1)), np.full(max(0, grades - 1), 30.0))
     share = np.array([(y >= k).sum() + 0.5 for k in range(1, grades)]) / (n + 1.0)
+    x, y, share_of = patterns(x, y)
     start = np.maximum.accumulate(np.log((1 - share) / share) + np.arange(grades - 1) * 1e-3)
     steps = np.concatenate([start[:1], np.log(np.maximum(np.diff(start), 1e-3))])
 
@@ -170,9 +184,9 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, vocabulary: np.ndarray, grades: in
         score = x @ w.astype(np.float32)
         upper, lower = logistic(edges[y + 1] - score), logistic(edges[y] - score)
         gap = np.maximum(upper - lower, 1e-9)
-        g_w = x.T @ (1 - upper - lower).astype(np.float32) / n + ridge * w
-        slope_upper, slope_lower = upper * (1 - upper) / gap, lower * (1 - lower) / gap
-        g_t = np.array([slope_lower[y == k].sum() - slope_upper[y == k - 1].sum() for k in range(1, grades)]) / n
+        g_w = x.T @ (share_of * (1 - upper - lower)).astype(np.float32) + ridge * w
+        slope_upper, slope_lower = share_of * upper * (1 - upper) / gap, share_of * lower * (1 - lower) / gap
+        g_t = np.array([slope_lower[y == k].sum() - slope_upper[y == k - 1].sum() for k in range(1, grades)])
         tail = np.cumsum(g_t[::-1])[::-1]
         return np.concatenate([g_w, tail[:1], tail[1:] * np.exp(p[d + 1 :])])
 
@@ -199,14 +213,15 @@ def fit_softmax(x: np.ndarray, y: np.ndarray, vocabulary: np.ndarray, classes: i
     share = (np.bincount(y, minlength=classes) + 0.5) / (n + 0.5 * classes)
     if n == 0:
         return SoftmaxModel(vocabulary, np.zeros((d, classes)), np.log(share))
+    x, y, share_of = patterns(x, y)
     target = np.eye(classes)[y]
 
     def gradient(p: np.ndarray) -> np.ndarray:
         w, b = p[: d * classes].reshape(d, classes), p[d * classes :]
         z = x @ w.astype(np.float32) + b
         z = np.exp(z - z.max(axis=1, keepdims=True))
-        off = z / z.sum(axis=1, keepdims=True) - target
-        return np.concatenate([(x.T @ off.astype(np.float32) / n + ridge * w).ravel(), off.mean(axis=0)])
+        off = share_of[:, None] * (z / z.sum(axis=1, keepdims=True) - target)
+        return np.concatenate([(x.T @ off.astype(np.float32) + ridge * w).ravel(), off.sum(axis=0)])
 
     p = minimise(np.concatenate([np.zeros(d * classes), np.log(share)]), gradient)
     return SoftmaxModel(vocabulary, p[: d * classes].reshape(d, classes), p[d * classes :])

@@ -6,7 +6,7 @@ whole documents of about ``CHUNK_BYTES``, so memory stays bounded by one chunk o
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -86,13 +86,21 @@ def spans(data: np.ndarray, offsets: np.ndarray, in_word: np.ndarray) -> tuple[n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def hash_slices(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of ``data[start:end]`` for every pair, whatever its place in the data."""
+def slice_hasher(data: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Function from starts and ends to the 64-bit hash of each ``data[start:end]``, whatever its place in the data."""
     power, inverse = powers(len(data) + 1)
     sums = np.empty(len(data) + 1, dtype=np.uint64)
     sums[0] = 0
     np.cumsum(_BYTE[data] * power[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+    def hashes(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+    return hashes
+
+
+def hash_slices(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return slice_hasher(data)(starts, ends)
 
 
 def sequence_hashes(words: np.ndarray, n: int) -> np.ndarray:
