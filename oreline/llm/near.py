@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import keep_rows, table, texts, with_rows, written
+from .common import bitmap_literal, keep_rows, table, test_bit, texts, with_rows, written
 from .links import TASK_FIELDS, TASKS, linked_classes
 
 SHINGLE = 5
@@ -108,7 +108,10 @@ def set_features(rows: DataFrame, shingle: int, permutations: int, band: int) ->
 
 
 def _send(rows: DataFrame, classes: DataFrame, shingle: int):
-    """Puts the sketch and the full shingle set of a text to each of its tasks."""
+    """Puts the sketch and the full shingle set of a text to each of its tasks.
+
+    A bitmap of fixed size keeps most texts that no task wants out of the shuffle.
+    """
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,7 +135,8 @@ def _send(rows: DataFrame, classes: DataFrame, shingle: int):
     def send(tasks: DataFrame) -> DataFrame:
         wanted = tasks.groupBy("id").agg(F.collect_list(F.struct("k1", "k2", "side", "component")).alias("to"))
         wanted = written(wanted.join(classes.select("id", "sketch"), "id"), "near-wanted").withColumnRenamed("id", "row")
-        return rows.join(wanted, "row").select("row", "text", "to", "sketch").mapInArrow(extract, TASK_FIELDS)
+        texts_wanted = rows.where(test_bit(bitmap_literal(wanted.select(F.xxhash64("row").alias("h"))), F.xxhash64("row")))
+        return texts_wanted.join(wanted, "row").select("row", "text", "to", "sketch").mapInArrow(extract, TASK_FIELDS)
 
     return send
 
