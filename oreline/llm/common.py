@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreline.scratch import fresh_path, written
+from oreline.scratch import fresh_path
 
 __all__ = ["bitmap_literal", "connected", "documents", "fresh_path", "keep_rows", "numbered", "ship", "table", "test_bit", "texts", "with_rows", "written"]
 
@@ -53,6 +53,17 @@ def numbered(docs: DataFrame, label: str) -> tuple[DataFrame, str]:
     return written(docs.withColumn(name, F.monotonically_increasing_id()), label), name
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once to the shared scratch folder and return the table that was written.
+
+    Lineage ends there, so a lost executor costs no more than its own tasks. Texts and packed
+    strings make up most of such tables, hence the stronger compression.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def with_rows(docs: DataFrame, id_col: str, label: str) -> tuple[DataFrame, str]:
     """``docs`` and the column that tells its rows apart: the id, or a row number if ids repeat or are missing."""
     ids = docs.select(docs[id_col].alias("id")).groupBy("id").count()

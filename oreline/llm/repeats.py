@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import table, texts, with_rows, written
+from .common import bitmap_literal, table, test_bit, texts, with_rows, written
 
 WINDOW = 35
 MINIMISER = 12
@@ -164,6 +164,12 @@ def _count(strings: DataFrame, window: int) -> DataFrame:
     return strings.mapInArrow(count, "k1 bigint, k2 bigint, mask bigint")
 
 
+def _known(rows: DataFrame, some: DataFrame, known: bool = True) -> DataFrame:
+    """Those of ``rows`` that a bitmap of fixed size takes for rows of ``some``, or the others: no text is shuffled for it."""
+    bit = test_bit(bitmap_literal(some.select(F.xxhash64("row").alias("h"))), F.xxhash64("row"))
+    return rows.where(bit if known else ~bit)
+
+
 def repeated_windows(rows: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER) -> DataFrame:
     """``row, found`` for the rows (``row, text``) that hold a window which also occurs elsewhere.
 
@@ -172,9 +178,11 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW, minimiser: int = MIN
     if not 0 < minimiser <= window or window - minimiser + 1 > 63:
         raise ValueError("minimiser must be at most the window and less than 63 words shorter")
     pieces = written(_find(rows, window, minimiser), "repeats-pieces")
-    again = pieces.groupBy("bucket").count().where("count > 1").select("bucket")
+    # Written, so that the join below is free to split a minimiser that occurs very often.
+    again = written(pieces.groupBy("bucket").count().where("count > 1").select("bucket"), "repeats-again")
     per_row = pieces.join(again, "bucket").groupBy("row").agg(F.collect_list(F.struct("start", "n", "bucket")).alias("pieces"))
-    packed = _cut(rows.join(per_row, "row"), window)
+    per_row = written(per_row, "repeats-rows")
+    packed = _cut(_known(rows, per_row).join(per_row, "row"), window)
     keys = [F.xxhash64("packed").alias("k1"), F.xxhash64(F.lit(1), "packed").alias("k2")]
     packed = written(packed.select("row", "start", "bucket", "packed", *keys), "repeats-packed")
     distinct = packed.groupBy("bucket", "packed", "k1", "k2").agg(F.count(F.lit(1)).alias("n"))
@@ -233,7 +241,12 @@ def remove_repeats(
             columns += [pa.array(kept_texts, pa.string())] if keep_text else []
             yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in fields.split(", ")])
 
-    return rows.join(found, "row", "left").mapInArrow(strip, fields)
+    found = written(found, "repeats-found")
+    # Texts without a find keep all their words where they are.
+    hit = _known(rows, found).join(found, "row", "left")
+    kind = found.schema["found"].dataType
+    rest = _known(rows, found, False).withColumn("found", F.lit(None).cast(kind))
+    return hit.select("doc_id", "text", "found").unionByName(rest.select("doc_id", "text", "found")).mapInArrow(strip, fields)
 
 
 def op8_substring_dedup(spark, sf_dir: str) -> DataFrame:
