@@ -23,6 +23,10 @@ ORDER = 2
 BACKOFF = 0.4
 #: N-grams of two or more words count as seen from so many occurrences on; one is the text's own.
 MIN_COUNT = 2
+#: Bytes of text in a chunk: the larger, the more often an n-gram comes again in its chunk and need not travel.
+CHUNK_BYTES = 4 << 20
+#: Bits of hash that tell n-grams apart; sorted differences of a chunk's keys then fit five bytes.
+GRAM_BITS = 60
 
 
 def _chunk_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -32,7 +36,7 @@ def _chunk_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         squeeze = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             data, offsets = tokens.binary_column(batch, "text")
-            for first, last, part, own in tokens.chunks(data, offsets):
+            for first, last, part, own in tokens.chunks(data, offsets, CHUNK_BYTES):
                 n_words = int(tokens.spans(part, own, tokens.NOT_SPACE)[2][-1])
                 ids = pa.ListArray.from_arrays(pa.array([0, last - first], pa.int32()), batch.column("doc_id").slice(first, last - first))
                 ends = pa.array([own[1:].tolist()], pa.list_(pa.int64()))
@@ -55,7 +59,7 @@ def _open(ends: pa.ListScalar, body: pa.Scalar) -> tuple[np.ndarray, np.ndarray]
 def _grams(words: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the n-grams that stay in one document and the positions they begin at."""
     at = tokens.runs_inside(bounds, n)
-    return tokens.sequence_hashes(words, n)[at] ^ np.uint64(n), at
+    return (tokens.sequence_hashes(words, n)[at] ^ np.uint64(n)) >> np.uint64(64 - GRAM_BITS), at
 
 
 def _demands(chunks: DataFrame, order: int, bits: int) -> DataFrame:
@@ -68,9 +72,9 @@ def _demands(chunks: DataFrame, order: int, bits: int) -> DataFrame:
                 out: list[list] = [[], [], [], []]
                 for n in range(1, order + 1):
                     grams, times = np.unique(_grams(words, bounds, n)[0], return_counts=True)
-                    numbers, cuts = packed.slices(grams, bits)
+                    numbers, cuts = packed.slices(grams, bits, GRAM_BITS)
                     for number, a, b in zip(numbers.tolist(), cuts[:-1].tolist(), cuts[1:].tolist()):
-                        for column, value in zip(out, (number, n, packed.pack(grams[a:b]), times[a:b].astype(np.uint32).tobytes())):
+                        for column, value in zip(out, (number, n, packed.pack(grams[a:b]), packed.pack_counts(times[a:b]))):
                             column.append(value)
                 chunk = pa.array([batch.column("chunk")[i].as_py()] * len(out[0]), pa.int64())
                 columns = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), chunk, pa.array(out[2], pa.binary()), pa.array(out[3], pa.binary())]
@@ -95,7 +99,7 @@ def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int]
 
 def _sum(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
     grams = [packed.unpack(r[1]) for r in rows]
-    times = np.concatenate([np.frombuffer(r[2], dtype=np.uint32) for r in rows])
+    times = np.concatenate([packed.unpack_counts(r[2]) for r in rows])
     keys, inverse = np.unique(np.concatenate(grams), return_inverse=True)
     return keys, np.bincount(inverse, weights=times).astype(np.int64), inverse, [len(g) for g in grams]
 
@@ -108,14 +112,14 @@ def _answers(demands: DataFrame) -> DataFrame:
             _, totals, inverse, sizes = _sum(rows)
             each = np.split(totals[inverse], np.cumsum(sizes)[:-1])
             columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([n] * len(rows), pa.int32()), pa.array([number] * len(rows), pa.int64())]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([x.tobytes() for x in each], pa.binary())], ["chunk", "n", "range", "totals"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([packed.pack_counts(x) for x in each], pa.binary())], ["chunk", "n", "range", "totals"])
 
     dealt = demands.repartition("range", "n").sortWithinPartitions("range", "n")
     return dealt.mapInArrow(answer, "chunk bigint, n int, range bigint, totals binary")
 
 
 def ngram_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
-    """The count tables: ``n, gram, count``, where ``gram`` is the 64-bit hash of an n-gram."""
+    """The count tables: ``n, gram, count``, where ``gram`` is the 60-bit hash of an n-gram."""
     chunks = _chunk_table(docs, id_col, text_col)
     bits = packed.range_bits(chunks.agg(F.sum("n_words")).first()[0] or 0)
 
@@ -157,7 +161,7 @@ def backoff_scores(
                 for n in range(1, order + 1):
                     grams, at = _grams(words, bounds, n)
                     _, inverse = np.unique(grams, return_inverse=True)
-                    counts = np.frombuffer(b"".join(by_order[n]), dtype=np.int64)[inverse]
+                    counts = np.concatenate([np.empty(0, np.int64), *map(packed.unpack_counts, by_order[n])])[inverse]
                     word = at + n - 1
                     logs = np.log(counts / before[at])
                     if n == 1:

@@ -8,8 +8,8 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Keys that one range is to hold in all, about.
-RANGE_KEYS = 1 << 21
+#: Keys that one range is to hold in all, about: few enough that a task's range and the rows that bring it are small.
+RANGE_KEYS = 1 << 18
 
 
 def range_bits(keys: float) -> int:
@@ -17,9 +17,9 @@ def range_bits(keys: float) -> int:
     return max(0, int(np.ceil(np.log2(max(1.0, keys / RANGE_KEYS)))))
 
 
-def slices(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the ranges that sorted ``keys`` fall in, and where each begins (one more at the end)."""
-    at = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+def slices(keys: np.ndarray, bits: int, width: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the ranges that sorted keys of ``width`` bits fall in, and where each begins (one more at the end)."""
+    at = (keys >> np.uint64(width - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
     first = np.flatnonzero(np.diff(at, prepend=-1))
     return at[first], np.append(first, len(keys))
 
@@ -33,3 +33,13 @@ def pack(keys: np.ndarray) -> bytes:
 def unpack(raw: bytes) -> np.ndarray:
     planes = np.frombuffer(raw, dtype=np.uint8).reshape(8, -1)
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def pack_counts(counts: np.ndarray) -> bytes:
+    """Counts as 64-bit planes of bytes; most are small, so all planes but the first compress to nothing."""
+    return np.ascontiguousarray(counts.astype(np.int64).view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unpack_counts(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(raw, dtype=np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(np.int64).ravel()
