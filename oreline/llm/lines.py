@@ -1,9 +1,9 @@
 """Repeated and nearly repeated lines by a segment-partition edit join.
 
 Two strings within edit distance t, of which one is cut into t + 1 segments, share one of these segments
-whole. So every line is indexed under its segments and probes, for each length a partner may have, the few
-substrings that could be one. Lines that meet under a segment are candidates; a banded bit-parallel edit
-distance verifies them.
+whole. So every line is indexed under its segments and probes, at the places a partner's segment may have, the
+few substrings that could be one. Lines that meet under a segment are candidates; a banded bit-parallel edit
+distance verifies them. The limit t grows with the length of a line unless the caller fixes it.
 """
 
 from __future__ import annotations
@@ -21,10 +21,18 @@ from .links import TASKS, linked_classes
 
 #: Edit distance (in characters) up to which lines are the same.
 THRESHOLD = 2
+#: Without a fixed threshold, longer lines may differ by one edit in so many characters, up to MAX_EDITS.
+CHARS_PER_EDIT = 12
+MAX_EDITS = 9
 #: Such lines also agree in this share of the longer one's characters.
 MIN_SIMILARITY = 0.8
+#: Lengths of a band grow by this factor; a segment is known by a run of so many of its characters at least.
+BAND_GROWTH = 1.2
+MIN_RUN = 12
 WORD = 64
 GATE_BITS = 1 << 23
+#: Classes of characters counted before two lines are compared.
+LETTERS = 32
 
 _SPACE = np.zeros(0x110000, dtype=bool)
 _SPACE[[32, 9, 11, 12, 13]] = True
@@ -53,27 +61,62 @@ def split_lines(code: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndar
     return owner[first], line[solid[first]] - before[owner[first]], solid[first], solid[last] - solid[first] + 1
 
 
-def segment_keys(sums: np.ndarray, inverse: np.ndarray, start: np.ndarray, size: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def edit_limit(size: int, threshold: int | None, min_similarity: float) -> int:
+    """Edits up to which a line is the same as one of ``size`` characters that is no shorter."""
+    most = min(MAX_EDITS, max(THRESHOLD, size // CHARS_PER_EDIT)) if threshold is None else threshold
+    return min(most, int((1 - min_similarity) * size + 1e-9))
+
+
+def length_bands(longest: int, threshold: int | None, min_similarity: float) -> list[tuple[int, int, int]]:
+    """``low, high, t``: lengths from ``low`` to below ``high``, in which the limit is ``t`` throughout."""
+    bands, low = [], 1
+    while low <= longest:
+        t = edit_limit(low, threshold, min_similarity)
+        high = max(low + 1, int(low * BAND_GROWTH))
+        while high > low + 1 and edit_limit(high - 1, threshold, min_similarity) != t:
+            high -= 1
+        if t:
+            bands.append((low, high, t))
+        low = high
+    return bands
+
+
+def segment_keys(
+    sums: np.ndarray, inverse: np.ndarray, start: np.ndarray, size: np.ndarray, threshold: int | None, min_similarity: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys of all lines, the line each belongs to, and whether it is one of the line's own segments.
 
-    A key stands for (length of the indexed line, segment number, segment). For a partner shorter by ``gap``
-    only places survive at which both the text left and the text right of the segment can be within reach.
+    A key stands for (length band, segment number, smallest hash among the segment's runs of characters). The
+    lines of a band, and shorter ones within reach of it, are indexed under segments at the same places. The
+    lines of the band probe at those places at which the text left and right of the segment can be within reach;
+    neighbouring places mostly have the same smallest hash, so a probe costs few keys.
     """
-    keys, owners, own = [], [], []
-    lines = np.arange(len(start))
-    for gap in range(threshold + 1):
-        length = size - gap
-        base, extra = length // (threshold + 1), length % (threshold + 1)
-        for i in range(threshold + 1):
-            longer = threshold + 1 - extra  # segments from this one on have one character more
-            seg = base + (i >= longer)
-            at = i * base + np.maximum(0, i - longer)
-            for shift in range(max(-i, gap - (threshold - i)), min(i, gap + threshold - i) + 1):
-                ok = (length > threshold) & (at + shift >= 0) & (at + shift + seg <= size)
-                hashed = _slice_hash(sums, inverse, (start + at + shift)[ok], seg[ok])
-                keys.append(tokens.mix(hashed ^ (length[ok].astype(np.uint64) * np.uint64(threshold + 1) + np.uint64(i))))
-                owners.append(lines[ok])
-                own.append(np.full(int(ok.sum()), gap == 0 and shift == 0))
+    keys, owners, own = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, bool)]
+    for low, high, t in length_bands(int(size.max(initial=0)), threshold, min_similarity):
+        lines = np.flatnonzero((size >= low - t) & (size < high))
+        if not len(lines):
+            continue
+        begin, n, probing = start[lines], size[lines], size[lines] >= low
+        seg = max(0, low - t) // (t + 1)
+        run = min(seg, max(MIN_RUN, seg // 2))
+        for i in range(t + 1 if seg else 1):
+            least, most = (-min(i, t - i), i) if seg else (0, 0)
+            at = i * seg + np.arange(least, most + seg - run + 1)
+            inside = (at >= 0) & (at + run <= n[:, None])
+            hashed = np.where(inside, _slice_hash(sums, inverse, np.where(inside, begin[:, None] + at, 0), np.full(1, run)), ~np.uint64(0))
+            width = 1
+            while width < seg - run + 1:
+                step = min(width, seg - run + 1 - width)
+                hashed = np.minimum(hashed[:, :-step], hashed[:, step:])
+                width += step
+            place = i * seg + np.arange(least, most + 1)
+            ok = (place >= 0) & (place + seg <= n[:, None]) & probing[:, None] & (hashed != hashed[:, -least, None])
+            ok[:, 1:] &= (hashed[:, 1:] != hashed[:, :-1]) | ~ok[:, :-1]
+            ok[:, -least] = True
+            row, column = np.nonzero(ok)
+            keys.append(tokens.mix(hashed[row, column] ^ tokens.mix(np.full(1, (low << 8) + i + 1, np.uint64))))
+            owners.append(lines[row])
+            own.append(column == -least)
     return np.concatenate(keys), np.concatenate(owners), np.concatenate(own)
 
 
@@ -104,31 +147,41 @@ def line_table(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(scan, "row bigint, line_no int, line bigint")
 
 
-def _shared_keys(rows: DataFrame, threshold: int, bits: int) -> DataFrame:
+def _shared_keys(rows: DataFrame, threshold: int | None, min_similarity: float, bits: int) -> DataFrame:
     """``bucket, id``: lines under each key that at least two lines share, one of them by its own segment."""
 
+    reach = MAX_EDITS if threshold is None else threshold
+
     def demand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, _, _, start, size, sums, inverse, line in _chunk_lines(batch):
                 if not len(start):
                     continue
                 _, once = np.unique(line, return_index=True)
-                keys, owner, own = segment_keys(sums, inverse, start[once], size[once], threshold)
+                keys, owner, own = segment_keys(sums, inverse, start[once], size[once], threshold, min_similarity)
                 order = np.argsort(keys)
                 keys, lines, own = keys[order], line[once][owner[order]], own[order]
+                sizes = np.minimum(size[once][owner[order]], 0xFFFF).astype(np.uint16)
                 numbers, cuts = packed.slices(keys, bits)
                 spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
                 columns = [pa.array(numbers)] + [pa.array([f(a, b) for a, b in spans], pa.binary()) for f in (
-                    lambda a, b: packed.pack(keys[a:b]), lambda a, b: lines[a:b].tobytes(), lambda a, b: np.packbits(own[a:b]).tobytes())]
-                yield pa.RecordBatch.from_arrays(columns, ["range", "keys", "ids", "own"])
-
-    def shared(keys: np.ndarray, ids: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
-        order = np.lexsort((~own, ids, keys))
-        keys, ids, own = keys[order], ids[order], own[order]
+                    lambda a, b: packed.pack(keys[a:b]), lambda a, b: lines[a:b].tobytes(), lambda a, b: np.packbits(own[a:b]).tobytes(), lambda a, b: sizes[a:b].tobytes())]
+                yield pa.RecordBatch.from_arrays(columns, ["range", "keys", "ids", "own", "sizes"])
+
+    def shared(keys: np.ndarray, ids: np.ndarray, own: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
+        order = np.argsort(keys)
+        same = np.append(keys[order][1:] == keys[order][:-1], False)
+        same[1:] |= same[:-1]
+        order = order[same]
+        order = order[np.lexsort((~own[order], ids[order], keys[order]))]
+        keys, ids, own, size = keys[order], ids[order], own[order], size[order]
         new = np.ones(len(keys), dtype=bool)
         new[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
-        keys, ids, own = keys[new], ids[new], own[new]
-        group = np.cumsum(np.diff(keys, prepend=~keys[:1]) != 0) - 1
+        keys, ids, own, size = keys[new], ids[new], own[new], size[new]
+        # Lines of one key can be linked only if a chain of lengths leads from one to the other.
+        order = np.lexsort((size, keys))
+        keys, ids, own, size = keys[order], ids[order], own[order], size[order].astype(np.int64)
+        group = np.cumsum((np.diff(keys, prepend=~keys[:1]) != 0) | (np.diff(size, prepend=0) > reach)) - 1
         useful = (np.bincount(group) > 1) & (np.bincount(group, weights=own) > 0)
         keep = useful[group]
         return pa.RecordBatch.from_arrays([pa.array(keys[keep].view(np.int64)), pa.array(ids[keep].view(np.int64))], ["bucket", "id"])
@@ -136,18 +189,18 @@ def _shared_keys(rows: DataFrame, threshold: int, bits: int) -> DataFrame:
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, []
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("range", "keys", "ids", "own"))):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("range", "keys", "ids", "own", "sizes"))):
                 if row[0] != current and held:
                     yield shared(*(np.concatenate(x) for x in zip(*held)))
                     held = []
                 current = row[0]
                 keys = packed.unpack(row[1])
                 own = np.unpackbits(np.frombuffer(row[3], np.uint8), count=len(keys)).astype(bool)
-                held.append((keys, np.frombuffer(row[2], dtype=np.uint64), own))
+                held.append((keys, np.frombuffer(row[2], dtype=np.uint64), own, np.frombuffer(row[4], dtype=np.uint16)))
         if held:
             yield shared(*(np.concatenate(x) for x in zip(*held)))
 
-    sent = rows.select("text").mapInArrow(demand, "range bigint, keys binary, ids binary, own binary")
+    sent = rows.select("text").mapInArrow(demand, "range bigint, keys binary, ids binary, own binary, sizes binary")
     return sent.repartition("range").sortWithinPartitions("range").mapInArrow(match, "bucket bigint, id bigint")
 
 
@@ -239,33 +292,44 @@ def _send(found: DataFrame):
     return lambda tasks: tasks.join(lines, "id").select(*TASKS, "payload")
 
 
-def _compare(threshold: int, min_similarity: float):
-    def read(payloads: list[bytes]) -> tuple[np.ndarray, list[str]]:
+def _letters(lines: list[str]) -> np.ndarray:
+    """How often each line has characters of each of ``LETTERS`` classes; an edit changes two numbers by one at most."""
+    out = np.zeros((len(lines), LETTERS), dtype=np.int32)
+    for i, x in enumerate(lines):
+        out[i] = np.bincount(np.frombuffer(x.encode("utf-32-le"), dtype=np.uint32) % LETTERS, minlength=LETTERS)
+    return out
+
+
+def _compare(threshold: int | None, min_similarity: float):
+    def read(payloads: list[bytes]) -> tuple[np.ndarray, list[str], np.ndarray]:
         lines = [p.decode() for p in payloads]
-        return np.array([len(x) for x in lines]), lines
+        return np.array([len(x) for x in lines]), lines, _letters(lines)
 
     def partners(left, i: int, right, places: list[int]) -> Iterator[int]:
         at = np.array(places)
         size, mine = left[0][i], left[1][i]
-        for j in at[np.abs(right[0][at] - size) <= threshold].tolist():
-            limit = min(threshold, int((1 - min_similarity) * max(size, right[0][j]) + 1e-9))
-            if limit > 0 and banded_distance(mine, right[1][j], limit) <= limit:
+        at = at[np.abs(right[0][at] - size) <= (MAX_EDITS if threshold is None else threshold)]
+        apart = np.abs(right[2][at] - left[2][i]).sum(axis=1)
+        for j, differ in zip(at.tolist(), apart.tolist()):
+            limit = edit_limit(int(max(size, right[0][j])), threshold, min_similarity)
+            if limit > 0 and differ <= 2 * limit and banded_distance(mine, right[1][j], limit) <= limit:
                 yield j
 
     return read, partners
 
 
 def line_classes(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, min_similarity: float = MIN_SIMILARITY, row_col: str | None = None
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int | None = THRESHOLD, min_similarity: float = MIN_SIMILARITY, row_col: str | None = None
 ) -> DataFrame:
     """``row, doc_id, line_no, line, class_id, near, kept`` of every line that is not blank.
 
     Lines end at line feeds; white space around them does not count. Equal lines, and lines within
-    ``threshold`` edits that agree in ``min_similarity`` of the longer one, are linked; ``class_id`` is the
-    smallest line hash reachable over links. The first line of a class (smallest row, then line number) is
+    ``threshold`` edits that agree in ``min_similarity`` of the longer one, are linked; without a threshold
+    the limit grows with the longer line (``edit_limit``). ``class_id`` is the smallest line hash reachable
+    over links. The first line of a class (smallest row, then line number) is
     kept; ``near`` marks lines that differ from it. Missing and empty texts have no lines.
     """
-    if not 0 < threshold <= 31:
+    if threshold is not None and not 0 < threshold <= 31:
         raise ValueError("threshold must be from 1 to 31")
     if row_col is None:
         docs, row_col = with_rows(docs, id_col, "lines-rows")
@@ -273,8 +337,9 @@ def line_classes(
     ids = rows.select("row", "doc_id")
     rows = rows.select("row", "text")
     lines = written(line_table(rows), "lines-table")
-    keys_per_line = sum((threshold * threshold - gap * gap) // 2 + threshold + 1 for gap in range(threshold + 1))
-    members = written(_shared_keys(rows, threshold, packed.range_bits(lines.count() * keys_per_line)), "lines-shared")
+    most = MAX_EDITS if threshold is None else threshold
+    keys_per_line = (most + 1) * (most + 4) // 3
+    members = written(_shared_keys(rows, threshold, min_similarity, packed.range_bits(lines.count() * keys_per_line)), "lines-shared")
     found = written(_texts_of(rows, _gate(members.select("id"))).dropDuplicates(["id"]), "lines-texts")
     classes = linked_classes(members, _send(found), *_compare(threshold, min_similarity), "lines")
     marked = lines.join(classes.withColumnRenamed("id", "line"), "line", "left").withColumn("class_id", F.coalesce("component", "line"))
@@ -301,7 +366,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def op5_line_dedup(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    lines = line_classes(docs)
+    lines = line_classes(docs, threshold=None)
     per_doc = lines.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_lines"), F.count_if("kept").alias("n_kept"), F.count_if(~F.col("kept") & F.col("near")).alias("n_near"), F.count_if(~F.col("kept") & ~F.col("near")).alias("n_exact")
     )

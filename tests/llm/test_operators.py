@@ -149,6 +149,27 @@ def test_line_variants(spark, monkeypatch):
     assert {(r.doc_id, r.line_no): (firsts[r.class_id], r.near) for r in got} == want
 
 
+def test_line_limit_grows(spark):
+    """One replaced word in a long line is a near line, as in a plain comparison of all pairs under the same limit."""
+    import random
+
+    rng = random.Random(3)
+    say = lambda n: ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 7))) for _ in range(n)]
+    docs = []
+    for k in range(60):
+        words = say(rng.randint(3, 60))
+        other = list(words)
+        for _ in range(1 + k % 2):
+            other[rng.randrange(len(words))] = say(1)[0]
+        docs += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    got = {r.doc_id: r.class_id for r in lines.line_classes(frame(spark, docs), threshold=None).collect()}
+    linked = {k for k in range(60) if got[2 * k] == got[2 * k + 1]}
+    limit = {k: lines.edit_limit(max(len(docs[2 * k][1]), len(docs[2 * k + 1][1])), None, 0.8) for k in range(60)}
+    apart = {k: brute.edit(docs[2 * k][1], docs[2 * k + 1][1]) for k in range(60)}
+    assert linked == {k for k in range(60) if apart[k] <= limit[k]}
+    assert sum(2 < apart[k] for k in linked) > 15 and len(set(got.values())) == 120 - len(linked)
+
+
 def test_drop_repeated_lines(spark):
     docs = frame(spark, [(1, "first line here\n\nsecond line here"), (2, "x\nfirst line here\n  first line here \nfirst lime here\ny"), (3, None), (4, "")])
     got = rows(lines.drop_repeated_lines(docs), "doc_id", "text")
