@@ -4,7 +4,8 @@ A window is ``window`` consecutive words. Its minimiser is the smallest hash amo
 ``minimiser`` words in it, the leftmost of equal ones. Consecutive windows with the same minimiser
 position travel as one packed string to the bucket of that minimiser; equal windows meet there, and
 sorting counts them. A minimiser seen once cannot belong to a repeated window, so only those seen again
-are cut out of the texts; equal packed strings are counted before they are dealt to buckets.
+are cut out of the texts; equal packed strings are counted before they are dealt to buckets. Windows of a
+minimiser with very many strings are dealt one by one instead.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ WINDOW = 35
 MINIMISER = 12
 #: Bytes of packed strings counted at once in a bucket task; only whole minimisers are counted.
 BLOCK_BYTES = 4 << 20
+#: A minimiser with more bytes of packed strings is counted window by window, in no single task.
+HOT_BYTES = 4 << 20
 
 
 def leftmost_minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -164,6 +167,31 @@ def _count(strings: DataFrame, window: int) -> DataFrame:
     return strings.mapInArrow(count, "k1 bigint, k2 bigint, mask bigint")
 
 
+def _count_spread(strings: DataFrame, window: int) -> DataFrame:
+    """Like ``_count`` for strings in any order: windows are dealt by their hashes, equal ones added up before they are."""
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = tokens.binary_column(batch, "packed")
+            for first, _, part, own in tokens.chunks(data, offsets):
+                starts, ends, bounds = tokens.spans(part, own, tokens.NOT_SPACE)
+                words = tokens.hash_slices(part, starts, ends)
+                at = tokens.runs_inside(bounds, window)
+                owner = np.searchsorted(bounds, at, side="right") - 1
+                string = pa.array(first + owner)
+                one, two = tokens.sequence_hashes(words, window)[at], _second_hash(words, window)[at]
+                columns = [batch.column(c).take(string) for c in ("k1", "k2", "n")]
+                columns += [pa.array((at - bounds[owner]).astype(np.int32)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["k1", "k2", "n", "place", "one", "two"])
+
+    fields = "k1 bigint, k2 bigint, n bigint, place int, one bigint, two bigint"
+    # Written, so that the join below is free to split a window that very many strings hold.
+    windows = written(strings.select("k1", "k2", "n", "packed").mapInArrow(explode, fields), "repeats-windows")
+    again = written(windows.groupBy("one", "two").agg(F.sum("n").alias("times")).where("times > 1").select("one", "two"), "repeats-windows-again")
+    bit = F.expr("shiftleft(1L, place)")
+    return windows.join(again, ["one", "two"]).groupBy("k1", "k2").agg(F.bit_or(bit).alias("mask"))
+
+
 def _known(rows: DataFrame, some: DataFrame, known: bool = True) -> DataFrame:
     """Those of ``rows`` that a bitmap of fixed size takes for rows of ``some``, or the others: no text is shuffled for it."""
     bit = test_bit(bitmap_literal(some.select(F.xxhash64("row").alias("h"))), F.xxhash64("row"))
@@ -185,8 +213,17 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW, minimiser: int = MIN
     packed = _cut(_known(rows, per_row).join(per_row, "row"), window)
     keys = [F.xxhash64("packed").alias("k1"), F.xxhash64(F.lit(1), "packed").alias("k2")]
     packed = written(packed.select("row", "start", "bucket", "packed", *keys), "repeats-packed")
-    distinct = packed.groupBy("bucket", "packed", "k1", "k2").agg(F.count(F.lit(1)).alias("n"))
-    masks = _count(distinct.repartition("bucket").sortWithinPartitions("bucket"), window)
+    hot = written(packed.groupBy("bucket").agg(F.sum(F.octet_length("packed")).alias("bytes")).where(F.col("bytes") > HOT_BYTES).select("bucket"), "repeats-hot")
+
+    def distinct(strings: DataFrame) -> DataFrame:
+        return strings.groupBy("bucket", "packed", "k1", "k2").agg(F.count(F.lit(1)).alias("n"))
+
+    if hot.isEmpty():
+        masks = _count(distinct(packed).repartition("bucket").sortWithinPartitions("bucket"), window)
+    else:
+        cold = distinct(packed.join(F.broadcast(hot), "bucket", "left_anti"))
+        masks = _count(cold.repartition("bucket").sortWithinPartitions("bucket"), window)
+        masks = masks.union(_count_spread(distinct(packed.join(F.broadcast(hot), "bucket", "left_semi")), window))
     found = packed.select("row", "start", "k1", "k2").join(masks, ["k1", "k2"])
     return found.groupBy("row").agg(F.collect_list(F.struct("start", "mask")).alias("found"))
 

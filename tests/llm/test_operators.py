@@ -94,6 +94,19 @@ def test_repeats_small_windows(spark, monkeypatch, window, minimiser):
     assert got == brute.repeats(docs, window)
 
 
+def test_repeats_hot_minimiser(spark, monkeypatch):
+    """A minimiser whose strings all differ is not counted in one task."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    docs = made(6) + [(k, " ".join([f"a{k}x{i}" for i in range(20)] + [passage] + [f"b{k}x{i}" for i in range(20)])) for k in range(80)]
+    dealt, count = [], repeats._count
+    monkeypatch.setattr(repeats, "HOT_BYTES", 4000)
+    monkeypatch.setattr(repeats, "_count", lambda strings, window: dealt.append(strings) or count(strings, window))
+    got = rows(repeats.remove_repeats(frame(spark, docs)), "doc_id", "n_words", "n_removed", "kept_sha256")
+    assert got == brute.repeats(docs)
+    sizes = dealt[0].groupBy("bucket").agg(F.sum(F.octet_length("packed")).alias("bytes"))
+    assert sizes.agg(F.max("bytes")).first()[0] <= 4000
+
+
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_backoff(df, docs, order, monkeypatch):
     from oreline.llm import packed
