@@ -185,6 +185,11 @@ def op3_lm_scoring(spark, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score"))
 
 
+def op3_lm_scoring_trigrams(spark, sf_dir: str) -> DataFrame:
+    scores = backoff_scores(table(spark, sf_dir, "documents"), order=3)
+    return scores.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
 OP3_SQL = """
 WITH w AS (
   SELECT doc_id, list_transform(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'),
@@ -203,3 +208,24 @@ SELECT w.doc_id, coalesce(n_words, 0) AS n_words, round(coalesce(log_score, 0),
        round(log_score / n_words, 6) AS mean_log_score
 FROM w LEFT JOIN d USING (doc_id)
 """
+
+OP3_TRIGRAMS_SQL = """
+WITH w AS (
+  SELECT doc_id, list_transform(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'),
+         lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS ws FROM documents),
+t AS (SELECT doc_id, i, ws[i] AS word, CASE WHEN i > 1 THEN ws[i - 1] END AS prev, CASE WHEN i > 2 THEN ws[i - 2] END AS prev2
+      FROM w, unnest(range(1, len(ws) + 1)) AS u(i)),
+c1 AS (SELECT word, count(*) AS n FROM t GROUP BY word),
+c2 AS (SELECT prev, word, count(*) AS n FROM t WHERE prev IS NOT NULL GROUP BY prev, word),
+c3 AS (SELECT prev2, prev, word, count(*) AS n FROM t WHERE prev2 IS NOT NULL GROUP BY prev2, prev, word),
+s AS (SELECT t.doc_id, CASE
+        WHEN c3.n >= 2 THEN ln(c3.n / h.n)
+        WHEN c2.n >= 2 THEN ln(c2.n / p.n) + CASE WHEN t.prev2 IS NULL THEN 0 ELSE ln(0.4) END
+        ELSE ln(c1.n / (SELECT count(*) FROM t)) + CASE WHEN t.prev IS NULL THEN 0 WHEN t.prev2 IS NULL THEN ln(0.4) ELSE 2 * ln(0.4) END END AS logs
+      FROM t JOIN c1 ON t.word = c1.word LEFT JOIN c2 ON t.prev = c2.prev AND t.word = c2.word LEFT JOIN c1 p ON t.prev = p.word
+      LEFT JOIN c3 ON t.prev2 = c3.prev2 AND t.prev = c3.prev AND t.word = c3.word LEFT JOIN c2 h ON t.prev2 = h.prev AND t.prev = h.word),
+d AS (SELECT doc_id, count(*) AS n_words, sum(logs) AS log_score FROM s GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n_words, 0) AS n_words, round(coalesce(log_score, 0), 4) AS log_score,
+       round(log_score / n_words, 6) AS mean_log_score
+FROM w LEFT JOIN d USING (doc_id)
+"""

@@ -9,7 +9,7 @@ from .licenses import op1_license_scans
 from .lines import op5_line_dedup
 from .mixing import op2_mixing
 from .near import op6_minhash_near_dedup
-from .ngrams import OP3_SQL, op3_lm_scoring
+from .ngrams import OP3_SQL, OP3_TRIGRAMS_SQL, op3_lm_scoring, op3_lm_scoring_trigrams
 from .repeats import op8_substring_dedup
 from .toxicity import op4_toxicity
 from .urls import OP7_SQL, op7_url_filters
@@ -28,6 +28,7 @@ QUERIES = {
     "op1_license_scans": op1_license_scans,
     "op2_mixing": op2_mixing,
     "op3_lm_scoring": op3_lm_scoring,
+    "op3_lm_scoring_trigrams": op3_lm_scoring_trigrams,
     "op4_toxicity": op4_toxicity,
     "op5_line_dedup": op5_line_dedup,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
@@ -40,6 +41,7 @@ QUERIES = {name: _shipped(query) for name, query in QUERIES.items()}
 
 ORACLE = {
     "op3_lm_scoring": OP3_SQL,
+    "op3_lm_scoring_trigrams": OP3_TRIGRAMS_SQL,
     "op7_url_filters": OP7_SQL,
     "op10_exact_dedup": OP10_SQL,
 }

@@ -118,6 +118,21 @@ def test_backoff(df, docs, order, monkeypatch):
         assert (got[doc].mean_log_score is None) == (n == 0)
 
 
+def test_trigram_query(spark):
+    """The registered trigram query scores as its SQL does."""
+    from oreline.llm.registry import ORACLE, QUERIES
+
+    root = "/root/testdata/sf0.001"
+    got = {r.doc_id: r for r in QUERIES["op3_lm_scoring_trigrams"](spark, root).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{root}/documents.parquet'")
+    want = con.execute(ORACLE["op3_lm_scoring_trigrams"]).fetchall()
+    assert len(got) == len(want) > 0
+    for doc, n, score, mean in want:
+        assert got[doc].n_words == n and math.isclose(got[doc].log_score, score, abs_tol=2e-4)
+        assert (got[doc].mean_log_score is None) if mean is None else math.isclose(got[doc].mean_log_score, mean, abs_tol=2e-6)
+
+
 def test_ngram_counts(spark):
     got = ngrams.ngram_counts(frame(spark, [(1, "a b a b"), (2, "B a"), (3, None)]), order=2)
     assert rows(got.groupBy("n", "count").agg(F.count(F.lit(1)).alias("k")), "n", "count", "k") == [(1, 3, 2), (2, 2, 2)]
