@@ -23,7 +23,7 @@ from .common import connected, written
 BLOCK = 256
 
 #: Rows of a task: its key, the side a row is on, the row, its class and what is compared.
-TASK_FIELDS = "k1 bigint, k2 int, side int, component bigint, id bigint, payload binary"
+TASK_FIELDS = "k1 bigint, k2 bigint, side int, component bigint, id bigint, payload binary"
 TASKS = ["k1", "k2", "side", "component", "id"]
 LEADER, MEMBER, INSIDE = 0, 1, 2
 
@@ -61,9 +61,9 @@ def linked_classes(
 def _stars(pairs: DataFrame) -> DataFrame:
     """Tasks of a leader with a share of its members."""
     shares = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("shares"))
-    share = F.pmod(F.hash("id"), "shares")
+    share = F.pmod(F.hash("id"), "shares").cast("bigint")
     member = pairs.join(shares, "leader").select(F.col("leader").alias("k1"), share.alias("k2"), F.lit(MEMBER).alias("side"), F.col("id").alias("component"), "id")
-    leader = shares.select(F.col("leader").alias("id"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("k2"))
+    leader = shares.select(F.col("leader").alias("id"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares").cast("bigint") - 1)).alias("k2"))
     return leader.select(F.col("id").alias("k1"), "k2", F.lit(LEADER).alias("side"), F.col("id").alias("component"), "id").union(member)
 
 
@@ -74,7 +74,7 @@ def _blocks(rest: DataFrame) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     return dealt.select("bucket", "id", "component", "blocks", "mine", other).select(
         F.col("bucket").alias("k1"),
-        (F.least("mine", "other") * F.col("blocks") + F.greatest("mine", "other")).alias("k2"),
+        (F.least("mine", "other").cast("bigint") * F.col("blocks") + F.greatest("mine", "other")).alias("k2"),
         F.when(F.col("mine") == F.col("other"), INSIDE).when(F.col("mine") < F.col("other"), LEADER).otherwise(MEMBER).alias("side"),
         "component",
         "id",

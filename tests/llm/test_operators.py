@@ -198,6 +198,14 @@ def test_line_limit_grows(spark):
     assert sum(2 < apart[k] for k in linked) > 15 and len(set(got.values())) == 120 - len(linked)
 
 
+def test_blocks_of_very_large_buckets(spark):
+    """Numbers of block pairs do not overflow where a bucket has tens of millions of members."""
+    rest = spark.createDataFrame([(1, 40_000_000, i, i) for i in range(3)], "bucket bigint, n bigint, id bigint, component bigint")
+    blocks = -(-40_000_000 // links.BLOCK)
+    got = links._blocks(rest).agg(F.min("k2"), F.max("k2"), F.count(F.lit(1))).first()
+    assert 0 <= got[0] and 2**31 < got[1] < blocks * blocks and got[2] == 3 * blocks
+
+
 def test_drop_repeated_lines(spark):
     docs = frame(spark, [(1, "first line here\n\nsecond line here"), (2, "x\nfirst line here\n  first line here \nfirst lime here\ny"), (3, None), (4, "")])
     got = rows(lines.drop_repeated_lines(docs), "doc_id", "text")
