@@ -5,6 +5,7 @@ from __future__ import annotations
 from .common import ship
 from .decontaminate import op9_decontamination
 from .exact import OP10_SQL, op10_exact_dedup
+from .fertility import op11_quality_rules
 from .licenses import op1_license_scans
 from .lines import op5_line_dedup
 from .mixing import op2_mixing
@@ -36,6 +37,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_quality_rules": op11_quality_rules,
 }
 QUERIES = {name: _shipped(query) for name, query in QUERIES.items()}
 
