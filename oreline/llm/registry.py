@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from .collocations import OP12_SQL, op12_collocations
 from .common import ship
 from .decontaminate import op9_decontamination
 from .exact import OP10_SQL, op10_exact_dedup
 from .fertility import op11_quality_rules
+from .hardneg import OP13_SQL, op13_hard_negatives
 from .licenses import op1_license_scans
 from .lines import op5_line_dedup
 from .mixing import op2_mixing
@@ -38,6 +40,8 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_quality_rules": op11_quality_rules,
+    "op12_collocations": op12_collocations,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 QUERIES = {name: _shipped(query) for name, query in QUERIES.items()}
 
@@ -46,4 +50,6 @@ ORACLE = {
     "op3_lm_scoring_trigrams": OP3_TRIGRAMS_SQL,
     "op7_url_filters": OP7_SQL,
     "op10_exact_dedup": OP10_SQL,
+    "op12_collocations": OP12_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }

@@ -1,0 +1,278 @@
+"""Operators 11 to 13 against plain Python versions, on real and awkward rows."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from oreline.llm import collocations, fertility, hardneg
+
+from . import brute
+from .fixtures import DATA, clashing, frame, made, sample
+
+
+def rows(df, *columns):
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=str)
+
+
+# --- 11: quality rules
+
+
+def plain_counts(text):
+    words = brute.spaced(text)
+    lines = [x for x in (text or "").split("\n") if brute.spaced(x)]
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    several = {w for w, n in Counter(windows).items() if n > 1}
+    covered = {i + k for i, w in enumerate(windows) if w in several for k in range(3)}
+    symbols = len(re.findall(r"[#*$%&|<>]", text or ""))
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered)
+
+
+def plain_measures(text, files):
+    import base64
+
+    import sentencepiece
+    import tiktoken
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, files.byte_level.splitlines())}
+    byte_level = tiktoken.Encoding("plain", pat_str=fertility.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    pieces = sentencepiece.SentencePieceProcessor(model_proto=files.fallback)
+    tokens = [t for w in brute.spaced(text) for t in byte_level.encode_ordinary(" " + w)]
+    spelt = [p for w in brute.spaced(text) for p in pieces.encode(w)]
+    if not tokens:
+        return None, None, None
+    shares = [n / len(tokens) for n in Counter(tokens).values()]
+    chars = sum(map(len, brute.spaced(text)))
+    return chars / len(tokens), sum(map(pieces.is_byte, spelt)) / len(spelt), -sum(p * math.log2(p) for p in shares)
+
+
+@pytest.fixture(scope="module")
+def files():
+    return fertility.read_vocabularies()
+
+
+def test_quality_counts_and_measures(spark, files):
+    docs = sample(spark, 60) + made() + [(9001, "漢字 かな ᚠᚢᚦ 😀"), (9002, "a#b *c* 5% <d> | &\na#b\n\na#b\n a#b")]
+    got = clashing(frame(spark, docs).select("doc_id", "text", "lang")).transform(lambda d: fertility.measures(d, files)).collect()
+    assert len(got) == len(docs)
+    found = defaultdict(list)
+    for r in got:
+        found[r.doc_id].append(r)
+    for doc, text in docs:
+        r = found[doc].pop()
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == plain_counts(text), doc
+        for value, expected in zip((r.chars_per_token, r.byte_share, r.token_entropy), plain_measures(text, files)):
+            assert value == expected or abs(value - expected) < 1e-9, doc
+
+
+def test_quality_byte_share_and_script(spark, files):
+    docs = frame(spark, [(1, "ᚠᚢᚦ ᚨᚱᚲ"), (2, "plain words"), (3, "привет мир"), (4, "12 34"), (5, None)])
+    got = {r.doc_id: r for r in fertility.measures(docs, files).collect()}
+    assert got[1].byte_share > 0.8 and got[2].byte_share == 0
+    assert [got[i].script for i in (1, 2, 3, 4, 5)] == ["other", "latin", "cyrillic", "other", "other"]
+
+
+def test_quality_bands(spark):
+    """Texts of a language are kept, symbols and repeated words go; a rare language is judged by its script."""
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8))) for _ in range(800)]
+    text = lambda n, words=vocabulary: " ".join(rng.choice(words) for _ in range(n))
+    docs = [(i, text(rng.randint(60, 300)), "aa") for i in range(300)]
+    docs += [(1000 + i, " ".join(w + "%%%" for w in text(100).split()), "aa") for i in range(5)]
+    docs += [(2000 + i, text(200), "bb") for i in range(5)] + [(3000, text(40), "aa"), (3001, None, "aa"), (3002, text(80), None)]
+    docs += [(4000, "one two three " * 40, "aa"), (5000, "漢字仮名 " * 20 + "混交文 東京都 京都府 " * 25, "ja")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string").repartition(4)
+    got = {r.doc_id: r for r in fertility.rate_quality(df).collect()}
+    assert len(got) == len(docs)
+    assert all(got[i].kept for i in (*range(300), *range(2000, 2005), 3002))
+    assert not any(got[i].kept or got[i].base_failed for i in range(1000, 1005))
+    assert got[3000].base_failed and got[3001].base_failed and got[4000].base_failed
+    assert got[0].band == "lang aa" and got[2000].band == got[3002].band == "script latin" and got[5000].band == "any"
+
+
+def test_quality_rows_without_id_and_empty(spark):
+    good = " ".join(f"word{i} of text" for i in range(60))
+    df = spark.createDataFrame([(None, good, "x", 1), (None, "short", "x", 2), (7, good, "x", 3), (7, "short", "x", 4)], "doc_id bigint, text string, lang string, n_words bigint")
+    kept = fertility.drop_poor(df)
+    assert kept.columns == df.columns and sorted(r.n_words for r in kept.collect()) == [1, 3]
+    assert fertility.rate_quality(df.limit(0)).collect() == []
+
+
+# --- 12: collocations
+
+
+def plain_collocations(docs, top=2000, min_count=10, covered=50):
+    counts, totals = defaultdict(Counter), Counter()
+    for text, lang in docs:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(brute.UP)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang or "und"] += len(words)
+            for n in (1, 2, 3):
+                counts[lang or "und"].update(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+    out = []
+    for lang, f in counts.items():
+        found = []
+        for p, a in f.items():
+            if len(p) == 1 or a < min_count:
+                continue
+            if len(p) == 2 and any(100 * b >= covered * a for q, b in f.items() if len(q) == 3 and b >= min_count and p in (q[:2], q[1:])):
+                continue
+            score, k = min((1000000 * a * a // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+            found.append((score, a, " ".join(p), f[p[:k]], f[p[k:]]))
+        found.sort(key=lambda x: (-x[0], -x[1], x[2].encode()))
+        out += [(lang, i, p, a, left, right, totals[lang], score) for i, (score, a, p, left, right) in enumerate(found[:top], 1)]
+    return sorted(out, key=str)
+
+
+PHRASES = ("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def phrase_docs():
+    rng = random.Random(5)
+    words = ["alpha", "Beta", "g\x00m", "dé", "ß", "x", "the", "of"]
+    say = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    docs = [(say(rng.randint(0, 60)) + rng.choice([". ", "\n", "\x0b", " \t ", ", "]) + say(30), rng.choice(["en", "de", None])) for _ in range(80)]
+    docs += [("new york city " * 15, "en"), ("new york " * 6, "en"), ("solid state drive. " * 40, "en"), (None, "en"), ("", None), ("...", "zz"), ("one two", "yy")]
+    return docs
+
+
+@pytest.mark.parametrize("ranges", [20_000, 7])
+def test_collocations(spark, monkeypatch, ranges):
+    """Short ranges put cuts inside the phrases of one word."""
+    monkeypatch.setattr(collocations, "RANGE_ROWS", ranges)
+    docs = phrase_docs()
+    df = spark.createDataFrame([(None, t, la, "x", 1) for t, la in docs], "doc_id bigint, text string, lang string, n string, words int").repartition(6)
+    assert rows(collocations.top_collocations(df), *PHRASES) == plain_collocations(docs)
+
+
+def test_collocations_in_several_chunks(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "MAX_BITS", 1 << 10)
+    docs = [(r.text, r.lang) for r in spark.read.parquet(f"{DATA}/documents.parquet").limit(60).collect()]
+    df = spark.createDataFrame([(i, t, la) for i, (t, la) in enumerate(docs)], "doc_id bigint, text string, lang string")
+    assert rows(collocations.top_collocations(df, min_count=3, chunk_bytes=300), *PHRASES) == plain_collocations(docs, min_count=3)
+
+
+def test_collocations_empty_and_top(spark):
+    df = spark.createDataFrame([(t, la) for t, la in phrase_docs()], "text string, lang string")
+    assert collocations.top_collocations(df.limit(0)).collect() == []
+    assert rows(collocations.top_collocations(df, top=3), *PHRASES) == plain_collocations(phrase_docs(), top=3)
+
+
+def test_collocation_products_beyond_64_bits(spark):
+    """Counts of a corpus far larger than a test can hold."""
+    big = 10**12
+    counts = spark.createDataFrame(
+        [("en", "", 10 * big), ("en", "a", 3 * big), ("en", "b", 2 * big), ("en", "a b", big), ("en", "c", 10), ("en", "b c", 10), ("en", "a b c", 10)], "lang string, phrase string, n bigint"
+    )
+    got = {r.phrase: tuple(r) for r in collocations.collocations(counts).collect()}
+    assert got == {"a b": ("en", "a b", big, 3 * big, 2 * big, 10**6 // 6), "a b c": ("en", "a b c", 10, 3 * big, 10, 0)}
+
+
+# --- 13: hard negatives
+
+
+def plain_negatives(points, low=80, high=100):
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b))
+    out = []
+    for i, (vec_id, label, q, anchor) in enumerate(points):
+        if not anchor:
+            continue
+        scored = [(-dot(q, other[2]), other[0], other[1]) for j, other in enumerate(points) if j != i]
+        positives = sorted(x[:2] for x in scored if x[2] == label)[:5]
+        for minus, positive in positives:
+            fits = sorted(x[:2] for x in scored if x[2] != label and low * -minus <= 100 * -x[0] <= high * -minus)[:5]
+            out += [(vec_id, positive, r, neg, -minus, -score) for r, (score, neg) in enumerate(fits, 1)]
+    return sorted(out, key=str)
+
+
+NEGATIVES = ("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+def points_of(spark, points):
+    return spark.createDataFrame(points, "id bigint, label bigint, vector array<bigint>, anchor boolean").repartition(3)
+
+
+def random_points(n, width, labels, seed=1, spread=40):
+    rng = random.Random(seed)
+    centres = [[rng.randint(-spread, spread) for _ in range(width)] for _ in range(6)]
+    return [(i, rng.randrange(labels), [c + rng.randint(-9, 9) for c in rng.choice(centres)], i % 10 == 0) for i in range(n)]
+
+
+@pytest.mark.parametrize("size,leaf,boxes", [(4096, 64, 8), (50, 8, 2), (7, 3, 1)])
+def test_negatives(spark, size, leaf, boxes):
+    shape = hardneg.Shape(size, leaf, anchors=3, boxes=boxes, roots=5)
+    points = random_points(300, 6, 3)
+    points += [(1000 + i, i % 2, [1, 2, 3, 4, 5, 6], i % 10 == 0) for i in range(100)]  # copies: ties by id
+    points += [(2000, 9, [1] * 6, True), (2001, 1, [5, 5], True), (2002, 1, [], True), (2003, 1, [0] * 6, True)]
+    assert rows(hardneg.mine(points_of(spark, points), shape=shape), *NEGATIVES) == plain_negatives(points)
+
+
+def test_boxes_hold_their_points():
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    points, queries = rng.integers(-300, 300, (200, 8)), rng.integers(-300, 300, (30, 8))
+    least, greatest = hardneg.bounds(queries, points.min(axis=0, keepdims=True), points.max(axis=0, keepdims=True))
+    scores = hardneg.products(queries, points)
+    assert (scores >= least).all() and (scores <= greatest).all()
+    huge = rng.integers(-(1 << 28), 1 << 28, (20, 8))
+    assert (hardneg.products(huge, huge) == np.array([[sum(int(x) * int(y) for x, y in zip(a, b)) for b in huge] for a in huge])).all()
+    with pytest.raises(OverflowError):
+        hardneg.products(huge << 8, huge << 8)
+
+
+def test_queue_skips_boxes(monkeypatch):
+    """Clustered rows: the queue of a query ends long before all boxes are opened."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    rows_ = np.concatenate([rng.integers(-5, 5, (256, 4)) + 100 * i for i in range(16)])
+    shape = hardneg.Shape()
+    order = hardneg._str_order(rows_, shape.leaf_rows)
+    rows_ = rows_[order]
+    cuts = np.arange(0, len(rows_), shape.leaf_rows)
+    low, high = np.minimum.reduceat(rows_, cuts, axis=0), np.maximum.reduceat(rows_, cuts, axis=0)
+    opened = []
+    exact = hardneg.products
+    monkeypatch.setattr(hardneg, "products", lambda a, b: opened.append(len(b)) or exact(a, b))
+    queries = rows_[:1] * 0 + 1
+    windows = np.tile(np.array([-(1 << 62), 1 << 62]), (1, 1, 1))
+    _, _, score, _ = hardneg._search(queries, np.zeros(1), rows_, np.arange(len(rows_)), np.zeros(len(rows_)), low, high, windows, np.full((1, 1), hardneg._NO_BOUND), True, None, 5, shape)
+    assert sorted(score) == sorted(exact(queries, rows_)[0])[-5:] and sum(opened) <= len(rows_) // 4
+
+
+def test_negatives_repeated_ids(spark):
+    points = [(10, 1, [3, 4], True), (10, 1, [3, 4], True), (10, 2, [3, 3], True), (11, 1, [1, 1], False), (12, 2, [3, 3], False), (12, 2, [3, 3], False)]
+    assert rows(hardneg.mine(points_of(spark, points)), *NEGATIVES) == plain_negatives(points)
+
+
+def test_rows_that_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    data = [(0, 1, [0.5, 0.25]), (1, 1, [0.5, 0.2]), (2, 2, [0.49, 0.2]), (3, None, [1.0, 1.0]), (4, 1, None), (5, 1, [1.0, None]), (6, 1, [nan, 1.0]), (8, 1, [1.0, -inf]), (None, 1, [1.0, 1.0]), (9, 1, [])]
+    df = clashing(spark.createDataFrame(data, "vec_id bigint, tag int, embedding array<float>"))
+    points = hardneg.vectors(df, F.col("vec_id"), F.col("tag"), hardneg.whole_numbers(F.col("embedding"), 256), F.col("vec_id") % 100 == 0)
+    assert sorted(r.id for r in points.collect()) == [0, 1, 2, 9]
+    assert rows(hardneg.mine(points), *NEGATIVES) == plain_negatives([tuple(r) for r in points.orderBy("id").collect()])
+
+
+def test_no_anchors_no_rows(spark):
+    points = points_of(spark, random_points(30, 3, 2))
+    assert hardneg.mine(points.withColumn("anchor", F.lit(False))).collect() == []
+    assert hardneg.mine(points.limit(0)).collect() == []
+    assert hardneg.mine(points.withColumn("label", F.lit(1).cast("bigint"))).collect() == []
+
+
+@pytest.mark.parametrize("name", ["op12_collocations", "op13_hard_negatives"])
+def test_matches_sql(spark, name):
+    from oreline.llm.registry import ORACLE, QUERIES
+    from tests.compare import connect, duck_rows, duck_types, spark_rows, spark_types
+
+    con = connect("/root/testdata/sf0.01")
+    result = QUERIES[name](spark, "/root/testdata/sf0.01")
+    assert spark_rows(result) == duck_rows(con, ORACLE[name])
+    assert spark_types(result) == duck_types(con) and result.count()
