@@ -282,31 +282,22 @@ def build_index(points: DataFrame, k: int, shape: Shape = Shape()) -> DataFrame:
 # --- search
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``k`` of each row by score descending, then id."""
-    order = np.lexsort((ids, -scores), axis=-1)[:, :k]
-    return np.take_along_axis(scores, order, axis=1), np.take_along_axis(ids, order, axis=1)
-
-
 def _search(queries, labels, tree_rows, tree_ids, tree_labels, low, high, windows, floors, same, own, k, shape):
     """Best first through one subtree for all queries at once.
 
     ``windows`` is (queries, windows, 2) of scores, ends included, and ``floors`` (queries, windows) what a kth
-    answer reaches at least. Yields query, window, score and id of the answers in the subtree, at most ``k`` each.
+    answer reaches at least. Gives query, window, score and id of the answers in the subtree, at most ``k`` each.
     """
     n, count = len(queries), windows.shape[1]
     least, greatest = bounds(queries, low, high)
-    lowest, highest = windows[:, :, 0], windows[:, :, 1]
-    best = np.full((n, count, k), _NO_BOUND)
-    best_ids = np.zeros((n, count, k), np.int64)
-    kth = np.maximum(lowest, floors)
+    highest = windows[:, :, 1]
+    kth = np.maximum(windows[:, :, 0], floors)
+    kth[highest < kth] = np.iinfo(np.int64).max
+    score_of = _scorer(queries, tree_rows)
     queue = np.argsort(-greatest, axis=1, kind="stable")
     taken = np.zeros(n, np.int64)
-    pads = -len(tree_rows) % shape.leaf_rows
-    tree_rows = np.pad(tree_rows, ((0, pads), (0, 0)))
-    there = np.append(np.ones(len(tree_ids), bool), np.zeros(pads, bool))
-    tree_ids, tree_labels = np.pad(tree_ids, (0, pads)), np.pad(tree_labels, (0, pads))
-    kth[highest < kth] = np.iinfo(np.int64).max
+    # Answers so far: number of query and window, score and id, in order of all three.
+    best = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64))
     while True:
         # The next boxes of a query's queue; a queue ends at the first box below every window's kth.
         open_ = taken < queue.shape[1]
@@ -314,11 +305,12 @@ def _search(queries, labels, tree_rows, tree_ids, tree_labels, low, high, window
         active = np.flatnonzero(open_)
         if not len(active):
             break
-        boxes = queue[active][np.arange(len(active))[:, None], np.minimum(taken[active][:, None] + np.arange(shape.boxes), queue.shape[1] - 1)]
-        fresh = taken[active][:, None] + np.arange(shape.boxes) < queue.shape[1]
+        turn = taken[active][:, None] + np.arange(shape.boxes)
+        boxes = queue[active[:, None], np.minimum(turn, queue.shape[1] - 1)]
         # Boxes outside every window, or strictly below every kth, are not opened.
-        up, down = np.take_along_axis(greatest[active], boxes, axis=1), np.take_along_axis(least[active], boxes, axis=1)
-        wanted = fresh & ((up[:, :, None] >= kth[active][:, None, :]) & (down[:, :, None] <= highest[active][:, None, :])).any(axis=2)
+        up, down = greatest[active[:, None], boxes], least[active[:, None], boxes]
+        reach = (up[:, :, None] >= kth[active][:, None, :]) & (down[:, :, None] <= highest[active][:, None, :])
+        wanted = (turn < queue.shape[1]) & reach.any(axis=2)
         taken[active] += shape.boxes
         opened = np.unique(boxes[wanted])
         if not len(opened):
@@ -326,22 +318,40 @@ def _search(queries, labels, tree_rows, tree_ids, tree_labels, low, high, window
         asked = np.zeros((len(active), queue.shape[1]), bool)
         asked[np.nonzero(wanted)[0], boxes[wanted]] = True
         at = (opened[:, None] * shape.leaf_rows + np.arange(shape.leaf_rows)).ravel()
-        scores = products(queries[active], tree_rows[at])
-        fits = np.repeat(asked[:, opened], shape.leaf_rows, axis=1) & there[at] & ((labels[active][:, None] == tree_labels[at]) == same)
+        at = at[at < len(tree_ids)]
+        scores = score_of(active, at)
+        fits = asked[:, at // shape.leaf_rows] & ((labels[active][:, None] == tree_labels[at]) == same)
+        fits &= (scores >= kth[active].min(axis=1)[:, None]) & (scores <= highest[active].max(axis=1)[:, None])
         if own is not None:
             fits &= own[active][:, None] != at
-        ids = np.broadcast_to(tree_ids[at], scores.shape)
+        row, column = np.nonzero(fits)
+        score, ids, row = scores[row, column], tree_ids[at[column]], active[row]
+        found = []
         for w in range(count):
-            mine = fits & (scores >= kth[active, w][:, None]) & (scores <= highest[active, w][:, None])
-            hit = np.flatnonzero(mine.any(axis=1))
-            if not len(hit):
-                continue
-            q = active[hit]
-            together = np.concatenate([best[q, w], np.where(mine[hit], scores[hit], _NO_BOUND)], axis=1)
-            best[q, w], best_ids[q, w] = _best(together, np.concatenate([best_ids[q, w], ids[hit]], axis=1), k)
-            kth[q, w] = np.maximum(kth[q, w], best[q, w, -1])
-    query, window, place = np.nonzero(best != _NO_BOUND)
-    return query, window, best[query, window, place], best_ids[query, window, place]
+            mine = (score >= kth[row, w]) & (score <= highest[row, w])
+            found.append((row[mine] * count + w, score[mine], ids[mine]))
+        best = _first(*[np.concatenate([best[i], *[f[i] for f in found]]) for i in range(3)], k)
+        full = np.flatnonzero(np.bincount(best[0], minlength=n * count) == k)
+        last = np.searchsorted(best[0], full, side="right") - 1
+        kth.reshape(-1)[full] = np.maximum(kth.reshape(-1)[full], best[1][last])
+    return best[0] // count, best[0] % count, best[1], best[2]
+
+
+def _first(of: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first ``k`` of each query and window by score descending, then id, in that order."""
+    order = np.lexsort((ids, -score, of))
+    of, score, ids = of[order], score[order], ids[order]
+    place = np.arange(len(of)) - np.searchsorted(of, of, side="left")
+    return of[place < k], score[place < k], ids[place < k]
+
+
+def _scorer(queries: np.ndarray, rows: np.ndarray):
+    """Function from places of queries and rows to their inner products; doubles are made once if they are exact."""
+    a, b = _same_width(queries, rows)
+    if a.shape[1] * _largest(a) * _largest(b) >= EXACT:
+        return lambda some, at: products(a[some], b[at])
+    a, b = a.astype(np.float64), b.astype(np.float64)
+    return lambda some, at: (a[some] @ b[at].T).astype(np.int64)
 
 
 def _reach(windows: np.ndarray, floors: np.ndarray, queries: np.ndarray, low: np.ndarray, high: np.ndarray) -> bool:
