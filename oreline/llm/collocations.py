@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import table, written
-from .tokens import LOWER, binary_column, chunks, hash_slices, mix, sequence_hashes, spans
+from .tokens import CHUNK_BYTES, LOWER, binary_column, chunks, hash_slices, mix, sequence_hashes, spans
 
 MIN_COUNT = 10
 LONGEST = 3
@@ -46,7 +46,11 @@ ENDS_PIECE[np.frombuffer(b".,;:!?\n\x0b\x0c\r", dtype=np.uint8)] = True
 IN_WORD = ~ENDS_PIECE
 IN_WORD[[0x20, 0x09]] = False
 
-CHUNK_BYTES = 4 << 20
+#: N-grams a task holds before it adds them up, and deals or keeps the sums.
+HELD_ROWS = 1_500_000
+#: Text whose n-grams a range of the count is for, and ranges at most; a range of a larger corpus holds more n-grams.
+COUNT_RANGE_BYTES = 4 << 20
+MAX_COUNT_RANGES = 100_000
 #: Bits of the filter of frequent n-grams for each of them, and bits in all at most (8 MB in each task). A full
 #: filter lets more n-grams through to the exact count; it never loses one.
 BITS_EACH = 16
@@ -88,60 +92,131 @@ def _slots(hashes: np.ndarray, langs: np.ndarray, bits: int) -> np.ndarray:
     return mix(hashes ^ langs) & np.uint64(bits - 1)
 
 
-def _counted(sizes: tuple[int, ...], frequent: np.ndarray | None, chunk_bytes: int):
-    """Function that gives every n-gram of the sizes in a chunk once, with its count there.
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place of one of each distinct key, the number of the distinct key at every place, and how often each is there."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.append(True, ordered[1:] != ordered[:-1]) if len(keys) else np.empty(0, bool)
+    first = np.flatnonzero(new)
+    which = np.empty(len(keys), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return order[first], which, np.diff(np.append(first, len(keys)))
+
+
+def _chunk_counts(data: np.ndarray, offsets: np.ndarray, langs: pa.Array, sizes: tuple[int, ...], frequent: np.ndarray | None) -> Iterator[pa.Table]:
+    """Every n-gram of the sizes in a chunk once, with its count there and a hash of its words."""
+    coded = langs.dictionary_encode()
+    names, lang = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+    starts, ends, docs, piece = _pieces(data, offsets)
+    hashes = hash_slices(data, starts, ends)
+    first, ids, _ = _distinct(hashes)
+    text = data.tobytes()
+    words = pa.array([text[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist())], pa.binary())
+    of = lang[docs]
+    if 1 in sizes:
+        totals = np.bincount(of, minlength=len(names))
+        yield _counts(coded.dictionary, np.arange(len(names)), pa.array([b""] * len(names), pa.binary()), totals, np.zeros(len(names), np.uint64))
+    for n in sizes:
+        runs = _runs(piece, docs, n)
+        if frequent is not None and len(runs):
+            inner, bits = sequence_hashes(hashes, n - 1), len(frequent) * 8
+            known = _lang_hashes(names)[of[runs]]
+            seen = np.ones(len(runs), bool)
+            for shift in (0, 1):
+                slot = _slots(inner[runs + shift], known, bits)
+                seen &= (frequent[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            runs = runs[seen]
+        if not len(runs):
+            continue
+        # N-grams as whole numbers, one word more at a time; renumbered before they outgrow a long.
+        key, below = of[runs], len(names)
+        for shift in range(n):
+            if below * len(first) >= 1 << 62:
+                _, key, times = _distinct(key)
+                below = len(times)
+            key, below = key * np.int64(len(first)) + ids[runs + shift], below * len(first)
+        place, _, times = _distinct(key)
+        there = runs[place]
+        joined = [words.take(pa.array(ids[there + shift])) for shift in range(n)]
+        phrases = joined[0] if n == 1 else pc.binary_join_element_wise(*joined, b" ")
+        yield _counts(coded.dictionary, of[there], phrases, times, sequence_hashes(hashes, n)[there])
+
+
+def _counts(names: pa.Array, lang: np.ndarray, phrases: pa.Array, times: np.ndarray, hashes: np.ndarray) -> pa.Table:
+    columns = [names.take(pa.array(lang)), phrases, pa.array(times.astype(np.int64)), pa.array(hashes)]
+    return pa.Table.from_arrays(columns, ["lang", "phrase", "n", "hash"])
+
+
+def _summed(tables: list[pa.Table], *also: tuple[str, str]) -> pa.Table:
+    """Counts of equal n-grams added up."""
+    grouped = pa.concat_tables(tables).group_by(["lang", "phrase"], use_threads=False).aggregate([("n", "sum"), *also])
+    return grouped.rename_columns([name.removesuffix("_sum").removesuffix("_min") for name in grouped.schema.names])
+
+
+def _dealt_counts(sizes: tuple[int, ...], frequent: np.ndarray | None, chunk_bytes: int, ranges: int):
+    """Function that counts the n-grams of a task and deals the counts, packed, to ranges of a hash of the n-gram.
 
     With a filter, an n-gram is left out if one of the two n-grams it is made of is not in the filter.
     """
 
+    def packed(held: list[pa.Table]) -> pa.RecordBatch:
+        counts = _summed(held, ("hash", "min"))
+        to = (counts["hash"].to_numpy() % np.uint64(ranges)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        counts, to = counts.select(["lang", "phrase", "n"]).take(pa.array(order)).combine_chunks(), to[order]
+        first = np.flatnonzero(np.diff(to, prepend=-1))
+        blocks = [_to_bytes(counts.slice(a, b - a)) for a, b in zip(first.tolist(), [*first[1:].tolist(), len(to)])]
+        return pa.RecordBatch.from_arrays([pa.array(to[first].astype(np.int32)), pa.array(blocks, pa.binary())], ["range", "counts"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
         for batch in batches:
             raw, offsets = binary_column(batch, "text")
             langs = batch.column(batch.schema.get_field_index("lang"))
             for a, b, part, at in chunks(raw, offsets, chunk_bytes):
-                data = LOWER[part]
-                coded = langs.slice(a, b - a).dictionary_encode()
-                names, lang = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
-                starts, ends, docs, piece = _pieces(data, at)
-                hashes = hash_slices(data, starts, ends)
-                _, first, ids = np.unique(hashes, return_index=True, return_inverse=True)
-                text = data.tobytes()
-                words = pa.array([text[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist())], pa.binary())
-                of = lang[docs]
-                if 1 in sizes:
-                    totals = np.bincount(of, minlength=len(names))
-                    yield _rows(coded.dictionary, np.arange(len(names)), pa.array([b""] * len(names), pa.binary()), totals)
-                for n in sizes:
-                    runs = _runs(piece, docs, n)
-                    if frequent is not None and len(runs):
-                        inner, bits = sequence_hashes(hashes, n - 1), len(frequent) * 8
-                        known = _lang_hashes(names)[of[runs]]
-                        seen = np.ones(len(runs), bool)
-                        for shift in (0, 1):
-                            slot = _slots(inner[runs + shift], known, bits)
-                            seen &= (frequent[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                        runs = runs[seen]
-                    if not len(runs):
-                        continue
-                    # N-grams as whole numbers, one word more at a time; renumbered before they outgrow a long.
-                    key, below = of[runs], len(names)
-                    for shift in range(n):
-                        if below * len(first) >= 1 << 62:
-                            _, key = np.unique(key, return_inverse=True)
-                            below = len(key)
-                        key, below = key * np.int64(len(first)) + ids[runs + shift], below * len(first)
-                    _, place, times = np.unique(key, return_index=True, return_counts=True)
-                    there = runs[place]
-                    joined = [words.take(pa.array(ids[there + shift])) for shift in range(n)]
-                    phrases = joined[0] if n == 1 else pc.binary_join_element_wise(*joined, b" ")
-                    yield _rows(coded.dictionary, of[there], phrases, times)
+                held += _chunk_counts(LOWER[part], at, langs.slice(a, b - a), sizes, frequent)
+                if sum(map(len, held)) >= HELD_ROWS:
+                    yield packed(held)
+                    held = []
+        if held:
+            yield packed(held)
+
+    return run
+
+
+def _added(min_count: int):
+    """Function that adds up the counts of each range, whose rows are sorted together; n-grams below the count go."""
+
+    def often(held: list[pa.Table]) -> pa.RecordBatch:
+        counts = _summed(held)
+        kept = pc.or_(pc.greater_equal(counts["n"], min_count), pc.equal(counts["phrase"], b""))
+        counts = counts.filter(kept).combine_chunks()
+        return pa.RecordBatch.from_arrays(
+            [counts["lang"].combine_chunks(), counts["phrase"].combine_chunks().cast(pa.string()), counts["n"].combine_chunks()], ["lang", "phrase", "n"]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, current = [], None
+        for batch in batches:
+            for number, block in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if number != current and held:
+                    yield often(held)
+                    held = []
+                current = number
+                held.append(pa.ipc.open_stream(block.as_buffer()).read_all())
+                if sum(map(len, held[1:])) >= max(HELD_ROWS, len(held[0])):
+                    held = [_summed(held)]
+        if held:
+            yield often(held)
 
     return run
 
 
-def _rows(names: pa.Array, lang: np.ndarray, phrases: pa.Array, times: np.ndarray) -> pa.RecordBatch:
-    columns = [names.take(pa.array(lang)), phrases.cast(pa.string()), pa.array(times.astype(np.int64))]
-    return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "n"])
+def _to_bytes(counts: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, counts.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(counts)
+    return sink.getvalue().to_pybytes()
 
 
 def _filter(counts: DataFrame, size: int) -> np.ndarray:
@@ -172,11 +247,13 @@ def ngram_counts(
     """
     lang = F.coalesce(docs[lang_col].cast("string"), F.lit(UNKNOWN)).alias("lang")
     rows = docs.select(lang, docs[text_col].cast("binary").alias("text"))
-    often = (F.col("n") >= min_count) | (F.col("phrase") == "")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = max(1, min(MAX_COUNT_RANGES, math.ceil(size / COUNT_RANGE_BYTES)))
 
     def count(sizes: tuple[int, ...], frequent: np.ndarray | None) -> DataFrame:
-        found = rows.mapInArrow(_counted(sizes, frequent, chunk_bytes), "lang string, phrase string, n bigint")
-        return written(found.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(often), "ngrams")
+        dealt = rows.mapInArrow(_dealt_counts(sizes, frequent, chunk_bytes, ranges), "range int, counts binary")
+        together = dealt.repartition(ranges, "range").sortWithinPartitions("range")
+        return written(together.mapInArrow(_added(min_count), "lang string, phrase string, n bigint"), "ngrams")
 
     out = last = count(tuple(range(1, min(longest, 2) + 1)), None)
     for size in range(3, longest + 1):
