@@ -47,7 +47,7 @@ IN_WORD = ~ENDS_PIECE
 IN_WORD[[0x20, 0x09]] = False
 
 #: N-grams a task holds before it adds them up, and deals or keeps the sums.
-HELD_ROWS = 1_500_000
+HELD_ROWS = 1_000_000
 #: Text whose n-grams a range of the count is for, and ranges at most; a range of a larger corpus holds more n-grams.
 COUNT_RANGE_BYTES = 4 << 20
 MAX_COUNT_RANGES = 100_000
@@ -59,6 +59,8 @@ MAX_BITS = 1 << 26
 RANGE_ROWS = 20_000
 MAX_RANGES = 10_000
 SAMPLED = 20
+#: Shares a language's phrases are ranked in before the last ranking, which sees the first of each share.
+SHARES = 16
 
 
 # --- counting
@@ -288,8 +290,11 @@ def _sorted(rows: DataFrame, columns: list[str], parents: bool) -> DataFrame:
             keys = [(lang, *w) for lang, w in zip(langs, words)]
             at, to, own = list(range(len(keys))), [bisect_right(cuts, key) for key in keys], [True] * len(keys)
             for i, key in enumerate(keys) if begins else ():
-                copies = [number for number in begins.get(key, ()) if number > to[i]]
-                at, to, own = at + [i] * len(copies), to + copies, own + [False] * len(copies)
+                if key in begins:
+                    copies = [number for number in begins[key] if number > to[i]]
+                    at.extend([i] * len(copies))
+                    to.extend(copies)
+                    own.extend([False] * len(copies))
             out = batch.select(columns).take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays([*out.columns, pa.array(to, pa.int32()), pa.array(own, pa.bool_())], [*columns, "range", "own"])
 
@@ -409,8 +414,12 @@ def top_collocations(
 ) -> DataFrame:
     """The first ``top`` phrases of each language by score: ``lang, rank, phrase, a, l, r, n, score``."""
     counts = ngram_counts(docs, longest, min_count, text_col, lang_col, **options)
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = collocations(counts, covered).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    order = (F.desc("score"), F.desc("a"), "phrase")
+    # A language may have most of the phrases: its first ones are picked share by share, and then among those.
+    share = F.pmod(F.xxhash64("phrase"), F.lit(SHARES)).alias("share")
+    picked = collocations(counts, covered).select("*", share).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "share").orderBy(*order)))
+    few = picked.where(F.col("rank") <= top).drop("share", "rank")
+    ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     words = counts.where("phrase = ''").select("lang", "n")
     return ranked.join(words, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
