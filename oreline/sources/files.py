@@ -45,3 +45,49 @@ def partition_dirs(spark: SparkSession, path: str, column: str) -> dict[str, str
 def delete_dir(spark: SparkSession, path: str) -> None:
     fs, where = _open(spark, path)
     fs.delete(where, True)
+
+
+def plain_path(spark: SparkSession, uri: str) -> str:
+    """Path of a file that ``_metadata.file_path`` names; that is a URI, with its special characters escaped."""
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString()
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the data files below a folder, relative to it; what readers pass over is left out."""
+    fs, where = _open(spark, path)
+    if not fs.exists(where):
+        return []
+    root = fs.resolvePath(where).toString() + "/"
+    found, listed = [], fs.listFiles(where, True)
+    while listed.hasNext():
+        found.append(listed.next().getPath().toString()[len(root):])
+    hidden = lambda part: part.startswith(("_", ".")) and "=" not in part
+    return sorted(name for name in found if not any(map(hidden, name.split("/"))))
+
+
+def move(spark: SparkSession, path: str, target: str) -> None:
+    fs, where = _open(spark, path)
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(where, to):
+        raise OSError(f"cannot move {path} to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, complete or not there at all."""
+    fs, where = _open(spark, path)
+    part = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.part")
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(where, False)
+    move(spark, f"{path}.part", path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, where = _open(spark, path)
+    stream = fs.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
