@@ -250,25 +250,25 @@ VALUE_BYTES |= {"timestamp": 8, "timestamp_ntz": 8}
 DECIMAL_BYTES = 16
 
 
+def logical_bytes(df: DataFrame, column: str) -> Column:
+    """Logical bytes of one value, whatever the files' encoding."""
+    kind = df.schema[column].dataType.simpleString()
+    if kind == "string":
+        size = F.octet_length(column) + 2
+    elif kind == "binary":
+        size = F.octet_length(column)
+    elif kind.startswith("decimal"):
+        size = F.lit(DECIMAL_BYTES)
+    elif kind in VALUE_BYTES:
+        size = F.lit(VALUE_BYTES[kind])
+    else:
+        raise ValueError(f"no price for {column} {kind}")
+    return F.when(F.col(column).isNull(), 0).otherwise(size).cast("bigint")
+
+
 def logical_sizes(df: DataFrame, partition_column: str, columns: tuple[str, ...] | None = None) -> DataFrame:
-    """Logical bytes per partition of the columns a query reads, whatever the files' encoding."""
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-
-    def width(column: str) -> Column:
-        kind = kinds[column]
-        if kind == "string":
-            size = F.octet_length(column) + 2
-        elif kind == "binary":
-            size = F.octet_length(column)
-        elif kind.startswith("decimal"):
-            size = F.lit(DECIMAL_BYTES)
-        elif kind in VALUE_BYTES:
-            size = F.lit(VALUE_BYTES[kind])
-        else:
-            raise ValueError(f"no price for {column} {kind}")
-        return F.when(F.col(column).isNull(), 0).otherwise(size).cast("bigint")
-
-    total = sum((width(c) for c in columns or df.columns), F.lit(0).cast("bigint"))
+    """Logical bytes per partition of the columns a query reads."""
+    total = sum((logical_bytes(df, c) for c in columns or df.columns), F.lit(0).cast("bigint"))
     return df.groupBy(partition_column).agg(F.sum(total).alias("total_bytes"))
 
 
