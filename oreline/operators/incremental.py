@@ -11,8 +11,9 @@ from pyspark.sql.types import StructType
 from oreline.functions.scalars import day, instant
 from oreline.operators.merge import keys_held, unique_batch, upsert_partitions
 from oreline.scratch import written
+from oreline.sources.files import data_files, delete_dir
 from oreline.sources.publish import read_declared
-from oreline.sources.schemas import PIPELINE_WATERMARKS, conform
+from oreline.sources.schemas import PIPELINE_MARKS, PIPELINE_WATERMARKS, conform
 
 PASS = "PASS"
 FAIL = "FAIL — investigate before proceeding"
@@ -141,13 +142,46 @@ def run_incremental(
     return Load(loaded.count(), changed.partitions, report, changed.moved[partition_column])
 
 
+def _marks(spark: SparkSession, path: str) -> DataFrame:
+    return read_declared(spark, path, PIPELINE_MARKS)
+
+
 def read_watermarks(spark: SparkSession, path: str) -> DataFrame:
-    return read_declared(spark, path, PIPELINE_WATERMARKS)
+    """The latest mark of each pipeline."""
+    latest = F.max_by(F.struct(*PIPELINE_WATERMARKS.names), F.struct("mark_no", "last_run_ts", "last_processed_ts"))
+    return _marks(spark, path).groupBy("pipeline_name").agg(latest.alias("mark")).select("mark.*")
 
 
 def store_watermarks(watermarks: DataFrame, path: str) -> None:
-    """Replace the stored watermarks; they are computed from the table itself, so they are written aside first."""
-    written(conform(watermarks, PIPELINE_WATERMARKS), "watermarks").coalesce(1).write.mode("overwrite").parquet(path)
+    """Append the marks that differ from the stored ones, as one small file; no stored mark is ever touched.
+
+    A stop before the file is in place leaves the old marks, and pipelines that end together each add their own.
+    Marks of a pipeline are numbered, so that the latest is known whatever their times say.
+    """
+    spark = watermarks.sparkSession
+    held = read_watermarks(spark, path).select("pipeline_name", F.struct(*PIPELINE_WATERMARKS.names).alias("_held"))
+    last = _marks(spark, path).groupBy("pipeline_name").agg(F.max("mark_no").alias("_last"))
+    marks = watermarks.join(held, "pipeline_name", "left").join(last, "pipeline_name", "left")
+    fresh = marks.filter(~F.struct(*PIPELINE_WATERMARKS.names).eqNullSafe(F.col("_held")))
+    numbered = written(conform(fresh.withColumn("mark_no", F.coalesce("_last", F.lit(0)) + 1), PIPELINE_MARKS), "watermarks")
+    if not numbered.isEmpty():
+        numbered.coalesce(1).write.mode("append").parquet(path)
+
+
+def compact_watermarks(spark: SparkSession, path: str) -> int:
+    """Replace the files of all marks by one with the latest marks; returns the number of files removed.
+
+    The new file is complete before an old one goes, and a mark that is there twice is read once, so a stop in
+    between loses nothing; marks that other pipelines add meanwhile are in files this run does not know of.
+    """
+    files = data_files(spark, path)
+    latest = F.max_by(F.struct(*PIPELINE_MARKS.names), F.struct("mark_no", "last_run_ts", "last_processed_ts"))
+    known = spark.read.schema(PIPELINE_MARKS).parquet(*[f"{path}/{name}" for name in files])
+    kept = written(known.groupBy("pipeline_name").agg(latest.alias("mark")).select("mark.*"), "marks")
+    conform(kept, PIPELINE_MARKS).coalesce(1).write.mode("append").parquet(path)
+    for name in files:
+        delete_dir(spark, f"{path}/{name}")
+    return len(files)
 
 
 def run_pipeline(
@@ -164,5 +198,6 @@ def run_pipeline(
     if mine is None:
         raise ValueError(f"no watermark for pipeline {pipeline}")
     done = run_incremental(spark, source, lo=mine[0], hi=hi, now=now, **load)
-    store_watermarks(advance_watermark(marks, pipeline, hi, done.records, updated_by, now), watermark_path)
+    own = advance_watermark(marks.filter(F.col("pipeline_name") == pipeline), pipeline, hi, done.records, updated_by, now)
+    store_watermarks(own, watermark_path)
     return done

@@ -157,12 +157,22 @@ def _merged(
     return updated.unionByName(inserted)
 
 
+SIGN = "_sign"
+
+
 @dataclass(frozen=True)
 class Upserted:
-    """What a stored upsert changed: partitions rewritten, and values rows moved from or to."""
+    """What a stored upsert changed: partitions rewritten, values rows moved from or to, and, if asked for, its
+    signed images: every old version of a changed row with ``_sign`` -1 and every new one with +1."""
 
     partitions: list
     moved: dict[str, DataFrame]
+    images: DataFrame | None = None
+
+
+def signed(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Old and new versions as one table of signed rows."""
+    return before.withColumn(SIGN, F.lit(-1)).unionByName(after.withColumn(SIGN, F.lit(1)))
 
 
 def upsert_partitions(
@@ -179,6 +189,7 @@ def upsert_partitions(
     only_if_newer: str | None = None,
     stamps: dict[str, Column] | None = None,
     report: Sequence[str] = (),
+    images: Sequence[str] = (),
 ) -> Upserted:
     """Upsert into a partitioned Parquet table, rewriting only the partitions it touches.
 
@@ -187,21 +198,53 @@ def upsert_partitions(
     partitions the batch writes to and those that hold the old version of one of its rows,
     found by one scan of keys, partition column and ``report``. ``within`` bounds that scan for
     callers who know which partitions can hold old versions. For each column of ``report`` the
-    outcome has the values of old and new versions, each once (``moved``).
+    outcome has the values of old and new versions, each once (``moved``). With ``images`` it has these columns
+    of both versions of every row the batch touches, as signed rows; that scan then reads whole old versions.
     """
     unique = _prepared(batch, keys, on_duplicate, on_null_key, only_if_newer)
     target = read_declared(spark, path, schema)
-    wanted = list(dict.fromkeys([*keys, partition_column, *report]))
+    wanted = target.columns if images else list(dict.fromkeys([*keys, partition_column, *report]))
     searched = target if within is None else target.filter(within)
     held = written(searched.select(*wanted).join(unique.table.select(*keys), list(keys), "left_semi"), "held")
     touched = set(partition_values(held, partition_column)) | set(partition_values(unique.table, partition_column))
     moved = {c: written(held.select(c).union(unique.table.select(c)).distinct(), "moved") for c in report}
+    found = held.select(*keys).distinct()
+    changes = None
+    if images:
+        after = _merged(held, unique, keys, found, only_if_newer, stamps or {})
+        changes = written(signed(held.select(*images), after.select(*images)), "images")
     if touched:
         rewritten = in_partitions(target, partition_column, touched)
-        found = held.select(*keys).distinct()
         merged = written(_merged(rewritten, unique, keys, found, only_if_newer, stamps or {}), "merged")
         publish_partitions(merged, path, partition_column, touched, sort_by, schema)
-    return Upserted(sorted(touched, key=str), moved)
+    return Upserted(sorted(touched, key=str), moved, changes)
+
+
+def delete_partitions(
+    spark: SparkSession,
+    path: str,
+    partition_column: str,
+    gone: DataFrame,
+    keys: Sequence[str],
+    schema: StructType,
+    sort_by: tuple[str, ...] = (),
+    images: Sequence[str] = (),
+) -> Upserted:
+    """Remove the rows whose key is in ``gone``, rewriting only the partitions that hold one.
+
+    Rows without a key are never removed. ``images`` are the removed rows' columns to report, with ``_sign`` -1.
+    A removal that stops half-way is repeated with the same keys.
+    """
+    gone = written(gone.select(*keys).distinct(), "gone")
+    target = read_declared(spark, path, schema)
+    wanted = list(dict.fromkeys([*keys, partition_column, *images]))
+    held = written(target.select(*wanted).join(gone, list(keys), "left_semi"), "held")
+    touched = partition_values(held, partition_column)
+    if touched:
+        kept = in_partitions(target, partition_column, touched).join(gone, list(keys), "left_anti")
+        publish_partitions(written(kept, "kept"), path, partition_column, touched, sort_by, schema)
+    changes = held.select(*images).withColumn(SIGN, F.lit(-1)) if images else None
+    return Upserted(sorted(touched, key=str), {}, changes)
 
 
 def mark_deleted(

@@ -93,6 +93,8 @@ PIPELINE_WATERMARKS = _schema(
     },
     required=("pipeline_name", "last_processed_ts"),
 )
+# Watermarks as stored: every mark a pipeline ever set, numbered.
+PIPELINE_MARKS = StructType([*PIPELINE_WATERMARKS.fields, StructField("mark_no", _LONG)])
 # Orders after a load, one partition per year of the order date.
 ORDERS_SILVER = _schema(
     {
@@ -108,6 +110,14 @@ DAILY_REVENUE = _schema(
         "total_revenue": DecimalType(28, 2), "avg_order_value": DecimalType(22, 6), "order_date_year": _DATE,
     },
 )
+# The aggregate with what signed changes need: orders with an amount, orders at all, and the last load folded in.
+DAILY_REVENUE_STATE = _schema(
+    {
+        "order_date": _DATE, "region": _TEXT, "order_status": _TEXT, "total_orders": _LONG,
+        "total_revenue": DecimalType(28, 2), "priced_orders": _LONG, "order_rows": _LONG, "applied": _TEXT,
+        "order_date_year": _DATE,
+    },
+)
 ORDERS_SOURCE = _schema(
     {
         "order_id": _TEXT, "customer_id": _TEXT, "product_id": _TEXT, "order_amount": _MONEY,
@@ -138,6 +148,8 @@ DQ_CHECK_LOG = _schema(
 )
 # The dimension as stored: one partition per year versions begin in.
 DIM_CUSTOMER_STORED = StructType([*DIM_CUSTOMER.fields, StructField("valid_from_year", _DATE)])
+# The dimension with its current versions apart: one partition per year versions end in.
+DIM_CUSTOMER_APART = StructType([*DIM_CUSTOMER.fields, StructField("valid_to_year", _DATE)])
 JOBS = _schema(
     {
         "job_id": _TEXT, "user_email": _TEXT, "total_bytes_processed": _LONG, "total_bytes_billed": _LONG,

@@ -8,6 +8,7 @@ from oreline.operators.incremental import (
     FAIL,
     PASS,
     advance_watermark,
+    compact_watermarks,
     extract_batch,
     reconcile,
     read_watermarks,
@@ -19,7 +20,7 @@ from oreline.operators.incremental import (
 from oreline.operators.merge import mark_deleted, merge_upsert, upsert_partitions
 from oreline.plans.explain import explained
 from oreline.scratch import fresh_path
-from oreline.sources.files import partition_dirs
+from oreline.sources.files import data_files, partition_dirs, write_text
 from oreline.sources.publish import read_declared
 from oreline.sources.schemas import PIPELINE_WATERMARKS
 
@@ -224,3 +225,45 @@ def test_the_watermark_moves_only_after_a_run_that_worked(spark):
     assert {r.id for r in read_declared(spark, path, schema).collect()} == {"a", "b"}
     with pytest.raises(ValueError, match="no watermark"):
         run_pipeline(spark, "unknown", good, marks, at(4), "job", **settings)
+
+
+def marks_of(spark, path):
+    return {r.pipeline_name: r.last_processed_ts for r in read_watermarks(spark, path).collect()}
+
+
+def test_marks_are_only_ever_added(spark):
+    """Two pipelines that read the same marks and end together lose nothing; a half-written mark does not count."""
+    path = fresh_path(spark, "marks")
+    seeds = spark.createDataFrame([("a", at(0)), ("b", at(0))], "pipeline_name string, last_processed_ts timestamp")
+    store_watermarks(seed_watermarks(read_watermarks(spark, path), seeds, now=at(0)), path)
+    before = data_files(spark, path)
+    seen = read_watermarks(spark, path)
+    ends = [advance_watermark(seen.filter(F.col("pipeline_name") == p), p, at(h), 1, "job", now=at(h)) for p, h in (("a", 5), ("b", 3))]
+    for end in ends:
+        store_watermarks(end, path)
+    assert marks_of(spark, path) == {"a": at(5), "b": at(3)}
+    assert set(before) < set(data_files(spark, path))
+    store_watermarks(read_watermarks(spark, path), path)
+    assert len(data_files(spark, path)) == len(before) + 2  # nothing differed, nothing was written
+    write_text(spark, f"{path}/_temporary/0/_temporary/attempt_1/part-lost.parquet", "half a file")
+    assert marks_of(spark, path) == {"a": at(5), "b": at(3)}
+    back = advance_watermark(read_watermarks(spark, path).filter("pipeline_name = 'a'"), "a", at(1), 1, "reset", now=at(2))
+    store_watermarks(back, path)
+    assert marks_of(spark, path)["a"] == at(1)  # set back on purpose: the latest mark counts, not the greatest
+
+
+def test_compacted_marks(spark, monkeypatch):
+    path = fresh_path(spark, "marks")
+    seeds = spark.createDataFrame([("a", at(0)), ("b", at(0))], "pipeline_name string, last_processed_ts timestamp")
+    store_watermarks(seed_watermarks(read_watermarks(spark, path), seeds, now=at(0)), path)
+    for hour in (1, 2, 3):
+        store_watermarks(advance_watermark(read_watermarks(spark, path), "a", at(hour), 1, "job", now=at(hour)), path)
+    monkeypatch.setattr("oreline.operators.incremental.delete_dir", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+    with pytest.raises(OSError):
+        compact_watermarks(spark, path)
+    monkeypatch.undo()
+    assert marks_of(spark, path) == {"a": at(3), "b": at(0)}
+    assert compact_watermarks(spark, path) >= 5 and len(data_files(spark, path)) == 1
+    assert marks_of(spark, path) == {"a": at(3), "b": at(0)}
+    store_watermarks(advance_watermark(read_watermarks(spark, path), "b", at(9), 1, "job", now=at(9)), path)
+    assert marks_of(spark, path) == {"a": at(3), "b": at(9)}
