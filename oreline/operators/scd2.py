@@ -173,16 +173,18 @@ def scd2_asof_join(
 ) -> DataFrame:
     """Facts with the attributes their key had on their date; facts without a version drop out.
 
-    Versions are laid out by ``unit`` up to the last fact, so a fact meets only versions alive in
-    its own unit: at most one per day of it, however long the history of its key. Facts are the
-    side of the join Spark may split when one key has very many.
+    Versions are laid out by ``unit``, so a fact meets only versions alive in its own unit: at most one per day of
+    it, however long the history of its key. After the last unit in which anything began or ended a key has the
+    same version for good, so all later facts share one unit; that unit comes from the versions, and the facts
+    are read once. Facts are the side of the join Spark may split when one key has very many.
     """
-    last = fact.agg(F.max(date_col)).first()[0]
-    unit_of = lambda c: F.trunc(c, unit)
-    until = F.least(F.col("valid_to"), day(last) if last else F.lit("0001-01-01").cast("date"))
-    alive = dim.filter(F.col("valid_from") <= until).select(key, "valid_from", "valid_to", *attributes)
-    units = F.explode(F.sequence(unit_of("valid_from"), unit_of(until), F.expr(f"INTERVAL 1 {unit}")))
-    laid = alive.withColumn("_unit", units).withColumnRenamed(key, "_key")
+    ends = F.when(F.col("valid_to") < day(OPEN_END), F.col("valid_to"))
+    last = dim.agg(F.max(F.greatest("valid_from", ends))).first()[0]
+    step = F.expr(f"INTERVAL 1 {unit}")
+    after = F.lit("0001-01-01").cast("date") if last is None else (F.trunc(day(last), unit) + step).cast("date")
+    unit_of = lambda c: F.least(F.trunc(c, unit), after)
+    alive = dim.filter(F.col("valid_from") <= F.col("valid_to")).select(key, "valid_from", "valid_to", *attributes)
+    laid = alive.withColumn("_unit", F.explode(F.sequence(unit_of("valid_from"), unit_of("valid_to"), step))).withColumnRenamed(key, "_key")
     same = (F.col(key) == F.col("_key")) & (unit_of(date_col) == F.col("_unit"))
     during = (F.col(date_col) >= F.col("valid_from")) & (F.col(date_col) <= F.col("valid_to"))
     return fact.join(laid, same & during).select(*fact.columns, *attributes)

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreline.operators import scd2
+from oreline.operators import scd2, scd2_apart
 from oreline.plans.views import DIM, DIM_BROKEN, DIM_NULL_SAFE, ORDERS_ALL
 from oreline.scratch import fresh_path, written
 from oreline.sources import model
 from oreline.sources.layout import ByDate, write_partitioned
 from oreline.sources.publish import read_declared
-from oreline.sources.schemas import DIM_CUSTOMER, DIM_CUSTOMER_STORED
+from oreline.sources.schemas import DIM_CUSTOMER, DIM_CUSTOMER_APART, DIM_CUSTOMER_STORED
 
 KEY = "customer_id"
 TRACKED = ("city", "state", "customer_name", "customer_segment")
@@ -49,7 +49,18 @@ BY_START = ByDate("valid_from", unit="year")
 
 
 def scd2_merge(spark: SparkSession, root: str) -> DataFrame:
-    """The stored dimension after two runs that rewrite only partitions with a closed or opened version."""
+    """The stored dimension after two runs that read and rewrite its current versions only."""
+    path = fresh_path(spark, "dim-customer")
+    scd2_apart.build_apart(model.dim_customer_initial(spark, root), path, KEY, DIM_CUSTOMER)
+    for run in (model.FIRST_RUN, model.SECOND_RUN):
+        changes = _changes(model.customers_silver(spark, root, run), run)
+        scd2_apart.publish_apart(spark, path, changes, KEY, TRACKED, run, DIM_CUSTOMER_APART)
+    return _business(read_declared(spark, path, DIM_CUSTOMER_APART)).drop(scd2_apart.BY_END.partition_column)
+
+
+def scd2_merge_by_start(spark: SparkSession, root: str) -> DataFrame:
+    """The same two runs on a dimension laid out by the start of validity: partitions with a closed or opened
+    version are rewritten."""
     path = fresh_path(spark, "dim-customer")
     write_partitioned(model.dim_customer_initial(spark, root), path, BY_START, (KEY, "is_current"), DIM_CUSTOMER)
     for run in (model.FIRST_RUN, model.SECOND_RUN):
@@ -97,6 +108,7 @@ def scd2_integrity(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES = {
     "scd2_merge": scd2_merge,
+    "scd2_merge_by_start": scd2_merge_by_start,
     "scd2_merge_null_safe": scd2_merge_null_safe,
     "scd2_current": scd2_current,
     "scd2_as_of": scd2_as_of,
@@ -115,6 +127,7 @@ def _as_of(operator: str) -> str:
 
 ORACLE = {
     "scd2_merge": f"with {DIM} select * from dim_2",
+    "scd2_merge_by_start": f"with {DIM} select * from dim_2",
     "scd2_merge_null_safe": f"with {DIM_NULL_SAFE} select * from dim_1",
     "scd2_current": f"with {DIM} select customer_id, customer_name, city, customer_segment from dim_2 where is_current",
     "scd2_as_of": _as_of(">"),

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from oreline.operators import scd2_apart
 from oreline.operators.scd2 import (
     scd2_apply,
     scd2_as_of,
@@ -13,11 +14,12 @@ from oreline.operators.scd2 import (
     scd2_version_counts,
 )
 from oreline.plans.dimension_queries import KEY, TRACKED, _history
+from oreline.plans.explain import partition_filters
 from oreline.scratch import fresh_path, written
 from oreline.sources.files import partition_dirs
 from oreline.sources.layout import ByDate
 from oreline.sources.publish import publish_version, read_declared
-from oreline.sources.schemas import DIM_CUSTOMER, DIM_CUSTOMER_STORED, create_table
+from oreline.sources.schemas import DIM_CUSTOMER, DIM_CUSTOMER_APART, DIM_CUSTOMER_STORED, create_table
 
 OPEN = dt.date(9999, 12, 31)
 DAY1, DAY2 = dt.date(2024, 1, 1), dt.date(2024, 2, 1)
@@ -196,3 +198,51 @@ def test_publish_switches_the_table(spark):
     publish_version(after, "dim_customer_test", third, sort_by=("customer_id", "is_current"))
     assert spark.table("dim_customer_test").count() == 2
     spark.sql("DROP TABLE dim_customer_test")
+
+
+# --- current versions apart
+
+
+def published(spark, path, day, *rows, **options):
+    return scd2_apart.publish_apart(spark, path, source(spark, *rows), KEY, TRACKED, day, DIM_CUSTOMER_APART, **options)
+
+
+def test_current_versions_apart(spark):
+    """The same versions as a run over the whole table; a run reads the open year and writes that and its own."""
+    path = fresh_path(spark, "apart")
+    changes = (("moves", "B", "X"), ("same", "A", "X"), ("new", "C", "X"), ("null", "A", "X"))
+    scd2_apart.build_apart(base(spark), path, KEY, DIM_CUSTOMER)
+    assert published(spark, path, DAY2, *changes, mode="null_safe") == 5
+    assert published(spark, path, DAY2, *changes, mode="null_safe") == 0
+    stored = read_declared(spark, path, DIM_CUSTOMER_APART)
+    assert versions(stored) == versions(apply(spark, base(spark), DAY2, *changes, mode="null_safe"))
+    assert set(partition_dirs(spark, path, "valid_to_year")) == {"9999-01-01", "2024-01-01"}
+    published(spark, path, dt.date(2026, 1, 1), ("moves", "Z", "X"))
+    assert set(partition_dirs(spark, path, "valid_to_year")) == {"9999-01-01", "2024-01-01", "2025-01-01"}
+    current = scd2_apart.current_versions(spark, path, DIM_CUSTOMER_APART)
+    assert "9999-01-01" in partition_filters(current)[0] and current.filter("not is_current").isEmpty()
+    for day in (DAY1, DAY2, dt.date(2024, 1, 31), dt.date(2025, 12, 31), dt.date(2030, 1, 1)):
+        assert versions(scd2_apart.stored_as_of(spark, path, DIM_CUSTOMER_APART, day)) == versions(scd2_as_of(read_declared(spark, path, DIM_CUSTOMER_APART), day, True))
+
+
+def test_a_run_apart_that_stops(spark, monkeypatch):
+    """Closed versions appended, then stopped: the next run does not append them again."""
+    path = fresh_path(spark, "apart")
+    scd2_apart.build_apart(base(spark), path, KEY, DIM_CUSTOMER)
+    monkeypatch.setattr(scd2_apart, "publish_partitions", lambda *a, **b: (_ for _ in ()).throw(OSError("stopped")))
+    with pytest.raises(OSError):
+        published(spark, path, DAY2, ("moves", "B", "X"))
+    monkeypatch.undo()
+    assert published(spark, path, DAY2, ("moves", "B", "X")) == 2
+    assert versions(read_declared(spark, path, DIM_CUSTOMER_APART)) == versions(apply(spark, base(spark), DAY2, ("moves", "B", "X")))
+    with pytest.raises(Exception, match="on the date of the first"):
+        published(spark, path, DAY2, ("moves", "C", "X"))
+
+
+def test_lookup_after_the_last_change_is_one_unit(spark):
+    """Facts long after anything changed, and facts before: one version each, with the facts read once."""
+    dim = apply(spark, base(spark), DAY2, ("moves", "B", "X"))
+    facts = spark.createDataFrame([("moves", d) for d in (DAY1, DAY2, dt.date(2024, 1, 31), dt.date(2099, 7, 1), dt.date(2000, 1, 1))], "customer_id string, day date")
+    joined = scd2_asof_join(facts, written(dim, "dim"), KEY, "day", ("city",))
+    assert {(r.day, r.city) for r in joined.collect()} == {(DAY1, "A"), (DAY2, "B"), (dt.date(2024, 1, 31), "A"), (dt.date(2099, 7, 1), "B")}
+    assert scd2_asof_join(facts, empty(spark), KEY, "day", ("city",)).collect() == []
