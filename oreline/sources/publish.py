@@ -7,13 +7,15 @@ can be repeated until it succeeds.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from oreline.sources.files import NULL_PARTITION, delete_dir, exists, partition_dirs
+from oreline.sources.files import NULL_PARTITION, data_files, delete_dir, exists, move, partition_dirs, read_text, write_text
 from oreline.sources.schemas import conform
 
 
@@ -67,6 +69,34 @@ def publish_partitions(
     return sorted(emptied)
 
 
+APPENDED = "_appended"
+
+
+def append_once(df: DataFrame, path: str, column: str, token: str, sort_by: tuple[str, ...] = ()) -> bool:
+    """Append ``df`` to a table partitioned by ``column``, once for each ``token`` however often it is tried.
+
+    The rows are written to a hidden folder of the table; a journal then names its files, they are moved into
+    place, and a mark says that the token is done. Tried again, a stopped append goes on from its journal, and a
+    finished one does nothing (False). Large partitions are split over tasks.
+    """
+    spark = df.sparkSession
+    done, journal = f"{path}/{APPENDED}/{token}.done", f"{path}/{APPENDED}/{token}.json"
+    if exists(spark, done):
+        return False
+    if not exists(spark, journal):
+        staged = f"{path}/_staged-{token}-{uuid.uuid4().hex}"
+        df.hint("rebalance", column).sortWithinPartitions(column, *sort_by).write.partitionBy(column).parquet(staged)
+        write_text(spark, journal, json.dumps({"staged": staged, "new": data_files(spark, staged)}))
+    step = json.loads(read_text(spark, journal))
+    for name in step["new"]:
+        if exists(spark, f"{step['staged']}/{name}"):
+            move(spark, f"{step['staged']}/{name}", f"{path}/{name}")
+    write_text(spark, done, "")
+    delete_dir(spark, step["staged"])
+    delete_dir(spark, journal)
+    return True
+
+
 def publish_version(df: DataFrame, table: str, location: str, sort_by: tuple[str, ...] = ()) -> None:
     """Write a new copy at ``location`` and point an unpartitioned catalog table at it in one step.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,8 @@ from pyspark.sql.types import StructType
 
 from oreline.functions.scalars import day
 from oreline.operators.merge import upsert_partitions
+from oreline.sources.files import read_text
+from oreline.sources.publish import append_once
 from oreline.sources.schemas import EVENTS_PARTITIONED, conform
 
 
@@ -24,31 +27,31 @@ def read_event_files(
     return reader.parquet(path)
 
 
+def batch_token(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
+    """Name of a micro-batch that no other has: the id its query keeps in the checkpoint, and its number."""
+    return f"{json.loads(read_text(spark, f'{checkpoint}/metadata'))['id']}-{batch_id}"
+
+
 def stream_to_dates(
     events: DataFrame,
     path: str,
     checkpoint: str,
     schema: StructType = EVENTS_PARTITIONED,
     ts: str = "event_timestamp",
-    files_per_date: int = 1,
 ) -> StreamingQuery:
     """Append events to one partition per event date and stop when the input is used up.
 
-    Events are held to ``schema``, NOT NULL columns included, and dealt by date before they are
-    written, so a micro-batch leaves at most ``files_per_date`` files in each date it reaches. The
-    file sink records finished batches, so a batch repeated after a failure is not read twice.
+    Events are held to ``schema``, NOT NULL columns included. Each micro-batch is rebalanced by date: small dates
+    share a task and leave one file, a hot one is split over many tasks. A micro-batch that is delivered again
+    after a failure goes on where it stopped and is there once.
     """
     dated = conform(events, schema).withColumn("event_date", F.to_date(ts))
-    share = F.pmod(F.xxhash64(*schema.names), F.lit(files_per_date))
-    return (
-        dated.repartition("event_date", share)
-        .writeStream.format("parquet")
-        .partitionBy("event_date")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        append_once(batch, path, "event_date", batch_token(spark, checkpoint, batch_id))
+
+    return _each_batch(dated, land, checkpoint)
 
 
 def stream_upsert(
