@@ -9,6 +9,7 @@ distance verifies them. The limit t grows with the length of a line unless the c
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from . import packed, tokens
 from .common import table, texts, with_rows, written
-from .links import TASKS, linked_classes
+from .links import PAIRS, TASKS, Pairwise, linked_classes
 
 #: Edit distance (in characters) up to which lines are the same.
 THRESHOLD = 2
@@ -292,30 +293,124 @@ def _send(found: DataFrame):
     return lambda tasks: tasks.join(lines, "id").select(*TASKS, "payload")
 
 
-def _letters(lines: list[str]) -> np.ndarray:
-    """How often each line has characters of each of ``LETTERS`` classes; an edit changes two numbers by one at most."""
-    out = np.zeros((len(lines), LETTERS), dtype=np.int32)
-    for i, x in enumerate(lines):
-        out[i] = np.bincount(np.frombuffer(x.encode("utf-32-le"), dtype=np.uint32) % LETTERS, minlength=LETTERS)
+@dataclass(frozen=True)
+class _Lines:
+    """Lines of one side: their characters end to end, where each begins, its length, and its counts of letters."""
+
+    code: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
+    letters: np.ndarray
+
+
+def _read(payloads: list[bytes]) -> _Lines:
+    code = np.frombuffer(b"".join(payloads).decode().encode("utf-32-le"), dtype=np.uint32)
+    raw = np.frombuffer(b"".join(payloads), dtype=np.uint8)
+    ends = np.concatenate([[0], np.cumsum([len(p) for p in payloads])])
+    upto = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])[ends]
+    owner = np.repeat(np.arange(len(payloads)), np.diff(upto))
+    letters = np.bincount(owner * LETTERS + code % LETTERS, minlength=len(payloads) * LETTERS).reshape(-1, LETTERS)
+    return _Lines(code, upto[:-1], np.diff(upto), np.minimum(letters, 255).astype(np.int16))
+
+
+def _trimmed(left: _Lines, right: _Lines, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and lengths of both lines of each pair without what they begin and end with alike."""
+    a, n, b, m = left.start[i].copy(), left.size[i].copy(), right.start[j].copy(), right.size[j].copy()
+    for backward in (False, True):
+        going = np.flatnonzero((n > 0) & (m > 0))
+        width = 8
+        while len(going):
+            shift = np.arange(width)
+            at = (n[going, None] - 1 - shift, m[going, None] - 1 - shift) if backward else (shift[None, :], shift[None, :])
+            inside = (shift < n[going, None]) & (shift < m[going, None])
+            same = inside & (
+                left.code[np.where(inside, a[going, None] + at[0], 0)] == right.code[np.where(inside, b[going, None] + at[1], 0)]
+            )
+            run = np.where(same.all(axis=1), width, same.argmin(axis=1))
+            n[going] -= run
+            m[going] -= run
+            if not backward:
+                a[going] += run
+                b[going] += run
+            going = going[(run == width) & (n[going] > 0) & (m[going] > 0)]
+            width = min(2 * width, 64)
+    return a, n, b, m
+
+
+def banded_within(left: _Lines, right: _Lines, i: np.ndarray, j: np.ndarray, limit: int) -> np.ndarray:
+    """Whether the lines of each pair are within ``limit`` edits: ``banded_distance`` for many pairs in step.
+
+    A column of all pairs costs a few operations on arrays of 64-bit words. Pairs leave when their lines end or
+    when the limit is out of reach.
+    """
+    a, n, b, m = _trimmed(left, right, i, j)
+    swap = n < m
+    a, n, b, m = np.where(swap, b, a), np.where(swap, m, n), np.where(swap, a, b), np.where(swap, n, m)
+    out = np.zeros(len(i), dtype=bool)
+    # One side's text is behind the other's, so that a place says which text it is in.
+    text = np.concatenate([left.code, right.code])
+    a = a + np.where(swap, len(left.code), 0)
+    b = b + np.where(swap, 0, len(left.code))
+    easy = (m == 0) | (n - m > limit)
+    out[easy] = (n <= limit)[easy] & (n - m <= limit)[easy]
+    pair = np.flatnonzero(~easy)
+    a, n, b, m = a[pair], n[pair], b[pair], m[pair]
+    one = np.uint64(1)
+    top = one << np.uint64(WORD - 1)
+    down = np.full(len(pair), ~((one << np.uint64(WORD - limit - 1)) - one), dtype=np.uint64)
+    up = np.zeros(len(pair), dtype=np.uint64)
+    score = np.minimum(limit, n)
+    edge = one << (WORD - 2 - np.maximum(0, limit - n)).astype(np.uint64)
+    hopeless = 2 * limit + m - n
+    reach = np.arange(-limit, limit + 1)
+    place = one << (WORD - 1 - limit + reach).astype(np.uint64)
+    column = 0
+    while len(pair):
+        rows = column + reach
+        inside = (rows >= 0) & (rows < n[:, None])
+        same = inside & (text[np.where(inside, a[:, None] + rows, 0)] == text[b + column][:, None])
+        match = np.bitwise_or.reduce(np.where(same, place, np.uint64(0)), axis=1)
+        diagonal = (((match & down) + down) ^ down) | match | up
+        right_, left_ = up | ~(diagonal | down), diagonal & down
+        last_row = column >= n - limit
+        step = np.where(last_row, ((right_ & edge) != 0).astype(np.int64) - ((left_ & edge) != 0), (diagonal & top) == 0)
+        score = score + step
+        edge = np.where(last_row, edge >> one, edge)
+        down, up = left_ | ~((diagonal >> one) | right_), (diagonal >> one) & right_
+        column += 1
+        ended = column >= m
+        out[pair[ended & (score <= limit)]] = True
+        stay = ~ended & (score <= hopeless)
+        if not stay.all():
+            pair, a, n, b, m, down, up, score, edge, hopeless = (x[stay] for x in (pair, a, n, b, m, down, up, score, edge, hopeless))
     return out
 
 
-def _compare(threshold: int | None, min_similarity: float):
-    def read(payloads: list[bytes]) -> tuple[np.ndarray, list[str], np.ndarray]:
-        lines = [p.decode() for p in payloads]
-        return np.array([len(x) for x in lines]), lines, _letters(lines)
+def _compare(threshold: int | None, min_similarity: float) -> tuple:
+    """How lines are read and compared, all pairs of two blocks at once."""
+
+    def limits(size: np.ndarray) -> np.ndarray:
+        most = np.clip(size // CHARS_PER_EDIT, THRESHOLD, MAX_EDITS) if threshold is None else np.full(size.shape, threshold)
+        return np.minimum(most, ((1 - min_similarity) * size + 1e-9).astype(np.int64))
+
+    def candidates(left: _Lines, right: _Lines) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs whose lengths and counts of letters are within the limit; an edit changes two counts by one at most."""
+        longer = np.maximum(left.size[:, None], right.size[None, :])
+        most = limits(longer)
+        i, j = np.nonzero((most > 0) & (np.abs(left.size[:, None] - right.size[None, :]) <= most))
+        near = [np.abs(left.letters[i[k : k + PAIRS]] - right.letters[j[k : k + PAIRS]]).sum(axis=1) for k in range(0, len(i), PAIRS)]
+        fits = np.concatenate([np.empty(0, np.int64), *near]) <= 2 * most[i, j]
+        return i[fits], j[fits]
 
-    def partners(left, i: int, right, places: list[int]) -> Iterator[int]:
-        at = np.array(places)
-        size, mine = left[0][i], left[1][i]
-        at = at[np.abs(right[0][at] - size) <= (MAX_EDITS if threshold is None else threshold)]
-        apart = np.abs(right[2][at] - left[2][i]).sum(axis=1)
-        for j, differ in zip(at.tolist(), apart.tolist()):
-            limit = edit_limit(int(max(size, right[0][j])), threshold, min_similarity)
-            if limit > 0 and differ <= 2 * limit and banded_distance(mine, right[1][j], limit) <= limit:
-                yield j
+    def linked(left: _Lines, right: _Lines, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        most = limits(np.maximum(left.size[i], right.size[j]))
+        out = np.zeros(len(i), dtype=bool)
+        for limit in np.unique(most).tolist():
+            at = np.flatnonzero(most == limit)
+            out[at] = banded_within(left, right, i[at], j[at], limit)
+        return out
 
-    return read, partners
+    return _read, Pairwise(candidates, linked)
 
 
 def line_classes(

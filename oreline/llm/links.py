@@ -11,8 +11,10 @@ members are in one class already.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,16 +28,31 @@ BLOCK = 256
 TASK_FIELDS = "k1 bigint, k2 bigint, side int, component bigint, id bigint, payload binary"
 TASKS = ["k1", "k2", "side", "component", "id"]
 LEADER, MEMBER, INSIDE = 0, 1, 2
+#: Pairs verified together; links found among them spare the pairs of their classes that come later.
+PAIRS = 4096
+
+
+@dataclass(frozen=True)
+class Pairwise:
+    """Comparison of many pairs at once: places of all pairs of two sides that could be linked, and which are."""
+
+    candidates: Callable[[Any, Any], tuple[np.ndarray, np.ndarray]]
+    linked: Callable[[Any, Any, np.ndarray, np.ndarray], np.ndarray]
 
 
 def linked_classes(
-    members: DataFrame, send: Callable[[DataFrame], DataFrame], read: Callable[[list[bytes]], Any], partners: Callable[[Any, int, Any, list[int]], Iterator[int]], label: str
+    members: DataFrame,
+    send: Callable[[DataFrame], DataFrame],
+    read: Callable[[list[bytes]], Any],
+    partners: Callable[[Any, int, Any, list[int]], Iterator[int]] | Pairwise,
+    label: str,
 ) -> DataFrame:
     """``id, component`` of the ids that are linked to another one; the component is the smallest id reachable.
 
     ``members`` has ``bucket, id``. ``send`` turns rows of ``TASKS`` into rows of ``TASK_FIELDS``. In a task
     ``read`` prepares the payloads of a side, and ``partners(left, i, right, places)`` gives, one after the
-    other, which ``places`` of the right side are linked to the i-th of the left.
+    other, which ``places`` of the right side are linked to the i-th of the left; a ``Pairwise`` answers for
+    many pairs at once.
     """
     members = written(members, f"{label}-members")
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -84,6 +101,24 @@ def _blocks(rest: DataFrame) -> DataFrame:
 def _links(tasks: DataFrame, send, read, partners) -> DataFrame:
     """Links ``a, b`` found in the tasks, enough to connect what is linked."""
 
+    def _joined(mine, theirs, i, j, left, right, inside) -> Iterator[tuple[int, int]]:
+        """Links between classes among the candidate pairs ``i, j``, which are verified in runs."""
+        names, number = np.unique([r[1] for r in mine] + [r[1] for r in theirs], return_inverse=True)
+        one, two = number[: len(mine)], number[len(mine) :]
+        now = np.arange(len(names))  # the class each class has become part of
+        if inside:
+            i, j = i[i < j], j[i < j]
+        while len(i):
+            apart = now[one[i]] != now[two[j]]
+            i, j = i[apart], j[apart]
+            ok = partners.linked(left, right, i[:PAIRS], j[:PAIRS])
+            for x, y in zip(i[:PAIRS][ok].tolist(), j[:PAIRS][ok].tolist()):
+                a, b = now[one[x]], now[two[y]]
+                if a != b:
+                    now[now == b] = a
+                    yield mine[x][2], theirs[y][2]
+            i, j = i[PAIRS:], j[PAIRS:]
+
     def solve(rows: list[tuple]) -> Iterator[tuple[int, int]]:
         parent: dict[int, int] = {}
 
@@ -97,8 +132,12 @@ def _links(tasks: DataFrame, send, read, partners) -> DataFrame:
         for mine, theirs in ((sides[LEADER], sides[MEMBER]), (sides[INSIDE], sides[INSIDE])):
             if not mine or not theirs:
                 continue
-            left, right = read([r[3] for r in mine]), read([r[3] for r in theirs])
             inside = mine is theirs
+            left = read([r[3] for r in mine])
+            right = left if inside else read([r[3] for r in theirs])
+            if isinstance(partners, Pairwise):
+                yield from _joined(mine, theirs, *partners.candidates(left, right), left, right, inside)
+                continue
             for i, (_, component, a, _) in enumerate(mine):
                 apart = [j for j in range(i + 1 if inside else 0, len(theirs)) if root(theirs[j][1]) != root(component)]
                 for j in partners(left, i, right, apart) if apart else ():

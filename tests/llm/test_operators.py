@@ -248,3 +248,28 @@ def test_empty_tables(spark):
     assert exact.drop_exact(none).columns == near.drop_near(none).columns == none.columns
     pages = spark.createDataFrame([], "page_id bigint, url string")
     assert urls.judge_urls(pages, urls.RULES, urls.junk_hosts(pages)).isEmpty()
+
+
+@pytest.mark.parametrize("limit", [1, 2, 5, 9, 31])
+def test_many_distances_at_once(limit):
+    """All pairs in step against one pair at a time, over lengths around the band, copies, and other alphabets."""
+    import random
+
+    import numpy as np
+
+    rng = random.Random(limit)
+    texts = ["", "a", "ab" * 40, "é" * 70]
+    for n in (3, 10, 30, 64, 65, 130, 400):
+        base = "".join(rng.choice("abc é漢") for _ in range(n))
+        texts.append(base)
+        for edits in (1, 2, 5, 9, 12, 30, 33):
+            x = list(base)
+            for _ in range(edits):
+                at = rng.randrange(len(x) + 1)
+                x[at : at + rng.choice([0, 1])] = rng.choice(["", "z", "q", "a"])
+            texts.append("".join(x))
+    side = lines._read([t.encode() for t in texts])
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(len(texts)), np.arange(len(texts))))
+    got = lines.banded_within(side, side, i, j, limit)
+    want = [lines.banded_distance(texts[a], texts[b], limit) <= limit for a, b in zip(i.tolist(), j.tolist())]
+    assert got.tolist() == want and 0 < sum(want) < len(want)
