@@ -1,14 +1,20 @@
 """Benchmark items in documents, also with other numbers, names and units, by template windows.
 
 Words become a template: numbers, names and units turn into typed placeholders. Windows of a document's
-template are joined by hash with those of the benchmark; along one alignment the placeholders must
-then stand for each other one to one. A bitmap of fixed size made of the benchmark's windows keeps most
-document windows from the join; a larger benchmark only lets more of them through.
+template are joined by hash with those of the benchmark; along one alignment each value of the item must
+then stand for one value of the document, and windows in which it stands for another one do not count. A
+bitmap of fixed size made of the benchmark's windows keeps most document windows from the join; a larger
+benchmark only lets more of them through.
+
+An item too short, or with too few words besides placeholders, for a window is looked for word for word, from
+``MIN_WORDS`` words on; shorter ones are in no document. Rows of documents are judged one by one, also those
+that share an id or have none; so are items. Missing and empty texts hold nothing and are held by nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -16,18 +22,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import table, texts, written
+from .common import table, texts, with_rows, written
 
 WINDOW = 5
 #: Share of an item's windows that must be found.
 MIN_SHARE = 0.8
 #: Words of a window that must not be placeholders.
 MIN_CONTENT = 3
+#: Words of the shortest item that is looked for word for word.
+MIN_WORDS = 3
 GATE_BITS = 1 << 23
 
+#: Number words of four languages; those that are articles as well are left out.
 NUMBER_WORDS = (
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen "
-    "nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion half dozen"
+    "nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion half dozen "
+    "null zwei drei vier fünf sechs sieben acht neun zehn elf zwölf dreizehn vierzehn fünfzehn sechzehn siebzehn achtzehn neunzehn "
+    "zwanzig dreißig vierzig fünfzig sechzig siebzig achtzig neunzig hundert tausend millionen milliarde dutzend "
+    "zéro deux trois quatre cinq sept huit neuf dix onze douze treize quatorze quinze seize vingt trente quarante cinquante "
+    "soixante cent mille millions milliard douzaine "
+    "cero dos tres cuatro cinco seis siete ocho nueve diez once doce trece catorce quince veinte treinta cuarenta cincuenta sesenta "
+    "setenta ochenta noventa cien ciento mil millón millones docena"
 ).split()
 UNIT_WORDS = (
     "m km cm mm mile miles metre metres meter meters kilometre kilometres kilometer kilometers foot feet inch inches yard yards "
@@ -81,10 +96,10 @@ def template(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return form, value ^ form, number | unit | name, np.searchsorted(starts, offsets)
 
 
-def template_windows(rows: DataFrame, id_name: str, window: int, min_content: int, gate: np.ndarray | None) -> DataFrame:
+def template_windows(rows: DataFrame, id_name: str, window: int, min_content: int, gate: np.ndarray | None, verbatim: bool = False) -> DataFrame:
     """``<id>, pos, hash, slots`` of the windows of ``rows`` (id and binary text) that pass the gate.
 
-    ``slots`` holds the values of the placeholders of a window in order.
+    ``slots`` holds the values of the placeholders of a window in order; ``verbatim`` windows have none.
     """
     schema = f"{id_name} bigint, pos bigint, hash bigint, slots array<bigint>"
 
@@ -94,6 +109,8 @@ def template_windows(rows: DataFrame, id_name: str, window: int, min_content: in
             ids = batch.column(0)
             for first, last, part, own in tokens.chunks(data, offsets):
                 form, value, placed, bounds = template(part, own)
+                if verbatim:
+                    form, placed = form ^ value, np.zeros(len(form), bool)
                 at = tokens.runs_inside(bounds, window)
                 if not len(at):
                     continue
@@ -131,68 +148,123 @@ def _gate(windows: DataFrame, bits: int) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def find_items(
+def _aligned(hits: DataFrame) -> DataFrame:
+    """``row, item, windows, exact`` of each alignment of an item with a document: the windows that agree.
+
+    Most windows decide what value of the document a value of the item stands for (ties: the largest hash); windows
+    with another value there do not count. An item bounds the number of its windows, and so what is gathered.
+    """
+    pairs = F.zip_with("item_slots", "slots", lambda item, value: F.struct(item.alias("item"), value.alias("value")))
+    grouped = hits.groupBy("row", "item", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
+        F.collect_set(F.struct(F.col("item_pos").alias("at"), pairs.alias("pairs"))).alias("windows")
+    )
+    every = grouped.withColumn("pairs", F.flatten(F.col("windows.pairs")))
+    counted = F.transform(
+        F.array_distinct("pairs"),
+        lambda p: F.struct(p["item"].alias("item"), F.size(F.filter("pairs", lambda x: x == p)).alias("n"), p["value"].alias("value")),
+    )
+    chosen = F.filter("counted", lambda c: ~F.exists("counted", lambda x: (x["item"] == c["item"]) & (F.struct(x["n"], x["value"]) > F.struct(c["n"], c["value"]))))
+    stands = F.map_from_entries(F.transform("chosen", lambda c: F.struct(c["item"], c["value"])))
+    agree = F.filter("windows", lambda w: F.forall(w["pairs"], lambda p: F.element_at("stands", p["item"]) == p["value"]))
+    kept = every.withColumn("counted", counted).withColumn("chosen", chosen).withColumn("stands", stands).withColumn("agreeing", agree)
+    exact = F.forall("agreeing", lambda w: F.forall(w["pairs"], lambda p: p["item"] == p["value"]))
+    return kept.where(F.size("agreeing") > 0).select("row", "item", F.col("agreeing.at").alias("windows"), exact.alias("exact"))
+
+
+def _hits(rows: DataFrame, items: DataFrame, window: int, min_content: int, gate_bits: int, verbatim: bool) -> DataFrame:
+    """Windows of ``rows`` that are windows of ``items`` as well."""
+    held = items.toDF("item", "item_pos", "hash", "item_slots")
+    found = template_windows(rows, "row", window, min_content, _gate(held, gate_bits), verbatim)
+    return found.join(held, "hash").where(F.size("slots") == F.size("item_slots")).select("row", "item", "pos", "item_pos", "item_slots", "slots")
+
+
+def _row_items(rows: DataFrame, items: DataFrame, window: int, min_share: float, min_content: int, gate_bits: int) -> DataFrame:
+    """``row, item, share, exact`` for ``rows`` and ``items`` of a number and a binary text each."""
+    cut = written(template_windows(items, "item", window, min_content, None), "decontaminate-items")
+    found, totals = [_aligned(_hits(rows, cut, window, min_content, gate_bits, False))], [cut]
+    # Items without a window are looked for word for word: whole if shorter than a window, else by their windows.
+    rest = items.join(cut.select("item"), "item", "left_anti")
+    for n in range(MIN_WORDS, window + 1):
+        whole = template_windows(rest, "item", n, 0, None, True)
+        if n < window:
+            longer = template_windows(rest, "item", n + 1, 0, None, True).select("item")
+            whole = whole.join(longer, "item", "left_anti")
+        whole = written(whole, "decontaminate-short")
+        if not whole.isEmpty():
+            found.append(_aligned(_hits(rows, whole, n, 0, gate_bits, True)))
+            totals.append(whole)
+    hits, windows = found[0], totals[0].select("item", "pos")
+    for more, own in zip(found[1:], totals[1:]):
+        hits, windows = hits.unionByName(more), windows.unionByName(own.select("item", "pos"))
+    counts = windows.groupBy("item").agg(F.count_distinct("pos").alias("n_windows"))
+    return (
+        hits.groupBy("row", "item")
+        .agg(F.size(F.array_distinct(F.flatten(F.collect_list("windows")))).alias("n"), F.min("exact").alias("exact"))
+        .join(counts, "item")
+        .where(F.col("n") >= F.lit(min_share) * F.col("n_windows"))
+        .select("row", "item", F.least(F.lit(1.0), F.col("n") / F.col("n_windows")).alias("share"), "exact")
+    )
+
+
+@dataclass(frozen=True)
+class _Found:
+    """Documents with a column that tells rows apart, and the items found by it."""
+
+    docs: DataFrame
+    row: str
+    items: DataFrame
+
+
+def _found(
     docs: DataFrame,
     benchmark: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
+    id_col: str,
+    text_col: str,
     item_col: str = "item_id",
     item_text_col: str = "text",
     window: int = WINDOW,
     min_share: float = MIN_SHARE,
     min_content: int = MIN_CONTENT,
     gate_bits: int = GATE_BITS,
-) -> DataFrame:
+) -> _Found:
+    docs, row = with_rows(docs, id_col, "decontaminate-rows")
+    benchmark, item = with_rows(benchmark, item_col, "decontaminate-benchmark")
+    found = _row_items(texts(docs, row, text_col).toDF("row", "text"), texts(benchmark, item, item_text_col).toDF("item", "text"), window, min_share, min_content, gate_bits)
+    names = benchmark.select(benchmark[item].cast("bigint").alias("item"), benchmark[item_col].cast("bigint").alias("item_id"))
+    return _Found(docs, row, written(found.join(names, "item").select("row", "item_id", "share", "exact"), "decontaminate-found"))
+
+
+def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``doc_id, item_id, share, exact``: items of which at least ``min_share`` of the windows are in a document.
 
-    Only windows with ``min_content`` words that are no placeholders count; an item without such a window
-    (missing, empty or short text) is in no document. Windows of one alignment count if their placeholders
-    stand for each other one to one; ``exact`` tells that all values are the item's own. Rows with the same
-    id, also those without one, are judged together; so are items with the same id.
+    Only windows with ``min_content`` words that are no placeholders count, if an item has one; ``exact`` tells
+    that all values are the item's own. One row for each row of ``docs`` and of ``benchmark`` that match.
     """
-    items = template_windows(texts(benchmark, item_col, item_text_col).toDF("item_id", "text"), "item_id", window, min_content, None)
-    items = written(items.toDF("item_id", "item_pos", "hash", "item_slots"), "decontaminate-items")
-    found = template_windows(texts(docs, id_col, text_col), "doc_id", window, min_content, _gate(items, gate_bits))
-    hits = (
-        found.join(items, "hash")
-        .where(F.size("slots") == F.size("item_slots"))
-        .groupBy("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"))
-        .agg(F.collect_set("item_pos").alias("windows"), F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots")))).alias("pairs"))
-        .withColumn("n_pairs", F.size("pairs"))
-        .where(F.size(F.array_distinct("pairs.item_slots")) == F.col("n_pairs"))
-        .where(F.size(F.array_distinct("pairs.slots")) == F.col("n_pairs"))
-        .withColumn("exact", F.forall("pairs", lambda p: p["item_slots"] == p["slots"]))
-    )
-    totals = items.groupBy("item_id").agg(F.count_distinct("item_pos").alias("n_windows"))
-    return (
-        hits.groupBy("doc_id", "item_id")
-        .agg(F.size(F.array_distinct(F.flatten(F.collect_list("windows")))).alias("n"), F.min("exact").alias("exact"))
-        .join(totals, "item_id")
-        .where(F.col("n") >= F.lit(min_share) * F.col("n_windows"))
-        .select("doc_id", "item_id", F.least(F.lit(1.0), F.col("n") / F.col("n_windows")).alias("share"), "exact")
-    )
+    found = _found(docs, benchmark, id_col, text_col, **options)
+    ids = found.docs.select(found.docs[found.row].cast("bigint").alias("row"), found.docs[id_col].cast("bigint").alias("doc_id"))
+    return found.items.join(ids, "row").select("doc_id", "item_id", "share", "exact")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, contaminated, n_items, item_id, share`` (of the item found most fully)."""
-    items = find_items(docs, benchmark, id_col, text_col, **options)
+    found = _found(docs, benchmark, id_col, text_col, **options)
     best: Column = F.max(F.struct("share", (-F.col("item_id")).alias("order")))
-    per_doc = written(
-        items.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_items"), best.alias("best")).select(
-            F.col("doc_id").alias("__id"), "n_items", (-F.col("best.order")).alias("item_id"), F.col("best.share").alias("share")
-        ),
-        "decontaminate-found",
-    )
-    ids = docs.select(docs[id_col].cast("bigint").alias("doc_id"))
-    return ids.join(per_doc, ids.doc_id.eqNullSafe(per_doc["__id"]), "left").select(
-        "doc_id", F.col("n_items").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0)).alias("n_items"), "item_id", "share"
+    per_row = found.items.groupBy("row").agg(F.count(F.lit(1)).alias("n_items"), best.alias("best"))
+    ids = found.docs.select(found.docs[found.row].cast("bigint").alias("row"), found.docs[id_col].cast("bigint").alias("doc_id"))
+    return ids.join(per_row, "row", "left").select(
+        "doc_id",
+        F.col("n_items").isNotNull().alias("contaminated"),
+        F.coalesce("n_items", F.lit(0)).alias("n_items"),
+        (-F.col("best.order")).alias("item_id"),
+        F.col("best.share").alias("share"),
     )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with all its columns without the rows that hold a benchmark item."""
-    bad = written(find_items(docs, benchmark, id_col, text_col, **options).select("doc_id").distinct(), "decontaminate-bad").toDF("__bad_id")
-    return docs.join(bad, docs[id_col].cast("bigint").eqNullSafe(bad["__bad_id"]), "left_anti")
+    found = _found(docs, benchmark, id_col, text_col, **options)
+    bad = found.items.select("row").distinct().toDF("__bad_row")
+    return found.docs.join(bad, found.docs[found.row].cast("bigint") == bad["__bad_row"], "left_anti").select(*docs.columns)
 
 
 def op9_decontamination(spark, sf_dir: str) -> DataFrame:

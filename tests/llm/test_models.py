@@ -187,7 +187,40 @@ def test_decontaminate_odd_input(spark):
     rows = decontaminate.contamination(docs, odd).collect()
     assert len(rows) == docs.count() and {r.doc_id for r in rows if r.contaminated} == {50, 1000}
     left = decontaminate.drop_contaminated(docs, odd)
-    assert left.columns == docs.columns and left.where("doc_id in (50, 1000)").isEmpty()
+    assert left.columns == docs.columns and left.count() == docs.count() - 2
+    assert [r.text for r in left.where("doc_id in (50, 1000)").orderBy("text").collect()] == [None, "clean"]
     empty = odd.limit(0)
     assert not any(r.contaminated for r in decontaminate.contamination(docs, empty).collect())
     assert decontaminate.contamination(docs.limit(0), odd).isEmpty()
+
+
+def test_rows_without_id_and_with_one_id_are_judged_apart(spark):
+    other = ITEM.replace("Alice", "Maria").replace("12", "17")
+    docs = frame(spark, [(None, ITEM), (None, "clean text one"), (None, "clean text two"), (5, ITEM), (5, other), (5, "clean text three")])
+    benchmark = spark.createDataFrame([(1, ITEM)], "item_id bigint, text string")
+    left = decontaminate.drop_contaminated(docs, benchmark)
+    assert sorted(r.text for r in left.collect()) == ["clean text one", "clean text three", "clean text two"]
+    judged = decontaminate.contamination(docs, benchmark).collect()
+    assert sorted((str(r.doc_id), r.contaminated) for r in judged) == [("5", False), ("5", True), ("5", True), ("None", False), ("None", False), ("None", True)]
+
+
+def test_one_changed_word_spoils_its_windows_only(spark):
+    item = "The farmer sold eggs at The market and The baker bought them there before The evening came and everyone went back home quietly that night while dogs were barking at some strangers who had just arrived by an old train"
+    changed = item.replace("before The evening", "before That evening")
+    got = found(spark, [(1, changed), (2, item)], [(1, item)])
+    assert set(got) == {(1, 1), (2, 1)} and got[1, 1].share < 1.0 and got[2, 1].exact
+
+
+def test_items_without_a_window_word_for_word(spark):
+    items = [(1, "What is 12 + 30 ?"), (2, "12 km 30 km 40 km Alice Bob"), (3, "Too short"), (4, None)]
+    docs = [(1, "He asked: what is 12 + 30? Nobody knew."), (2, "what is 13 + 30"), (3, "then 12 km 30 km 40 km Alice Bob ran"), (4, "then 12 km 31 km 40 km Alice Bob ran"), (5, "this is Too short"), (6, None)]
+    assert set(found(spark, docs, items)) == {(1, 1), (3, 2)}
+
+
+def test_number_words_of_four_languages(spark):
+    for item, other in (
+        ("der Bauer hat drei rote Kisten und kauft noch sieben blaue Kisten auf dem Markt", "der Bauer hat vier rote Kisten und kauft noch neun blaue Kisten auf dem Markt"),
+        ("on compte trois grands arbres devant la maison et huit petits arbres derrière le mur", "on compte deux grands arbres devant la maison et cinq petits arbres derrière le mur"),
+        ("la tienda vende cinco libros nuevos cada lunes y siete libros usados cada viernes", "la tienda vende ocho libros nuevos cada lunes y nueve libros usados cada viernes"),
+    ):
+        assert set(found(spark, [(1, other), (2, "quite another text about other things")], [(1, item)])) == {(1, 1)}
