@@ -34,6 +34,8 @@ WORD = 64
 GATE_BITS = 1 << 23
 #: Classes of characters counted before two lines are compared.
 LETTERS = 32
+#: Pairs whose columns are taken in step.
+STEP_PAIRS = 4096
 
 _SPACE = np.zeros(0x110000, dtype=bool)
 _SPACE[[32, 9, 11, 12, 13]] = True
@@ -313,9 +315,9 @@ def _read(payloads: list[bytes]) -> _Lines:
     return _Lines(code, upto[:-1], np.diff(upto), np.minimum(letters, 255).astype(np.int16))
 
 
-def _trimmed(left: _Lines, right: _Lines, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _trimmed(lines: _Lines, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Starts and lengths of both lines of each pair without what they begin and end with alike."""
-    a, n, b, m = left.start[i].copy(), left.size[i].copy(), right.start[j].copy(), right.size[j].copy()
+    a, n, b, m = lines.start[i].copy(), lines.size[i].copy(), lines.start[j].copy(), lines.size[j].copy()
     for backward in (False, True):
         going = np.flatnonzero((n > 0) & (m > 0))
         width = 8
@@ -323,9 +325,7 @@ def _trimmed(left: _Lines, right: _Lines, i: np.ndarray, j: np.ndarray) -> tuple
             shift = np.arange(width)
             at = (n[going, None] - 1 - shift, m[going, None] - 1 - shift) if backward else (shift[None, :], shift[None, :])
             inside = (shift < n[going, None]) & (shift < m[going, None])
-            same = inside & (
-                left.code[np.where(inside, a[going, None] + at[0], 0)] == right.code[np.where(inside, b[going, None] + at[1], 0)]
-            )
+            same = inside & (lines.code[np.where(inside, a[going, None] + at[0], 0)] == lines.code[np.where(inside, b[going, None] + at[1], 0)])
             run = np.where(same.all(axis=1), width, same.argmin(axis=1))
             n[going] -= run
             m[going] -= run
@@ -337,20 +337,17 @@ def _trimmed(left: _Lines, right: _Lines, i: np.ndarray, j: np.ndarray) -> tuple
     return a, n, b, m
 
 
-def banded_within(left: _Lines, right: _Lines, i: np.ndarray, j: np.ndarray, limit: int) -> np.ndarray:
+def banded_within(lines: _Lines, i: np.ndarray, j: np.ndarray, limit: int) -> np.ndarray:
     """Whether the lines of each pair are within ``limit`` edits: ``banded_distance`` for many pairs in step.
 
     A column of all pairs costs a few operations on arrays of 64-bit words. Pairs leave when their lines end or
     when the limit is out of reach.
     """
-    a, n, b, m = _trimmed(left, right, i, j)
+    a, n, b, m = _trimmed(lines, i, j)
     swap = n < m
     a, n, b, m = np.where(swap, b, a), np.where(swap, m, n), np.where(swap, a, b), np.where(swap, n, m)
     out = np.zeros(len(i), dtype=bool)
-    # One side's text is behind the other's, so that a place says which text it is in.
-    text = np.concatenate([left.code, right.code])
-    a = a + np.where(swap, len(left.code), 0)
-    b = b + np.where(swap, 0, len(left.code))
+    text = lines.code
     easy = (m == 0) | (n - m > limit)
     out[easy] = (n <= limit)[easy] & (n - m <= limit)[easy]
     pair = np.flatnonzero(~easy)
@@ -393,24 +390,29 @@ def _compare(threshold: int | None, min_similarity: float) -> tuple:
         most = np.clip(size // CHARS_PER_EDIT, THRESHOLD, MAX_EDITS) if threshold is None else np.full(size.shape, threshold)
         return np.minimum(most, ((1 - min_similarity) * size + 1e-9).astype(np.int64))
 
-    def candidates(left: _Lines, right: _Lines) -> tuple[np.ndarray, np.ndarray]:
+    def possible(lines: _Lines, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Pairs whose lengths and counts of letters are within the limit; an edit changes two counts by one at most."""
-        longer = np.maximum(left.size[:, None], right.size[None, :])
-        most = limits(longer)
-        i, j = np.nonzero((most > 0) & (np.abs(left.size[:, None] - right.size[None, :]) <= most))
-        near = [np.abs(left.letters[i[k : k + PAIRS]] - right.letters[j[k : k + PAIRS]]).sum(axis=1) for k in range(0, len(i), PAIRS)]
-        fits = np.concatenate([np.empty(0, np.int64), *near]) <= 2 * most[i, j]
-        return i[fits], j[fits]
-
-    def linked(left: _Lines, right: _Lines, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        most = limits(np.maximum(left.size[i], right.size[j]))
+        most = limits(np.maximum(lines.size[i], lines.size[j]))
+        out = (most > 0) & (np.abs(lines.size[i] - lines.size[j]) <= most)
+        left = np.flatnonzero(out)
+        for k in range(0, len(left), PAIRS):
+            at = left[k : k + PAIRS]
+            out[at] = np.abs(lines.letters[i[at]] - lines.letters[j[at]]).sum(axis=1) <= 2 * most[at]
+        return out
+
+    def linked(lines: _Lines, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        most = limits(np.maximum(lines.size[i], lines.size[j]))
         out = np.zeros(len(i), dtype=bool)
         for limit in np.unique(most).tolist():
             at = np.flatnonzero(most == limit)
-            out[at] = banded_within(left, right, i[at], j[at], limit)
+            # Pairs of like length end together.
+            at = at[np.argsort(np.minimum(lines.size[i[at]], lines.size[j[at]]), kind="stable")]
+            for k in range(0, len(at), STEP_PAIRS):
+                some = at[k : k + STEP_PAIRS]
+                out[some] = banded_within(lines, i[some], j[some], limit)
         return out
 
-    return _read, Pairwise(candidates, linked)
+    return _read, Pairwise(possible, linked)
 
 
 def line_classes(

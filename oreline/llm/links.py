@@ -29,15 +29,18 @@ TASK_FIELDS = "k1 bigint, k2 bigint, side int, component bigint, id bigint, payl
 TASKS = ["k1", "k2", "side", "component", "id"]
 LEADER, MEMBER, INSIDE = 0, 1, 2
 #: Pairs verified together; links found among them spare the pairs of their classes that come later.
-PAIRS = 4096
+PAIRS = 1 << 15
+#: Pairs and bytes of the tasks that are solved together, about; a single task may have more.
+TOGETHER_PAIRS, TOGETHER_BYTES = 1 << 19, 8 << 20
 
 
 @dataclass(frozen=True)
 class Pairwise:
-    """Comparison of many pairs at once: places of all pairs of two sides that could be linked, and which are."""
+    """Comparison of many pairs at once: of the pairs of places ``i, j`` of what was read, which could be linked,
+    and which are."""
 
-    candidates: Callable[[Any, Any], tuple[np.ndarray, np.ndarray]]
-    linked: Callable[[Any, Any, np.ndarray, np.ndarray], np.ndarray]
+    possible: Callable[[Any, np.ndarray, np.ndarray], np.ndarray]
+    linked: Callable[[Any, np.ndarray, np.ndarray], np.ndarray]
 
 
 def linked_classes(
@@ -101,24 +104,6 @@ def _blocks(rest: DataFrame) -> DataFrame:
 def _links(tasks: DataFrame, send, read, partners) -> DataFrame:
     """Links ``a, b`` found in the tasks, enough to connect what is linked."""
 
-    def _joined(mine, theirs, i, j, left, right, inside) -> Iterator[tuple[int, int]]:
-        """Links between classes among the candidate pairs ``i, j``, which are verified in runs."""
-        names, number = np.unique([r[1] for r in mine] + [r[1] for r in theirs], return_inverse=True)
-        one, two = number[: len(mine)], number[len(mine) :]
-        now = np.arange(len(names))  # the class each class has become part of
-        if inside:
-            i, j = i[i < j], j[i < j]
-        while len(i):
-            apart = now[one[i]] != now[two[j]]
-            i, j = i[apart], j[apart]
-            ok = partners.linked(left, right, i[:PAIRS], j[:PAIRS])
-            for x, y in zip(i[:PAIRS][ok].tolist(), j[:PAIRS][ok].tolist()):
-                a, b = now[one[x]], now[two[y]]
-                if a != b:
-                    now[now == b] = a
-                    yield mine[x][2], theirs[y][2]
-            i, j = i[PAIRS:], j[PAIRS:]
-
     def solve(rows: list[tuple]) -> Iterator[tuple[int, int]]:
         parent: dict[int, int] = {}
 
@@ -132,12 +117,8 @@ def _links(tasks: DataFrame, send, read, partners) -> DataFrame:
         for mine, theirs in ((sides[LEADER], sides[MEMBER]), (sides[INSIDE], sides[INSIDE])):
             if not mine or not theirs:
                 continue
+            left, right = read([r[3] for r in mine]), read([r[3] for r in theirs])
             inside = mine is theirs
-            left = read([r[3] for r in mine])
-            right = left if inside else read([r[3] for r in theirs])
-            if isinstance(partners, Pairwise):
-                yield from _joined(mine, theirs, *partners.candidates(left, right), left, right, inside)
-                continue
             for i, (_, component, a, _) in enumerate(mine):
                 apart = [j for j in range(i + 1 if inside else 0, len(theirs)) if root(theirs[j][1]) != root(component)]
                 for j in partners(left, i, right, apart) if apart else ():
@@ -165,4 +146,81 @@ def _links(tasks: DataFrame, send, read, partners) -> DataFrame:
             yield flush()
 
     dealt = send(tasks).repartition("k1", "k2").sortWithinPartitions("k1", "k2")
-    return dealt.mapInArrow(compare, "a bigint, b bigint")
+    return dealt.mapInArrow(_compare_many(read, partners) if isinstance(partners, Pairwise) else compare, "a bigint, b bigint")
+
+
+def _across(first: np.ndarray, n: np.ndarray, second: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all pairs of each task: ``n`` rows from ``first`` on with ``m`` rows from ``second`` on."""
+    pairs = n * m
+    task = np.repeat(np.arange(len(pairs)), pairs)
+    at = np.arange(int(pairs.sum())) - np.repeat(np.cumsum(pairs) - pairs, pairs)
+    return first[task] + at // m[task], second[task] + at % m[task]
+
+
+def _compare_many(read: Callable[[list[bytes]], Any], how: Pairwise):
+    """Function that solves many tasks together: most have a few rows, and pairs of all of them are compared in step."""
+
+    def solve(task: np.ndarray, side: np.ndarray, component: np.ndarray, ids: np.ndarray, payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        order = np.lexsort((side, task))
+        task, side, component, ids = task[order], side[order], component[order], ids[order]
+        held = read([payloads[k] for k in order.tolist()])
+        counts = np.bincount(task * 3 + side, minlength=3 * (int(task[-1]) + 1)).reshape(-1, 3)
+        begin = np.cumsum(counts.ravel()) - counts.ravel()
+        begin = begin.reshape(-1, 3)
+        i, j = _across(begin[:, LEADER], counts[:, LEADER], begin[:, MEMBER], counts[:, MEMBER])
+        x, y = _across(begin[:, INSIDE], counts[:, INSIDE], begin[:, INSIDE], counts[:, INSIDE])
+        i, j = np.concatenate([i, x[x < y]]), np.concatenate([j, y[x < y]])
+        _, now = np.unique(component, return_inverse=True)  # the class of each row, as links join them
+        apart = now[i] != now[j]
+        i, j = i[apart], j[apart]
+        fits = how.possible(held, i, j)
+        i, j = i[fits], j[fits]
+        found: list[tuple[int, int]] = []
+        while len(i):
+            ok = how.linked(held, i[:PAIRS], j[:PAIRS])
+            parent: dict[int, int] = {}
+
+            def root(k: int) -> int:
+                while parent.get(k, k) != k:
+                    parent[k] = parent.get(parent[k], parent[k])
+                    k = parent[k]
+                return k
+
+            for x, y in zip(i[:PAIRS][ok].tolist(), j[:PAIRS][ok].tolist()):
+                one, two = root(int(now[x])), root(int(now[y]))
+                if one != two:
+                    parent[one] = two
+                    found.append((int(ids[x]), int(ids[y])))
+            if parent:
+                into = np.arange(int(now.max()) + 1)
+                into[list(parent)] = [root(k) for k in parent]
+                now = into[now]
+            i, j = i[PAIRS:], j[PAIRS:]
+            apart = now[i] != now[j]
+            i, j = i[apart], j[apart]
+        return np.array([f[0] for f in found], np.int64), np.array([f[1] for f in found], np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        key, task, rows, pairs, size = None, -1, 0, 0, 0
+
+        def flush() -> pa.RecordBatch:
+            columns = list(zip(*held))
+            a, b = solve(*[np.array(c, np.int64) for c in columns[:4]], columns[4])
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("k1", "k2", "side", "component", "id", "payload")]
+            for k1, k2, side, component, row, payload in zip(*columns):
+                if (k1, k2) != key:
+                    pairs += rows * rows // 4
+                    if pairs >= TOGETHER_PAIRS or size >= TOGETHER_BYTES:
+                        yield flush()
+                        held, task, pairs, size = [], -1, 0, 0
+                    key, task, rows = (k1, k2), task + 1, 0
+                held.append((task, side, component, row, payload))
+                rows, size = rows + 1, size + len(payload)
+        if held:
+            yield flush()
+
+    return run

@@ -270,6 +270,6 @@ def test_many_distances_at_once(limit):
             texts.append("".join(x))
     side = lines._read([t.encode() for t in texts])
     i, j = (x.ravel() for x in np.meshgrid(np.arange(len(texts)), np.arange(len(texts))))
-    got = lines.banded_within(side, side, i, j, limit)
+    got = lines.banded_within(side, i, j, limit)
     want = [lines.banded_distance(texts[a], texts[b], limit) <= limit for a, b in zip(i.tolist(), j.tolist())]
     assert got.tolist() == want and 0 < sum(want) < len(want)
