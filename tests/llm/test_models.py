@@ -104,7 +104,9 @@ def test_rates_reach_reachable_targets(spark):
     rows = [(i, int(n), *map(float, p)) for i, (n, p) in enumerate(zip(rng.integers(0, 500, 900), rng.dirichlet([0.3, 0.2, 0.1], 900)))]
     shares = spark.createDataFrame(rows, "doc_id bigint, n_tokens bigint, p_a double, p_b double, p_c double")
     weights = {"a": 0.3, "b": 0.2, "c": 0.5}
-    got = mixing.solve_rates(shares, weights, budget=0.7)
+    mixed = mixing.solve_rates(shares, weights, budget=0.7)
+    got = mixed.rates
+    assert mixed.met and mixed.steps <= 20
     total = shares.agg(F.sum("n_tokens")).first()[0]
     for name, weight in weights.items():
         reached = got.agg(F.sum(F.col("rate") * F.col("n_tokens") * F.col(f"p_{name}"))).first()[0]
@@ -112,20 +114,42 @@ def test_rates_reach_reachable_targets(spark):
     assert got.where("rate < 0").isEmpty() and got.count() == 900
 
 
-def test_rates_match_a_plain_projected_gradient(spark):
-    rows = [(0, 10, 0.9, 0.1), (1, 30, 0.2, 0.8), (2, 5, 0.5, 0.5), (3, 0, 1.0, 0.0)]
-    shares = spark.createDataFrame(rows, "doc_id bigint, n_tokens bigint, p_a double, p_b double")
-    weights, budget = {"a": 0.95, "b": 0.05}, 0.8
-    got = [r.rate for r in mixing.solve_rates(shares, weights, budget, max_steps=7, tolerance=0).orderBy("doc_id").collect()]
-    n, p = np.array([r[1] for r in rows], float), np.array([r[2:] for r in rows])
-    total, target = n.sum(), np.array(list(weights.values())) * budget
-    scale = total / (n @ p)
-    gram = np.sqrt(np.outer(scale, scale)) * ((p * n[:, None]).T @ p) / total
-    rate = np.full(4, budget)
-    for _ in range(7):
-        off = (n * rate) @ p / total - target
-        rate = np.maximum(0, rate - p @ (scale * off) / np.linalg.eigvalsh(gram).max())
-    assert np.allclose(got, rate, atol=2e-6)
+ROWS = [(0, 10, 0.9, 0.1), (1, 30, 0.2, 0.8), (2, 5, 0.5, 0.5), (3, 0, 1.0, 0.0)]
+
+
+def two_domains(spark):
+    return spark.createDataFrame(ROWS, "doc_id bigint, n_tokens bigint, p_a double, p_b double")
+
+
+def test_rates_match_plain_steps(spark):
+    weights, budget = {"a": 0.6, "b": 0.4}, 0.8
+    mixed = mixing.solve_rates(two_domains(spark), weights, budget, max_steps=3, tolerance=0)
+    got = [r.rate for r in mixed.rates.orderBy("doc_id").collect()]
+    n, p = np.array([r[1] for r in ROWS], float), np.array([r[2:] for r in ROWS])
+    total, target, steps = n.sum(), np.array(list(weights.values())) * budget, np.zeros(2)
+    for _ in range(3):
+        rate = np.maximum(0, budget - p @ steps)
+        common = (p * (n * (rate > 0))[:, None]).T @ p / total
+        steps = steps + np.linalg.solve(common + 1e-9 * np.trace(common) * np.eye(2), (n * rate) @ p / total - target)
+    assert np.allclose(got, np.maximum(0, budget - p @ steps), atol=2e-6)
+
+
+def test_rates_at_zero_do_not_stop_the_fit(spark):
+    """The document of the unwanted domain ends at zero, and the target is still met."""
+    mixed = mixing.solve_rates(two_domains(spark), {"a": 0.88, "b": 0.12}, 0.8)
+    rates = [r.rate for r in mixed.rates.orderBy("doc_id").collect()]
+    assert mixed.met and rates[1] == 0 and min(rates) >= 0
+    reached = [sum(r[1] * x * r[2 + k] for r, x in zip(ROWS, rates)) / 45 for k in (0, 1)]
+    assert np.allclose(reached, [0.88 * 0.8, 0.12 * 0.8], atol=2e-4) and np.allclose(list(mixed.reached.values()), reached, atol=2e-5)
+
+
+def test_a_target_out_of_reach_is_said(spark):
+    mixed = mixing.solve_rates(two_domains(spark), {"a": 0.99, "b": 0.01}, 0.8)
+    assert not mixed.met and mixed.reached["b"] > 0.01 * 0.8 and mixed.rates.where("rate < 0").isEmpty()
+    nobody = two_domains(spark).withColumns({"p_a": F.lit(1.0), "p_b": F.lit(0.0)})
+    alone = mixing.solve_rates(nobody, {"a": 0.5, "b": 0.5}, 0.8)
+    assert not alone.met and abs(alone.reached["a"] - 0.4) < 1e-4 and alone.reached["b"] == 0
+    assert mixing.solve_rates(nobody, {"a": 1.0, "b": 0.0}, 0.8).reached["a"] == 0.8
 
 
 def test_mixing_odd_input(spark):
@@ -133,7 +157,7 @@ def test_mixing_odd_input(spark):
     labels = spark.createDataFrame([(None, 1), (1005, 0), (1005, 9), (1006, None)], "doc_id bigint, label int")
     model = mixing.fit_domains(docs, labels, 2)
     mixed = mixing.mix(docs, model, {"x": 1.0, "y": 1.0})
-    assert mixed.columns == ["doc_id", "n_tokens", "p_x", "p_y", "rate"] and mixed.count() == docs.count()
+    assert mixed.columns == ["doc_id", "n_tokens", "p_x", "p_y", "rate", "target_met"] and mixed.count() == docs.count()
     assert mixing.mix(docs.limit(0), model, {"x": 1.0, "y": 0.0}).isEmpty()
     assert mixing.mix(docs.where("doc_id <= 1002"), model, {"x": 1.0, "y": 0.0}).where("rate <> 0.5").isEmpty()
 
