@@ -221,9 +221,9 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW, minimiser: int = MIN
     if hot.isEmpty():
         masks = _count(distinct(packed).repartition("bucket").sortWithinPartitions("bucket"), window)
     else:
-        cold = distinct(packed.join(F.broadcast(hot), "bucket", "left_anti"))
+        cold = distinct(packed.join(hot, "bucket", "left_anti"))
         masks = _count(cold.repartition("bucket").sortWithinPartitions("bucket"), window)
-        masks = masks.union(_count_spread(distinct(packed.join(F.broadcast(hot), "bucket", "left_semi")), window))
+        masks = masks.union(_count_spread(distinct(packed.join(hot, "bucket", "left_semi")), window))
     found = packed.select("row", "start", "k1", "k2").join(masks, ["k1", "k2"])
     return found.groupBy("row").agg(F.collect_list(F.struct("start", "mask")).alias("found"))
 
