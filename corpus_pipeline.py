@@ -41,7 +41,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, n_tokens, p_good, p_poor, rate`` of every document left."""
+    """``doc_id, n_tokens, p_good, p_poor, rate, target_met`` of every document left."""
     ship(spark)
     labels = mixing.quality_domains(table(spark, sf_dir, "labels")).where("label < 2")
     return mixing.mix(docs, mixing.fit_domains(docs, labels, len(DOMAINS)), DOMAINS)
