@@ -139,7 +139,8 @@ def run_incremental(
     )
     target = read_declared(spark, target_path, schema)
     report = reconcile(source, extract_batch(loaded, lo, hi), target, keys, lo, hi)
-    return Load(loaded.count(), changed.partitions, report, changed.moved[partition_column])
+    records = batch.rows if loaded is batch.table else loaded.count()
+    return Load(records, changed.partitions, report, changed.moved[partition_column])
 
 
 def _marks(spark: SparkSession, path: str) -> DataFrame:

@@ -207,7 +207,8 @@ def upsert_partitions(
     searched = target if within is None else target.filter(within)
     held = written(searched.select(*wanted).join(unique.table.select(*keys), list(keys), "left_semi"), "held")
     touched = set(partition_values(held, partition_column)) | set(partition_values(unique.table, partition_column))
-    moved = {c: written(held.select(c).union(unique.table.select(c)).distinct(), "moved") for c in report}
+    # Both tables are written and stay as they are: the values are computed when someone asks for them.
+    moved = {c: held.select(c).union(unique.table.select(c)).distinct() for c in report}
     found = held.select(*keys).distinct()
     changes = None
     if images:
