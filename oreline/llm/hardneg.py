@@ -519,7 +519,7 @@ with points as (
 ),
 scored as (
   select a.vec_id as anchor_id, a.label as anchor_label, b.vec_id, b.label,
-         cast(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) as bigint) as score
+         cast(coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])), 0) as bigint) as score
   from points a join points b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
 ),
 positives as (
