@@ -210,13 +210,17 @@ def stream_dedup_events(spark: SparkSession, root: str) -> DataFrame:
     return _ntz(dedup.all_events(spark, path, late, events.schema), "event_timestamp")
 
 
+FILES_ARRIVING = 12
+
+
 def stream_session_updates(spark: SparkSession, root: str) -> DataFrame:
-    """Events in three files with gaps everywhere: what holds after all sessions taken back and corrected."""
+    """Events in three lots with gaps everywhere: what holds after all sessions taken back and corrected."""
     arriving, path, checkpoint = (fresh_path(spark, n) for n in ("arriving", "session-changes", "session-checkpoint"))
     events = model.raw(spark, root, "events").select("user_id", "event_id", F.col("ts").cast("timestamp").alias("at"))
     for third in range(3):
-        events.filter(F.col("event_id") % 3 == third).coalesce(1).write.mode("append").parquet(arriving)
-    stream = read_event_files(spark, arriving, events.schema, files_per_batch=1)
+        # A lot is one micro-batch and lies in several files, so that many tasks read it.
+        events.filter(F.col("event_id") % 3 == third).repartition(FILES_ARRIVING).write.mode("append").parquet(arriving)
+    stream = read_event_files(spark, arriving, events.schema, files_per_batch=FILES_ARRIVING)
     changes = session_updates.stream_session_updates(stream, "user_id", "at", lateness="60 days")
     session_updates.store_session_changes(spark, changes, path, checkpoint)
     held = session_updates.net_sessions(session_updates.read_session_changes(spark, path, changes.schema), "user_id")

@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType, TimestampType
 
 from oreline.sources.publish import append_once, read_declared
@@ -35,64 +35,64 @@ def _fragments(user: str, gap: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for name, own in batch.groupby(user, sort=False, dropna=False):
-                at = own["_at"].to_numpy(np.int64)
-                for s, e, n in zip(*merge_spans(at, at, np.ones(len(at), np.int64), gap)):
-                    # The watermark looks at a span's last event: what is late as a span is late as events.
-                    rows.append((name, pd.Timestamp(e, unit="us"), s, e, n))
-            yield pd.DataFrame(rows, columns=[user, "seen_at", "span_start", "span_end", "span_events"])
+            # All users of the batch at once: in order of user and time, a span begins at a new user or after a pause.
+            codes, _ = pd.factorize(batch[user], use_na_sentinel=False)
+            at = batch["_at"].to_numpy(np.int64)
+            order = np.lexsort((at, codes))
+            codes, at = codes[order], at[order]
+            begins = np.ones(len(at), bool)
+            begins[1:] = (codes[1:] != codes[:-1]) | (at[1:] - at[:-1] >= gap)
+            first = np.flatnonzero(begins)
+            last = np.append(first[1:], len(at))[: len(first)] - 1
+            names = batch[user].iloc[order[first]].reset_index(drop=True)
+            # The watermark looks at a span's last event: what is late as a span is late as events.
+            columns = {"seen_at": pd.to_datetime(at[last], unit="us"), "span_start": at[first], "span_end": at[last], "span_events": last - first + 1}
+            yield pd.DataFrame({user: names, **columns})
 
     return run
 
 
-class SessionUpdates(StatefulProcessor):
-    """Open sessions of a user: a list of spans, kept until the watermark says that no event can reach them."""
+#: State of a user: the open spans, as lists of equal length.
+SPANS = "start array<bigint>, end array<bigint>, events array<bigint>"
 
-    def __init__(self, gap: int, user: str) -> None:
-        self.gap, self.user = gap, user
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.spans = handle.getListState("spans", "start bigint, end bigint, events bigint")
+def _corrections(gap: int, user: str):
+    """Function that joins a user's spans with the open ones and reports the sessions this changes.
 
-    def _held(self) -> list[tuple[int, int, int]]:
-        return [(r[0], r[1], r[2]) for r in self.spans.get()] if self.spans.exists() else []
+    State is kept until the watermark says that no event can reach it. It comes and goes with the rows of the
+    users, many at a time, so a user costs no calls of their own to the state store.
+    """
 
-    def _changes(self, key, before: set, after: set) -> Iterator[pd.DataFrame]:
+    def changes(key, before: set, after: set) -> Iterator[pd.DataFrame]:
         rows = [(key[0], s, e, n, change) for spans, change in ((before - after, TAKEN_BACK), (after - before, HOLDS)) for s, e, n in sorted(spans)]
         if rows:
-            frame = pd.DataFrame(rows, columns=[self.user, "session_start", "session_end", "events", "change"])
-            for column in ("session_start", "session_end"):
-                frame[column] = pd.to_datetime(frame[column], unit="us")
-            yield frame
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        held = self._held()
-        parts = [f[["span_start", "span_end", "span_events"]].to_numpy(np.int64) for f in rows]
-        spans = np.concatenate([np.array(held, np.int64).reshape(-1, 3), *parts])
-        after = [tuple(int(x) for x in span) for span in zip(*merge_spans(spans[:, 0], spans[:, 1], spans[:, 2], self.gap))]
-        yield from self._changes(key, set(held), set(after))
-        self._keep(after, timerValues.getCurrentWatermarkInMs())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self._keep(self._held(), timerValues.getCurrentWatermarkInMs())
-        return iter(())
-
-    def _keep(self, spans: list, watermark_ms: int) -> None:
-        """Hold the spans an event may still join, and a timer for when the first of them is out of reach."""
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        beyond = lambda span: (span[1] + self.gap) // 1000 + 1
+            names, starts, ends, events, change = zip(*rows)
+            times = {"session_start": np.array(starts, "M8[us]"), "session_end": np.array(ends, "M8[us]")}
+            yield pd.DataFrame({user: names, **times, "events": events, "change": np.array(change, np.int32)})
+
+    def keep(spans: list, state: GroupState) -> None:
+        """Hold the spans an event may still join, and a timeout for when the first of them is out of reach."""
+        watermark_ms = state.getCurrentWatermarkMs()
+        beyond = lambda span: (span[1] + gap) // 1000 + 1
         left = [span for span in spans if beyond(span) > watermark_ms]
         if left:
-            self.spans.put(left)
-            self.handle.registerTimer(min(map(beyond, left)))
+            state.update(tuple(list(values) for values in zip(*left)))
+            state.setTimeoutTimestamp(min(map(beyond, left)))
         else:
-            self.spans.clear()
+            state.remove()
+
+    def run(key, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = list(zip(*state.get)) if state.exists else []
+        if state.hasTimedOut:
+            keep(held, state)
+            return
+        parts = [np.stack([f[c].to_numpy(np.int64) for c in ("span_start", "span_end", "span_events")], 1) for f in rows]
+        spans = np.concatenate([np.array(held, np.int64).reshape(-1, 3), *parts])
+        after = list(zip(*(column.tolist() for column in merge_spans(spans[:, 0], spans[:, 1], spans[:, 2], gap))))
+        yield from changes(key, set(held), set(after))
+        keep(after, state)
 
-    def close(self) -> None:
-        pass
+    return run
 
 
 def stream_session_updates(events: DataFrame, user: str, ts: str, gap: dt.timedelta = dt.timedelta(minutes=30), lateness: str = "1 hour") -> DataFrame:
@@ -100,9 +100,9 @@ def stream_session_updates(events: DataFrame, user: str, ts: str, gap: dt.timede
     or further events change it, the old form with ``change`` -1 and the new one with +1.
 
     The sum of ``change`` per session is at any time the sessions of all events so far, open ones included. Events
-    later than ``lateness`` behind the newest are left out. The sink is written in update mode; the session must
-    keep state in RocksDB (``spark.sql.streaming.stateStore.providerClass``). State is one list of open spans for
-    each user, and a batch's events are folded into spans before they are shuffled.
+    later than ``lateness`` behind the newest are left out. The sink is written in update mode; a session that
+    keeps state in RocksDB (``spark.sql.streaming.stateStore.providerClass``) holds it on disk. State is one list
+    of open spans for each user, and a batch's events are folded into spans before they are shuffled.
     """
     micros = int(gap.total_seconds() * _US)
     kind = events.schema[user]
@@ -111,9 +111,7 @@ def stream_session_updates(events: DataFrame, user: str, ts: str, gap: dt.timede
     folded = dated.mapInPandas(_fragments(user, micros), spans).withWatermark("seen_at", lateness)
     times = [StructField(c, TimestampType()) for c in ("session_start", "session_end")]
     out = StructType([kind, *times, StructField("events", LongType()), StructField("change", IntegerType())])
-    return folded.groupBy(user).transformWithStateInPandas(
-        SessionUpdates(micros, user), outputStructType=out, outputMode="Update", timeMode="EventTime"
-    )
+    return folded.groupBy(user).applyInPandasWithState(_corrections(micros, user), out, SPANS, "update", GroupStateTimeout.EventTimeTimeout)
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -123,7 +121,7 @@ _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 def store_session_changes(spark: SparkSession, changes: DataFrame, path: str, checkpoint: str) -> None:
     """Append the changes of all arrived input to a table by kind of change; each micro-batch is there once.
 
-    Sets the state provider that the operator needs while the query runs.
+    Sets the state provider that keeps state on disk while the query runs.
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:

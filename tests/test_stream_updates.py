@@ -121,6 +121,18 @@ def test_fragments_are_few():
     assert sorted(out["span_events"]) == [1, 1, 900]
 
 
+def test_fragments_cost_no_step_for_each_user(monkeypatch):
+    """A batch of many users is folded at once; users without a name are one user."""
+    calls, real = [], session_updates.merge_spans
+    monkeypatch.setattr(session_updates, "merge_spans", lambda *args: calls.append(1) or real(*args))
+    frame = pd.DataFrame({"user": [*(f"u{n}" for n in range(500)), None, None, None], "_at": [*range(500), 90, 10, 100]})
+    out = pd.concat(session_updates._fragments("user", 50)(iter([frame, frame.iloc[:0]])))
+    assert len(calls) <= 1
+    named, nobody = out[out["user"].notna()], out[out["user"].isna()]
+    assert named["span_events"].tolist() == [1] * 500 and set(named["user"]) == {f"u{n}" for n in range(500)}
+    assert nobody[["span_start", "span_end", "span_events"]].to_numpy().tolist() == [[10, 10, 1], [90, 100, 2]]
+
+
 CLICK = "user string, at timestamp"
 
 
@@ -150,3 +162,22 @@ def test_sessions_are_corrected(spark):
     arrive(("c", 2000))
     _, net = arrive(("a", 61), ("c", 2010))  # a's event is behind the watermark by now
     assert net == [("a", 0, 60, 4), ("b", 5, 5, 1), ("b", 35, 35, 1), ("c", 2000, 2010, 2)]
+
+
+def test_users_come_to_the_state_many_at_a_time(spark):
+    """No call to the state store for each user: state goes with the rows. Sessions out of reach leave it."""
+    source, path, checkpoint = (fresh_path(spark, n) for n in ("clicks", "sessions", "checkpoint"))
+    schema = ddl(CLICK)
+    for rows in ((("a", 0), (None, 3), (None, 20)), (("b", 2000),), ((None, 2010),)):
+        clicks(spark, *rows).coalesce(1).write.mode("append").parquet(source)
+        changes = session_updates.stream_session_updates(read_event_files(spark, source, schema), "user", "at", dt.timedelta(minutes=30), "5 hours")
+        session_updates.store_session_changes(spark, changes, path, checkpoint)
+    assert "FlatMapGroupsInPandasWithState" in changes._jdf.queryExecution().analyzed().toString()
+    rows = session_updates.net_sessions(session_updates.read_session_changes(spark, path, changes.schema), "user").collect()
+    assert sorted((r.user or "", r.events) for r in rows) == [("", 1), ("", 2), ("a", 1), ("b", 1)]
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", session_updates.ROCKSDB)
+    try:
+        assert spark.read.format("statestore").load(checkpoint).count() == 2  # b, and nobody's last session
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass") if before is None else spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
