@@ -176,7 +176,9 @@ def scd2_asof_join(
     Versions are laid out by ``unit``, so a fact meets only versions alive in its own unit: at most one per day of
     it, however long the history of its key. After the last unit in which anything began or ended a key has the
     same version for good, so all later facts share one unit; that unit comes from the versions, and the facts
-    are read once. Facts are the side of the join Spark may split when one key has very many.
+    are read once. Facts are the side of the join Spark may split when one key has very many. The versions laid out
+    are never broadcast: Spark takes them for as small as the compressed files of ``dim``, and would hold all of them
+    in one table in every task.
     """
     ends = F.when(F.col("valid_to") < day(OPEN_END), F.col("valid_to"))
     last = dim.agg(F.max(F.greatest("valid_from", ends))).first()[0]
@@ -187,7 +189,7 @@ def scd2_asof_join(
     laid = alive.withColumn("_unit", F.explode(F.sequence(unit_of("valid_from"), unit_of("valid_to"), step))).withColumnRenamed(key, "_key")
     same = (F.col(key) == F.col("_key")) & (unit_of(date_col) == F.col("_unit"))
     during = (F.col(date_col) >= F.col("valid_from")) & (F.col(date_col) <= F.col("valid_to"))
-    return fact.join(laid, same & during).select(*fact.columns, *attributes)
+    return fact.join(laid.hint("merge"), same & during).select(*fact.columns, *attributes)
 
 
 def scd2_integrity(dim: DataFrame, key: str) -> DataFrame:

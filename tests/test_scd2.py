@@ -14,7 +14,7 @@ from oreline.operators.scd2 import (
     scd2_version_counts,
 )
 from oreline.plans.dimension_queries import KEY, TRACKED, _history
-from oreline.plans.explain import partition_filters
+from oreline.plans.explain import explained, partition_filters
 from oreline.scratch import fresh_path, written
 from oreline.sources.files import partition_dirs
 from oreline.sources.layout import ByDate
@@ -246,3 +246,17 @@ def test_lookup_after_the_last_change_is_one_unit(spark):
     joined = scd2_asof_join(facts, written(dim, "dim"), KEY, "day", ("city",))
     assert {(r.day, r.city) for r in joined.collect()} == {(DAY1, "A"), (DAY2, "B"), (dt.date(2024, 1, 31), "A"), (dt.date(2099, 7, 1), "B")}
     assert scd2_asof_join(facts, empty(spark), KEY, "day", ("city",)).collect() == []
+
+
+def test_versions_laid_out_are_not_broadcast(spark):
+    """A long history in small files: laid out by unit it is many times what Spark takes it for."""
+    dim = spark.range(2000).select(
+        F.col("id").cast("string").alias(KEY), F.lit("x").alias("city"),
+        F.lit("1990-01-01").cast("date").alias("valid_from"), F.lit("9999-12-31").cast("date").alias("valid_to"),
+    )
+    ended = dim.withColumns({"valid_from": F.lit("1950-01-01").cast("date"), "valid_to": F.lit("1989-12-31").cast("date")})
+    facts = spark.range(4000).select((F.col("id") % 2500).cast("string").alias(KEY), F.lit("1975-05-05").cast("date").alias("day"))
+    joined = scd2_asof_join(facts, written(ended.unionByName(dim), "dim"), KEY, "day", ("city",))
+    plan = explained(joined, "simple")
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert joined.count() == 3500 and joined.filter("city != 'x'").isEmpty()
