@@ -11,6 +11,7 @@ from oreline.operators.merge import Batch, mark_deleted, merge_upsert as upsert,
 from oreline.plans.views import EVENTS, LOADED_UNTIL, MERGED, ORDERS, RUN_TS
 from oreline.scratch import fresh_path
 from oreline.sources import model
+from oreline.sources.files import data_files
 from oreline.sources.layout import ByDate, write_partitioned
 from oreline.sources.publish import read_declared
 from oreline.sources.schemas import ORDERS_SILVER, PIPELINE_WATERMARKS, RAW, conform
@@ -151,8 +152,15 @@ def stream_bronze_events(spark: SparkSession, root: str) -> DataFrame:
     return _ntz(spark.read.parquet(path), "event_timestamp")
 
 
+MICRO_BATCHES = 4
+
+
 def stream_upsert(spark: SparkSession, root: str) -> DataFrame:
-    """Changes of orders out of order over several files and micro-batches: the latest change of a key stays."""
+    """Changes of orders out of order over several files and micro-batches: the latest change of a key stays.
+
+    A micro-batch rewrites the partitions it touches, here all of them. So their number is fixed: the more files the
+    changes lie in, the more of them a micro-batch takes.
+    """
     path, arriving, checkpoint = (fresh_path(spark, n) for n in ("silver-stream", "changes", "changes-checkpoint"))
     changes = BY_YEAR.assign(model.orders_source(spark, root))
     early = changes.withColumns({"order_status": F.lit("PENDING"), "updated_at": F.col("order_date").cast("timestamp")})
@@ -160,7 +168,8 @@ def stream_upsert(spark: SparkSession, root: str) -> DataFrame:
     for part in (changes.filter(odd).unionByName(early.filter(~odd)), early.filter(odd).unionByName(changes.filter(~odd))):
         part.write.mode("append").parquet(arriving)
     schema = StructType([f for f in ORDERS_SILVER.fields if f.name in (*changes.columns, "_ingestion_date", "_silver_updated_at")])
-    stream = read_event_files(spark, arriving, changes.schema, files_per_batch=1)
+    files_per_batch = max(1, -(-len(data_files(spark, arriving)) // MICRO_BATCHES))
+    stream = read_event_files(spark, arriving, changes.schema, files_per_batch=files_per_batch)
     upsert_stream(stream, path, BY_YEAR.partition_column, KEY, checkpoint, schema, SILVER_SORT, run_date="2002-01-01").awaitTermination()
     return _ntz(read_declared(spark, path, schema).drop("_silver_updated_at"), "updated_at")
 

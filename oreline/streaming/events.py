@@ -70,7 +70,8 @@ def stream_upsert(
 
     A batch can be delivered again after a failure, which the upsert allows for. Changes may come
     more than once and in any order, within a batch and across batches: the latest by
-    ``changed_at`` wins. Rows written are stamped like those of a batch load, if the table has
+    ``changed_at`` wins. A micro-batch rewrites every partition it touches, so the source should
+    deliver a share of the table at a time, not a file. Rows written are stamped like those of a batch load, if the table has
     the columns; ``run_date`` is the load date, by default the day of the batch.
     """
     stamps = {"_silver_updated_at": F.current_timestamp(), "_ingestion_date": F.current_date() if run_date is None else day(run_date)}

@@ -5,10 +5,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from oreline.operators.sessions import session_summary, sessionize
+from oreline.plans import load_queries
 from oreline.scratch import fresh_path
 from oreline.sources import model
 from oreline.sources.publish import read_declared
 from oreline.sources.schemas import RAW
+from oreline.streaming import events as event_streams
 from oreline.streaming.events import read_event_files, stream_sessions, stream_to_dates, stream_upsert
 
 SMALL = "/root/testdata/sf0.001"
@@ -77,3 +79,24 @@ def test_closed_sessions_equal_the_batch_result(spark):
     assert done.count() > 100
     assert done.exceptAll(closed.select(done.columns)).isEmpty()
     assert closed.select(done.columns).exceptAll(batch).isEmpty()
+
+
+def test_many_files_are_few_micro_batches(spark, monkeypatch):
+    """Every micro-batch rewrites the table: their number does not follow that of the files."""
+    root = fresh_path(spark, "star")
+    tables = {
+        "region": spark.createDataFrame([(0, "ASIA")], RAW["region"]),
+        "nation": spark.createDataFrame([(0, "N", 0)], RAW["nation"]),
+        "customer": spark.range(20).selectExpr("id as c_custkey", "'c' as c_name", "0 as c_nationkey", "1.0D as c_acctbal", "'BUILDING' as c_mktsegment"),
+        "orders": spark.range(600).selectExpr(
+            "id as o_orderkey", "id % 20 as o_custkey", "'F' as o_orderstatus", "1.0D as o_totalprice",
+            "timestamp_ntz'1999-01-01 00:00:00' as o_orderdate", "'1-URGENT' as o_orderpriority",
+        ).repartition(12),
+    }
+    for name, rows in tables.items():
+        rows.write.parquet(f"{root}/{name}.parquet")
+    loads, real = [], event_streams.upsert_partitions
+    monkeypatch.setattr(event_streams, "upsert_partitions", lambda *args, **options: loads.append(1) or real(*args, **options))
+    found = load_queries.stream_upsert(spark, root)
+    assert 2 <= len(loads) <= load_queries.MICRO_BATCHES
+    assert found.count() == 600 and found.filter("order_status != 'COMPLETED'").isEmpty()
