@@ -73,11 +73,14 @@ SMALL_LOADS = 10
 
 def recluster_partition(spark: SparkSession, root: str) -> DataFrame:
     """A table after one load, ten small ones, and upkeep: the same orders in files that overlap less."""
-    path, orders = fresh_path(spark, "orders-upkeep"), model.orders(spark, root)
+    path, arriving, orders = fresh_path(spark, "orders-upkeep"), fresh_path(spark, "orders-by-load"), model.orders(spark, root)
+    # Each load reads its own orders only.
     slot = F.pmod(F.xxhash64("order_id"), F.lit(100))
-    clustering.write_clustered(orders.filter(slot >= SMALL_LOADS), path, BY_YEAR, CLUSTER_COLUMNS, ROWS_PER_FILE, ORDERS_OPTIMISED)
-    for load in range(SMALL_LOADS):
-        clustering.write_clustered(orders.filter(slot == load), path, BY_YEAR, CLUSTER_COLUMNS, ROWS_PER_FILE, ORDERS_OPTIMISED)
+    orders.withColumn("load", F.least(slot, F.lit(SMALL_LOADS)).cast("int")).write.partitionBy("load").parquet(arriving)
+    arrived = spark.read.schema(StructType([*orders.schema.fields, StructField("load", IntegerType())])).parquet(arriving)
+    for load in (SMALL_LOADS, *range(SMALL_LOADS)):
+        rows = arrived.filter(F.col("load") == load).drop("load")
+        clustering.write_clustered(rows, path, BY_YEAR, CLUSTER_COLUMNS, ROWS_PER_FILE, ORDERS_OPTIMISED)
     clustering.recluster(spark, path, YEAR_STORED, BY_YEAR.partition_column, ROWS_PER_FILE)
     return spark.read.schema(YEAR_STORED).parquet(path)
 

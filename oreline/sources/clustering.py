@@ -12,13 +12,17 @@ import datetime as dt
 import json
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from decimal import Decimal
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from oreline.scratch import written
 from oreline.sources.files import NULL_PARTITION, data_files, delete_dir, exists, move, plain_path, read_text, write_text
 from oreline.sources.layout import MAX_SORT_COLUMNS, Layout
 from oreline.sources.schemas import conform
@@ -29,6 +33,8 @@ BITS = 6
 SAMPLE_ROWS = 20_000
 CUTS_FILE = "_clustering.json"
 JOURNAL = "_reclustering.json"
+#: Files moved or removed at a time.
+FILE_CALLS = 16
 #: Key of a row in a table being written or inspected.
 KEY = "_cluster_key"
 
@@ -56,44 +62,43 @@ class Curve:
     def keyed(self, df: DataFrame) -> DataFrame:
         """``df`` with the place of each row's cell on a Hilbert curve through all cells.
 
-        Cells that follow each other on the curve are neighbours, so a file, which is a run of it, is compact. The
-        ranks are turned and mirrored from the highest bit down, Gray coded, and their bits interleaved (Skilling's
-        form of the curve); each step is a fold over the steps, so no expression grows with their number.
+        Cells that follow each other on the curve are neighbours, so a file, which is a run of it, is compact.
         """
-        count = len(self.columns)
-        ranks = df.withColumn("_x", F.array(*[self.rank(i) for i in range(count)]))
-        order = [(1 << bit, axis) for bit in range(self.bits - 1, 0, -1) for axis in range(count)]
-        if order:
-            steps = F.array(*[F.struct(F.lit(q).alias("q"), F.lit(axis).alias("axis")) for q, axis in order])
-            ranks = ranks.withColumn("_x", F.aggregate(steps, F.col("_x"), _turned))
-        gray = [F.col("_x")[0]]
-        for axis in range(1, count):
-            gray.append(gray[-1].bitwiseXOR(F.col("_x")[axis]))
-        coded = ranks.withColumn("_g", F.array(*gray))
-        flips = F.lit(0)
-        for bit in range(self.bits - 1, 0, -1):
-            q = 1 << bit
-            flips = flips.bitwiseXOR(F.when(F.col("_g")[count - 1].bitwiseAND(F.lit(q)) != 0, q - 1).otherwise(0))
-        placed = coded.withColumn("_f", flips)
-        key = F.lit(0).cast("bigint")
-        for axis in range(count):
-            value = F.col("_g")[axis].bitwiseXOR(F.col("_f"))
-            for bit in range(self.bits):
-                one = F.shiftright(value, bit).bitwiseAND(F.lit(1)).cast("bigint")
-                key = key.bitwiseOR(F.shiftleft(one, bit * count + count - 1 - axis))
-        return placed.withColumn(KEY, key).drop("_x", "_g", "_f")
+        bits = self.bits
+
+        @F.pandas_udf("bigint")
+        def place(*ranks: pd.Series) -> pd.Series:
+            return pd.Series(hilbert_key([r.to_numpy(np.int64) for r in ranks], bits))
+
+        return df.withColumn(KEY, place(*[self.rank(i) for i in range(len(self.columns))]))
 
 
-def _turned(x: Column, step: Column) -> Column:
-    """Ranks after one step: below the bit, the first axis is mirrored or changes places with the step's axis."""
-    q, axis, first = step["q"], step["axis"], x[0]
-    low = q - 1
-    here = F.get(x, axis)
-    mirrored = here.bitwiseAND(q) != 0
-    moved = first.bitwiseXOR(here).bitwiseAND(low)
-    new_first = F.when(mirrored, first.bitwiseXOR(low)).otherwise(first.bitwiseXOR(moved))
-    new_here = F.when(mirrored, here).otherwise(here.bitwiseXOR(moved))
-    return F.transform(x, lambda v, i: F.when(i == 0, new_first).when(i == axis, new_here).otherwise(v))
+def hilbert_key(ranks: Sequence[np.ndarray], bits: int) -> np.ndarray:
+    """Places on the curve of many cells at once, each given by one rank of ``bits`` bits for every axis.
+
+    The ranks are turned and mirrored from the highest bit down, Gray coded, and their bits interleaved (Skilling's
+    form of the curve).
+    """
+    x, count = list(ranks), len(ranks)
+    for q in (1 << bit for bit in range(bits - 1, 0, -1)):
+        low = q - 1
+        for axis in range(count):
+            # Below the bit, the first axis is mirrored or changes places with the step's axis.
+            mirrored = (x[axis] & q) != 0
+            moved = np.where(mirrored, 0, (x[0] ^ x[axis]) & low)
+            x[0] = x[0] ^ np.where(mirrored, low, moved)
+            if axis:
+                x[axis] = x[axis] ^ moved
+    for axis in range(1, count):
+        x[axis] = x[axis] ^ x[axis - 1]
+    flips = np.zeros_like(x[0])
+    for q in (1 << bit for bit in range(bits - 1, 0, -1)):
+        flips ^= np.where((x[-1] & q) != 0, q - 1, 0)
+    key = np.zeros_like(x[0])
+    for axis in range(count):
+        for bit in range(bits):
+            key |= (((x[axis] ^ flips) >> bit) & 1) << (bit * count + count - 1 - axis)
+    return key
 
 
 def fit_curve(df: DataFrame, columns: Sequence[str], bits: int = BITS, sample_rows: int = SAMPLE_ROWS) -> Curve:
@@ -166,21 +171,23 @@ def write_clustered(
     """Write a partitioned table whose files are cut along the curve of ``columns``.
 
     The first load fits the cuts and stores them; a later load appends its rows along the same curve, in files
-    of its own, which ``recluster`` merges with those they overlap.
+    of its own, which ``recluster`` merges with those they overlap. The rows are computed once and written, for
+    they are counted, sampled for cuts and for file bounds, and sorted.
     """
     spark = df.sparkSession
     if schema is not None:
         df = conform(df, schema)
+    rows = written(layout.assign(df), "clustered")
     if exists(spark, f"{path}/{CUTS_FILE}"):
         curve = read_curve(spark, path)
     else:
-        curve = fit_curve(df, columns)
+        curve = fit_curve(rows.select(df.columns), columns)
         store_curve(spark, path, curve)
     if curve.columns != tuple(columns):
         raise ValueError(f"the table is clustered by {curve.columns}")
     column = layout.partition_column
-    files = max(1, -(-df.count() // rows_per_file))
-    writer = _in_files(layout.assign(df), curve, column, files).write.partitionBy(column).mode("append")
+    files = max(1, -(-rows.count() // rows_per_file))
+    writer = _in_files(rows, curve, column, files).write.partitionBy(column).mode("append")
     if row_group_bytes:
         writer = writer.option("parquet.block.size", row_group_bytes)
     writer.parquet(path)
@@ -251,7 +258,8 @@ def recluster(
     curve = read_curve(spark, path)
     table = spark.read.schema(schema).parquet(path)
     looked = table if within is None else table.filter(within)
-    old = overlaps(file_intervals(looked, curve, partition_column), max_depth).filter("deep").select("file", "rows").collect()
+    intervals = written(file_intervals(looked, curve, partition_column), "intervals")  # read three times
+    old = overlaps(intervals, max_depth).filter("deep").select("file", "rows").collect()
     if not old:
         return Reclustered([], [])
     names = [plain_path(spark, r.file) for r in old]
@@ -269,11 +277,11 @@ def finish_reclustering(spark: SparkSession, path: str) -> Reclustered:
     if not exists(spark, journal):
         return Reclustered([], [])
     step = json.loads(read_text(spark, journal))
-    for name in step["new"]:
-        if exists(spark, f"{step['staged']}/{name}"):
-            move(spark, f"{step['staged']}/{name}", f"{path}/{name}")
-    for name in step["old"]:
-        delete_dir(spark, name)
+    waiting = set(data_files(spark, step["staged"]))
+    # Calls to the file system, one for each file: many at a time, old files after all new ones are in place.
+    with ThreadPoolExecutor(FILE_CALLS) as pool:
+        list(pool.map(lambda name: move(spark, f"{step['staged']}/{name}", f"{path}/{name}"), [n for n in step["new"] if n in waiting]))
+        list(pool.map(lambda name: delete_dir(spark, name), step["old"]))
     delete_dir(spark, step["staged"])
     delete_dir(spark, journal)
     spark.catalog.refreshByPath(path)

@@ -3,6 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -190,3 +191,28 @@ def test_upkeep_stopped_before_its_journal_leaves_the_table(spark):
     write_text(spark, f"{path}/_reclustering.json.part", "{")
     assert data_files(spark, path) == before or finish_reclustering(spark, path).removed == []
     assert spark.read.schema(SCHEMA).parquet(path).count() == 20_400
+
+
+def test_keys_of_many_cells_at_once():
+    """Every cell has a place of its own, and places that follow each other are neighbours."""
+    for axes, bits in ((1, 3), (2, 3), (3, 2), (4, 2)):
+        cells = np.indices((1 << bits,) * axes).reshape(axes, -1).astype(np.int64)
+        keys = clustering.hilbert_key(list(cells), bits)
+        assert sorted(keys) == list(range(1 << bits * axes))
+        steps = np.abs(np.diff(cells[:, np.argsort(keys)], axis=1)).sum(axis=0)
+        assert (steps == 1).all()
+
+
+def test_rows_of_a_load_are_computed_once(spark):
+    """The rows are counted, sampled and sorted from what is written, not from the query behind them."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    path = fresh_path(spark, "once")
+    df = rows(spark, 0, 2000).mapInPandas(count, SCHEMA)
+    write_clustered(df, path, DAY, COLUMNS, 500)
+    assert seen.value == 2000 and spark.read.parquet(path).count() == 2000
