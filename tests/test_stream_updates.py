@@ -181,3 +181,17 @@ def test_users_come_to_the_state_many_at_a_time(spark):
         assert spark.read.format("statestore").load(checkpoint).count() == 2  # b, and nobody's last session
     finally:
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass") if before is None else spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+
+
+def test_numbered_users_and_those_without_a_number(spark):
+    """Events of no user are a user's like any other, and count once."""
+    source, path, checkpoint = (fresh_path(spark, n) for n in ("clicks", "sessions", "checkpoint"))
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 600)
+    events = spark.range(1200).select(F.when(F.col("id") % 7 != 0, F.col("id") % 40).alias("user"), at.alias("at"))
+    for part in range(3):
+        events.filter(F.hour("at") % 3 == part).coalesce(1).write.mode("append").parquet(source)
+    changes = session_updates.stream_session_updates(read_event_files(spark, source, events.schema, files_per_batch=1), "user", "at", lateness="60 days")
+    session_updates.store_session_changes(spark, changes, path, checkpoint)
+    net = session_updates.net_sessions(session_updates.read_session_changes(spark, path, changes.schema), "user")
+    counted = {r.user: r.n for r in net.groupBy("user").agg(F.sum("events").alias("n")).collect()}
+    assert counted == {r.user: r["count"] for r in events.groupBy("user").count().collect()}
