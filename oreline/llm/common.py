@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreline.scratch import fresh_path
 
-__all__ = ["bitmap_literal", "connected", "documents", "fresh_path", "keep_rows", "numbered", "ship", "table", "test_bit", "texts", "with_rows", "written"]
+__all__ = ["bitmap_literal", "connected", "documents", "fresh_path", "frugal", "keep_rows", "numbered", "ship", "table", "test_bit", "texts", "with_rows", "written"]
 
 #: A filter held in a literal has at most this many bits, whatever the data: 128 KB.
 FILTER_BITS = 1 << 20
@@ -53,6 +55,22 @@ def numbered(docs: DataFrame, label: str) -> tuple[DataFrame, str]:
     return written(docs.withColumn(name, F.monotonically_increasing_id()), label), name
 
 
+def frugal(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work`` for ``mapInArrow``, after each of whose batches the worker gives back the memory Arrow holds unused.
+
+    Spark keeps Python workers for later tasks, and all of an executor's workers count against its memory.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in work(batches):
+            yield out
+            del out
+            pa.default_memory_pool().release_unused()
+        pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and return the table that was written.
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import packed, tokens
-from .common import table, texts, written
+from .common import frugal, table, texts, written
 
 ORDER = 2
 BACKOFF = 0.4
@@ -27,6 +27,10 @@ MIN_COUNT = 2
 CHUNK_BYTES = 4 << 20
 #: Bits of hash that tell n-grams apart; sorted differences of a chunk's keys then fit five bytes.
 GRAM_BITS = 60
+#: Bytes of a chunk whose words are hashed at once; hashing takes some 30 bytes for each.
+HASH_BYTES = 1 << 20
+#: Packed rows that a task turns into Python objects at once.
+ROWS = 256
 
 
 def _chunk_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -43,7 +47,7 @@ def _chunk_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 body = pa.array([squeeze.compress(part.tobytes())], pa.binary())
                 yield pa.RecordBatch.from_arrays([ids, ends, pa.array([n_words], pa.int64()), body], ["ids", "ends", "n_words", "body"])
 
-    rows = texts(docs, id_col, text_col).mapInArrow(gather, "ids array<bigint>, ends array<bigint>, n_words bigint, body binary")
+    rows = texts(docs, id_col, text_col).mapInArrow(frugal(gather), "ids array<bigint>, ends array<bigint>, n_words bigint, body binary")
     return written(rows.select(F.monotonically_increasing_id().alias("chunk"), "ids", "ends", "n_words", "body"), "ngrams-chunks")
 
 
@@ -52,8 +56,13 @@ def _open(ends: pa.ListScalar, body: pa.Scalar) -> tuple[np.ndarray, np.ndarray]
     raw = zstandard.ZstdDecompressor().decompress(body.as_py()) if body.as_py() else b""
     data = tokens.LOWER[np.frombuffer(raw, dtype=np.uint8)]
     own = np.concatenate([[0], ends.values.to_numpy()])
-    starts, stops, bounds = tokens.spans(data, own, tokens.NOT_SPACE)
-    return tokens.hash_slices(data, starts, stops), bounds
+    words, bounds, n = [np.empty(0, np.uint64)], [np.zeros(1, np.int64)], 0
+    for _, _, part, at in tokens.chunks(data, own, HASH_BYTES):
+        starts, stops, begin = tokens.spans(part, at, tokens.NOT_SPACE)
+        words.append(tokens.hash_slices(part, starts, stops))
+        bounds.append(begin[1:] + n)
+        n += len(starts)
+    return np.concatenate(words), np.concatenate(bounds)
 
 
 def _grams(words: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,19 +89,20 @@ def _demands(chunks: DataFrame, order: int, bits: int) -> DataFrame:
                 columns = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), chunk, pa.array(out[2], pa.binary()), pa.array(out[3], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["range", "n", "chunk", "grams", "times"])
 
-    return chunks.select("chunk", "ends", "body").mapInArrow(split, "range bigint, n int, chunk bigint, grams binary, times binary")
+    return chunks.select("chunk", "ends", "body").mapInArrow(frugal(split), "range bigint, n int, chunk bigint, grams binary, times binary")
 
 
 def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], list[tuple]]]:
     """All rows of one range and n after the other; rows come sorted by them."""
     key, held = None, []
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("range", "n", "chunk", "grams", "times"))):
-            if row[:2] != key:
-                if held:
-                    yield key, held
-                key, held = row[:2], []
-            held.append(row[2:])
+        for part in (batch.slice(k, ROWS) for k in range(0, batch.num_rows, ROWS)):
+            for row in zip(*(part.column(c).to_pylist() for c in ("range", "n", "chunk", "grams", "times"))):
+                if row[:2] != key:
+                    if held:
+                        yield key, held
+                    key, held = row[:2], []
+                held.append(row[2:])
     if held:
         yield key, held
 
@@ -115,7 +125,7 @@ def _answers(demands: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*columns, pa.array([packed.pack_counts(x) for x in each], pa.binary())], ["chunk", "n", "range", "totals"])
 
     dealt = demands.repartition("range", "n").sortWithinPartitions("range", "n")
-    return dealt.mapInArrow(answer, "chunk bigint, n int, range bigint, totals binary")
+    return dealt.mapInArrow(frugal(answer), "chunk bigint, n int, range bigint, totals binary")
 
 
 def ngram_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
@@ -128,7 +138,7 @@ def ngram_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             keys, totals, _, _ = _sum(rows)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), n, np.int32)), pa.array(keys.view(np.int64)), pa.array(totals)], ["n", "gram", "count"])
 
-    return _demands(chunks, order, bits).repartition("range", "n").sortWithinPartitions("range", "n").mapInArrow(add, "n int, gram bigint, count bigint")
+    return _demands(chunks, order, bits).repartition("range", "n").sortWithinPartitions("range", "n").mapInArrow(frugal(add), "n int, gram bigint, count bigint")
 
 
 def backoff_scores(
@@ -177,7 +187,7 @@ def backoff_scores(
                 yield pa.RecordBatch.from_arrays([ids, pa.array(n_words.astype(np.int64)), pa.array(sums), mean], ["doc_id", "n_words", "log_score", "mean_log_score"])
 
     joined = chunks.select("chunk", "ids", "ends", "body").join(answers, "chunk", "left")
-    return joined.select("ids", "ends", "body", "answers").mapInArrow(score, "doc_id bigint, n_words bigint, log_score double, mean_log_score double")
+    return joined.select("ids", "ends", "body", "answers").mapInArrow(frugal(score), "doc_id bigint, n_words bigint, log_score double, mean_log_score double")
 
 
 def op3_lm_scoring(spark, sf_dir: str) -> DataFrame:

@@ -24,22 +24,32 @@ def slices(keys: np.ndarray, bits: int, width: int = 64) -> tuple[np.ndarray, np
     return at[first], np.append(first, len(keys))
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """The byte planes of 64-bit values up to the highest that is not all zeros, one at least, and their number before them."""
+    used = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([used]) + np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T[:used]).tobytes()
+
+
+def _values(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(raw, dtype=np.uint8, offset=1).reshape(raw[0], -1)
+    out = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+    out[:, : len(planes)] = planes.T
+    return out.view(np.uint64).ravel()
+
+
 def pack(keys: np.ndarray) -> bytes:
-    """Sorted keys as differences, byte planes apart: the upper planes are zeros and compress to nothing."""
-    steps = np.diff(keys, prepend=np.uint64(0))
-    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Sorted keys as differences, byte planes apart; the upper planes, all zeros, are left out."""
+    return _planes(np.diff(keys, prepend=np.uint64(0)))
 
 
 def unpack(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(raw, dtype=np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+    return np.cumsum(_values(raw), dtype=np.uint64)
 
 
 def pack_counts(counts: np.ndarray) -> bytes:
-    """Counts as 64-bit planes of bytes; most are small, so all planes but the first compress to nothing."""
-    return np.ascontiguousarray(counts.astype(np.int64).view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Counts as planes of bytes; most are small and take one or two bytes each."""
+    return _planes(counts.astype(np.uint64))
 
 
 def unpack_counts(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(raw, dtype=np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(planes.T).view(np.int64).ravel()
+    return _values(raw).view(np.int64)
