@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import frugal, table, written
 from .tokens import CHUNK_BYTES, LOWER, binary_column, chunks, hash_slices, mix, sequence_hashes, spans
 
 MIN_COUNT = 10
@@ -47,7 +47,7 @@ IN_WORD = ~ENDS_PIECE
 IN_WORD[[0x20, 0x09]] = False
 
 #: N-grams a task holds before it adds them up, and deals or keeps the sums.
-HELD_ROWS = 1_000_000
+HELD_ROWS = 500_000
 #: Text whose n-grams a range of the count is for, and ranges at most; a range of a larger corpus holds more n-grams.
 COUNT_RANGE_BYTES = 4 << 20
 MAX_COUNT_RANGES = 100_000
@@ -105,6 +105,13 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order[first], which, np.diff(np.append(first, len(keys)))
 
 
+def _cut(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Each ``data[start:end]`` as a binary value."""
+    upto = np.concatenate([[0], np.cumsum(ends - starts)])
+    at = np.arange(upto[-1]) + np.repeat(starts - upto[:-1], ends - starts)
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(upto.astype(np.int32)), pa.py_buffer(data[at])])
+
+
 def _chunk_counts(data: np.ndarray, offsets: np.ndarray, langs: pa.Array, sizes: tuple[int, ...], frequent: np.ndarray | None) -> Iterator[pa.Table]:
     """Every n-gram of the sizes in a chunk once, with its count there and a hash of its words."""
     coded = langs.dictionary_encode()
@@ -112,8 +119,7 @@ def _chunk_counts(data: np.ndarray, offsets: np.ndarray, langs: pa.Array, sizes:
     starts, ends, docs, piece = _pieces(data, offsets)
     hashes = hash_slices(data, starts, ends)
     first, ids, _ = _distinct(hashes)
-    text = data.tobytes()
-    words = pa.array([text[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist())], pa.binary())
+    words = _cut(data, starts[first], ends[first])
     of = lang[docs]
     if 1 in sizes:
         totals = np.bincount(of, minlength=len(names))
@@ -233,7 +239,7 @@ def _filter(counts: DataFrame, size: int) -> np.ndarray:
             slot = _slots(inner, _lang_hashes(batch.column(1).to_pylist()), bits).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(slot >> 6), pa.array(np.int64(1) << (slot & 63))], ["word", "bit"])
 
-    found = counts.select(F.col("phrase").cast("binary").alias("phrase"), "lang").mapInArrow(slots, "word bigint, bit bigint")
+    found = counts.select(F.col("phrase").cast("binary").alias("phrase"), "lang").mapInArrow(frugal(slots), "word bigint, bit bigint")
     out = np.zeros(bits // 64, np.int64)
     words = found.groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
     out[words["word"].to_numpy()] = words["bit"].to_numpy()
@@ -253,9 +259,9 @@ def ngram_counts(
     ranges = max(1, min(MAX_COUNT_RANGES, math.ceil(size / COUNT_RANGE_BYTES)))
 
     def count(sizes: tuple[int, ...], frequent: np.ndarray | None) -> DataFrame:
-        dealt = rows.mapInArrow(_dealt_counts(sizes, frequent, chunk_bytes, ranges), "range int, counts binary")
+        dealt = rows.mapInArrow(frugal(_dealt_counts(sizes, frequent, chunk_bytes, ranges)), "range int, counts binary")
         together = dealt.repartition(ranges, "range").sortWithinPartitions("range")
-        return written(together.mapInArrow(_added(min_count), "lang string, phrase string, n bigint"), "ngrams")
+        return written(together.mapInArrow(frugal(_added(min_count)), "lang string, phrase string, n bigint"), "ngrams")
 
     out = last = count(tuple(range(1, min(longest, 2) + 1)), None)
     for size in range(3, longest + 1):
@@ -300,7 +306,7 @@ def _sorted(rows: DataFrame, columns: list[str], parents: bool) -> DataFrame:
 
     kinds = dict(rows.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in columns) + ", range int, own boolean"
-    return rows.select(*columns).mapInArrow(dealt, schema).repartition(len(cuts) + 1, "range").sortWithinPartitions("range", "lang", "words")
+    return rows.select(*columns).mapInArrow(frugal(dealt), schema).repartition(len(cuts) + 1, "range").sortWithinPartitions("range", "lang", "words")
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -401,12 +407,12 @@ def collocations(counts: DataFrame, covered: int = COVERED) -> DataFrame:
     backward = forward.withColumn("words", F.reverse("words"))
     sides = []
     for side, stream in (("prefix", forward), ("suffix", backward)):
-        scanned = _sorted(stream, ["lang", "words", "n"], parents=True).mapInArrow(_scan, _SCANNED)
+        scanned = _sorted(stream, ["lang", "words", "n"], parents=True).mapInArrow(frugal(_scan), _SCANNED)
         words = F.col("words") if side == "prefix" else F.reverse("words")
         sides.append(scanned.select("lang", words.alias("words"), F.lit(side).alias("side"), "parts", "extension"))
     both = written(sides[0].union(sides[1]), "ngram-sides")
     merged = _sorted(both, ["lang", "words", "side", "parts", "extension"], parents=False)
-    return merged.mapInArrow(_merge(covered), "lang string, phrase string, a bigint, l bigint, r bigint, score bigint")
+    return merged.mapInArrow(frugal(_merge(covered)), "lang string, phrase string, a bigint, l bigint, r bigint, score bigint")
 
 
 def top_collocations(

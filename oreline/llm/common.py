@@ -56,16 +56,13 @@ def numbered(docs: DataFrame, label: str) -> tuple[DataFrame, str]:
 
 
 def frugal(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``work`` for ``mapInArrow``, after each of whose batches the worker gives back the memory Arrow holds unused.
+    """``work`` for ``mapInArrow``, at the end of which the worker gives back the memory Arrow holds unused.
 
     Spark keeps Python workers for later tasks, and all of an executor's workers count against its memory.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for out in work(batches):
-            yield out
-            del out
-            pa.default_memory_pool().release_unused()
+        yield from work(batches)
         pa.default_memory_pool().release_unused()
 
     return run

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
 import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 
-from oreline.llm import ngrams, packed, tokens
+from oreline.llm import collocations, ngrams, packed, tokens
 
 
 def test_packed_values_come_back():
@@ -53,3 +56,30 @@ def test_chunks_open_in_little_memory(monkeypatch):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert sum(map(len, documents)) > 3.5e6 and peak < 100e6
+
+
+def test_words_cut_out_of_a_chunk():
+    data = np.frombuffer(b"ab c  def", np.uint8)
+    assert collocations._cut(data, np.array([6, 0, 3]), np.array([9, 2, 4])).to_pylist() == [b"def", b"ab", b"c"]
+    assert collocations._cut(data[:0], np.empty(0, np.int64), np.empty(0, np.int64)).to_pylist() == []
+
+
+def test_counting_keeps_little_when_it_ends():
+    """A worker that counted n-grams waits for its next task without the memory it needed."""
+    code = f"""
+import sys; sys.path.insert(0, {os.getcwd()!r})
+import re, numpy as np, pyarrow as pa
+from pyspark import cloudpickle
+from oreline.llm import collocations
+from oreline.llm.common import frugal
+held = lambda: sum(map(int, re.findall(r"Private_Dirty: +([0-9]+)", open("/proc/self/smaps_rollup").read()))) >> 10
+rng = np.random.default_rng(1)
+def batch():
+    texts = [" ".join("w%d" % w for w in rng.integers(0, 50_000, 300)) for _ in range(6000)]
+    return pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), pa.array([t.encode() for t in texts])], ["lang", "text"])
+count = frugal(collocations._dealt_counts((1, 2), None, 2 << 20, 8))
+sum(out.num_rows for out in count([batch()]))
+print(held(), pa.default_memory_pool().max_memory() >> 20)
+"""
+    kept, most = map(int, subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split())
+    assert most < 170 and kept < 240, (kept, most)
