@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import packed, tokens
-from .common import table, texts, with_rows, written
+from .common import frugal, table, texts, with_rows, written
 from .links import PAIRS, TASKS, Pairwise, linked_classes
 
 #: Edit distance (in characters) up to which lines are the same.
@@ -147,7 +147,7 @@ def line_table(rows: DataFrame) -> DataFrame:
                 columns = [pa.array(ids[first + owner]), pa.array(number.astype(np.int32)), pa.array(line.view(np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, ["row", "line_no", "line"])
 
-    return rows.mapInArrow(scan, "row bigint, line_no int, line bigint")
+    return rows.mapInArrow(frugal(scan), "row bigint, line_no int, line bigint")
 
 
 def _shared_keys(rows: DataFrame, threshold: int | None, min_similarity: float, bits: int) -> DataFrame:
@@ -203,8 +203,8 @@ def _shared_keys(rows: DataFrame, threshold: int | None, min_similarity: float,
         if held:
             yield shared(*(np.concatenate(x) for x in zip(*held)))
 
-    sent = rows.select("text").mapInArrow(demand, "range bigint, keys binary, ids binary, own binary, sizes binary")
-    return sent.repartition("range").sortWithinPartitions("range").mapInArrow(match, "bucket bigint, id bigint")
+    sent = rows.select("text").mapInArrow(frugal(demand), "range bigint, keys binary, ids binary, own binary, sizes binary")
+    return sent.repartition("range").sortWithinPartitions("range").mapInArrow(frugal(match), "bucket bigint, id bigint")
 
 
 def _gate(ids: DataFrame) -> np.ndarray:
@@ -235,7 +235,7 @@ def _texts_of(rows: DataFrame, gate: np.ndarray) -> DataFrame:
                 columns = [pa.array(line[once].view(np.int64)), pa.array(size[once]), pa.array(found, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "n", "line_text"])
 
-    return rows.select("text").mapInArrow(scan, "id bigint, n bigint, line_text string")
+    return rows.select("text").mapInArrow(frugal(scan), "id bigint, n bigint, line_text string")
 
 
 def banded_distance(a: str, b: str, limit: int) -> int:

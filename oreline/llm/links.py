@@ -19,10 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected, written
+from .common import connected, frugal, written
 
 #: Members in a block, about: a leader meets as many in one task, and two blocks meet in one.
 BLOCK = 256
+#: Blocks of a bucket hold so many times as many where pairs are compared many at once: a row then travels less often.
+WIDE = 8
 
 #: Rows of a task: its key, the side a row is on, the row, its class and what is compared.
 TASK_FIELDS = "k1 bigint, k2 bigint, side int, component bigint, id bigint, payload binary"
@@ -74,7 +76,8 @@ def linked_classes(
     rest = written(placed.where("n > 2").join(open_, "bucket"), f"{label}-rest")
     if rest.isEmpty():
         return classes
-    more = written(_links(_blocks(rest), send, read, partners), f"{label}-more-edges")
+    block = BLOCK * WIDE if isinstance(partners, Pairwise) else BLOCK
+    more = written(_links(_blocks(rest, block), send, read, partners), f"{label}-more-edges")
     return classes if more.isEmpty() else connected(edges.union(more), f"{label}-components")
 
 
@@ -87,9 +90,9 @@ def _stars(pairs: DataFrame) -> DataFrame:
     return leader.select(F.col("id").alias("k1"), "k2", F.lit(LEADER).alias("side"), F.col("id").alias("component"), "id").union(member)
 
 
-def _blocks(rest: DataFrame) -> DataFrame:
+def _blocks(rest: DataFrame, block: int | None = None) -> DataFrame:
     """Tasks of two blocks of a bucket, or of one block by itself."""
-    count = F.ceil(F.col("n") / BLOCK).cast("int")
+    count = F.ceil(F.col("n") / (block or BLOCK)).cast("int")
     dealt = rest.withColumn("blocks", count).withColumn("mine", F.pmod(F.hash("id", "bucket"), "blocks"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     return dealt.select("bucket", "id", "component", "blocks", "mine", other).select(
@@ -146,7 +149,7 @@ def _links(tasks: DataFrame, send, read, partners) -> DataFrame:
             yield flush()
 
     dealt = send(tasks).repartition("k1", "k2").sortWithinPartitions("k1", "k2")
-    return dealt.mapInArrow(_compare_many(read, partners) if isinstance(partners, Pairwise) else compare, "a bigint, b bigint")
+    return dealt.mapInArrow(frugal(_compare_many(read, partners) if isinstance(partners, Pairwise) else compare), "a bigint, b bigint")
 
 
 def _across(first: np.ndarray, n: np.ndarray, second: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -157,9 +160,42 @@ def _across(first: np.ndarray, n: np.ndarray, second: np.ndarray, m: np.ndarray)
     return first[task] + at // m[task], second[task] + at % m[task]
 
 
+def _tiles(first: np.ndarray, n: np.ndarray, second: np.ndarray, m: np.ndarray, inside: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the pairs of each task as ``_across``, about ``TOGETHER_PAIRS`` at a time; ``inside`` each pair once."""
+    left = np.repeat(first - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+    start, size = np.repeat(second, n), np.repeat(m, n)
+    if inside:
+        size = size - (left + 1 - start)
+        start = left + 1
+    tile = np.cumsum(size) // TOGETHER_PAIRS
+    for some in np.split(np.arange(len(left)), np.flatnonzero(np.diff(tile)) + 1):
+        if size[some].any():
+            yield _across(left[some], np.ones(len(some), np.int64), start[some], size[some])
+
+
 def _compare_many(read: Callable[[list[bytes]], Any], how: Pairwise):
     """Function that solves many tasks together: most have a few rows, and pairs of all of them are compared in step."""
 
+    def join(ok: np.ndarray, i: np.ndarray, j: np.ndarray, now: np.ndarray, ids: np.ndarray, found: list[tuple[int, int]]) -> np.ndarray:
+        parent: dict[int, int] = {}
+
+        def root(k: int) -> int:
+            while parent.get(k, k) != k:
+                parent[k] = parent.get(parent[k], parent[k])
+                k = parent[k]
+            return k
+
+        for x, y in zip(i[ok].tolist(), j[ok].tolist()):
+            one, two = root(int(now[x])), root(int(now[y]))
+            if one != two:
+                parent[one] = two
+                found.append((int(ids[x]), int(ids[y])))
+        if not parent:
+            return now
+        into = np.arange(int(now.max()) + 1)
+        into[list(parent)] = [root(k) for k in parent]
+        return into[now]
+
     def solve(task: np.ndarray, side: np.ndarray, component: np.ndarray, ids: np.ndarray, payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         order = np.lexsort((side, task))
         task, side, component, ids = task[order], side[order], component[order], ids[order]
@@ -167,37 +203,19 @@ def _compare_many(read: Callable[[list[bytes]], Any], how: Pairwise):
         counts = np.bincount(task * 3 + side, minlength=3 * (int(task[-1]) + 1)).reshape(-1, 3)
         begin = np.cumsum(counts.ravel()) - counts.ravel()
         begin = begin.reshape(-1, 3)
-        i, j = _across(begin[:, LEADER], counts[:, LEADER], begin[:, MEMBER], counts[:, MEMBER])
-        x, y = _across(begin[:, INSIDE], counts[:, INSIDE], begin[:, INSIDE], counts[:, INSIDE])
-        i, j = np.concatenate([i, x[x < y]]), np.concatenate([j, y[x < y]])
         _, now = np.unique(component, return_inverse=True)  # the class of each row, as links join them
-        apart = now[i] != now[j]
-        i, j = i[apart], j[apart]
-        fits = how.possible(held, i, j)
-        i, j = i[fits], j[fits]
         found: list[tuple[int, int]] = []
-        while len(i):
-            ok = how.linked(held, i[:PAIRS], j[:PAIRS])
-            parent: dict[int, int] = {}
-
-            def root(k: int) -> int:
-                while parent.get(k, k) != k:
-                    parent[k] = parent.get(parent[k], parent[k])
-                    k = parent[k]
-                return k
-
-            for x, y in zip(i[:PAIRS][ok].tolist(), j[:PAIRS][ok].tolist()):
-                one, two = root(int(now[x])), root(int(now[y]))
-                if one != two:
-                    parent[one] = two
-                    found.append((int(ids[x]), int(ids[y])))
-            if parent:
-                into = np.arange(int(now.max()) + 1)
-                into[list(parent)] = [root(k) for k in parent]
-                now = into[now]
-            i, j = i[PAIRS:], j[PAIRS:]
+        sides = ((LEADER, MEMBER), (INSIDE, INSIDE))
+        for i, j in (tile for x, y in sides for tile in _tiles(begin[:, x], counts[:, x], begin[:, y], counts[:, y], x == y)):
             apart = now[i] != now[j]
             i, j = i[apart], j[apart]
+            fits = how.possible(held, i, j)
+            i, j = i[fits], j[fits]
+            while len(i):
+                now = join(how.linked(held, i[:PAIRS], j[:PAIRS]), i[:PAIRS], j[:PAIRS], now, ids, found)
+                i, j = i[PAIRS:], j[PAIRS:]
+                apart = now[i] != now[j]
+                i, j = i[apart], j[apart]
         return np.array([f[0] for f in found], np.int64), np.array([f[1] for f in found], np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
