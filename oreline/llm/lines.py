@@ -2,12 +2,13 @@
 
 Two strings within edit distance t, of which one is cut into t + 1 segments, share one of these segments
 whole. So every line is indexed under its segments and probes, at the places a partner's segment may have, the
-few substrings that could be one. Lines that meet under a segment are candidates; a banded bit-parallel edit
-distance verifies them. The limit t grows with the length of a line unless the caller fixes it.
+few substrings that could be one. Lines that meet under a segment, and whose lengths and counts of characters
+fit, are candidates; a banded bit-parallel edit distance verifies them. The limit t grows with the length of a line unless the caller fixes it.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import packed, tokens
-from .common import frugal, table, texts, with_rows, written
-from .links import PAIRS, TASKS, Pairwise, linked_classes
+from .common import bitmap_literal, frugal, table, test_bit, texts, with_rows, written
+from .links import PAIRS, TASKS, Pairwise, _tiles, linked_classes
 
 #: Edit distance (in characters) up to which lines are the same.
 THRESHOLD = 2
@@ -31,37 +32,19 @@ MIN_SIMILARITY = 0.8
 BAND_GROWTH = 1.2
 MIN_RUN = 12
 WORD = 64
-GATE_BITS = 1 << 23
 #: Classes of characters counted before two lines are compared.
 LETTERS = 32
+#: Classes of characters, of four bits each, in the sketch that travels with a line's keys.
+SKETCH = 8
+#: Bits of a key, and of the hash of its line, that travel. Lines that agree in both are told apart later, by their texts.
+KEY_BITS, SHORT_BITS = 44, 40
+#: Lines under a key that are paired by their sketches; more stay together unpaired.
+PAIRED = 1024
 #: Pairs whose columns are taken in step.
 STEP_PAIRS = 4096
 
-_SPACE = np.zeros(0x110000, dtype=bool)
-_SPACE[[32, 9, 11, 12, 13]] = True
-
-
-def _slice_hash(sums: np.ndarray, inverse: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    return tokens.mix((sums[start + size] - sums[start]) * inverse[start] + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-
-
-def split_lines(code: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Document, number within it, start and length of every line that is not blank, without space around it."""
-    if not len(code):
-        empty = np.empty(0, np.int64)
-        return empty, empty, empty, empty
-    inside = (code != 10) & ~_SPACE[code]
-    solid = np.flatnonzero(inside)
-    breaks = code == 10
-    # A line's number in its document is the number of line ends before it; documents end lines as well.
-    line = np.cumsum(breaks)
-    owner = np.searchsorted(ends, solid, side="right")
-    heads = np.concatenate([[0], ends[:-1]])
-    before = np.where(heads > 0, line[np.maximum(heads - 1, 0)], 0)
-    key = line[solid] + owner  # grows at line ends and at documents' ends
-    first = np.flatnonzero(np.diff(key, prepend=-1))
-    last = np.append(first[1:], len(solid)) - 1
-    return owner[first], line[solid[first]] - before[owner[first]], solid[first], solid[last] - solid[first] + 1
+#: White space around a line; a line feed ends it.
+BLANK = b" \t\x0b\x0c\r"
 
 
 def edit_limit(size: int, threshold: int | None, min_similarity: float) -> int:
@@ -84,158 +67,190 @@ def length_bands(longest: int, threshold: int | None, min_similarity: float) ->
     return bands
 
 
-def segment_keys(
-    sums: np.ndarray, inverse: np.ndarray, start: np.ndarray, size: np.ndarray, threshold: int | None, min_similarity: float
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def segment_keys(code: np.ndarray, size: np.ndarray, threshold: int | None, min_similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys of all lines, the line each belongs to, and whether it is one of the line's own segments.
 
-    A key stands for (length band, segment number, smallest hash among the segment's runs of characters). The
-    lines of a band, and shorter ones within reach of it, are indexed under segments at the same places. The
-    lines of the band probe at those places at which the text left and right of the segment can be within reach;
-    neighbouring places mostly have the same smallest hash, so a probe costs few keys.
+    The lines' characters ``code`` lie end to end, shorter lines first; ``size`` has their lengths. A key stands
+    for (length band, segment number, smallest hash among the segment's runs of characters). The lines of a band,
+    and shorter ones within reach of it, are indexed under segments at the same places. The lines of the band
+    probe at those places at which the text left and right of the segment can be within reach; neighbouring
+    places mostly have the same smallest hash, so a probe costs few keys.
     """
     keys, owners, own = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, bool)]
+    power, inverse = tokens.powers(len(code) + 1)
+    sums = np.zeros(len(code) + 1, dtype=np.uint64)
+    np.cumsum(tokens.mix(code.astype(np.uint64) + np.uint64(1)) * power[: len(code)], out=sums[1:])
+    bounds = np.concatenate([[0], np.cumsum(size)])
     for low, high, t in length_bands(int(size.max(initial=0)), threshold, min_similarity):
-        lines = np.flatnonzero((size >= low - t) & (size < high))
-        if not len(lines):
+        first, last = np.searchsorted(size, [low - t, high])
+        if first == last:
             continue
-        begin, n, probing = start[lines], size[lines], size[lines] >= low
+        begin, n, probing = bounds[first:last, None] - bounds[first], size[first:last, None], size[first:last, None] >= low
         seg = max(0, low - t) // (t + 1)
         run = min(seg, max(MIN_RUN, seg // 2))
+        at = slice(bounds[first], bounds[last] - run + 1)
+        least_hash = tokens.mix((sums[bounds[first] + run : bounds[last] + 1] - sums[at]) * inverse[at])
+        width = 1
+        while width < seg - run + 1:
+            step = min(width, seg - run + 1 - width)
+            least_hash = np.minimum(least_hash[:-step], least_hash[step:])
+            width += step
         for i in range(t + 1 if seg else 1):
             least, most = (-min(i, t - i), i) if seg else (0, 0)
-            at = i * seg + np.arange(least, most + seg - run + 1)
-            inside = (at >= 0) & (at + run <= n[:, None])
-            hashed = np.where(inside, _slice_hash(sums, inverse, np.where(inside, begin[:, None] + at, 0), np.full(1, run)), ~np.uint64(0))
-            width = 1
-            while width < seg - run + 1:
-                step = min(width, seg - run + 1 - width)
-                hashed = np.minimum(hashed[:, :-step], hashed[:, step:])
-                width += step
             place = i * seg + np.arange(least, most + 1)
-            ok = (place >= 0) & (place + seg <= n[:, None]) & probing[:, None] & (hashed != hashed[:, -least, None])
+            ok = (place >= 0) & (place + seg <= n)
+            hashed = least_hash[np.where(ok, begin + place, 0)]
+            ok &= probing & (hashed != hashed[:, -least, None])
             ok[:, 1:] &= (hashed[:, 1:] != hashed[:, :-1]) | ~ok[:, :-1]
             ok[:, -least] = True
             row, column = np.nonzero(ok)
             keys.append(tokens.mix(hashed[row, column] ^ tokens.mix(np.full(1, (low << 8) + i + 1, np.uint64))))
-            owners.append(lines[row])
+            owners.append(first + row)
             own.append(column == -least)
     return np.concatenate(keys), np.concatenate(owners), np.concatenate(own)
 
 
-def _chunk_lines(batch: pa.RecordBatch) -> Iterator[tuple]:
-    data, offsets = tokens.binary_column(batch, "text")
-    for first, last, part, own in tokens.chunks(data, offsets):
-        text = part.tobytes().decode()
-        code = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
-        # Characters up to each document's end: bytes that do not continue a character.
-        starts = np.concatenate([[0], np.cumsum((part & 0xC0) != 0x80)])
-        owner, number, start, size = split_lines(code, starts[own[1:]])
-        power, inverse = tokens.powers(len(code) + 1)
-        sums = np.zeros(len(code) + 1, dtype=np.uint64)
-        np.cumsum(tokens.mix(code.astype(np.uint64) + np.uint64(1)) * power[: len(code)], out=sums[1:])
-        yield first, text, owner, number, start, size, sums, inverse, _slice_hash(sums, inverse, start, size)
-
-
 def line_table(rows: DataFrame) -> DataFrame:
-    """``row, line_no, line`` of every line that is not blank; ``line`` is a 64-bit hash of the trimmed line."""
+    """``row, line_no, line, line_text`` of every line that is not blank.
+
+    ``line`` is a 64-bit hash of the trimmed line, ``line_text`` its bytes where a chunk of rows has it first, else null.
+    """
+    fields = ["row", "line_no", "line", "line_text"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("row").to_numpy()
-            for first, _, owner, number, _, _, _, _, line in _chunk_lines(batch):
-                columns = [pa.array(ids[first + owner]), pa.array(number.astype(np.int32)), pa.array(line.view(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, ["row", "line_no", "line"])
-
-    return rows.mapInArrow(frugal(scan), "row bigint, line_no int, line bigint")
-
-
-def _shared_keys(rows: DataFrame, threshold: int | None, min_similarity: float, bits: int) -> DataFrame:
-    """``bucket, id``: lines under each key that at least two lines share, one of them by its own segment."""
-
+            data, offsets = tokens.binary_column(batch, "text")
+            for first, last, part, own in tokens.chunks(data, offsets):
+                raw, hashes = part.tobytes(), {}
+                owner, number, digests, texts_ = [], [], [], []
+                for i in range(first, last):
+                    for k, line in enumerate(raw[own[i - first] : own[i - first + 1]].split(b"\n")):
+                        line = line.strip(BLANK)
+                        if not line:
+                            continue
+                        new = line not in hashes
+                        if new:
+                            hashes[line] = hashlib.blake2b(line, digest_size=8).digest()
+                        owner.append(i)
+                        number.append(k)
+                        digests.append(hashes[line])
+                        texts_.append(line if new else None)
+                columns = [pa.array(ids[np.array(owner, np.int64)]), pa.array(number, pa.int32()), pa.array(np.frombuffer(b"".join(digests), np.int64)), pa.array(texts_, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, fields)
+
+    return rows.mapInArrow(frugal(scan), "row bigint, line_no int, line bigint, line_text binary")
+
+
+def _limits(size: np.ndarray, threshold: int | None, min_similarity: float) -> np.ndarray:
+    """``edit_limit`` of many sizes."""
+    most = np.clip(size // CHARS_PER_EDIT, THRESHOLD, MAX_EDITS) if threshold is None else np.full(size.shape, threshold)
+    return np.minimum(most, ((1 - min_similarity) * size + 1e-9).astype(np.int64))
+
+
+def _sketches(code: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Four bits for each of ``SKETCH`` classes of characters: how many a line has of it, modulo 16."""
+    kind = ((code * np.uint32(2654435761)) >> np.uint32(29)).astype(np.int64)
+    counts = np.bincount(np.repeat(np.arange(len(size)) * SKETCH, size) + kind, minlength=len(size) * SKETCH).reshape(-1, SKETCH) & 15
+    return (counts << (4 * np.arange(SKETCH))).sum(axis=1).astype(np.uint32)
+
+
+def _buckets(keys: np.ndarray, ids: np.ndarray, own: np.ndarray, size: np.ndarray, sketch: np.ndarray, threshold: int | None, min_similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """``bucket, id`` of the lines under a key that could be linked, by length and counts of characters, over others under it.
+
+    Two lines within the limit that share a key are in the same bucket; a line that could be linked to no other
+    one under its key is in none.
+    """
     reach = MAX_EDITS if threshold is None else threshold
+    order = np.argsort(keys, kind="stable")
+    same = np.append(keys[order][1:] == keys[order][:-1], False)
+    same[1:] |= same[:-1]
+    order = order[same]
+    order = order[np.lexsort((~own[order], ids[order], keys[order]))]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (np.diff(keys[order]) != 0) | (np.diff(ids[order]) != 0)
+    order = order[new]
+    # Lines of one key can be linked only if a chain of lengths leads from one to the other.
+    order = order[np.lexsort((size[order], keys[order]))]
+    keys, ids, own, size, sketch = keys[order], ids[order], own[order], size[order].astype(np.int64), sketch[order]
+    begins = np.ones(len(keys), dtype=bool)
+    begins[1:] = (np.diff(keys) != 0) | (np.diff(size) > reach)
+    first = np.flatnonzero(begins)
+    n = np.diff(np.append(first, len(keys)))
+    useful = (n > 1) & (np.add.reduceat(own, first, dtype=np.int64) > 0 if len(first) else n > 1)
+    into = np.arange(len(keys))
+    large = np.repeat(useful & (n > PAIRED), n)
+    into[large] = np.repeat(first, n)[large]
+    first, n = first[useful & (n <= PAIRED)], n[useful & (n <= PAIRED)]
+    counts = (sketch[:, None] >> (4 * np.arange(SKETCH, dtype=np.uint32)) & np.uint32(15)).astype(np.uint8)
+    for i, j in _tiles(first, n, first, n, True):
+        most = _limits(size[j], threshold, min_similarity)  # the j-th is the longer one
+        near = (own[i] | own[j]) & (size[j] - size[i] <= most) & (most > 0)
+        i, j, most = i[near], j[near], most[near]
+        apart = (counts[i] - counts[j]) & 15
+        near = np.minimum(apart, 16 - apart).sum(axis=1) <= 2 * most
+        i, j = i[near], j[near]
+        while (differ := into[i] != into[j]).any():
+            i, j = i[differ], j[differ]
+            np.minimum.at(into, np.maximum(into[i], into[j]), np.minimum(into[i], into[j]))
+            while ((up := into[into]) != into).any():
+                into = up
+    keep = np.bincount(into, minlength=len(into))[into] > 1
+    return tokens.mix(keys[keep] ^ tokens.mix(ids[into[keep]])), ids[keep]
+
+
+def _shared_keys(lines: DataFrame, threshold: int | None, min_similarity: float, bits: int) -> DataFrame:
+    """``bucket, short``: of the lines ``id, line_text``, those that share a key with one they could be linked to.
+
+    ``short`` stands for the upper ``SHORT_BITS`` bits of ``id``.
+    """
+    fields = ["range", "keys", "ids", "own", "sizes", "sketches"]
 
     def demand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, _, _, start, size, sums, inverse, line in _chunk_lines(batch):
-                if not len(start):
-                    continue
-                _, once = np.unique(line, return_index=True)
-                keys, owner, own = segment_keys(sums, inverse, start[once], size[once], threshold, min_similarity)
+            ids = batch.column("id").to_numpy().view(np.uint64) >> np.uint64(64 - SHORT_BITS)
+            data, offsets = tokens.binary_column(batch, "line_text")
+            for first, last, part, own in tokens.chunks(data, offsets):
+                text = part.tobytes().decode()
+                code = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+                # Characters up to each line's end: bytes that do not continue a character.
+                bounds = np.concatenate([[0], np.cumsum((part & 0xC0) != 0x80)])[own]
+                size = np.diff(bounds)
+                by_size = np.argsort(size, kind="stable")
+                start, size, line = bounds[by_size], size[by_size], ids[first:last][by_size]
+                code = code[np.repeat(start - np.cumsum(size) + size, size) + np.arange(len(code))]
+                keys, owner, mine = segment_keys(code, size, threshold, min_similarity)
+                sketch = _sketches(code, size)
+                keys >>= np.uint64(64 - KEY_BITS)
                 order = np.argsort(keys)
-                keys, lines, own = keys[order], line[once][owner[order]], own[order]
-                sizes = np.minimum(size[once][owner[order]], 0xFFFF).astype(np.uint16)
-                numbers, cuts = packed.slices(keys, bits)
-                spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
-                columns = [pa.array(numbers)] + [pa.array([f(a, b) for a, b in spans], pa.binary()) for f in (
-                    lambda a, b: packed.pack(keys[a:b]), lambda a, b: lines[a:b].tobytes(), lambda a, b: np.packbits(own[a:b]).tobytes(), lambda a, b: sizes[a:b].tobytes())]
-                yield pa.RecordBatch.from_arrays(columns, ["range", "keys", "ids", "own", "sizes"])
-
-    def shared(keys: np.ndarray, ids: np.ndarray, own: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
-        order = np.argsort(keys)
-        same = np.append(keys[order][1:] == keys[order][:-1], False)
-        same[1:] |= same[:-1]
-        order = order[same]
-        order = order[np.lexsort((~own[order], ids[order], keys[order]))]
-        keys, ids, own, size = keys[order], ids[order], own[order], size[order]
-        new = np.ones(len(keys), dtype=bool)
-        new[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
-        keys, ids, own, size = keys[new], ids[new], own[new], size[new]
-        # Lines of one key can be linked only if a chain of lengths leads from one to the other.
-        order = np.lexsort((size, keys))
-        keys, ids, own, size = keys[order], ids[order], own[order], size[order].astype(np.int64)
-        group = np.cumsum((np.diff(keys, prepend=~keys[:1]) != 0) | (np.diff(size, prepend=0) > reach)) - 1
-        useful = (np.bincount(group) > 1) & (np.bincount(group, weights=own) > 0)
-        keep = useful[group]
-        return pa.RecordBatch.from_arrays([pa.array(keys[keep].view(np.int64)), pa.array(ids[keep].view(np.int64))], ["bucket", "id"])
+                keys, owner, mine = keys[order], owner[order], mine[order]
+                line, size, sketch = line[owner], np.minimum(size[owner], 0xFFFF), sketch[owner]
+                numbers, cuts = packed.slices(keys, bits, KEY_BITS)
+                parts = [slice(a, b) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+                columns = [[packed.pack(keys[x]) for x in parts], [packed.pack_counts(line[x]) for x in parts], [np.packbits(mine[x]).tobytes() for x in parts], [packed.pack_counts(size[x]) for x in parts], [sketch[x].tobytes() for x in parts]]
+                yield pa.RecordBatch.from_arrays([pa.array(numbers), *[pa.array(x, pa.binary()) for x in columns]], fields)
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, []
+
+        def shared() -> pa.RecordBatch:
+            bucket, line = _buckets(*(np.concatenate(x) for x in zip(*held)), threshold, min_similarity)
+            return pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64)), pa.array(line.view(np.int64))], ["bucket", "short"])
+
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("range", "keys", "ids", "own", "sizes"))):
+            for row in zip(*(batch.column(c).to_pylist() for c in fields)):
                 if row[0] != current and held:
-                    yield shared(*(np.concatenate(x) for x in zip(*held)))
+                    yield shared()
                     held = []
                 current = row[0]
                 keys = packed.unpack(row[1])
                 own = np.unpackbits(np.frombuffer(row[3], np.uint8), count=len(keys)).astype(bool)
-                held.append((keys, np.frombuffer(row[2], dtype=np.uint64), own, np.frombuffer(row[4], dtype=np.uint16)))
+                held.append((keys, packed.unpack_counts(row[2]).view(np.uint64), own, packed.unpack_counts(row[4]).astype(np.uint16), np.frombuffer(row[5], np.uint32)))
         if held:
-            yield shared(*(np.concatenate(x) for x in zip(*held)))
-
-    sent = rows.select("text").mapInArrow(frugal(demand), "range bigint, keys binary, ids binary, own binary, sizes binary")
-    return sent.repartition("range").sortWithinPartitions("range").mapInArrow(frugal(match), "bucket bigint, id bigint")
-
-
-def _gate(ids: DataFrame) -> np.ndarray:
-    """Bitmap of ids of a fixed size; at most one number per 64 bits comes to the driver."""
-    rows = (
-        ids.select((F.pmod(F.col("id"), F.lit(GATE_BITS)) / 64).cast("int").alias("word"), F.expr("shiftleft(1L, cast(pmod(id, 64) as int))").alias("bit"))
-        .groupBy("word")
-        .agg(F.bit_or("bit").alias("bits"))
-        .collect()
-    )
-    out = np.zeros(GATE_BITS // 64, dtype=np.int64)
-    for row in rows:
-        out[row.word] = row.bits
-    return out.view(np.uint64)
-
-
-def _texts_of(rows: DataFrame, gate: np.ndarray) -> DataFrame:
-    """``id, n, line_text``: lines whose hash passes the gate, one row for each occurrence in a chunk's first."""
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, text, _, _, start, size, _, _, line in _chunk_lines(batch):
-                slot = (line & np.uint64(GATE_BITS - 1)).astype(np.int64)
-                open_ = (gate[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
-                _, once = np.unique(line, return_index=True)
-                once = once[open_[once]]
-                found = [text[a : a + n] for a, n in zip(start[once].tolist(), size[once].tolist())]
-                columns = [pa.array(line[once].view(np.int64)), pa.array(size[once]), pa.array(found, pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "n", "line_text"])
+            yield shared()
 
-    return rows.select("text").mapInArrow(frugal(scan), "id bigint, n bigint, line_text string")
+    sent = lines.mapInArrow(frugal(demand), "range bigint, keys binary, ids binary, own binary, sizes binary, sketches binary")
+    return sent.repartition("range").sortWithinPartitions("range").mapInArrow(frugal(match), "bucket bigint, short bigint")
 
 
 def banded_distance(a: str, b: str, limit: int) -> int:
@@ -291,7 +306,7 @@ def banded_distance(a: str, b: str, limit: int) -> int:
 
 def _send(found: DataFrame):
     """Puts a line to each of its tasks."""
-    lines = found.select("id", F.col("line_text").cast("binary").alias("payload"))
+    lines = found.select("id", F.col("line_text").alias("payload"))
     return lambda tasks: tasks.join(lines, "id").select(*TASKS, "payload")
 
 
@@ -387,8 +402,7 @@ def _compare(threshold: int | None, min_similarity: float) -> tuple:
     """How lines are read and compared, all pairs of two blocks at once."""
 
     def limits(size: np.ndarray) -> np.ndarray:
-        most = np.clip(size // CHARS_PER_EDIT, THRESHOLD, MAX_EDITS) if threshold is None else np.full(size.shape, threshold)
-        return np.minimum(most, ((1 - min_similarity) * size + 1e-9).astype(np.int64))
+        return _limits(size, threshold, min_similarity)
 
     def possible(lines: _Lines, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Pairs whose lengths and counts of letters are within the limit; an edit changes two counts by one at most."""
@@ -435,9 +449,14 @@ def line_classes(
     rows = rows.select("row", "text")
     lines = written(line_table(rows), "lines-table")
     most = MAX_EDITS if threshold is None else threshold
+    distinct = lines.where("line_text is not null").select(F.col("line").alias("id"), "line_text")
     keys_per_line = (most + 1) * (most + 4) // 3
-    members = written(_shared_keys(rows, threshold, min_similarity, packed.range_bits(lines.count() * keys_per_line)), "lines-shared")
-    found = written(_texts_of(rows, _gate(members.select("id"))).dropDuplicates(["id"]), "lines-texts")
+    shared = written(_shared_keys(distinct, threshold, min_similarity, packed.range_bits(distinct.count() * keys_per_line)), "lines-shared")
+    # A bitmap of fixed size keeps most lines that meet no other one from being dealt again.
+    short = F.shiftrightunsigned("id", 64 - SHORT_BITS).alias("short")
+    known = test_bit(bitmap_literal(shared.select(F.xxhash64("short").alias("h"))), F.xxhash64(short))
+    found = written(distinct.where(known).dropDuplicates(["id"]), "lines-texts")
+    members = shared.join(found.select("id", short), "short").select("bucket", "id")
     classes = linked_classes(members, _send(found), *_compare(threshold, min_similarity), "lines")
     marked = lines.join(classes.withColumnRenamed("id", "line"), "line", "left").withColumn("class_id", F.coalesce("component", "line"))
     marked = written(marked.select("row", "line_no", "line", "class_id"), "lines-marked")

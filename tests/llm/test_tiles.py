@@ -50,3 +50,51 @@ def test_a_bucket_travels_few_times(spark, monkeypatch):
     for tasks in sent:
         assert tasks.groupBy("k1", "id").count().agg({"count": "max"}).first()[0] == 1
     assert sent
+
+
+def test_only_lines_alike_are_candidates(spark, monkeypatch):
+    """Lines that share a segment and differ in all else meet nobody; near copies among them do, with the classes of all pairs."""
+    rng = np.random.default_rng(6)
+    say = lambda letters: "".join(rng.choice(list(letters), 90))
+    texts = ["a segment that all lines share, " + say("bcdfghjk" if i % 2 else "lmnpqrst") for i in range(40)]
+    apart = [(i, j) for i in range(40) for j in range(i) if i % 2 != j % 2]
+    assert all(brute.edit(texts[i], texts[j]) > lines.MAX_EDITS for i, j in apart[:20])
+    texts = texts[:2] + [texts[0][:60] + "#" + texts[0][61:], texts[1][:70] + texts[1][71:]]
+    seen, solve = [], lines.linked_classes
+    monkeypatch.setattr(lines, "linked_classes", lambda members, *rest: seen.append(members) or solve(members, *rest))
+    got = {r.doc_id: r.class_id for r in lines.line_classes(frame(spark, list(enumerate(texts))), threshold=None).collect()}
+    assert got[0] == got[2] != got[1] == got[3]
+    buckets: dict[int, set[int]] = {}
+    for r in seen[0].collect():
+        buckets.setdefault(r.bucket, set()).add(r.id)
+    assert sorted({len(b) for b in buckets.values()}) == [2] and len({frozenset(b) for b in buckets.values()}) == 2
+
+
+@pytest.mark.parametrize("paired", [2, 1000])
+def test_buckets_keep_every_pair_within_the_limit(monkeypatch, paired):
+    """Lines of a key that sketches allow to be linked stay together, also where a key has too many to pair."""
+    monkeypatch.setattr(lines, "PAIRED", paired)
+    rng = np.random.default_rng(7)
+    n = 400
+    keys, ids = rng.integers(0, 40, n).astype(np.uint64), rng.integers(0, 90, n).astype(np.uint64)
+    size_of, code_of = np.sort(rng.integers(60, 90, 90)), rng.integers(97, 100, 90 * 90).astype(np.uint32)
+    code = np.concatenate([code_of[i * 90 : i * 90 + k] for i, k in enumerate(size_of)])
+    sketch, size, own = lines._sketches(code, size_of)[ids.astype(int)], size_of[ids.astype(int)], rng.random(n) < 0.6
+    bucket, line = lines._buckets(keys, ids, own, size.astype(np.uint16), sketch, None, 0.8)
+    got: dict[int, set[int]] = {}
+    for b, i in zip(bucket.tolist(), line.tolist()):
+        got.setdefault(b, set()).add(i)
+    where: dict[int, list[set[int]]] = {}
+    for members in got.values():
+        for i in members:
+            where.setdefault(i, []).append(members)
+    counts = [np.bincount(code[a:b] % 32, minlength=32) for a, b in zip(np.cumsum(size_of) - size_of, np.cumsum(size_of))]
+    linked = 0
+    for x in range(n):
+        for y in range(x):
+            i, j = int(ids[x]), int(ids[y])
+            limit = lines.edit_limit(int(max(size_of[i], size_of[j])), None, 0.8)
+            if i != j and keys[x] == keys[y] and (own[x] or own[y]) and abs(counts[i] - counts[j]).sum() <= limit and abs(size_of[i] - size_of[j]) <= limit:
+                linked += 1
+                assert any(j in members for members in where.get(i, []))
+    assert linked > 20 and all(len(members) > 1 for members in got.values())
