@@ -19,12 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import bitmap_literal, table, test_bit, texts, with_rows, written
+from .common import bitmap_literal, frugal, table, test_bit, texts, with_rows, written
 
 WINDOW = 35
 MINIMISER = 12
 #: Bytes of packed strings counted at once in a bucket task; only whole minimisers are counted.
 BLOCK_BYTES = 4 << 20
+#: Bytes of packed strings hashed at once; hashing takes some fifty times as much memory.
+PART_BYTES = 1 << 20
 #: A minimiser with more bytes of packed strings is counted window by window, in no single task.
 HOT_BYTES = 4 << 20
 
@@ -70,7 +72,7 @@ def _find(rows: DataFrame, window: int, minimiser: int) -> DataFrame:
                     ["row", "start", "n", "bucket"],
                 )
 
-    return rows.mapInArrow(scan, "row bigint, start int, n int, bucket bigint")
+    return rows.mapInArrow(frugal(scan), "row bigint, start int, n int, bucket bigint")
 
 
 def _cut(rows: DataFrame, window: int) -> DataFrame:
@@ -104,13 +106,24 @@ def _cut(rows: DataFrame, window: int) -> DataFrame:
                     ["row", "start", "bucket", "packed"],
                 )
 
-    return rows.mapInArrow(cut, "row bigint, start int, bucket bigint, packed binary")
+    return rows.mapInArrow(frugal(cut), "row bigint, start int, bucket bigint, packed binary")
 
 
 def _second_hash(words: np.ndarray, n: int) -> np.ndarray:
     return tokens.sequence_hashes(words ^ np.uint64(0x5851F42D4C957F2D), n)
 
 
+def _windows(batch: pa.RecordBatch, window: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """String, place within it and two hashes of every window of the column ``packed``, a part of the strings at a time."""
+    data, offsets = tokens.binary_column(batch, "packed")
+    for first, _, part, own in tokens.chunks(data, offsets, PART_BYTES):
+        starts, ends, bounds = tokens.spans(part, own, tokens.NOT_SPACE)
+        words = tokens.hash_slices(part, starts, ends)
+        at = tokens.runs_inside(bounds, window)
+        owner = np.searchsorted(bounds, at, side="right") - 1
+        yield first + owner, at - bounds[owner], tokens.sequence_hashes(words, window)[at], _second_hash(words, window)[at]
+
+
 def _count(strings: DataFrame, window: int) -> DataFrame:
     """``k1, k2, mask`` of packed strings: bit i is set if the i-th window occurs more than once.
 
@@ -118,13 +131,7 @@ def _count(strings: DataFrame, window: int) -> DataFrame:
     """
 
     def judge(packed: pa.Array, times: np.ndarray) -> np.ndarray:
-        batch = pa.RecordBatch.from_arrays([packed], ["packed"])
-        data, offsets = tokens.binary_column(batch, "packed")
-        starts, ends, bounds = tokens.spans(data, offsets, tokens.NOT_SPACE)
-        words = tokens.hash_slices(data, starts, ends)
-        at = tokens.runs_inside(bounds, window)
-        owner = np.searchsorted(bounds, at, side="right") - 1
-        one, two = tokens.sequence_hashes(words, window)[at], _second_hash(words, window)[at]
+        owner, place, one, two = (np.concatenate(x) for x in zip(*_windows(pa.RecordBatch.from_arrays([packed], ["packed"]), window)))
         order = np.lexsort((two, one))
         one, two = one[order], two[order]
         new = np.ones(len(order), dtype=bool)
@@ -133,7 +140,7 @@ def _count(strings: DataFrame, window: int) -> DataFrame:
         again = np.bincount(group, weights=times[owner[order]])[group] >= 2
         mask = np.zeros(len(times), dtype=np.int64)
         hit = order[again]
-        np.bitwise_or.at(mask, owner[hit], np.int64(1) << (at[hit] - bounds[owner[hit]]))
+        np.bitwise_or.at(mask, owner[hit], np.int64(1) << place[hit])
         return mask
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +171,7 @@ def _count(strings: DataFrame, window: int) -> DataFrame:
         if held:
             yield from flush(pa.concat_tables(held)).to_batches()
 
-    return strings.mapInArrow(count, "k1 bigint, k2 bigint, mask bigint")
+    return strings.mapInArrow(frugal(count), "k1 bigint, k2 bigint, mask bigint")
 
 
 def _count_spread(strings: DataFrame, window: int) -> DataFrame:
@@ -172,21 +179,14 @@ def _count_spread(strings: DataFrame, window: int) -> DataFrame:
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = tokens.binary_column(batch, "packed")
-            for first, _, part, own in tokens.chunks(data, offsets):
-                starts, ends, bounds = tokens.spans(part, own, tokens.NOT_SPACE)
-                words = tokens.hash_slices(part, starts, ends)
-                at = tokens.runs_inside(bounds, window)
-                owner = np.searchsorted(bounds, at, side="right") - 1
-                string = pa.array(first + owner)
-                one, two = tokens.sequence_hashes(words, window)[at], _second_hash(words, window)[at]
-                columns = [batch.column(c).take(string) for c in ("k1", "k2", "n")]
-                columns += [pa.array((at - bounds[owner]).astype(np.int32)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64))]
+            for owner, place, one, two in _windows(batch, window):
+                columns = [batch.column(c).take(pa.array(owner)) for c in ("k1", "k2", "n")]
+                columns += [pa.array(place.astype(np.int32)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, ["k1", "k2", "n", "place", "one", "two"])
 
     fields = "k1 bigint, k2 bigint, n bigint, place int, one bigint, two bigint"
     # Written, so that the join below is free to split a window that very many strings hold.
-    windows = written(strings.select("k1", "k2", "n", "packed").mapInArrow(explode, fields), "repeats-windows")
+    windows = written(strings.select("k1", "k2", "n", "packed").mapInArrow(frugal(explode), fields), "repeats-windows")
     again = written(windows.groupBy("one", "two").agg(F.sum("n").alias("times")).where("times > 1").select("one", "two"), "repeats-windows-again")
     bit = F.expr("shiftleft(1L, place)")
     return windows.join(again, ["one", "two"]).groupBy("k1", "k2").agg(F.bit_or(bit).alias("mask"))
@@ -283,7 +283,7 @@ def remove_repeats(
     hit = _known(rows, found).join(found, "row", "left")
     kind = found.schema["found"].dataType
     rest = _known(rows, found, False).withColumn("found", F.lit(None).cast(kind))
-    return hit.select("doc_id", "text", "found").unionByName(rest.select("doc_id", "text", "found")).mapInArrow(strip, fields)
+    return hit.select("doc_id", "text", "found").unionByName(rest.select("doc_id", "text", "found")).mapInArrow(frugal(strip), fields)
 
 
 def op8_substring_dedup(spark, sf_dir: str) -> DataFrame:

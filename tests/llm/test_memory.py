@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 
-from oreline.llm import collocations, ngrams, packed, tokens
+from oreline.llm import collocations, ngrams, packed, repeats, tokens
 
 
 def test_packed_values_come_back():
@@ -83,3 +83,25 @@ print(held(), pa.default_memory_pool().max_memory() >> 20)
 """
     kept, most = map(int, subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split())
     assert most < 170 and kept < 240, (kept, most)
+
+
+class _Plain:
+    """Keeps the function given to ``mapInArrow``."""
+
+    def mapInArrow(self, work, fields):
+        self.work = work
+        return self
+
+
+def test_packed_strings_are_hashed_in_parts(monkeypatch):
+    """A block of packed strings is hashed a part at a time, with the masks of the whole block."""
+    texts = [" ".join(f"w{(i * 31 + k * k) % 97}" for k in range(20)) for i in range(40)] + [" ".join(f"w{k}" for k in range(20))] * 2
+    n = len(texts)
+    batch = pa.record_batch({"bucket": pa.array([7] * n), "packed": pa.array([t.encode() for t in texts]), "k1": pa.array(range(n)), "k2": pa.array(range(n)), "n": pa.array([1] * n)})
+    whole = [r for b in repeats._count(_Plain(), 5).work(iter([batch])) for r in b.to_pylist()]
+    sizes, hashes = [], tokens.hash_slices
+    monkeypatch.setattr(tokens, "hash_slices", lambda data, *rest: sizes.append(len(data)) or hashes(data, *rest))
+    monkeypatch.setattr(repeats, "PART_BYTES", 200)
+    parts = [r for b in repeats._count(_Plain(), 5).work(iter([batch])) for r in b.to_pylist()]
+    assert parts == whole and {40, 41} <= {r["k1"] for r in whole}
+    assert len(sizes) > 10 and max(sizes) <= 200
