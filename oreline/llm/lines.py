@@ -36,8 +36,9 @@ WORD = 64
 LETTERS = 32
 #: Classes of characters, of four bits each, in the sketch that travels with a line's keys.
 SKETCH = 8
-#: Bits of a key, and of the hash of its line, that travel. Lines that agree in both are told apart later, by their texts.
-KEY_BITS, SHORT_BITS = 44, 40
+#: Keys and hashes of lines travel with so many bits beyond those that number them. Lines that agree in both are told
+#: apart later, by their texts.
+KEY_SPARE, SHORT_SPARE = 6, 4
 #: Lines under a key that are paired by their sketches; more stay together unpaired.
 PAIRED = 1024
 #: Pairs whose columns are taken in step.
@@ -159,16 +160,19 @@ def _buckets(keys: np.ndarray, ids: np.ndarray, own: np.ndarray, size: np.ndarra
     """``bucket, id`` of the lines under a key that could be linked, by length and counts of characters, over others under it.
 
     Two lines within the limit that share a key are in the same bucket; a line that could be linked to no other
-    one under its key is in none.
+    one under its key is in none. A bucket is named after its lines, so lines that meet under many keys are one bucket.
     """
     reach = MAX_EDITS if threshold is None else threshold
     order = np.argsort(keys, kind="stable")
     same = np.append(keys[order][1:] == keys[order][:-1], False)
     same[1:] |= same[:-1]
     order = order[same]
-    order = order[np.lexsort((~own[order], ids[order], keys[order]))]
+    # Few bits of an id travel, so lines that only look alike in them stay apart by what else is known.
+    line = tokens.mix(ids[order] ^ tokens.mix(size[order].astype(np.uint64) << np.uint64(32) | sketch[order]))
+    by_line = np.lexsort((~own[order], line, keys[order]))
+    order, line = order[by_line], line[by_line]
     new = np.ones(len(order), dtype=bool)
-    new[1:] = (np.diff(keys[order]) != 0) | (np.diff(ids[order]) != 0)
+    new[1:] = (np.diff(keys[order]) != 0) | (np.diff(line) != 0)
     order = order[new]
     # Lines of one key can be linked only if a chain of lengths leads from one to the other.
     order = order[np.lexsort((size[order], keys[order]))]
@@ -188,27 +192,32 @@ def _buckets(keys: np.ndarray, ids: np.ndarray, own: np.ndarray, size: np.ndarra
         near = (own[i] | own[j]) & (size[j] - size[i] <= most) & (most > 0)
         i, j, most = i[near], j[near], most[near]
         apart = (counts[i] - counts[j]) & 15
-        near = np.minimum(apart, 16 - apart).sum(axis=1) <= 2 * most
+        near = np.minimum(apart, 16 - apart).sum(axis=1) + size[j] - size[i] <= 2 * most
         i, j = i[near], j[near]
         while (differ := into[i] != into[j]).any():
             i, j = i[differ], j[differ]
             np.minimum.at(into, np.maximum(into[i], into[j]), np.minimum(into[i], into[j]))
             while ((up := into[into]) != into).any():
                 into = up
-    keep = np.bincount(into, minlength=len(into))[into] > 1
-    return tokens.mix(keys[keep] ^ tokens.mix(ids[into[keep]])), ids[keep]
+    keep = np.flatnonzero(np.bincount(into, minlength=len(into))[into] > 1)
+    keep = keep[np.argsort(into[keep], kind="stable")]
+    first = np.flatnonzero(np.diff(into[keep], prepend=-1))
+    name = np.add.reduceat(tokens.mix(ids[keep]), first) if len(first) else np.empty(0, np.uint64)
+    return np.repeat(name, np.diff(np.append(first, len(keep)))), ids[keep]
 
 
-def _shared_keys(lines: DataFrame, threshold: int | None, min_similarity: float, bits: int) -> DataFrame:
+def _shared_keys(lines: DataFrame, threshold: int | None, min_similarity: float, bits: int, short_bits: int) -> DataFrame:
     """``bucket, short``: of the lines ``id, line_text``, those that share a key with one they could be linked to.
 
-    ``short`` stands for the upper ``SHORT_BITS`` bits of ``id``.
+    ``short`` stands for the upper ``short_bits`` bits of ``id``; keys are dealt to ``2 ** bits`` ranges.
     """
     fields = ["range", "keys", "ids", "own", "sizes", "sketches"]
+    key_bits = min(64, bits + packed.RANGE_KEYS.bit_length() - 1 + KEY_SPARE)
+    within = np.uint64((1 << (key_bits - bits)) - 1)
 
     def demand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("id").to_numpy().view(np.uint64) >> np.uint64(64 - SHORT_BITS)
+            ids = batch.column("id").to_numpy().view(np.uint64) >> np.uint64(64 - short_bits)
             data, offsets = tokens.binary_column(batch, "line_text")
             for first, last, part, own in tokens.chunks(data, offsets):
                 text = part.tobytes().decode()
@@ -221,11 +230,12 @@ def _shared_keys(lines: DataFrame, threshold: int | None, min_similarity: float,
                 code = code[np.repeat(start - np.cumsum(size) + size, size) + np.arange(len(code))]
                 keys, owner, mine = segment_keys(code, size, threshold, min_similarity)
                 sketch = _sketches(code, size)
-                keys >>= np.uint64(64 - KEY_BITS)
+                keys >>= np.uint64(64 - key_bits)
                 order = np.argsort(keys)
                 keys, owner, mine = keys[order], owner[order], mine[order]
                 line, size, sketch = line[owner], np.minimum(size[owner], 0xFFFF), sketch[owner]
-                numbers, cuts = packed.slices(keys, bits, KEY_BITS)
+                numbers, cuts = packed.slices(keys, bits, key_bits)
+                keys &= within  # a row names its range
                 parts = [slice(a, b) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
                 columns = [[packed.pack(keys[x]) for x in parts], [packed.pack_counts(line[x]) for x in parts], [np.packbits(mine[x]).tobytes() for x in parts], [packed.pack_counts(size[x]) for x in parts], [sketch[x].tobytes() for x in parts]]
                 yield pa.RecordBatch.from_arrays([pa.array(numbers), *[pa.array(x, pa.binary()) for x in columns]], fields)
@@ -405,13 +415,14 @@ def _compare(threshold: int | None, min_similarity: float) -> tuple:
         return _limits(size, threshold, min_similarity)
 
     def possible(lines: _Lines, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Pairs whose lengths and counts of letters are within the limit; an edit changes two counts by one at most."""
+        """Pairs whose lengths and counts of letters are within the limit: an edit changes two counts by one, or a count and the length."""
         most = limits(np.maximum(lines.size[i], lines.size[j]))
         out = (most > 0) & (np.abs(lines.size[i] - lines.size[j]) <= most)
         left = np.flatnonzero(out)
         for k in range(0, len(left), PAIRS):
             at = left[k : k + PAIRS]
-            out[at] = np.abs(lines.letters[i[at]] - lines.letters[j[at]]).sum(axis=1) <= 2 * most[at]
+            longer = np.abs(lines.size[i[at]] - lines.size[j[at]])
+            out[at] = np.abs(lines.letters[i[at]] - lines.letters[j[at]]).sum(axis=1) + longer <= 2 * most[at]
         return out
 
     def linked(lines: _Lines, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -451,9 +462,12 @@ def line_classes(
     most = MAX_EDITS if threshold is None else threshold
     distinct = lines.where("line_text is not null").select(F.col("line").alias("id"), "line_text")
     keys_per_line = (most + 1) * (most + 4) // 3
-    shared = written(_shared_keys(distinct, threshold, min_similarity, packed.range_bits(distinct.count() * keys_per_line)), "lines-shared")
+    count = distinct.count()
+    short_bits = min(56, max(32, -(-(count.bit_length() + SHORT_SPARE) // 8) * 8))
+    met = _shared_keys(distinct, threshold, min_similarity, packed.range_bits(count * keys_per_line), short_bits)
+    shared = written(met.distinct(), "lines-shared")
     # A bitmap of fixed size keeps most lines that meet no other one from being dealt again.
-    short = F.shiftrightunsigned("id", 64 - SHORT_BITS).alias("short")
+    short = F.shiftrightunsigned("id", 64 - short_bits).alias("short")
     known = test_bit(bitmap_literal(shared.select(F.xxhash64("short").alias("h"))), F.xxhash64(short))
     found = written(distinct.where(known).dropDuplicates(["id"]), "lines-texts")
     members = shared.join(found.select("id", short), "short").select("bucket", "id")
@@ -462,11 +476,9 @@ def line_classes(
     marked = written(marked.select("row", "line_no", "line", "class_id"), "lines-marked")
     firsts = written(marked.groupBy("class_id").agg(F.min(F.struct("row", "line_no", "line")).alias("first")), "lines-firsts")
     kept = (F.col("first.row") == F.col("row")) & (F.col("first.line_no") == F.col("line_no"))
-    return (
-        marked.join(firsts, "class_id")
-        .select("row", "line_no", "line", "class_id", (F.col("first.line") != F.col("line")).alias("near"), kept.alias("kept"))
-        .join(ids, "row")
-    )
+    judged = marked.join(firsts, "class_id").select("row", "line_no", "line", "class_id", (F.col("first.line") != F.col("line")).alias("near"), kept.alias("kept"))
+    # Where the id tells rows apart it is the row.
+    return judged.withColumn("doc_id", F.col("row")) if row_col == id_col else judged.join(ids, "row")
 
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -5,7 +5,8 @@ which in a group of near copies is the text the others vary. Classes are joined,
 members still lie in different classes are looked at again. Their members are dealt to blocks, every two
 blocks meet in one task, and the task returns only links between classes. So a row travels once for each
 block of its bucket, never once for each partner, and no pair that shares a bucket is left out unless its
-members are in one class already.
+members are in one class already. Open buckets of one leader mostly hold the same members, and are then
+taken as one.
 """
 
 from __future__ import annotations
@@ -70,14 +71,14 @@ def linked_classes(
     classes = connected(edges, f"{label}-components")
 
     placed = members.join(classes, "id", "left").select("bucket", "n", "id", F.coalesce("component", "id").alias("component"))
-    placed = written(placed, f"{label}-placed")
-    open_ = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
     # In a bucket of two both were compared when one led.
-    rest = written(placed.where("n > 2").join(open_, "bucket"), f"{label}-rest")
+    placed = written(placed.where("n > 2"), f"{label}-placed")
+    open_ = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
+    rest = written(placed.join(open_.join(leaders, "bucket"), "bucket"), f"{label}-rest")
     if rest.isEmpty():
         return classes
     block = BLOCK * WIDE if isinstance(partners, Pairwise) else BLOCK
-    more = written(_links(_blocks(rest, block), send, read, partners), f"{label}-more-edges")
+    more = written(_links(_blocks(_families(rest), block), send, read, partners), f"{label}-more-edges")
     return classes if more.isEmpty() else connected(edges.union(more), f"{label}-components")
 
 
@@ -90,6 +91,21 @@ def _stars(pairs: DataFrame) -> DataFrame:
     return leader.select(F.col("id").alias("k1"), "k2", F.lit(LEADER).alias("side"), F.col("id").alias("component"), "id").union(member)
 
 
+def _families(rest: DataFrame) -> DataFrame:
+    """``bucket, n, id, component`` of ``rest``, buckets of one leader as a single one where that has no more pairs.
+
+    Texts that resemble each other share many buckets, mostly under one leader; so they are compared once and not
+    once for each bucket. Buckets that have little but their leader in common stay apart.
+    """
+    members = rest.select("leader", "id", "component").distinct()
+    sizes = members.groupBy("leader").agg(F.count(F.lit(1)).alias("n"))
+    # A bucket of n has n rows: the sum of n over its rows is the square of n.
+    apart = rest.groupBy("leader").agg(F.sum(F.col("n").cast("double")).alias("apart"))
+    whole = sizes.join(apart, "leader").where(F.col("n").cast("double") * F.col("n") <= F.col("apart")).select("leader", "n")
+    merged = members.join(whole, "leader").select(F.xxhash64("leader").alias("bucket"), "n", "id", "component")
+    return merged.union(rest.join(whole, "leader", "left_anti").select("bucket", "n", "id", "component"))
+
+
 def _blocks(rest: DataFrame, block: int | None = None) -> DataFrame:
     """Tasks of two blocks of a bucket, or of one block by itself."""
     count = F.ceil(F.col("n") / (block or BLOCK)).cast("int")
