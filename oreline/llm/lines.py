@@ -41,6 +41,8 @@ SKETCH = 8
 KEY_SPARE, SHORT_SPARE = 6, 4
 #: Lines under a key that are paired by their sketches; more stay together unpaired.
 PAIRED = 1024
+#: Bits of the filter of lines that meet others: 512 KB.
+KNOWN_BITS = 1 << 22
 #: Pairs whose columns are taken in step.
 STEP_PAIRS = 4096
 
@@ -163,8 +165,15 @@ def _buckets(keys: np.ndarray, ids: np.ndarray, own: np.ndarray, size: np.ndarra
     one under its key is in none. A bucket is named after its lines, so lines that meet under many keys are one bucket.
     """
     reach = MAX_EDITS if threshold is None else threshold
-    order = np.argsort(keys, kind="stable")
-    same = np.append(keys[order][1:] == keys[order][:-1], False)
+    places = np.uint64(len(keys).bit_length())
+    if int(keys.max(initial=0)) >> (64 - int(places)):
+        order = np.argsort(keys, kind="stable")
+        held = keys[order]
+    else:  # a key and its place fit one number, and numbers are sorted fast
+        held = np.sort(keys << places | np.arange(len(keys), dtype=np.uint64))
+        order = (held & ((np.uint64(1) << places) - np.uint64(1))).astype(np.int64)
+        held >>= places
+    same = np.append(held[1:] == held[:-1], False)
     same[1:] |= same[:-1]
     order = order[same]
     # Few bits of an id travel, so lines that only look alike in them stay apart by what else is known.
@@ -315,9 +324,15 @@ def banded_distance(a: str, b: str, limit: int) -> int:
 
 
 def _send(found: DataFrame):
-    """Puts a line to each of its tasks."""
+    """Puts a line to each of its tasks; a bitmap of fixed size keeps most lines that no task wants out of the shuffle."""
     lines = found.select("id", F.col("line_text").alias("payload"))
-    return lambda tasks: tasks.join(lines, "id").select(*TASKS, "payload")
+
+    def send(tasks: DataFrame) -> DataFrame:
+        tasks = written(tasks, "lines-tasks")
+        wanted = test_bit(bitmap_literal(tasks.select(F.xxhash64("id").alias("h"))), F.xxhash64("id"))
+        return tasks.join(lines.where(wanted), "id").select(*TASKS, "payload")
+
+    return send
 
 
 @dataclass(frozen=True)
@@ -466,11 +481,12 @@ def line_classes(
     short_bits = min(56, max(32, -(-(count.bit_length() + SHORT_SPARE) // 8) * 8))
     met = _shared_keys(distinct, threshold, min_similarity, packed.range_bits(count * keys_per_line), short_bits)
     shared = written(met.distinct(), "lines-shared")
-    # A bitmap of fixed size keeps most lines that meet no other one from being dealt again.
+    # A bitmap of fixed size keeps most lines that meet no other one from being dealt again; the join drops the others.
     short = F.shiftrightunsigned("id", 64 - short_bits).alias("short")
-    known = test_bit(bitmap_literal(shared.select(F.xxhash64("short").alias("h"))), F.xxhash64(short))
-    found = written(distinct.where(known).dropDuplicates(["id"]), "lines-texts")
-    members = shared.join(found.select("id", short), "short").select("bucket", "id")
+    known = test_bit(bitmap_literal(shared.select(F.xxhash64("short").alias("h")), KNOWN_BITS), F.xxhash64(short), KNOWN_BITS)
+    dealt = distinct.where(known).withColumn("short", short).join(shared.select("short").distinct(), "short", "left_semi")
+    found = written(dealt.dropDuplicates(["short", "id"]), "lines-texts")
+    members = shared.join(found.select("id", "short"), "short").select("bucket", "id")
     classes = linked_classes(members, _send(found), *_compare(threshold, min_similarity), "lines")
     marked = lines.join(classes.withColumnRenamed("id", "line"), "line", "left").withColumn("class_id", F.coalesce("component", "line"))
     marked = written(marked.select("row", "line_no", "line", "class_id"), "lines-marked")

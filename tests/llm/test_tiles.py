@@ -98,3 +98,42 @@ def test_buckets_keep_every_pair_within_the_limit(monkeypatch, paired):
                 linked += 1
                 assert any(j in members for members in where.get(i, []))
     assert linked > 20 and all(len(members) > 1 for members in got.values())
+
+
+def test_lines_under_many_keys_are_one_bucket():
+    """The same lines under five keys have one name; a line of the same few id bits but another sketch is not taken for one."""
+    keys, ids = np.repeat(np.arange(5), 3).astype(np.uint64), np.tile([7, 8, 9], 5).astype(np.uint64)
+    same, zeros = np.full(15, 80, np.uint16), np.zeros(15, np.uint32)
+    bucket, line = lines._buckets(keys, ids, np.ones(15, bool), same, zeros, None, 0.8)
+    assert len(set(bucket.tolist())) == 1 and sorted(line.tolist()) == sorted(ids.tolist())
+    keys, ids, own = np.zeros(3, np.uint64), np.array([7, 7, 8], np.uint64), np.ones(3, bool)
+    sketch = np.array([0x11111111, 0, 0], np.uint32) * np.uint32(7)
+    for k in ([0, 1, 2], [1, 0, 2]):
+        bucket, line = lines._buckets(keys, ids[k], own, np.full(3, 80, np.uint16), sketch[k], None, 0.8)
+        assert sorted(line.tolist()) == [7, 8]
+
+
+def test_lengths_count_among_the_characters():
+    """Six characters more and seven others changed are beyond six edits, though each by itself is not."""
+    code = np.frombuffer(("a" * 80 + "a" * 73 + "b" * 13).encode("utf-32-le"), np.uint32)
+    size = np.array([80, 86])
+    sketch = lines._sketches(code, size)
+    args = np.zeros(2, np.uint64), np.arange(2).astype(np.uint64), np.ones(2, bool), size.astype(np.uint16)
+    assert lines.edit_limit(86, None, 0.8) == 7 and len(lines._buckets(*args, sketch, None, 0.8)[0]) == 0
+    code = np.frombuffer(("a" * 80 + "a" * 79 + "b" * 7).encode("utf-32-le"), np.uint32)
+    assert len(lines._buckets(*args, lines._sketches(code, size), None, 0.8)[0]) == 2
+
+
+def test_open_buckets_of_a_leader_are_one(spark):
+    """Buckets of like members are taken as one, those with little in common stay apart, and no pair of a bucket is lost."""
+    alike = {1: [1, 2, 3, 4], 2: [1, 2, 3, 5], 3: [1, 3, 4, 5]}
+    other = {4: [10, 11, 12], 5: [10, 13, 14], 6: [10, 15, 16]}
+    rows = [(b, len(m), i, i, m[0]) for b, m in (alike | other).items() for i in m]
+    rest = spark.createDataFrame(rows, "bucket bigint, n bigint, id bigint, component bigint, leader bigint")
+    got: dict[int, set[int]] = {}
+    for r in links._families(rest).collect():
+        got.setdefault(r.bucket, set()).add(r.id)
+        assert r.component == r.id
+    assert sorted(map(sorted, got.values())) == [[1, 2, 3, 4, 5], [10, 11, 12], [10, 13, 14], [10, 15, 16]]
+    for members in (alike | other).values():
+        assert any(set(members) <= g for g in got.values())
