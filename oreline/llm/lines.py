@@ -41,6 +41,8 @@ SKETCH = 8
 KEY_SPARE, SHORT_SPARE = 6, 4
 #: Lines under a key that are paired by their sketches; more stay together unpaired.
 PAIRED = 1024
+#: Bytes of lines whose keys are made at once.
+CHUNK_BYTES = 4 << 20
 #: Bits of the filter of lines that meet others: 512 KB.
 KNOWN_BITS = 1 << 22
 #: Pairs whose columns are taken in step.
@@ -82,7 +84,8 @@ def segment_keys(code: np.ndarray, size: np.ndarray, threshold: int | None, min_
     keys, owners, own = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, bool)]
     power, inverse = tokens.powers(len(code) + 1)
     sums = np.zeros(len(code) + 1, dtype=np.uint64)
-    np.cumsum(tokens.mix(code.astype(np.uint64) + np.uint64(1)) * power[: len(code)], out=sums[1:])
+    letters = tokens.mix(np.arange(1, int(code.max(initial=0)) + 2, dtype=np.uint64))
+    np.cumsum(letters[code] * power[: len(code)], out=sums[1:])
     bounds = np.concatenate([[0], np.cumsum(size)])
     for low, high, t in length_bands(int(size.max(initial=0)), threshold, min_similarity):
         first, last = np.searchsorted(size, [low - t, high])
@@ -92,7 +95,7 @@ def segment_keys(code: np.ndarray, size: np.ndarray, threshold: int | None, min_
         seg = max(0, low - t) // (t + 1)
         run = min(seg, max(MIN_RUN, seg // 2))
         at = slice(bounds[first], bounds[last] - run + 1)
-        least_hash = tokens.mix((sums[bounds[first] + run : bounds[last] + 1] - sums[at]) * inverse[at])
+        least_hash = (sums[bounds[first] + run : bounds[last] + 1] - sums[at]) * inverse[at]
         width = 1
         while width < seg - run + 1:
             step = min(width, seg - run + 1 - width)
@@ -228,15 +231,13 @@ def _shared_keys(lines: DataFrame, threshold: int | None, min_similarity: float,
         for batch in batches:
             ids = batch.column("id").to_numpy().view(np.uint64) >> np.uint64(64 - short_bits)
             data, offsets = tokens.binary_column(batch, "line_text")
-            for first, last, part, own in tokens.chunks(data, offsets):
-                text = part.tobytes().decode()
-                code = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
-                # Characters up to each line's end: bytes that do not continue a character.
-                bounds = np.concatenate([[0], np.cumsum((part & 0xC0) != 0x80)])[own]
-                size = np.diff(bounds)
+            for first, last, part, own in tokens.chunks(data, offsets, CHUNK_BYTES):
+                # Characters of each line, none of which is empty: bytes that do not continue a character.
+                size = np.add.reduceat((part & 0xC0) != 0x80, own[:-1], dtype=np.int64)
                 by_size = np.argsort(size, kind="stable")
-                start, size, line = bounds[by_size], size[by_size], ids[first:last][by_size]
-                code = code[np.repeat(start - np.cumsum(size) + size, size) + np.arange(len(code))]
+                size, line, raw = size[by_size], ids[first:last][by_size], part.tobytes()
+                text = b"".join([raw[a:b] for a, b in zip(own[:-1][by_size].tolist(), own[1:][by_size].tolist())]).decode()
+                code = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
                 keys, owner, mine = segment_keys(code, size, threshold, min_similarity)
                 sketch = _sketches(code, size)
                 keys >>= np.uint64(64 - key_bits)
@@ -477,7 +478,7 @@ def line_classes(
     most = MAX_EDITS if threshold is None else threshold
     distinct = lines.where("line_text is not null").select(F.col("line").alias("id"), "line_text")
     keys_per_line = (most + 1) * (most + 4) // 3
-    count = distinct.count()
+    count = lines.count()  # a few more than are distinct, and no text is read
     short_bits = min(56, max(32, -(-(count.bit_length() + SHORT_SPARE) // 8) * 8))
     met = _shared_keys(distinct, threshold, min_similarity, packed.range_bits(count * keys_per_line), short_bits)
     shared = written(met.distinct(), "lines-shared")
