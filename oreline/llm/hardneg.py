@@ -6,8 +6,13 @@ its leaves. A box gives an interval of inner products for every coordinate, henc
 query meets only the subtrees whose box can hold an answer, and inside one takes leaves best first from a queue
 until the next box is outside its score windows or strictly below the kth score it has.
 
-Queries are blocks of anchors. Answers of a subtree are at most k for a query and window; the best k of all
-subtrees are taken by a window that Spark limits before the shuffle. Every row is indexed and the result is exact.
+Queries are blocks of anchors. A task holds a deal of blocks and reads a group of subtrees one after the other, so
+that a block travels once for each group and a subtree once for each deal. Answers of a subtree are at most k for a
+query and window; the best k of all subtrees are taken by a window that Spark limits before the shuffle. Every row is
+indexed and the result is exact.
+
+Written tables repeat blocks and compress well, so their files say little about their rows in memory. Joins are
+merge joins whatever the files' size: nothing that grows with the rows is broadcast from the driver.
 
 Rows without id, label or vector, or with a null or non-finite component, take no part. Vectors of different
 length are compared as if the shorter one ended in zeros. Rows that share an id are rows of their own: as anchors
@@ -28,10 +33,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import frugal, table, written
 
-#: Rows the tiling is fitted on at most; every row is tiled and indexed.
+#: Rows, and components in all, that the tiling is fitted on at most; every row is tiled and indexed.
 SAMPLE_ROWS = 20_000
+SAMPLE_VALUES = 1 << 21
+#: Ranges of the index's order at most: the driver holds some 300 sort keys for each. A range holds any number of subtrees.
+MAX_RANGES = 1000
+#: Groups of subtrees that a search is dealt to before a group has more than one.
+GROUPS = 128
 #: Coordinates that tiles are cut on, and tiles at most: a tile beyond a subtree's rows is cut along the order of one more coordinate.
 TILE_COORDINATES = 3
 MAX_TILES = 2048
@@ -44,14 +54,15 @@ _NO_BOUND = np.iinfo(np.int64).min + 1
 
 @dataclass(frozen=True)
 class Shape:
-    """Rows of a subtree and of a leaf, anchors of a block, boxes a query takes from its queue at a time, and roots
-    that meet in one group of the join with blocks. Results do not depend on it."""
+    """Rows of a subtree and of a leaf, anchors of a block, boxes a query takes from its queue at a time, roots that a
+    group has at most, and anchors that a task holds, about. Results do not depend on it."""
 
     subtree_rows: int = 4096
     leaf_rows: int = 64
     anchors: int = 128
     boxes: int = 8
     roots: int = 64
+    held: int = 1 << 16
 
     def leaves(self, rows: int) -> int:
         return math.ceil(rows / self.leaf_rows)
@@ -263,18 +274,17 @@ def build_index(points: DataFrame, k: int, shape: Shape = Shape()) -> DataFrame:
     The order by tile, one more coordinate and a hash of the row is cut into ranges, so copies of one vector or
     one id, however many, fill several tasks.
     """
-    rows = points.count()
-    some = points.where(F.pmod(F.xxhash64("id", "label", "vector"), F.lit(max(1, rows))) < SAMPLE_ROWS).select("vector").limit(SAMPLE_ROWS)
-    sample = [r[0] for r in some.collect()]
-    width = max(map(len, sample), default=0)
-    matrix = np.array([[*v, *[0] * (width - len(v))] for v in sample], dtype=np.int64).reshape(len(sample), width)
+    rows, width = points.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    most = min(SAMPLE_ROWS, max(1, SAMPLE_VALUES // max(1, width or 0)))
+    some = points.where(F.pmod(F.xxhash64("id", "label", "vector"), F.lit(max(1, rows))) < most).select("vector").limit(most)
+    matrix = _matrix(some.toArrow()["vector"].combine_chunks())
     tiles = min(MAX_TILES, math.ceil(rows / shape.subtree_rows))
     coordinates, cuts = _tiles(matrix, tiles) if matrix.size else ([], None)
     rank = np.argsort(-matrix.astype(np.float64).var(axis=0), kind="stable") if matrix.size else [0]
     further = int(rank[min(TILE_COORDINATES, len(rank) - 1)])
     tiled = points.mapInArrow(_tiled(coordinates, cuts, further), "id bigint, label bigint, vector array<bigint>, anchor boolean, tile bigint, along bigint")
     order = ["tile", "along", "salt", "id", "label"]
-    parts = max(1, min(10_000, math.ceil(rows / shape.subtree_rows)))
+    parts = max(1, min(MAX_RANGES, math.ceil(rows / shape.subtree_rows)))
     ranged = tiled.withColumn("salt", F.xxhash64("id", "vector")).repartitionByRange(parts, *order).sortWithinPartitions(*order)
     return written(ranged.select("id", "label", "vector", "anchor").mapInArrow(_packed(k, shape), _INDEX), "rtree")
 
@@ -355,9 +365,10 @@ def _scorer(queries: np.ndarray, rows: np.ndarray):
 
 
 def _reach(windows: np.ndarray, floors: np.ndarray, queries: np.ndarray, low: np.ndarray, high: np.ndarray) -> bool:
-    """Whether a box can hold an answer of any query."""
+    """Whether a box can hold an answer of any query; a window that ends before it begins holds none."""
     least, greatest = bounds(queries, low, high)
-    return bool(((greatest[:, :1] >= np.maximum(windows[:, :, 0], floors)) & (least[:, :1] <= windows[:, :, 1])).any())
+    lowest, highest = np.maximum(windows[:, :, 0], floors), windows[:, :, 1]
+    return bool(((greatest >= lowest) & (least <= highest) & (lowest <= highest)).any())
 
 
 def _asked(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -367,72 +378,60 @@ def _asked(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return _unpack(row["vectors"], n), _read(row["labels"]), windows, _read(row["floors"]).reshape(n, -1)
 
 
-_PAIR = "node bigint, block bigint, n int, ids binary, labels binary, vectors binary, at binary, floors binary, windows binary, part int"
-
-
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a root and a block of which the box can hold an answer."""
-    keep = [f.split()[0] for f in _PAIR.split(", ")]
-    for batch in batches:
-        hold = []
-        for row in _each(batch):
-            queries, _, windows, floors = _asked(row)
-            hold.append(_reach(windows, floors, queries, _unpack(row["low"], 1), _unpack(row["high"], 1)))
-        yield batch.select(keep).filter(pa.array(hold, pa.bool_()))
-
-
+_BLOCK = "block bigint, n int, ids binary, labels binary, vectors binary, at binary, floors binary, windows binary, part int"
 _FOUND = "block bigint, part int, place int, win int, anchor bigint, score bigint, id bigint"
 
 
 def _answers(same: bool, k: int, shape: Shape):
+    """Answers of each group and deal: its blocks come before its subtrees, which have no block."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, held = None, []
         for batch in batches:
             for row in _each(batch):
-                queries, labels, windows, floors = _asked(row)
-                size = row["size"]
-                leaves = shape.leaves(size)
-                tree = (_unpack(row["rows"], size), _read(row["row_ids"]), _read(row["row_labels"]), _unpack(row["low"], leaves), _unpack(row["high"], leaves))
-                own = _read(row["at"]) if row["node"] == row["block"] else None
-                query, window, score, ids = _search(queries, labels, *tree, windows, floors, same, own, k, shape)
-                n = len(query)
-                fixed = [pa.array(np.full(n, row["block"])), pa.array(np.full(n, row["part"], np.int32))]
-                columns = [*fixed, pa.array(query.astype(np.int32)), pa.array(window.astype(np.int32)), pa.array(_read(row["ids"])[query]), pa.array(score), pa.array(ids)]
-                yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in _FOUND.split(", ")])
+                if unit != (row["group"], row["deal"]):
+                    unit, held = (row["group"], row["deal"]), []
+                if row["block"] is not None:
+                    held.append(row)
+                    continue
+                size, leaves = row["n"], shape.leaves(row["n"])
+                low, high = _unpack(row["low"], leaves), _unpack(row["high"], leaves)
+                root = low.min(axis=0, keepdims=True), high.max(axis=0, keepdims=True)
+                tree = (_unpack(row["vectors"], size), _read(row["ids"]), _read(row["labels"]), low, high)
+                for block in held:
+                    queries, labels, windows, floors = _asked(block)
+                    if not _reach(windows, floors, queries, *root):
+                        continue
+                    own = _read(block["at"]) if row["node"] == block["block"] else None
+                    query, window, score, ids = _search(queries, labels, *tree, windows, floors, same, own, k, shape)
+                    n = len(query)
+                    fixed = [pa.array(np.full(n, block["block"])), pa.array(np.full(n, block["part"], np.int32))]
+                    columns = [*fixed, pa.array(query.astype(np.int32)), pa.array(window.astype(np.int32)), pa.array(_read(block["ids"])[query]), pa.array(score), pa.array(ids)]
+                    yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in _FOUND.split(", ")])
 
     return run
 
 
-def _roots(index: DataFrame, shape: Shape) -> DataFrame:
-    """The box of each subtree, dealt to groups."""
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = list(_each(batch))
-            low = [_pack(_unpack(r["low"], shape.leaves(r["n"])).min(axis=0, keepdims=True)) for r in rows]
-            high = [_pack(_unpack(r["high"], shape.leaves(r["n"])).max(axis=0, keepdims=True)) for r in rows]
-            columns = [batch.column(batch.schema.get_field_index("node")), pa.array(low, pa.binary()), pa.array(high, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "low", "high"])
-
-    trees = index.where("kind = 'tree'").select("node", "n", "low", "high")
-    return trees.mapInArrow(whole, "node bigint, low binary, high binary")
-
-
 def search(index: DataFrame, blocks: DataFrame, same: bool, k: int, shape: Shape = Shape()) -> DataFrame:
     """The first ``k`` rows, by score and then id, of every query and window: ``block, part, place, win, rank, score, id``.
 
     ``blocks`` are rows of anchors with their ``windows`` and ``floors``; ``same`` asks for rows of the anchor's
-    label, else for rows of other labels. Blocks meet the roots group by group, and only pairs whose box can
-    hold an answer are joined with the subtrees.
+    label, else for rows of other labels. Each deal of blocks meets each group of subtrees in a task; there, blocks
+    meet the roots, and only subtrees whose box can hold an answer of a block are searched for it.
     """
-    roots = written(_roots(index, shape), "rtree-roots")
-    groups = max(1, math.ceil(roots.count() / shape.roots))
-    dealt = roots.withColumn("group", F.pmod(F.xxhash64("node"), F.lit(groups)).cast("int"))
-    asked = blocks.withColumnRenamed("node", "block").withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    pairs = asked.join(dealt, "group").mapInArrow(_met, _PAIR)
-    trees = index.where("kind = 'tree'").select(
-        "node", F.col("n").alias("size"), F.col("ids").alias("row_ids"), F.col("labels").alias("row_labels"), F.col("vectors").alias("rows"), "low", "high"
-    )
-    found = written(pairs, "rtree-pairs").join(trees, "node").mapInArrow(_answers(same, k, shape), _FOUND)
+    trees = index.where("kind = 'tree'").select("node", "n", "ids", "labels", "vectors", "low", "high")
+    count, anchors = trees.count(), blocks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    groups = max(1, min(count, max(GROUPS, math.ceil(count / shape.roots))))
+    deals = max(1, math.ceil(anchors / shape.held))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    # A subtree's number has its range in the upper 32 bits, and its place in the range in the lower ones.
+    group = F.pmod(F.shiftright("node", 32) + F.col("node").bitwiseAND(0xFFFFFFFF), F.lit(groups)).cast("int")
+    deal = F.pmod(F.xxhash64("block", "part"), F.lit(deals)).cast("int")
+    asked = blocks.withColumnRenamed("node", "block").withColumn("deal", deal).withColumn("group", every(groups))
+    units = asked.unionByName(trees.withColumn("group", group).withColumn("deal", every(deals)), allowMissingColumns=True)
+    order = ["group", "deal", F.col("block").asc_nulls_last(), "node"]
+    dealt = units.repartition(groups * deals, "group", "deal").sortWithinPartitions(*order)
+    found = dealt.mapInArrow(frugal(_answers(same, k, shape)), _FOUND)
     first = Window.partitionBy("block", "part", "place", "win").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k)
 
@@ -441,7 +440,7 @@ def _first_blocks(index: DataFrame) -> DataFrame:
     """Anchor blocks that ask for the best of all scores."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [f.split()[0] for f in _PAIR.split(", ") if not f.startswith("block ")]
+        names = ["node", *[f.split()[0] for f in _BLOCK.split(", ")][1:]]
         for batch in batches:
             rows = batch.to_pylist()
             anything = [_longs(np.tile([_NO_BOUND + 1, np.iinfo(np.int64).max], r["n"])) for r in rows]
@@ -450,14 +449,14 @@ def _first_blocks(index: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names)
 
     anchors = index.where("kind = 'anchors'").select("node", "n", "ids", "labels", "vectors", "at", "floors")
-    return anchors.mapInArrow(run, _PAIR.replace(" block bigint,", ""))
+    return anchors.mapInArrow(run, _BLOCK.replace("block ", "node ", 1))
 
 
 def _windowed(low: int, high: int, positives: int):
     """Blocks that ask, for each positive, for scores from ``low`` to ``high`` hundredths of its score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [f.split()[0] for f in _PAIR.split(", ") if not f.startswith("block ")]
+        names = ["node", *[f.split()[0] for f in _BLOCK.split(", ")][1:]]
         for batch in batches:
             asked = []
             for row in _each(batch):
@@ -483,10 +482,10 @@ def mine(points: DataFrame, positives: int = 5, negatives: int = 5, low: int = 8
     blocks = written(_first_blocks(index), "rtree-blocks")
     best = written(search(index, blocks, True, positives, shape), "rtree-positives")
     by_block = best.groupBy(F.col("block").alias("node"), "part").agg(F.collect_list(F.struct("place", "rank", "score")).alias("positives"))
-    second = blocks.join(by_block, ["node", "part"]).mapInArrow(_windowed(low, high, positives), _PAIR.replace(" block bigint,", ""))
+    second = blocks.join(by_block.hint("merge"), ["node", "part"]).mapInArrow(_windowed(low, high, positives), _BLOCK.replace("block ", "node ", 1))
     found = search(index, written(second, "rtree-windows"), False, negatives, shape)
     named = best.select("block", "part", "place", (F.col("rank") - 1).alias("win"), F.col("id").alias("positive_id"), F.col("score").alias("positive_score"))
-    return found.join(named, ["block", "part", "place", "win"]).select(
+    return found.join(named.hint("merge"), ["block", "part", "place", "win"]).select(
         F.col("anchor").alias("anchor_id"),
         "positive_id",
         F.col("rank").cast("int").alias("rank"),

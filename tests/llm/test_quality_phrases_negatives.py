@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from oreline.llm import collocations, fertility, hardneg
+from oreline.plans.explain import explained
 
 from . import brute
 from .fixtures import DATA, clashing, frame, made, sample
@@ -212,6 +213,37 @@ def test_negatives(spark, size, leaf, boxes):
     assert rows(hardneg.mine(points_of(spark, points), shape=shape), *NEGATIVES) == plain_negatives(points)
 
 
+def test_negatives_are_not_broadcast(spark, monkeypatch):
+    """Files of blocks are small, as they repeat; what they hold in memory grows with the rows and stays off the driver."""
+    plans, written = [], hardneg.written
+    monkeypatch.setattr(hardneg, "written", lambda df, label: plans.append(explained(df)) or written(df, label))
+    found = hardneg.mine(points_of(spark, random_points(300, 6, 3)), shape=hardneg.Shape(50, 8, anchors=3))
+    plans.append(explained(found))
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") != "-1"
+    assert found.count() and any("Join" in plan for plan in plans) and not any("Broadcast" in plan for plan in plans)
+
+
+def test_negatives_hold_little_on_the_driver(spark, monkeypatch):
+    """Few numbers of the sample and few ranges, however many rows and components there are; all rows are indexed."""
+    monkeypatch.setattr(hardneg, "SAMPLE_VALUES", 60)
+    monkeypatch.setattr(hardneg, "MAX_RANGES", 2)
+    samples, tiles = [], hardneg._tiles
+    monkeypatch.setattr(hardneg, "_tiles", lambda sample, n: samples.append(sample) or tiles(sample, n))
+    points = random_points(300, 6, 3)
+    index = hardneg.build_index(points_of(spark, points), 5, hardneg.Shape(50, 8, anchors=3))
+    trees = index.where("kind = 'tree'").selectExpr("node >> 32 as range", "n").collect()
+    assert samples and all(sample.size <= 60 for sample in samples)
+    assert {r.range for r in trees} <= {0, 1} and sum(r.n for r in trees) == 300
+
+
+@pytest.mark.parametrize("groups,roots,held", [(1, 64, 1 << 16), (3, 2, 7), (128, 1, 1)])
+def test_negatives_of_groups_and_deals(spark, monkeypatch, groups, roots, held):
+    monkeypatch.setattr(hardneg, "GROUPS", groups)
+    points = random_points(200, 6, 3)
+    shape = hardneg.Shape(30, 8, anchors=3, boxes=2, roots=roots, held=held)
+    assert rows(hardneg.mine(points_of(spark, points), shape=shape), *NEGATIVES) == plain_negatives(points)
+
+
 def test_boxes_hold_their_points():
     import numpy as np
 
